@@ -1,0 +1,71 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per
+operator or job, each with an independent DuckDB SQL oracle where the result
+is expressible in SQL.
+
+Every query reads whole tables (through the input views of
+``sources/views.py``); none caps, samples or subsets rows.
+"""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shopflow.config import ensure_utc
+from shopflow.oracle import AREA_LEVEL_CASE, with_views
+from shopflow.params import DEFAULT_PARAMS as P
+from shopflow.plans import area
+from shopflow.sources import tables, views
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, oracle: str | None = None):
+    def deco(fn: QueryFn) -> QueryFn:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_utc(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return run
+
+    return deco
+
+
+DATES = f"date between '{P.start_date}' and '{P.end_date}'"
+
+# ---------------------------------------------------------------- Q3 area --
+
+_AREA_CTES = [
+    ("clicks", f"select city_id, click_product_id as pid from user_visit_action "
+               f"where {DATES} and click_product_id != -1"),
+    ("basic", "select c.city_id, a.city_name, a.area, c.pid from clicks c join city_area a on c.city_id = a.city_id"),
+    ("cnt", "select area, pid, count(*) as click_count, "
+            "string_agg(distinct cast(city_id as varchar) || ';' || city_name, ',' "
+            "order by cast(city_id as varchar) || ';' || city_name) as city_infos "
+            "from basic group by area, pid"),
+    ("info", "select cnt.*, p.product_name, case when p.extend_info::json->>'$.product_status' = '0' "
+             "then 'self' else 'Third Party' end as product_status "
+             "from cnt join product_info p on cnt.pid = p.product_id"),
+]
+
+
+@register("area_top3", with_views("user_visit_action", "product_info", "city_area", extra=_AREA_CTES) + f"""
+select area, {AREA_LEVEL_CASE} as area_level, pid as product_id, city_infos, click_count, product_name, product_status
+from (select *, row_number() over (partition by area order by click_count desc, pid) as rn from info) r
+where rn <= 3
+""")
+def q_area_top3(spark, sf_dir):
+    """Q3: three most clicked products per area with cities, name, ownership, level."""
+    return area.area_top3(
+        views.user_visit_action(spark, sf_dir), views.product_info(spark, sf_dir),
+        tables.city_area(spark), P.start_date, P.end_date,
+    )
