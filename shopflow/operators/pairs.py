@@ -8,8 +8,8 @@ group is cut into several contiguous ranges.  Each task-range number is
 stored in the rows, pairs inside a range come from ``lead()`` over
 ``(range, group)``, and the pair that crosses a range boundary is stitched
 from the last row of one range and the first row of the next range of the
-same group.  The stitch step sees one row per (range, group) edge, so its
-size is bounded by the number of groups plus the number of ranges.
+same group.  The stitch step sees one row per (range, group), so a hot group
+contributes at most one row per range to it.
 """
 
 from __future__ import annotations
@@ -44,32 +44,27 @@ def consecutive_pairs(
         .repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in key])
         .withColumn("__range", F.spark_partition_id())
     )
+    # One shuffle on (range, group) that both branches below read: the range
+    # number is data from here on, so every reader sees the same ranges.
+    clustered = ranged.repartition(n, "__range", group_col)
 
     w = Window.partitionBy("__range", group_col).orderBy(*order)
-    marked = ranged.select(
-        group_col, "__range", *order, value_col,
-        F.lead(value_col).over(w).alias("__next"),
-        F.row_number().over(w).alias("__pos"),
-    ).withColumn("__last", F.col("__next").isNull())
-
-    inner = marked.where(~F.col("__last")).select(
-        group_col, F.col(value_col).alias(prev_name), F.col("__next").alias(next_name)
+    inner = (
+        clustered.select(group_col, F.col(value_col).alias(prev_name), F.lead(value_col).over(w).alias(next_name))
+        .where(F.col(next_name).isNotNull())
     )
 
-    # Edges: first and last row of each (range, group).  The next edge after a
-    # range's last row, in (range, order) order, is the next range's first row.
-    edges = marked.where((F.col("__pos") == 1) | F.col("__last")).select(
-        group_col, "__range", *order, value_col, "__last"
+    # Edges: first and last value of each (range, group), a hash aggregate on
+    # the same clustering (no sort).  The last value of one range pairs with
+    # the first value of the group's next range.
+    ordkey = F.struct(*[F.col(c) for c in order])
+    edges = clustered.groupBy(group_col, "__range").agg(
+        F.min_by(value_col, ordkey).alias("__first"),
+        F.max_by(value_col, ordkey).alias("__last"),
     )
-    we = Window.partitionBy(group_col).orderBy("__range", *order)
+    we = Window.partitionBy(group_col).orderBy("__range")
     stitched = (
-        edges.select(
-            group_col, value_col, "__last",
-            F.lead(value_col).over(we).alias("__edge_next"),
-            F.lead("__range").over(we).alias("__edge_range"),
-            F.col("__range"),
-        )
-        .where(F.col("__last") & F.col("__edge_range").isNotNull() & (F.col("__edge_range") != F.col("__range")))
-        .select(group_col, F.col(value_col).alias(prev_name), F.col("__edge_next").alias(next_name))
+        edges.select(group_col, F.col("__last").alias(prev_name), F.lead("__first").over(we).alias(next_name))
+        .where(F.col(next_name).isNotNull())
     )
     return inner.unionByName(stitched)
