@@ -70,8 +70,8 @@ from {events}
 # Lines of the documents: the word-count input.  A text of n newline
 # characters gives n + 1 lines, as a text file would.
 DOC_LINES_SQL = """
-select doc_id, pos as line_no, line
-from {documents}, lateral view posexplode(split(text, '\\n', -1)) t as pos, line
+select doc_id, posexplode(split(text, '\\n', -1)) as (line_no, line)
+from {documents}
 """
 
 DOC_LINES_SQL_DUCKDB = """
