@@ -99,6 +99,13 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(AD_LOG_SQL_SPARK, events=read_table(spark, sf_dir, "events"))
 
 
+def ad_log_lines_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` plus the source event time ``ts``, to replay lines in time order."""
+    events = read_table(spark, sf_dir, "events")
+    lines = spark.sql(AD_LOG_SQL_SPARK.replace("as value", "as value, ts"), events=events)
+    return lines
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DOC_LINES_SQL, documents=read_table(spark, sf_dir, "documents"))
 
