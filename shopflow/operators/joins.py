@@ -19,8 +19,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of a plan, or None if unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size))
     except Exception:  # pragma: no cover - estimate unavailable
         return None
 

@@ -1,0 +1,127 @@
+"""Ad statistics, table maintenance, the live job and streaming queries."""
+
+import os
+import time
+
+from pyspark.sql import functions as F
+
+from shopflow.operators.tables import insert_new, replace_groups, upsert_add, upsert_replace
+from shopflow.plans import ads
+from shopflow.sources.store import VersionedTable
+from shopflow.streaming import ads as sa
+from shopflow.streaming.sources import ad_log_stream
+
+DAY = 1704412800000  # 2024-01-05 00:00:00 UTC in ms
+
+
+def lines(spark, items):
+    return spark.createDataFrame([(x,) for x in items], "value string")
+
+
+def clicks(n, user=1, ad=7, t0=DAY, province="3"):
+    return [f"{t0 + i * 1000} {province} {province} {user} {ad}" for i in range(n)]
+
+
+def test_parse_drops_bad_lines(spark):
+    df = lines(spark, ["1704412800000 1 1 5 9", "1704412800000 1 1 5", "abc 1 1 5 9", "1704412800000 1 1 x 9",
+                       "1704412800000 2 2 6 3 extra"])
+    got = ads.parse_ad_log(df).collect()
+    assert [(r.userid, r.adid, r.date) for r in got] == [(5, 9, "2024-01-05"), (6, 3, "2024-01-05")]
+
+
+def test_threshold_is_strict(spark):
+    log = ads.parse_ad_log(lines(spark, clicks(100, user=1) + clicks(101, user=2)))
+    got = [r.userid for r in ads.users_over_threshold(ads.user_click_counts(log), 100).collect()]
+    assert got == [2]
+
+
+def test_live_job_blacklists_across_batches_and_is_idempotent(spark, tmp_dir):
+    tabs = sa.AdTables(spark, tmp_dir)
+    job = sa.AdStreamJob(tabs, threshold=100)
+    job.process_batch(lines(spark, clicks(60, user=1) + clicks(5, user=2)), 0)
+    assert tabs.blacklist.read().count() == 0
+    b1 = lines(spark, clicks(41, user=1, t0=DAY + 100_000))
+    job.process_batch(b1, 1)
+    assert [r.userid for r in tabs.blacklist.read().collect()] == [1]
+    job.process_batch(b1, 1)  # retried batch: nothing is added twice
+    uc = {(r.userid): r.click_count for r in tabs.user_counts.read().collect()}
+    assert uc == {1: 101, 2: 5}
+    # the blacklisted user is filtered from the next batch on
+    job.process_batch(lines(spark, clicks(3, user=1, t0=DAY + 500_000) + clicks(1, user=2, t0=DAY + 500_000)), 2)
+    stat = tabs.ad_stat.read().collect()
+    assert [(r.date, r.adid, r.click_count) for r in stat] == [("2024-01-05", 7, 107)]
+    top = tabs.province_top3.read().collect()
+    assert [(r.province, r.adid, r.click_count) for r in top] == [("3", 7, 107)]
+    assert tabs.click_trend.read().agg(F.sum("click_count")).collect()[0][0] == 107
+
+
+def test_table_ops_idempotent(spark):
+    stored = spark.createDataFrame([("a", 1, 10), ("b", 1, 20), ("b", 2, 30)], "g string, k long, v long")
+    batch = spark.createDataFrame([("b", 1, 99), ("c", 1, 5)], "g string, k long, v long")
+    once = upsert_replace(stored, batch, ["g", "k"])
+    twice = upsert_replace(once, batch, ["g", "k"])
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert sorted(tuple(r) for r in once.collect()) == [("a", 1, 10), ("b", 1, 99), ("b", 2, 30), ("c", 1, 5)]
+    rg = replace_groups(stored, batch, ["g"])
+    assert sorted(tuple(r) for r in rg.collect()) == [("a", 1, 10), ("b", 1, 99), ("c", 1, 5)]
+    assert sorted(replace_groups(rg, batch, ["g"]).collect()) == sorted(rg.collect())
+    ids = spark.createDataFrame([(1,), (2,)], "userid long")
+    new = spark.createDataFrame([(2,), (3,), (3,)], "userid long")
+    one = insert_new(ids, new, ["userid"])
+    assert sorted(r.userid for r in one.collect()) == [1, 2, 3]
+    assert sorted(r.userid for r in insert_new(one, new, ["userid"]).collect()) == [1, 2, 3]
+    added = upsert_add(stored, batch, ["g", "k"], ["v"])
+    assert sorted(tuple(r) for r in added.collect()) == [("a", 1, 10), ("b", 1, 119), ("b", 2, 30), ("c", 1, 5)]
+
+
+def test_versioned_table_skips_applied_batch(spark, tmp_dir):
+    t = VersionedTable(spark, tmp_dir + "/t", sa.BLACKLIST_SCHEMA)
+    assert t.read().count() == 0 and t.version == 0
+    assert t.commit(spark.createDataFrame([(1,)], "userid long"), 0)
+    assert not t.commit(spark.createDataFrame([(2,)], "userid long"), 0)
+    assert t.apply(lambda cur: cur.unionByName(spark.createDataFrame([(5,)], "userid long")), 1)
+    assert sorted(r.userid for r in t.read().collect()) == [1, 5] and t.version == 2 and t.last_batch_id == 1
+
+
+def _write(path, name, items):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write("\n".join(items) + "\n")
+
+
+def test_stream_restart_from_checkpoint_and_late_rows(spark, tmp_dir):
+    src, ckpt = tmp_dir + "/in", tmp_dir + "/ckpt"
+    table = VersionedTable(spark, tmp_dir + "/trend", sa.TREND_SCHEMA)
+
+    def run():
+        log = sa.parsed_stream(ad_log_stream(spark, src))
+        q = sa.start_update_query(sa.minute_trend_stream(log, "10 minutes"), sa.upsert_sink(table, sa.TREND_KEYS),
+                                  ckpt, {"availableNow": True})
+        q.awaitTermination()
+
+    _write(src, "a.txt", clicks(3, ad=1))                    # 00:00:00-00:00:02
+    run()
+    _write(src, "b.txt", clicks(2, ad=1, t0=DAY + 3600_000))  # 01:00, moves the watermark to 00:50
+    time.sleep(1.1)
+    run()                                                      # restart: picks up only the new file
+    _write(src, "c.txt", clicks(4, ad=1) + clicks(1, ad=2, t0=DAY + 3599_000))  # 00:00 is late; 00:59 is not
+    time.sleep(1.1)
+    run()
+    got = {(r.hour, r.minute, r.adid): r.click_count for r in table.read().collect()}
+    assert got == {("00", "00", 1): 3, ("01", "00", 1): 2, ("00", "59", 2): 1}
+
+
+def test_stream_equals_batch_on_replay(spark, tmp_dir):
+    src = tmp_dir + "/in"
+    all_lines = []
+    for k in range(3):
+        chunk = clicks(20, user=k, ad=k % 2, t0=DAY + k * 86_400_000) + clicks(5, user=9, ad=3, t0=DAY + k * 86_400_000)
+        _write(src, f"f{k}.txt", chunk)
+        time.sleep(1.1)
+        all_lines += chunk
+    table = VersionedTable(spark, tmp_dir + "/stat", sa.AD_STAT_SCHEMA)
+    log = sa.parsed_stream(ad_log_stream(spark, src, max_files_per_trigger=1))
+    sa.start_update_query(sa.daily_stat_stream(log, "1 hour"), sa.upsert_sink(table, ads.STAT_KEYS),
+                          tmp_dir + "/ckpt", {"availableNow": True}).awaitTermination()
+    batch = ads.ad_stat(ads.parse_ad_log(lines(spark, all_lines)))
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, batch.collect()))
