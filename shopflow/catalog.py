@@ -695,9 +695,9 @@ def _ad_replay(spark, sf_dir):
                               fresh_dir(spark, "replay"), REPLAY_FILES)
 
 
-def _run_ad_query(spark, sf_dir, schema, build, sink_of):
+def _run_ad_query(spark, sf_dir, schema, build, sink_of, partition_by=None):
     src = _ad_replay(spark, sf_dir)
-    table = VersionedTable(spark, fresh_dir(spark, "tables"), schema)
+    table = VersionedTable(spark, fresh_dir(spark, "tables"), schema, partition_by)
 
     def start():
         log = sa.parsed_stream(ad_log_stream(spark, src, max_files_per_trigger=1))
@@ -711,14 +711,14 @@ def _run_ad_query(spark, sf_dir, schema, build, sink_of):
 def q_stream_ad_stat(spark, sf_dir):
     """Running clicks per date, province, city, ad (state per one-day window), upserted."""
     return _run_ad_query(spark, sf_dir, sa.AD_STAT_SCHEMA, lambda log: sa.daily_stat_stream(log, "1 hour"),
-                         lambda t: sa.upsert_sink(t, ads.STAT_KEYS))
+                         lambda t: sa.upsert_sink(t, ads.STAT_KEYS), ["date"])
 
 
 @register("stream_ad_trend", ORACLES["ad_minute_trend"])
 def q_stream_ad_trend(spark, sf_dir):
     """T5: per-minute clicks per ad with a 60-minute watermark, upserted."""
     return _run_ad_query(spark, sf_dir, sa.TREND_SCHEMA, lambda log: sa.minute_trend_stream(log, "60 minutes"),
-                         lambda t: sa.upsert_sink(t, sa.TREND_KEYS))
+                         lambda t: sa.upsert_sink(t, sa.TREND_KEYS), ["date"])
 
 
 @register("stream_sliding_hour", ORACLES["sliding_hour_clicks"])
@@ -732,8 +732,8 @@ def q_stream_sliding_hour(spark, sf_dir):
 def q_stream_province_top3(spark, sf_dir):
     """Running (date, province, ad) counts; top-3 of the touched groups replaced each batch."""
     src = _ad_replay(spark, sf_dir)
-    counts = VersionedTable(spark, fresh_dir(spark, "tables"), sa.PROVINCE_COUNT_SCHEMA)
-    top3 = VersionedTable(spark, fresh_dir(spark, "tables"), sa.PROVINCE_TOP3_SCHEMA)
+    counts = VersionedTable(spark, fresh_dir(spark, "tables"), sa.PROVINCE_COUNT_SCHEMA, ["date"])
+    top3 = VersionedTable(spark, fresh_dir(spark, "tables"), sa.PROVINCE_TOP3_SCHEMA, ["date"])
 
     def start():
         log = sa.parsed_stream(ad_log_stream(spark, src, max_files_per_trigger=1))

@@ -2,7 +2,7 @@
 
 Parquet cannot be overwritten while it is being read, and a stream's
 ``foreachBatch`` may run a batch twice after a failure.  A ``VersionedTable``
-therefore writes every new state to a fresh ``v=<n>`` folder and only then
+therefore writes every new state to a fresh ``sfver=<n>`` folder and only then
 drops a commit marker ``_commits/<n>`` holding the batch id that produced it;
 readers take the highest committed version.  A batch id at or below the last
 committed one is skipped, which makes the adding upsert (K6) exactly-once.
@@ -13,82 +13,156 @@ file system the cluster shares (HDFS, object stores, a local folder in tests).
 
 from __future__ import annotations
 
+import json
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shopflow.operators.joins import estimated_bytes
 
 
+VERSION_COL = "sfver"
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+    """A result table kept as committed parquet versions.
+
+    Unpartitioned, a commit holds the whole table.  With ``partition_by``, a
+    commit holds only the partitions present in the new data (written with
+    ``partitionBy`` into ``sfver=<n>``) and the commit marker is a manifest that
+    maps every partition to the version folder holding its current rows, so
+    a micro-batch that touches today's date rewrites today's partition only.
+    A partition whose new content is empty keeps its previous rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
+                 partition_by: list[str] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.partition_by = list(partition_by or [])
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     # -- commit markers -----------------------------------------------------
-    def _commits(self) -> list[tuple[int, int]]:
+    def _read_text(self, path) -> str:
+        stream = self._fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _latest(self) -> tuple[int, dict]:
         d = self._Path(self.root + "/_commits")
         if not self._fs.exists(d):
-            return []
-        out = []
-        for st in self._fs.listStatus(d):
-            name = st.getPath().getName()
-            if name.isdigit():
-                stream = self._fs.open(st.getPath())
-                try:
-                    text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-                finally:
-                    stream.close()
-                out.append((int(name), int(text.strip() or -1)))
-        return sorted(out)
+            return 0, {"batch_id": -1, "parts": {}}
+        names = [st.getPath().getName() for st in self._fs.listStatus(d)]
+        versions = sorted(int(n) for n in names if n.isdigit())
+        if not versions:
+            return 0, {"batch_id": -1, "parts": {}}
+        v = versions[-1]
+        return v, json.loads(self._read_text(self._Path(f"{self.root}/_commits/{v:020d}")))
 
     @property
     def version(self) -> int:
-        c = self._commits()
-        return c[-1][0] if c else 0
+        return self._latest()[0]
 
     @property
     def last_batch_id(self) -> int:
-        c = self._commits()
-        return c[-1][1] if c else -1
+        return int(self._latest()[1]["batch_id"])
 
     def _data_path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
+        return f"{self.root}/{VERSION_COL}={version}"
 
-    # -- read / write -------------------------------------------------------
-    def read(self) -> DataFrame:
-        v = self.version
-        if v == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._data_path(v))
+    # -- read ---------------------------------------------------------------
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
 
+    def read(self, partitions: list[dict] | None = None) -> DataFrame:
+        """Current rows; with ``partitions`` (list of {column: value}) only those."""
+        v, man = self._latest()
+        if v == 0:
+            return self._empty()
+        if not self.partition_by:
+            return self.spark.read.schema(self.schema).parquet(self._data_path(v))
+        parts = man["parts"]
+        if partitions is not None:
+            wanted = {tuple(str(p[c]) for c in self.partition_by) for p in partitions}
+            parts = {k: pv for k, pv in parts.items() if _part_values(k, self.partition_by) in wanted}
+        if not parts:
+            return self._empty()
+        # One scan: the version folder is read as one more partition column.
+        paths = [f"{self._data_path(pv)}/{k}" for k, pv in sorted(parts.items())]
+        with_version = T.StructType(self.schema.fields + [T.StructField(VERSION_COL, T.IntegerType(), True)])
+        df = self.spark.read.schema(with_version).option("basePath", self.root).parquet(*paths)
+        return df.select(*[f.name for f in self.schema.fields])
+
+    # -- write --------------------------------------------------------------
     def commit(self, df: DataFrame, batch_id: int = -1) -> bool:
         """Write ``df`` as the next version; skip if ``batch_id`` is already in.
 
-        Returns False when skipped.
+        Partitioned: ``df`` holds the full new content of the partitions it
+        has rows for; other partitions keep their rows.  Returns False when
+        skipped.
         """
-        if batch_id >= 0 and batch_id <= self.last_batch_id:
+        v, man = self._latest()
+        if batch_id >= 0 and batch_id <= int(man["batch_id"]):
             return False
-        nxt = self.version + 1
-        df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite").parquet(self._data_path(nxt))
+        nxt = v + 1
+        out = df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite")
+        if self.partition_by:
+            out.partitionBy(*self.partition_by).parquet(self._data_path(nxt))
+            parts = dict(man["parts"])
+            for rel in self._written_partitions(self._data_path(nxt)):
+                parts[rel] = nxt
+        else:
+            out.parquet(self._data_path(nxt))
+            parts = {}
         marker = self._Path(f"{self.root}/_commits/{nxt:020d}")
-        out = self._fs.create(marker, False)  # fails if another writer committed nxt
+        stream = self._fs.create(marker, False)  # fails if another writer committed nxt
         try:
-            out.write(bytearray(str(batch_id).encode()))
+            stream.write(bytearray(json.dumps({"batch_id": batch_id, "parts": parts}).encode()))
         finally:
-            out.close()
+            stream.close()
         return True
 
-    def apply(self, fn, batch_id: int = -1) -> bool:
-        """Commit ``fn(current) -> new`` unless this batch id was applied."""
+    def _written_partitions(self, base: str) -> list[str]:
+        rels = [""]
+        for _ in self.partition_by:
+            nxt = []
+            for rel in rels:
+                d = self._Path(f"{base}/{rel}" if rel else base)
+                for st in self._fs.listStatus(d):
+                    name = st.getPath().getName()
+                    if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+                        nxt.append(f"{rel}/{name}" if rel else name)
+            rels = nxt
+        return rels
+
+    def apply(self, fn, batch_id: int = -1, touched: DataFrame | None = None) -> bool:
+        """Commit ``fn(current) -> new`` unless this batch id was applied.
+
+        For a partitioned table, ``touched`` (rows carrying the partition
+        columns, e.g. the batch) limits both the read and the rewrite to the
+        partitions it covers; only their distinct values reach the driver.
+        """
         if batch_id >= 0 and batch_id <= self.last_batch_id:
             return False
+        if self.partition_by and touched is not None:
+            keys = [r.asDict() for r in touched.select(*self.partition_by).distinct().collect()]
+            if not keys:
+                return self.commit(self._empty(), batch_id)
+            return self.commit(fn(self.read(keys)), batch_id)
         return self.commit(fn(self.read()), batch_id)
 
 
+def _part_values(rel: str, cols: list[str]) -> tuple[str, ...]:
+    kv = dict(seg.split("=", 1) for seg in rel.split("/"))
+    return tuple(unquote(kv[c]) for c in cols)
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

@@ -11,7 +11,7 @@ Two forms:
   id that a table already holds is skipped, so retries add nothing twice.
   A user is blocked from the batch after the one that crossed the threshold.
 
-* Stateful streaming aggregations (``*_query``): event-time windows with a
+* Stateful streaming aggregations (``*_stream``): event-time windows with a
   watermark keep state bounded; results go out in ``update`` mode through an
   overwriting upsert (K7).  They apply a blacklist snapshot (stream-static
   anti join) when one is given; a blacklist that changes while the query
@@ -49,15 +49,20 @@ TREND_KEYS = ["date", "hour", "minute", "adid"]
 
 
 class AdTables:
-    """The five result tables of the live job under one shared root."""
+    """The five result tables of the live job under one shared root.
+
+    Tables keyed by date are partitioned by it, so a micro-batch rewrites
+    only the dates it touched.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         r = root.rstrip("/")
-        self.user_counts = VersionedTable(spark, f"{r}/ad_user_click_count", USER_COUNT_SCHEMA)
+        by_date = ["date"]
+        self.user_counts = VersionedTable(spark, f"{r}/ad_user_click_count", USER_COUNT_SCHEMA, by_date)
         self.blacklist = VersionedTable(spark, f"{r}/ad_blacklist", BLACKLIST_SCHEMA)
-        self.ad_stat = VersionedTable(spark, f"{r}/ad_stat", AD_STAT_SCHEMA)
-        self.province_top3 = VersionedTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3_SCHEMA)
-        self.click_trend = VersionedTable(spark, f"{r}/ad_click_trend", TREND_SCHEMA)
+        self.ad_stat = VersionedTable(spark, f"{r}/ad_stat", AD_STAT_SCHEMA, by_date)
+        self.province_top3 = VersionedTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3_SCHEMA, by_date)
+        self.click_trend = VersionedTable(spark, f"{r}/ad_click_trend", TREND_SCHEMA, by_date)
 
 
 class AdStreamJob:
@@ -68,26 +73,32 @@ class AdStreamJob:
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         t = self.t
         log = ads.without_blacklisted(ads.parse_ad_log(batch), t.blacklist.read()).persist()
+        trend = ads.minute_trend(log).persist()
         try:
+            days = [r.asDict() for r in log.select("date").distinct().collect()]
             # K6 -> S10 + F7 -> A9 -> K9
             t.user_counts.apply(
-                lambda cur: upsert_add(cur, ads.user_click_counts(log), ads.USER_KEYS, ["click_count"]), batch_id)
+                lambda cur: upsert_add(cur, ads.user_click_counts(log), ads.USER_KEYS, ["click_count"]),
+                batch_id, touched=log)
             keys = log.select(*ads.USER_KEYS).distinct()
-            totals = t.user_counts.read().join(keys, ads.USER_KEYS, "left_semi")
+            totals = t.user_counts.read(days).join(keys, ads.USER_KEYS, "left_semi")
             new_users = ads.users_over_threshold(totals, self.threshold)
             t.blacklist.apply(lambda cur: insert_new(cur, new_users, ["userid"]), batch_id)
             # Q5: running counts (the table is the state)
             t.ad_stat.apply(
-                lambda cur: upsert_add(cur, ads.ad_stat(log), ads.STAT_KEYS, ["click_count"]), batch_id)
+                lambda cur: upsert_add(cur, ads.ad_stat(log), ads.STAT_KEYS, ["click_count"]),
+                batch_id, touched=log)
             # Q6: top-3 of the touched (date, province) groups, replaced group-wise
             touched = log.select("date", "province").distinct()
-            stat = t.ad_stat.read().join(touched, ["date", "province"], "left_semi")
+            stat = t.ad_stat.read(days).join(touched, ["date", "province"], "left_semi")
             top = ads.province_top3(ads.province_ad_counts(stat))
-            t.province_top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id)
-            # Q7: per-minute counts, added
-            t.click_trend.apply(
-                lambda cur: upsert_add(cur, ads.minute_trend(log), TREND_KEYS, ["click_count"]), batch_id)
+            t.province_top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]),
+                                  batch_id, touched=log)
+            # Q7: per-minute counts, added (trend dates are yyyyMMdd)
+            t.click_trend.apply(lambda cur: upsert_add(cur, trend, TREND_KEYS, ["click_count"]),
+                                batch_id, touched=trend)
         finally:
+            trend.unpersist()
             log.unpersist()
 
     def start(self, lines: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -146,9 +157,14 @@ def sliding_hour_stream(log: DataFrame, late: str = "60 minutes", length: str =
 
 
 def upsert_sink(table: VersionedTable, keys: list[str]):
-    """foreachBatch function: overwrite the batch's keys in ``table`` (K7)."""
+    """foreachBatch function: overwrite the batch's keys in ``table`` (K7);
+    a partitioned table rewrites only the partitions the batch touches."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        table.apply(lambda cur: upsert_replace(cur, batch, keys), batch_id)
+        batch = batch.persist()
+        try:
+            table.apply(lambda cur: upsert_replace(cur, batch, keys), batch_id, touched=batch)
+        finally:
+            batch.unpersist()
     return fn
 
 
@@ -158,11 +174,12 @@ def province_top3_sink(counts: VersionedTable, top3: VersionedTable, n: int = 3)
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            counts.apply(lambda cur: upsert_replace(cur, batch, ads.PROVINCE_KEYS), batch_id)
+            counts.apply(lambda cur: upsert_replace(cur, batch, ads.PROVINCE_KEYS), batch_id, touched=batch)
+            days = [r.asDict() for r in batch.select("date").distinct().collect()]
             touched = batch.select("date", "province").distinct()
-            current = counts.read().join(touched, ["date", "province"], "left_semi")
+            current = counts.read(days).join(touched, ["date", "province"], "left_semi")
             top = ads.province_top3(current, n)
-            top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id)
+            top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id, touched=batch)
         finally:
             batch.unpersist()
     return fn
