@@ -141,7 +141,7 @@ def q_session_filter(spark, sf_dir):
           "select cnt.kind, cnt.bucket, cnt.sessions, tot.total from cnt, tot")
 def q_session_buckets(spark, sf_dir):
     """A2: filtered sessions per visit-length and step-count bucket, with the total."""
-    f = sess.filtered_sessions(views.user_visit_action(spark, sf_dir), views.user_info(spark, sf_dir), P)
+    f = sess.filtered_session_lengths(views.user_visit_action(spark, sf_dir), views.user_info(spark, sf_dir), P)
     return sess.bucket_rows(f).select("kind", "bucket", "sessions", "total")
 
 

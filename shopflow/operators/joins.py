@@ -25,13 +25,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only when its estimated size is within bound."""
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the optimizer's size estimate of ``df`` is known and within bound."""
     limit = max_bytes if max_bytes is not None else DEFAULT_BROADCAST_BYTES
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
+    return size is not None and size <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast only when its estimated size is within bound."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def exclude_keys(df: DataFrame, excluded: DataFrame, keys: Sequence[str], max_broadcast: int | None = None) -> DataFrame:

@@ -81,3 +81,29 @@ def test_filters_unset_and_missing(spark):
                                  "endAge": "", "professionals": "", "sex": "", "categoryIds": "5"})
     assert p.start_age is None and p.sex is None and p.category_ids == ("5",)
     assert ids(p) == ["s1"]
+
+
+def test_flag_path_selects_same_sessions(spark, monkeypatch):
+    rows = []
+    for s in range(40):
+        for k in range(1 + s % 5):
+            rows.append(action(s * 10 + k, f"s{s}", 1 + s % 2, f"0:00:{10 + k:02d}",
+                               kw=f"kw{(s + k) % 4}" if k % 2 else None, cat=(s * k) % 7 if k % 3 else -1))
+    df = spark.createDataFrame(rows, COLS)
+    base = dict(start_date="2024-01-01", end_date="2024-01-31")
+    cases = [TaskParams(**base), TaskParams(**base, keywords=("kw1",)), TaskParams(**base, category_ids=("3", "5")),
+             TaskParams(**base, keywords=("kw0", "kw2"), category_ids=("0",), sex="male"),
+             TaskParams(**base, start_age=20, end_age=40, professionals=("BUILDING",))]
+
+    def both(p):
+        full = sorted(r.session_id for r in S.filtered_sessions(df, users(spark), p).collect())
+        flags = sorted(r.session_id for r in S.filtered_session_lengths(df, users(spark), p).collect())
+        return full, flags
+
+    for p in cases:
+        full, flags = both(p)
+        assert full == flags
+    monkeypatch.setattr(S, "fits_broadcast", lambda *a, **k: False)  # semi join after the aggregate
+    for p in cases:
+        full, flags = both(p)
+        assert full == flags
