@@ -15,9 +15,11 @@ def action(i, sess, user, t, kw=None, cat=-1, date="2024-01-05", page=1):
 
 
 def users(spark):
-    return spark.createDataFrame(
-        [(1, "u1", "n1", 30, "BUILDING", "city1", "male"), (2, "u2", "n2", 55, "MACHINERY", "city2", "female")],
-        "user_id long, username string, name string, age int, professional string, city string, sex string")
+    # a VALUES relation has a size estimate, so the early (broadcast) semi join is taken
+    return spark.sql(
+        "select * from values (1L, 'u1', 'n1', 30, 'BUILDING', 'city1', 'male'), "
+        "(2L, 'u2', 'n2', 55, 'MACHINERY', 'city2', 'female') "
+        "as t(user_id, username, name, age, professional, city, sex)")
 
 
 def test_session_agg_unpadded_hours_and_lists(spark):
@@ -100,6 +102,7 @@ def test_flag_path_selects_same_sessions(spark, monkeypatch):
         flags = sorted(r.session_id for r in S.filtered_session_lengths(df, users(spark), p).collect())
         return full, flags
 
+    assert S.fits_broadcast(users(spark))
     for p in cases:
         full, flags = both(p)
         assert full == flags
