@@ -771,3 +771,30 @@ def q_stream_word_count(spark, sf_dir):
 
     _state_partitions(spark, start).awaitTermination()
     return table.read()
+
+
+# ------------------------------------------------------------------ sinks --
+
+import uuid  # noqa: E402
+
+from shopflow.sources.store import replace_table, write_csv  # noqa: E402
+
+
+@register("replace_table", _ad_with(_STAT) + "select * from stat")
+def q_replace_table(spark, sf_dir):
+    """K2: a catalog table (files in the shared folder) replaced by the ad
+    statistics, even though its earlier content had another schema; read back."""
+    name = f"shopflow_ad_stat_{uuid.uuid4().hex[:12]}"
+    path = fresh_dir(spark, "catalog")
+    replace_table(words.word_count(views.document_lines(spark, sf_dir)), name, path)
+    replace_table(ads.ad_stat(_log(spark, sf_dir)), name, path)
+    return spark.table(name)
+
+
+@register("csv_single_file", _ad_with(_STAT) + "select * from stat")
+def q_csv_single_file(spark, sf_dir):
+    """K3: the ad statistics written as CSV (one file when provably small), read back."""
+    path = fresh_dir(spark, "csv")
+    stat = ads.ad_stat(_log(spark, sf_dir))
+    write_csv(stat, path)
+    return spark.read.schema(stat.schema).option("header", True).csv(path)

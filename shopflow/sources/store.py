@@ -187,9 +187,16 @@ def write_jdbc(
     out.write.jdbc(url, table, mode=mode, properties=props)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """K2: replace a catalog table with ``df`` (drop + create as one overwrite)."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """K2: replace a catalog table with ``df`` (drop + create as one overwrite).
+
+    With ``path`` the table's files go to that (shared) location instead of
+    the warehouse folder.
+    """
+    w = df.write.mode("overwrite")
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 SINGLE_FILE_MAX_BYTES = 1 << 30
@@ -201,7 +208,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = True, header: bool =
 
     One file means one writing task, so it is done only when the optimizer's
     size estimate is within ``max_single_bytes``; otherwise the rows are
-    written as ordered parts by all tasks (same rows, several files).
+    written in parts by all tasks (same rows, several files).
     Returns 1 for a single file, 0 for a multi-part write.
     """
     size = estimated_bytes(df)
