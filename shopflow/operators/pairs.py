@@ -34,19 +34,19 @@ def consecutive_pairs(
     ``order_cols`` must order rows uniquely within a group (end it with an
     id).  Rows whose order key is NULL sort first, as in a window.
     """
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = list(order_cols)
     key = [group_col, *order]
+    sort_key = [F.col(c).asc_nulls_first() for c in key]
 
-    ranged = (
-        df.select(*key, value_col)
-        .repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in key])
-        .withColumn("__range", F.spark_partition_id())
-    )
+    # Without ``num_ranges`` the range count is spark.sql.shuffle.partitions
+    # and AQE may coalesce neighbouring ranges; a coalesced partition is still
+    # one contiguous key range, so range numbers stay ordered.
+    by_range = (df.select(*key, value_col).repartitionByRange(num_ranges, *sort_key) if num_ranges
+                else df.select(*key, value_col).repartitionByRange(*sort_key))
+    ranged = by_range.withColumn("__range", F.spark_partition_id())
     # One shuffle on (range, group) that both branches below read: the range
     # number is data from here on, so every reader sees the same ranges.
-    clustered = ranged.repartition(n, "__range", group_col)
+    clustered = ranged.repartition("__range", group_col)
 
     w = Window.partitionBy("__range", group_col).orderBy(*order)
     inner = (
