@@ -255,6 +255,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shopflow.oracle import PARSED_AD_LOG  # noqa: E402
 from shopflow.operators import tables as tbl  # noqa: E402
+from shopflow.operators.aggregates import count_by  # noqa: E402
 from shopflow.plans import ads  # noqa: E402
 
 # Threshold used by the registered blacklist queries: at this data size no
@@ -364,16 +365,11 @@ _SPLIT = "2024-01-15"
 def q_upsert_add(spark, sf_dir):
     """K6: stored per-(user, ad) counts plus a newer batch's counts."""
     log = _log(spark, sf_dir)
-    stored = count_by_keys(log.where(F.col("date") <= _SPLIT), ["userid", "adid"])
-    delta = count_by_keys(log.where(F.col("date") > _SPLIT), ["userid", "adid"])
+    stored = count_by(log.where(F.col("date") <= _SPLIT), ["userid", "adid"])
+    delta = count_by(log.where(F.col("date") > _SPLIT), ["userid", "adid"])
     return tbl.upsert_add(stored, delta, ["userid", "adid"], ["click_count"])
 
 
-def count_by_keys(df, keys):
-    from shopflow.operators.aggregates import count_by
-    return count_by(df, keys)
-
-
 @register("upsert_replace", _ad_with(
     ("s", "select province, city, adid, count(*) as click_count from parsed where date <= '2024-01-20' "
           "group by 1, 2, 3"),
@@ -385,8 +381,8 @@ def q_upsert_replace(spark, sf_dir):
     """K7: stored per-(province, city, ad) counts overwritten by a newer batch's."""
     log = _log(spark, sf_dir)
     keys = ["province", "city", "adid"]
-    stored = count_by_keys(log.where(F.col("date") <= "2024-01-20"), keys)
-    delta = count_by_keys(log.where(F.col("date") >= "2024-01-11"), keys)
+    stored = count_by(log.where(F.col("date") <= "2024-01-20"), keys)
+    delta = count_by(log.where(F.col("date") >= "2024-01-11"), keys)
     return tbl.upsert_replace(stored, delta, keys)
 
 
@@ -406,7 +402,7 @@ def q_replace_groups(spark, sf_dir):
     log = _log(spark, sf_dir)
 
     def top3(df):
-        return ads.province_top3(count_by_keys(df, ads.PROVINCE_KEYS))
+        return ads.province_top3(count_by(df, ads.PROVINCE_KEYS))
 
     stored = top3(log.where((F.col("date") <= "2024-01-20") & (F.hour("ts") < 12)))
     batch = top3(log.where(F.col("date") >= "2024-01-15"))
