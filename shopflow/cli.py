@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("job", choices=["session-ratio", "page-convert", "area-top3", "word-count", "top1",
                                     "ad-stream", "stream-word-count"])
     for opt in ("actions", "users", "products", "params", "input", "out", "source", "tables", "kafka-servers",
-                "topic", "host", "jdbc-url", "jdbc-table", "jdbc-user", "jdbc-password", "master"):
+                "topic", "host", "jdbc-url", "jdbc-table", "jdbc-user", "jdbc-password", "master", "task-id"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--port", type=int)
     ap.add_argument("--threshold", type=int, default=100)
@@ -60,14 +60,14 @@ def main(argv: list[str] | None = None) -> None:
     ensure_utc(spark)
 
     if args.job == "session-ratio":
-        _write(sessions.session_ratio_job(_read(spark, args.actions), _read(spark, args.users), _params(args.params)),
-               args)
+        _write(sessions.session_ratio_job(_read(spark, args.actions), _read(spark, args.users), _params(args.params),
+                                          args.task_id), args)
     elif args.job == "page-convert":
-        _write(funnel.page_conversion(_read(spark, args.actions), _params(args.params)), args)
+        _write(funnel.page_conversion_string(_read(spark, args.actions), _params(args.params), args.task_id), args)
     elif args.job == "area-top3":
         p = _params(args.params)
         _write(area.area_top3(_read(spark, args.actions), _read(spark, args.products), city_area(spark),
-                              p.start_date, p.end_date), args)
+                              p.start_date, p.end_date, task_id=args.task_id), args)
     elif args.job == "word-count":
         write_csv(words.word_count(words.text_file_lines(spark, args.input)), args.out)
     elif args.job == "top1":

@@ -28,3 +28,11 @@ def count_by(df: DataFrame, keys: list[str], name: str = "click_count") -> DataF
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of one column."""
     return df.select(col).distinct()
+
+
+def with_task_id(df: DataFrame, task_id: str | None) -> DataFrame:
+    """Prepend the caller's task id as a ``taskid`` column (result tables of
+    the reference carry one); unchanged when ``task_id`` is None."""
+    if task_id is None:
+        return df
+    return df.select(F.lit(task_id).alias("taskid"), *df.columns)

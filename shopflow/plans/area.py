@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.misc import area_level, product_status
 from shopflow.functions.strings import concat_long_string
-from shopflow.operators.aggregates import group_concat_distinct
+from shopflow.operators.aggregates import group_concat_distinct, with_task_id
 from shopflow.operators.filters import date_range
 from shopflow.operators.joins import broadcast_if_small
 from shopflow.operators.topk import top_n
@@ -58,13 +58,14 @@ def area_top3(
     start: str,
     end: str,
     n: int = 3,
+    task_id: str | None = None,
 ) -> DataFrame:
     """Q3 end to end: W1 top-n per area by clicks (ties: smaller pid), X4 level."""
     clicks = city_product_clicks(actions, start, end)
     counts = area_click_count(area_basic_info(clicks, city_area))
     info = area_product_info(counts, products)
     top = top_n(info, ["area"], [F.desc("click_count"), F.asc("pid")], n)
-    return top.select(
+    return with_task_id(top.select(
         "area",
         area_level("area").alias("area_level"),
         F.col("pid").alias("product_id"),
@@ -72,4 +73,4 @@ def area_top3(
         "click_count",
         "product_name",
         "product_status",
-    )
+    ), task_id)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.dates import parse_time
 from shopflow.functions.strings import flow_pairs
+from shopflow.operators.aggregates import with_task_id
 from shopflow.operators.filters import date_range
 from shopflow.operators.pairs import consecutive_pairs
 from shopflow.params import TaskParams
@@ -74,7 +75,7 @@ def _step_counts(actions: DataFrame, params: TaskParams) -> tuple[DataFrame, lis
     return keys.agg(*aggs), steps
 
 
-def page_conversion(actions: DataFrame, params: TaskParams) -> DataFrame:
+def page_conversion(actions: DataFrame, params: TaskParams, task_id: str | None = None) -> DataFrame:
     """Per step: pair, its count, the previous count and the ratio.
 
     A step that never occurs counts 0 (ratio 0.0); a zero previous count
@@ -91,14 +92,14 @@ def page_conversion(actions: DataFrame, params: TaskParams) -> DataFrame:
         )
         for i, p in steps
     ]
-    return one.select(F.inline(F.array(*cells)))
+    return with_task_id(one.select(F.inline(F.array(*cells))), task_id)
 
 
-def page_conversion_string(actions: DataFrame, params: TaskParams) -> DataFrame:
+def page_conversion_string(actions: DataFrame, params: TaskParams, task_id: str | None = None) -> DataFrame:
     """The ratios as one text ``1_2=r|2_3=r|...`` in flow order."""
     one, steps = _step_counts(actions, params)
     parts = []
     for i, p in steps:
         r = F.try_divide(F.col(f"c{i + 1}").cast("double"), F.col(f"c{i}").cast("double"))
         parts.append(F.concat(F.lit(f"{p}="), F.coalesce(r.cast("string"), F.lit("NULL"))))
-    return one.select(F.concat_ws("|", *parts).alias("convert_rate"))
+    return with_task_id(one.select(F.concat_ws("|", *parts).alias("convert_rate")), task_id)

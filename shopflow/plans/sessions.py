@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shopflow.functions.dates import TIME_FORMAT, parse_time
 from shopflow.functions.misc import round_half_up
 from shopflow.functions.strings import is_not_empty
+from shopflow.operators.aggregates import with_task_id
 from shopflow.operators.filters import (
     any_of_filter, apply_session_filter, between_filter, conjunction, date_range, equal_filter, sentinel_to_null,
 )
@@ -151,9 +152,10 @@ def session_ratios(sessions: DataFrame) -> DataFrame:
     return b.select("kind", "bucket", "sessions", F.col("total").alias("session_count"), ratio.alias("ratio"))
 
 
-def session_ratio_job(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+def session_ratio_job(actions: DataFrame, users: DataFrame, params: TaskParams,
+                      task_id: str | None = None) -> DataFrame:
     """Q1 end to end."""
-    return session_ratios(filtered_session_lengths(actions, users, params))
+    return with_task_id(session_ratios(filtered_session_lengths(actions, users, params)), task_id)
 
 
 def session_output(sessions: DataFrame) -> DataFrame:

@@ -24,11 +24,13 @@ def test_cli_jobs_and_scan_pushdown(spark, tmp_dir):
               "--out", f"{d}/o1"])
     cli.main(["page-convert", "--actions", f"{d}/uva", "--params", f"{d}/p.json", "--out", f"{d}/o2"])
     cli.main(["area-top3", "--actions", f"{d}/uva", "--products", f"{d}/pi", "--params", f"{d}/p.json",
-              "--out", f"{d}/o3"])
+              "--out", f"{d}/o3", "--task-id", "t-1"])
     cli.main(["word-count", "--input", f"{d}/hello.txt", "--out", f"{d}/o4"])
     assert spark.read.parquet(f"{d}/o1").count() == 15
-    assert spark.read.parquet(f"{d}/o2").count() == 2
-    assert spark.read.parquet(f"{d}/o3").count() > 0
+    conv = spark.read.parquet(f"{d}/o2").collect()
+    assert len(conv) == 1 and conv[0].convert_rate.startswith("1_2=") and "|2_3=" in conv[0].convert_rate
+    o3 = spark.read.parquet(f"{d}/o3")
+    assert o3.columns[0] == "taskid" and o3.count() > 0 and {r.taskid for r in o3.collect()} == {"t-1"}
     got = {r.word: int(r["count"]) for r in spark.read.option("header", True).csv(f"{d}/o4").collect()}
     assert got == {"to": 2, "be": 2, "or": 1, "not": 1}
 
