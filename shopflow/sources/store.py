@@ -65,6 +65,20 @@ class VersionedTable:
         v = versions[-1]
         return v, json.loads(self._read_text(self._Path(f"{self.root}/_commits/{v:020d}")))
 
+    def _manifest(self, version: int) -> dict:
+        return json.loads(self._read_text(self._Path(f"{self.root}/_commits/{version:020d}")))
+
+    def version_before(self, batch_id: int) -> int:
+        """The newest version committed by a batch before ``batch_id`` (0 if none).
+
+        A retried batch then sees the same input state as its first attempt.
+        """
+        v, man = self._latest()
+        while v > 0 and int(man["batch_id"]) >= batch_id:
+            v -= 1
+            man = self._manifest(v) if v > 0 else man
+        return v
+
     @property
     def version(self) -> int:
         return self._latest()[0]
@@ -80,9 +94,13 @@ class VersionedTable:
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def read(self, partitions: list[dict] | None = None) -> DataFrame:
-        """Current rows; with ``partitions`` (list of {column: value}) only those."""
+    def read(self, partitions: list[dict] | None = None, version: int | None = None) -> DataFrame:
+        """Current rows (or those of ``version``); with ``partitions`` (list of
+        {column: value}) only those partitions."""
         v, man = self._latest()
+        if version is not None and version != v:
+            v = version
+            man = self._manifest(v) if v > 0 else man
         if v == 0:
             return self._empty()
         if not self.partition_by:

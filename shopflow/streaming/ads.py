@@ -72,7 +72,10 @@ class AdStreamJob:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         t = self.t
-        log = ads.without_blacklisted(ads.parse_ad_log(batch), t.blacklist.read()).persist()
+        # The blacklist as it stood before this batch: a retry of the batch
+        # filters exactly as its first attempt did.
+        black = t.blacklist.read(version=t.blacklist.version_before(batch_id))
+        log = ads.without_blacklisted(ads.parse_ad_log(batch), black).persist()
         trend = ads.minute_trend(log).persist()
         try:
             days = [r.asDict() for r in log.select("date").distinct().collect()]

@@ -46,6 +46,9 @@ def test_live_job_blacklists_across_batches_and_is_idempotent(spark, tmp_dir):
     job.process_batch(b1, 1)  # retried batch: nothing is added twice
     uc = {(r.userid): r.click_count for r in tabs.user_counts.read().collect()}
     assert uc == {1: 101, 2: 5}
+    # a retry filters with the blacklist as it was before the batch
+    assert tabs.blacklist.version_before(1) == 1 and tabs.blacklist.read(version=1).count() == 0
+    assert tabs.blacklist.version_before(2) == 2
     # the blacklisted user is filtered from the next batch on
     job.process_batch(lines(spark, clicks(3, user=1, t0=DAY + 500_000) + clicks(1, user=2, t0=DAY + 500_000)), 2)
     stat = tabs.ad_stat.read().collect()
@@ -125,3 +128,26 @@ def test_stream_equals_batch_on_replay(spark, tmp_dir):
                           tmp_dir + "/ckpt", {"availableNow": True}).awaitTermination()
     batch = ads.ad_stat(ads.parse_ad_log(lines(spark, all_lines)))
     assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_live_job_retry_after_partial_failure(spark, tmp_dir):
+    tabs = sa.AdTables(spark, tmp_dir)
+    job = sa.AdStreamJob(tabs, threshold=100)
+    job.process_batch(lines(spark, clicks(60, user=1) + clicks(5, user=2)), 0)
+    b1 = lines(spark, clicks(41, user=1, t0=DAY + 100_000))
+    real_apply = tabs.ad_stat.apply
+
+    def failing_apply(*a, **k):
+        raise RuntimeError("executor lost")
+
+    tabs.ad_stat.apply = failing_apply
+    try:
+        job.process_batch(b1, 1)
+    except RuntimeError:
+        pass
+    assert [r.userid for r in tabs.blacklist.read().collect()] == [1]  # committed before the failure
+    tabs.ad_stat.apply = real_apply
+    job.process_batch(b1, 1)  # the retry
+    stat = {(r.adid): r.click_count for r in tabs.ad_stat.read().collect()}
+    assert stat == {7: 106}  # user 1's 41 clicks of batch 1 count once, as in the first attempt
+    assert {r.userid: r.click_count for r in tabs.user_counts.read().collect()} == {1: 101, 2: 5}
