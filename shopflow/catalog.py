@@ -794,3 +794,19 @@ def q_csv_single_file(spark, sf_dir):
     stat = ads.ad_stat(_log(spark, sf_dir))
     write_csv(stat, path)
     return spark.read.schema(stat.schema).option("header", True).csv(path)
+
+
+# -------------------------------------------------------------- SQL users --
+
+from shopflow.functions.sql import AREA_TOP3_SQL, register_sql_functions  # noqa: E402
+
+
+@register("area_top3_sql", ORACLES["area_top3"])
+def q_area_top3_sql(spark, sf_dir):
+    """Q3 in Spark SQL with the reference's function names (SQL-bodied
+    functions, listagg for the distinct concat) over temp views."""
+    register_sql_functions(spark)
+    views.user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
+    views.product_info(spark, sf_dir).createOrReplaceTempView("product_info")
+    tables.city_area(spark).createOrReplaceTempView("city_area")
+    return spark.sql(AREA_TOP3_SQL, args={"start_date": P.start_date, "end_date": P.end_date, "n": 3})
