@@ -30,3 +30,30 @@ def test_exclude_and_lookup(spark):
     batch = spark.sql("select * from values (1L), (3L) as t(userid)")
     got = sorted(tuple(r) for r in lookup_with_default(batch, stored, ["userid"], "n").collect())
     assert got == [(1, 10), (3, 0)]
+
+
+def test_hot_key_anti_join_is_split_by_aqe(spark):
+    """One user holds a third of the log and the blacklist is not broadcast:
+    AQE splits the hot partition of the sort-merge anti join."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        log = spark.range(0, 30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("userid"), "id")
+        black = spark.range(100, 110).select(F.col("id").alias("userid"))
+        out = exclude_keys(log, black, ["userid"], max_broadcast=0)
+        assert len(out.collect()) == 30000 - 400
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
