@@ -10,3 +10,4 @@ from shopflow.functions.strings import (  # noqa: F401
     concat_long_string, flow_pairs, is_empty, is_not_empty, java_split_space,
     kv_get, kv_map, kv_set, pad_two, trim_comma,
 )
+from shopflow.functions.sql import register_sql_functions  # noqa: F401
