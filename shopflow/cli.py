@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--threshold", type=int, default=100)
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master or "local[*]", app_name=f"shopflow-{args.job}")
+    spark = build_session(args.master, app_name=f"shopflow-{args.job}")
     ensure_utc(spark)
 
     if args.job == "session-ratio":

@@ -33,17 +33,20 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
+    master: str | None = None,
     app_name: str = "shopflow",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the library's defaults.
 
+    ``master`` is left to ``spark-submit`` / the cluster when None.
     ``shuffle_partitions`` defaults to Spark's own value; on a cluster it
     should be sized so a shuffle partition holds roughly 128-256 MB.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
