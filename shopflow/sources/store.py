@@ -34,14 +34,22 @@ class VersionedTable:
     maps every partition to the version folder holding its current rows, so
     a micro-batch that touches today's date rewrites today's partition only.
     A partition whose new content is empty keeps its previous rows.
+
+    Only the newest ``keep_versions`` commits are retained: every
+    ``keep_versions`` commits, older markers and version folders that none of
+    the kept manifests reference are deleted, so storage and the marker
+    listing stay bounded for a stream that commits every few seconds.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
-                 partition_by: list[str] | None = None):
+                 partition_by: list[str] | None = None, keep_versions: int = 10):
+        if keep_versions < 2:
+            raise ValueError("keep_versions must be >= 2 (a retry reads the version before the batch)")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by or [])
+        self.keep_versions = keep_versions
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -54,16 +62,19 @@ class VersionedTable:
         finally:
             stream.close()
 
-    def _latest(self) -> tuple[int, dict]:
+    def _versions(self) -> list[int]:
         d = self._Path(self.root + "/_commits")
         if not self._fs.exists(d):
-            return 0, {"batch_id": -1, "parts": {}}
-        names = [st.getPath().getName() for st in self._fs.listStatus(d)]
-        versions = sorted(int(n) for n in names if n.isdigit())
+            return []
+        return sorted(int(st.getPath().getName()) for st in self._fs.listStatus(d)
+                      if st.getPath().getName().isdigit())
+
+    def _latest(self) -> tuple[int, dict]:
+        versions = self._versions()
         if not versions:
             return 0, {"batch_id": -1, "parts": {}}
         v = versions[-1]
-        return v, json.loads(self._read_text(self._Path(f"{self.root}/_commits/{v:020d}")))
+        return v, self._manifest(v)
 
     def _manifest(self, version: int) -> dict:
         return json.loads(self._read_text(self._Path(f"{self.root}/_commits/{version:020d}")))
@@ -73,11 +84,11 @@ class VersionedTable:
 
         A retried batch then sees the same input state as its first attempt.
         """
-        v, man = self._latest()
-        while v > 0 and int(man["batch_id"]) >= batch_id:
-            v -= 1
-            man = self._manifest(v) if v > 0 else man
-        return v
+        kept = self._versions()
+        for v in reversed(kept):
+            if int(self._manifest(v)["batch_id"]) < batch_id:
+                return v
+        return 0
 
     @property
     def version(self) -> int:
@@ -144,8 +155,34 @@ class VersionedTable:
             stream.write(bytearray(json.dumps({"batch_id": batch_id, "parts": parts}).encode()))
         finally:
             stream.close()
+        if nxt % self.keep_versions == 0:
+            self.vacuum()
         return True
 
+    def vacuum(self) -> int:
+        """Delete commits older than the newest ``keep_versions`` and the
+        version folders no kept manifest references; returns folders deleted."""
+        versions = self._versions()
+        if len(versions) <= self.keep_versions:
+            return 0
+        kept = versions[-self.keep_versions:]
+        referenced = set(kept)
+        if self.partition_by:
+            for v in kept:
+                referenced |= {int(pv) for pv in self._manifest(v)["parts"].values()}
+        for v in versions[:-self.keep_versions]:
+            self._fs.delete(self._Path(f"{self.root}/_commits/{v:020d}"), False)
+        deleted = 0
+        prefix = f"{VERSION_COL}="
+        for st in self._fs.listStatus(self._Path(self.root)):
+            name = st.getPath().getName()
+            if name.startswith(prefix) and name[len(prefix):].isdigit():
+                v = int(name[len(prefix):])
+                if v < kept[0] and v not in referenced:
+                    self._fs.delete(st.getPath(), True)
+                    deleted += 1
+        return deleted
+
     def _written_partitions(self, base: str) -> list[str]:
         rels = [""]
         for _ in self.partition_by:
@@ -159,17 +196,20 @@ class VersionedTable:
             rels = nxt
         return rels
 
-    def apply(self, fn, batch_id: int = -1, touched: DataFrame | None = None) -> bool:
+    def apply(self, fn, batch_id: int = -1, touched: DataFrame | None = None,
+              partitions: list[dict] | None = None) -> bool:
         """Commit ``fn(current) -> new`` unless this batch id was applied.
 
-        For a partitioned table, ``touched`` (rows carrying the partition
-        columns, e.g. the batch) limits both the read and the rewrite to the
-        partitions it covers; only their distinct values reach the driver.
+        For a partitioned table, ``partitions`` (list of {column: value}) or
+        ``touched`` (rows carrying the partition columns, e.g. the batch)
+        limit both the read and the rewrite to those partitions; only their
+        distinct values reach the driver.
         """
         if batch_id >= 0 and batch_id <= self.last_batch_id:
             return False
-        if self.partition_by and touched is not None:
-            keys = [r.asDict() for r in touched.select(*self.partition_by).distinct().collect()]
+        if self.partition_by and (touched is not None or partitions is not None):
+            keys = partitions if partitions is not None else [
+                r.asDict() for r in touched.select(*self.partition_by).distinct().collect()]
             if not keys:
                 return self.commit(self._empty(), batch_id)
             return self.commit(fn(self.read(keys)), batch_id)

@@ -82,7 +82,7 @@ class AdStreamJob:
             # K6 -> S10 + F7 -> A9 -> K9
             t.user_counts.apply(
                 lambda cur: upsert_add(cur, ads.user_click_counts(log), ads.USER_KEYS, ["click_count"]),
-                batch_id, touched=log)
+                batch_id, partitions=days)
             keys = log.select(*ads.USER_KEYS).distinct()
             totals = t.user_counts.read(days).join(keys, ads.USER_KEYS, "left_semi")
             new_users = ads.users_over_threshold(totals, self.threshold)
@@ -90,13 +90,13 @@ class AdStreamJob:
             # Q5: running counts (the table is the state)
             t.ad_stat.apply(
                 lambda cur: upsert_add(cur, ads.ad_stat(log), ads.STAT_KEYS, ["click_count"]),
-                batch_id, touched=log)
+                batch_id, partitions=days)
             # Q6: top-3 of the touched (date, province) groups, replaced group-wise
             touched = log.select("date", "province").distinct()
             stat = t.ad_stat.read(days).join(touched, ["date", "province"], "left_semi")
             top = ads.province_top3(ads.province_ad_counts(stat))
             t.province_top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]),
-                                  batch_id, touched=log)
+                                  batch_id, partitions=days)
             # Q7: per-minute counts, added (trend dates are yyyyMMdd)
             t.click_trend.apply(lambda cur: upsert_add(cur, trend, TREND_KEYS, ["click_count"]),
                                 batch_id, touched=trend)
@@ -177,12 +177,12 @@ def province_top3_sink(counts: VersionedTable, top3: VersionedTable, n: int = 3)
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            counts.apply(lambda cur: upsert_replace(cur, batch, ads.PROVINCE_KEYS), batch_id, touched=batch)
             days = [r.asDict() for r in batch.select("date").distinct().collect()]
+            counts.apply(lambda cur: upsert_replace(cur, batch, ads.PROVINCE_KEYS), batch_id, partitions=days)
             touched = batch.select("date", "province").distinct()
             current = counts.read(days).join(touched, ["date", "province"], "left_semi")
             top = ads.province_top3(current, n)
-            top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id, touched=batch)
+            top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id, partitions=days)
         finally:
             batch.unpersist()
     return fn

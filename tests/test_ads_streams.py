@@ -151,3 +151,21 @@ def test_live_job_retry_after_partial_failure(spark, tmp_dir):
     stat = {(r.adid): r.click_count for r in tabs.ad_stat.read().collect()}
     assert stat == {7: 106}  # user 1's 41 clicks of batch 1 count once, as in the first attempt
     assert {r.userid: r.click_count for r in tabs.user_counts.read().collect()} == {1: 101, 2: 5}
+
+
+def test_versioned_table_retention(spark, tmp_dir):
+    sch = sa.AD_STAT_SCHEMA
+    t = VersionedTable(spark, tmp_dir + "/r", sch, ["date"], keep_versions=3)
+
+    def row(day, n):
+        return spark.createDataFrame([(day, "1", "1", 7, n)], sch)
+
+    t.commit(row("2024-01-01", 1), 0)                  # v1 holds 01-01 for good
+    for b in range(1, 12):
+        t.commit(row("2024-01-02", b), b)              # 02-01 rewritten every batch
+    versions = t._versions()
+    assert len(versions) <= 2 * 3 and versions[-1] == 12
+    folders = [st.getPath().getName() for st in t._fs.listStatus(t._Path(t.root)) if "sfver=" in st.getPath().getName()]
+    assert "sfver=1" in folders and len(folders) <= 1 + 2 * 3  # the still-referenced v1 stays
+    assert sorted(tuple(r) for r in t.read().collect()) == [("2024-01-01", "1", "1", 7, 1), ("2024-01-02", "1", "1", 7, 11)]
+    assert t.version_before(11) == 11 and t.last_batch_id == 11
