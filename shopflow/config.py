@@ -8,7 +8,6 @@ setting is unset, which in practice means local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,12 +92,3 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, kind: str) -> str:
     """A new, unique sub-folder of the work folder (never reused)."""
     return work_dir(spark, kind, uuid.uuid4().hex)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
