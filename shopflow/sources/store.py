@@ -140,7 +140,12 @@ class VersionedTable:
         if batch_id >= 0 and batch_id <= int(man["batch_id"]):
             return False
         nxt = v + 1
-        out = df.select(*[f.name for f in self.schema.fields]).write.mode("overwrite")
+        rows = df.select(*[f.name for f in self.schema.fields])
+        if self.partition_by:
+            # Rebalance on the partition columns: AQE packs small partitions
+            # into few files and splits a large one across several writers.
+            rows = rows.hint("rebalance", *self.partition_by)
+        out = rows.write.mode("overwrite")
         if self.partition_by:
             out.partitionBy(*self.partition_by).parquet(self._data_path(nxt))
             parts = dict(man["parts"])
