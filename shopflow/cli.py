@@ -7,6 +7,7 @@
     python -m shopflow.cli top1           --input CSV_LINES --out O
     python -m shopflow.cli ad-stream      --source DIR | --kafka-servers H --topic T  --tables DIR
     python -m shopflow.cli stream-word-count --source DIR | --host H --port N  --tables DIR
+    (stream jobs: --available-now processes what has arrived and stops)
 
 Inputs are parquet paths or catalog table names (``table:<name>``); the
 parameter file holds the reference's JSON task fields (startDate, endDate,
@@ -54,10 +55,13 @@ def main(argv: list[str] | None = None) -> None:
         ap.add_argument(f"--{opt}")
     ap.add_argument("--port", type=int)
     ap.add_argument("--threshold", type=int, default=100)
+    ap.add_argument("--available-now", action="store_true",
+                    help="stream jobs: process what has arrived, then stop (catch-up run)")
     args = ap.parse_args(argv)
 
     spark = build_session(args.master, app_name=f"shopflow-{args.job}")
     ensure_utc(spark)
+    trigger = {"availableNow": True} if args.available_now else None
 
     if args.job == "session-ratio":
         _write(sessions.session_ratio_job(_read(spark, args.actions), _read(spark, args.users), _params(args.params),
@@ -80,7 +84,7 @@ def main(argv: list[str] | None = None) -> None:
         kafka = ({"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic}
                  if args.kafka_servers else None)
         job = sa.AdStreamJob(sa.AdTables(spark, f"{args.tables}/tables"), args.threshold)
-        job.start(ad_log_stream(spark, args.source, kafka), f"{args.tables}/checkpoint").awaitTermination()
+        job.start(ad_log_stream(spark, args.source, kafka), f"{args.tables}/checkpoint", trigger).awaitTermination()
     elif args.job == "stream-word-count":
         from shopflow.sources.store import VersionedTable
         from shopflow.streaming import words as sw
@@ -89,7 +93,7 @@ def main(argv: list[str] | None = None) -> None:
         lines = (socket_text_stream(spark, args.host, args.port) if args.host
                  else text_line_stream(spark, args.source))
         table = VersionedTable(spark, f"{args.tables}/word_count", sw.WORD_COUNT_SCHEMA)
-        sw.start_word_count(lines, table, f"{args.tables}/checkpoint").awaitTermination()
+        sw.start_word_count(lines, table, f"{args.tables}/checkpoint", trigger).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -40,3 +40,25 @@ def test_cli_jobs_and_scan_pushdown(spark, tmp_dir):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "uva" in line][0]
     assert "GreaterThanOrEqual(date,2024-01-05)" in scan and "LessThanOrEqual(date,2024-01-25)" in scan
     assert "ReadSchema: struct<date:string,user_id:bigint,session_id:string,action_time:string>" in scan
+
+
+def test_cli_stream_jobs_catch_up(spark, tmp_dir):
+    from shopflow.sources.store import VersionedTable
+    from shopflow.streaming import ads as sa
+    from shopflow.streaming import words as sw
+
+    logs, texts = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "texts")
+    os.makedirs(logs)
+    os.makedirs(texts)
+    day = 1704412800000
+    with open(os.path.join(logs, "a.txt"), "w") as f:
+        f.write("\n".join(f"{day + i} 1 1 {1 if i < 3 else 2} 5" for i in range(5)) + "\n")
+    with open(os.path.join(texts, "a.txt"), "w") as f:
+        f.write("a b a\n\nc\n")
+    cli.main(["ad-stream", "--source", logs, "--tables", f"{tmp_dir}/ads", "--threshold", "2", "--available-now"])
+    tabs = sa.AdTables(spark, f"{tmp_dir}/ads/tables")
+    assert [r.userid for r in tabs.blacklist.read().collect()] == [1]
+    assert tabs.ad_stat.read().collect()[0].click_count == 5
+    cli.main(["stream-word-count", "--source", texts, "--tables", f"{tmp_dir}/wc", "--available-now"])
+    wc = VersionedTable(spark, f"{tmp_dir}/wc/word_count", sw.WORD_COUNT_SCHEMA).read()
+    assert {r.word: r["count"] for r in wc.collect()} == {"a": 2, "b": 1, "c": 1}
