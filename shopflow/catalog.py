@@ -41,6 +41,8 @@ def register(name: str, oracle: str | None = None):
 
 
 DATES = f"date between '{P.start_date}' and '{P.end_date}'"
+# S1 on its own shows the date-window scan with a window inside the data.
+S1_START, S1_END = "2024-01-05", "2024-01-25"
 
 # ---------------------------------------------------------------- Q3 area --
 
@@ -517,11 +519,11 @@ _UVA_COLS = ("action_id, date, user_id, session_id, page_id, action_time, search
 
 
 @register("scan_date_range", with_views("user_visit_action") +
-          f"select {_UVA_COLS} from user_visit_action where {DATES}")
+          f"select {_UVA_COLS} from user_visit_action where date between '{S1_START}' and '{S1_END}'")
 def q_scan_date_range(spark, sf_dir):
     """Actions of an inclusive date range, all columns."""
     from shopflow.operators.filters import date_range
-    return date_range(views.user_visit_action(spark, sf_dir), P.start_date, P.end_date)
+    return date_range(views.user_visit_action(spark, sf_dir), S1_START, S1_END)
 
 
 @register("scan_city_product", with_views("user_visit_action", extra=_AREA_CTES[:1]) + "select * from clicks")

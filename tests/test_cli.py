@@ -38,7 +38,8 @@ def test_cli_jobs_and_scan_pushdown(spark, tmp_dir):
     plan = sessions.session_ratio_job(spark.read.parquet(f"{d}/uva"), spark.read.parquet(f"{d}/ui"),
                                       DEFAULT_PARAMS)._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "uva" in line][0]
-    assert "GreaterThanOrEqual(date,2024-01-05)" in scan and "LessThanOrEqual(date,2024-01-25)" in scan
+    assert f"GreaterThanOrEqual(date,{DEFAULT_PARAMS.start_date})" in scan
+    assert f"LessThanOrEqual(date,{DEFAULT_PARAMS.end_date})" in scan
     assert "ReadSchema: struct<date:string,user_id:bigint,session_id:string,action_time:string>" in scan
 
 
