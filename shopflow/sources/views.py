@@ -61,14 +61,21 @@ select concat_ws(' ', unix_millis(cast(ts as timestamp)), event_id % 10, event_i
 from {events}
 """
 
+# The same lines with the source event time, to replay them in time order.
+AD_LOG_WITH_TIME_SQL_SPARK = """
+select concat_ws(' ', unix_millis(cast(ts as timestamp)), event_id % 10, event_id % 10,
+                 user_id, (event_id + user_id) % 20) as value, ts
+from {events}
+"""
+
 AD_LOG_SQL_DUCKDB = """
 select concat_ws(' ', epoch_us(ts) // 1000, event_id % 10, event_id % 10,
                  user_id, (event_id + user_id) % 20) as value
 from {events}
 """
 
-# Lines of the documents: the word-count input.  A text of n newline
-# characters gives n + 1 lines, as a text file would.
+# Lines of the documents: the word-count input.  A text with n newline
+# characters gives n + 1 lines (a final newline gives a final empty line).
 DOC_LINES_SQL = """
 select doc_id, posexplode(split(text, '\\n', -1)) as (line_no, line)
 from {documents}
@@ -101,9 +108,7 @@ def ad_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_log_lines_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` plus the source event time ``ts``, to replay lines in time order."""
-    events = read_table(spark, sf_dir, "events")
-    lines = spark.sql(AD_LOG_SQL_SPARK.replace("as value", "as value, ts"), events=events)
-    return lines
+    return spark.sql(AD_LOG_WITH_TIME_SQL_SPARK, events=read_table(spark, sf_dir, "events"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
