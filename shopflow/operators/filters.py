@@ -82,7 +82,8 @@ def apply_session_filter(sessions: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def date_range(df: DataFrame, start: str, end: str, col: str = "date") -> DataFrame:
-    """Inclusive date range on ``yyyy-MM-dd`` text; pushed into the scan."""
+    """Inclusive date range on ``yyyy-MM-dd`` text; reaches the parquet
+    scan as pushed filters when ``date`` is a stored column."""
     return df.where(F.col(col).between(F.lit(start), F.lit(end)))
 
 

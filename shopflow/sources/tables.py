@@ -36,9 +36,3 @@ CITY_AREA_SCHEMA = T.StructType([
 def city_area(spark: SparkSession) -> DataFrame:
     """S3: the small literal city dimension (10 rows, a proven size bound)."""
     return spark.createDataFrame(CITY_AREA_ROWS, CITY_AREA_SCHEMA)
-
-
-def city_area_sql_values() -> str:
-    """The same ten rows as a SQL VALUES list (for SQL users and the oracle)."""
-    rows = ", ".join(f"({i}, '{n}', '{a}')" for i, n, a in CITY_AREA_ROWS)
-    return f"(VALUES {rows}) AS city_area(city_id, city_name, area)"
