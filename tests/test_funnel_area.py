@@ -82,3 +82,31 @@ def test_area_top3_ties_and_city_list(spark):
 def test_group_concat_distinct_substring_trap(spark):
     df = spark.createDataFrame([("g", "1;x"), ("g", "11;x"), ("g", "1;x"), ("g", None)], "k string, v string")
     assert df.groupBy("k").agg(group_concat_distinct("v").alias("c")).collect()[0].c == "11;x,1;x"  # both kept; binary order
+
+
+def test_consecutive_pairs_with_aqe_coalesced_ranges(spark):
+    """No explicit range count: AQE merges neighbouring ranges; a merged
+    partition is still one contiguous key range, so pairs stay exact."""
+    rnd = random.Random(11)
+    rows = [("hot", rnd.randint(0, 80), i, rnd.randint(0, 9)) for i in range(2500)]
+    rows += [(f"g{rnd.randint(0, 60)}", rnd.randint(0, 80), 20_000 + i, rnd.randint(0, 9)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, t long, i long, v long")
+    conf = {"spark.sql.shuffle.partitions": "50",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ranged = df.repartitionByRange(F.col("g"), F.col("t"), F.col("i")).withColumn("r", F.spark_partition_id())
+        n_ranges = ranged.select("r").distinct().count()
+        assert 1 < n_ranges < 50  # coalesced, but more than one range
+        got = consecutive_pairs(df, "g", ["t", "i"], "v")
+        assert sorted((r.g, r.from_value, r.to_value) for r in got.collect()) == brute_pairs(rows)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
