@@ -1,9 +1,10 @@
 """Join helpers: size-checked broadcast, anti-join filter, lookup with default.
 
 Broadcasting is decided on the optimizer's size estimate of the side to
-ship.  Above the bound the join stays a shuffle join; AQE may still turn it
-into a broadcast at runtime when the shuffled side proves small, and splits
-skewed partitions of a sort-merge join (``spark.sql.adaptive.skewJoin``).
+ship, against the session's ``spark.sql.autoBroadcastJoinThreshold`` unless a
+bound is given.  Above the bound the join stays a shuffle join; AQE may still
+turn it into a broadcast at runtime when the shuffled side proves small, and
+splits skewed partitions of a sort-merge join (``spark.sql.adaptive.skewJoin``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+def broadcast_bound(spark) -> int:
+    """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``,
+    10 MB by default; -1 disables broadcasting)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -26,8 +31,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when the optimizer's size estimate of ``df`` is known and within bound."""
-    limit = max_bytes if max_bytes is not None else DEFAULT_BROADCAST_BYTES
+    """True when the optimizer's size estimate of ``df`` is known and within
+    ``max_bytes`` (default: the session's broadcast bound)."""
+    limit = max_bytes if max_bytes is not None else broadcast_bound(df.sparkSession)
+    if limit < 0:
+        return False
     size = estimated_bytes(df)
     return size is not None and size <= limit
 
