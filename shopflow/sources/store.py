@@ -118,7 +118,7 @@ class VersionedTable:
             return self.spark.read.schema(self.schema).parquet(self._data_path(v))
         parts = man["parts"]
         if partitions is not None:
-            wanted = {tuple(str(p[c]) for c in self.partition_by) for p in partitions}
+            wanted = {tuple(_part_text(p[c]) for c in self.partition_by) for p in partitions}
             parts = {k: pv for k, pv in parts.items() if _part_values(k, self.partition_by) in wanted}
         if not parts:
             return self._empty()
@@ -221,6 +221,13 @@ class VersionedTable:
         return self.commit(fn(self.read()), batch_id)
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL value
+
+
+def _part_text(value) -> str:
+    return NULL_PARTITION if value is None else str(value)
+
+
 def _part_values(rel: str, cols: list[str]) -> tuple[str, ...]:
     kv = dict(seg.split("=", 1) for seg in rel.split("/"))
     return tuple(unquote(kv[c]) for c in cols)

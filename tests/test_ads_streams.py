@@ -169,3 +169,14 @@ def test_versioned_table_retention(spark, tmp_dir):
     assert "sfver=1" in folders and len(folders) <= 1 + 2 * 3  # the still-referenced v1 stays
     assert sorted(tuple(r) for r in t.read().collect()) == [("2024-01-01", "1", "1", 7, 1), ("2024-01-02", "1", "1", 7, 11)]
     assert t.version_before(11) == 11 and t.last_batch_id == 11
+
+
+def test_versioned_table_null_partition(spark, tmp_dir):
+    sch = sa.AD_STAT_SCHEMA
+    t = VersionedTable(spark, tmp_dir + "/n", sch, ["date"])
+    t.commit(spark.createDataFrame([(None, "1", "1", 7, 2), ("2024-01-01", "1", "1", 7, 1)], sch), 0)
+    delta = spark.createDataFrame([(None, "1", "1", 7, 3)], sch)
+    t.apply(lambda cur: upsert_add(cur, delta, ["date", "province", "city", "adid"], ["click_count"]), 1,
+            touched=delta)
+    got = sorted(((r.date or ""), r.click_count) for r in t.read().collect())
+    assert got == [("", 5), ("2024-01-01", 1)]
