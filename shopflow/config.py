@@ -65,9 +65,9 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
-    opt = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if opt.isDefined():
-        return opt.get()
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     return conf or None
 

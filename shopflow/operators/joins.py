@@ -15,10 +15,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str) -> int:
+    """``'10485760b'``, ``'10MB'``, ``'-1'`` -> bytes (Spark's byte-size syntax)."""
+    t = text.strip().lower()
+    num = t.rstrip("kmgtb")
+    return int(float(num) * _UNITS[t[len(num):]])
+
+
 def broadcast_bound(spark) -> int:
     """The session's broadcast bound in bytes (``spark.sql.autoBroadcastJoinThreshold``,
     10 MB by default; -1 disables broadcasting)."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return parse_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
