@@ -8,7 +8,7 @@ hot user, ad or province costs one partial row per map task in the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.functions.dates import DATE_FORMAT, DATEKEY_FORMAT
@@ -111,21 +111,38 @@ def minute_trend(log: DataFrame) -> DataFrame:
 def sliding_window_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
     """T4: clicks per ad in every ``window_minutes`` window sliding by ``slide_minutes``.
 
-    Clicks are first counted per (slide bucket, ad); only those partial rows
-    are copied into the ``window_minutes / slide_minutes`` windows that
-    contain them, so the copy factor applies to counts, not raw clicks.
-    Windows are aligned to the epoch, as Spark's ``window()`` aligns them.
+    Clicks are first counted per (slide bucket, ad).  A window starting at
+    bucket ``s`` covers buckets ``s .. s+K-1`` (``K = window / slide``), so
+    the windows that hold clicks start in the union of ``[b-K+1, b]`` over
+    the active buckets ``b`` of an ad.  Those intervals are merged per ad
+    (a ``lag`` over the ad's buckets), enumerated once, and each window's
+    count is a ``rangeBetween(0, K-1)`` sum over the bucket counts.  No row
+    is copied K times: the intermediate is as large as the output, and the
+    per-ad windows hold at most one row per bucket of the time span, however
+    many clicks an ad has.  Windows are aligned to the epoch, as Spark's
+    ``window()`` aligns them.
     """
     if window_minutes % slide_minutes:
         raise ValueError("window length must be a multiple of the slide")
-    copies = window_minutes // slide_minutes
+    k = window_minutes // slide_minutes
     slide_s = slide_minutes * 60
-    bucket = (F.floor(F.unix_micros("ts") / F.lit(slide_s * 1_000_000)) * F.lit(slide_s)).cast("bigint")
-    per_bucket = log.groupBy(bucket.alias("bucket_s"), "adid").agg(F.count(F.lit(1)).alias("n"))
-    expanded = per_bucket.select(
-        "bucket_s", "adid", "n", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("k")
-    ).select((F.col("bucket_s") - F.col("k") * F.lit(slide_s)).alias("start_s"), "adid", "n")
-    agg = expanded.groupBy("start_s", "adid").agg(F.sum("n").cast("bigint").alias("click_count"))
-    start = F.timestamp_seconds("start_s")
-    end = F.timestamp_seconds(F.col("start_s") + F.lit(window_minutes * 60))
-    return agg.select(start.alias("window_start"), end.alias("window_end"), "adid", "click_count")
+    bucket = F.floor(F.unix_micros("ts") / F.lit(slide_s * 1_000_000)).cast("bigint")
+    per_bucket = log.groupBy("adid", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+
+    by_ad = Window.partitionBy("adid").orderBy("b")
+    gap = F.lag("b").over(by_ad)
+    runs = per_bucket.select(
+        "adid", "b",
+        F.sum(F.when(gap.isNull() | (gap < F.col("b") - F.lit(k)), 1).otherwise(0)).over(by_ad).alias("run"),
+    )
+    spans = runs.groupBy("adid", "run").agg((F.min("b") - F.lit(k - 1)).alias("lo"), F.max("b").alias("hi"))
+    starts = spans.select("adid", F.explode(F.sequence("lo", "hi")).alias("b"),
+                          F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_start"))
+    both = per_bucket.select("adid", "b", "n", F.lit(False).alias("is_start")).unionByName(starts)
+    frame = Window.partitionBy("adid").orderBy("b").rangeBetween(0, k - 1)
+    counted = both.select("adid", "b", "is_start", F.sum("n").over(frame).alias("click_count"))
+    out = counted.where(F.col("is_start"))
+    start = F.timestamp_seconds(F.col("b") * F.lit(slide_s))
+    end = F.timestamp_seconds((F.col("b") + F.lit(k)) * F.lit(slide_s))
+    return out.select(start.alias("window_start"), end.alias("window_end"), "adid",
+                      F.col("click_count").cast("bigint").alias("click_count"))
