@@ -76,7 +76,12 @@ def blacklist_update(
     """
     batch_counts = user_click_counts(batch_log)
     new_counts = upsert_add(stored_counts, batch_counts, USER_KEYS, ["click_count"])
-    totals = lookup_with_default(batch_counts.select(*USER_KEYS), new_counts, USER_KEYS, "click_count")
+    # Totals of the batch's keys only: batch count + stored count (0 if none),
+    # without aggregating the whole stored table a second time.
+    stored = lookup_with_default(batch_counts.select(*USER_KEYS), stored_counts, USER_KEYS, "click_count",
+                                 alias="stored_count")
+    totals = stored.join(batch_counts, USER_KEYS).select(
+        *USER_KEYS, (F.col("click_count") + F.col("stored_count")).alias("click_count"))
     new_users = users_over_threshold(totals, threshold)
     return new_counts, insert_new(stored_blacklist, new_users, ["userid"])
 

@@ -195,3 +195,13 @@ def test_sliding_windows_equal_spark_window(spark):
         a = sorted((str(r.window_start), r.adid, r.click_count) for r in got.collect())
         b = sorted((str(r.w.start), r.adid, r["count"]) for r in want.collect())
         assert a == b, (length, slide)
+
+
+def test_blacklist_update_batch_step(spark):
+    stored = spark.createDataFrame([("2024-01-05", 1, 7, 60), ("2024-01-05", 2, 7, 60)],
+                                   "date string, userid long, adid long, click_count long")
+    black = spark.createDataFrame([(9,)], "userid long")
+    batch = ads.parse_ad_log(lines(spark, clicks(41, user=1) + clicks(40, user=2)))
+    counts, new_black = ads.blacklist_update(stored, black, batch, threshold=100)
+    assert sorted(r.userid for r in new_black.collect()) == [1, 9]
+    assert {r.userid: r.click_count for r in counts.collect()} == {1: 101, 2: 100}
