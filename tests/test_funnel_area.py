@@ -110,3 +110,19 @@ def test_consecutive_pairs_with_aqe_coalesced_ranges(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_pairs_single_session_holding_all_rows(spark):
+    """Every action of the sf0.01 view in one session: the pairs still come
+    out exact, from several ranges instead of one task."""
+    from shopflow.functions.dates import parse_time
+    from shopflow.sources.views import user_visit_action
+
+    acts = user_visit_action(spark, "/root/testdata/sf0.01").select(
+        F.lit("all").alias("session_id"), parse_time("action_time").alias("ts"), "action_id", "page_id")
+    got = consecutive_pairs(acts, "session_id", ["ts", "action_id"], "page_id", num_ranges=16)
+    rows = sorted((r.ts, r.action_id, r.page_id) for r in acts.collect())
+    want = sorted(zip([r[2] for r in rows[:-1]], [r[2] for r in rows[1:]]))
+    assert sorted((r.from_value, r.to_value) for r in got.collect()) == want
+    ranges = acts.repartitionByRange(16, "session_id", "ts", "action_id").select(F.spark_partition_id()).distinct()
+    assert ranges.count() > 8
