@@ -57,3 +57,16 @@ def test_hot_key_anti_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_top_n_limits_before_the_shuffle(spark):
+    from shopflow.operators.topk import top_n
+    df = spark.range(0, 10000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    out = top_n(df, ["g"], [F.desc("v")], 3)
+    assert sorted(tuple(r) for r in out.collect()) == sorted(
+        (g, v) for g in range(3) for v in sorted((x for x in range(10000) if x % 3 == g), reverse=True)[:3])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    # a partial WindowGroupLimit under the exchange and a final one above it
+    assert final.count("WindowGroupLimit") == 2
+    assert final.index("WindowGroupLimit") < final.index("Exchange")
