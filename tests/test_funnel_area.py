@@ -126,3 +126,13 @@ def test_pairs_single_session_holding_all_rows(spark):
     assert sorted((r.from_value, r.to_value) for r in got.collect()) == want
     ranges = acts.repartitionByRange(16, "session_id", "ts", "action_id").select(F.spark_partition_id()).distinct()
     assert ranges.count() > 8
+
+
+def test_pairs_branches_share_one_clustering_shuffle(spark):
+    rows = [(f"s{i % 7}", i % 13, i, i % 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, t long, i long, v long")
+    out = consecutive_pairs(df, "g", ["t", "i"], "v", num_ranges=4)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and "rangepartitioning" in plan
+    assert sorted((r.g, r.from_value, r.to_value) for r in out.collect()) == brute_pairs(rows)
