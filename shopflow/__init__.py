@@ -10,6 +10,8 @@ operators/  reusable DataFrame -> DataFrame operators (filters, top-n,
 plans/      the analytics jobs: session ratios, page conversion, area top-3,
             advertising statistics, word counts, top-1 per key
 streaming/  the same jobs as Structured Streaming queries
+catalog/    the registered queries with their DuckDB oracle SQL
+cli.py      one command per job, as the reference's programs ran
 """
 
 from shopflow.config import build_session, work_dir, ensure_utc  # noqa: F401
