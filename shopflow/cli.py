@@ -5,7 +5,8 @@
     python -m shopflow.cli area-top3      --actions A --products P --params p.json --out O
     python -m shopflow.cli word-count     --input TEXT --out O.csv
     python -m shopflow.cli top1           --input CSV_LINES --out O
-    python -m shopflow.cli ad-stream      --source DIR | --kafka-servers H --topic T  --tables DIR
+    python -m shopflow.cli ad-stream      --source DIR | --kafka-servers H --topic T [--kafka-option K=V]
+                                          --tables DIR
     python -m shopflow.cli stream-word-count --source DIR | --host H --port N  --tables DIR
     (stream jobs: --available-now processes what has arrived and stops)
 
@@ -55,6 +56,8 @@ def main(argv: list[str] | None = None) -> None:
         ap.add_argument(f"--{opt}")
     ap.add_argument("--port", type=int)
     ap.add_argument("--threshold", type=int, default=100)
+    ap.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
+                    help="extra Kafka source option, e.g. startingOffsets=earliest (repeatable)")
     ap.add_argument("--available-now", action="store_true",
                     help="stream jobs: process what has arrived, then stop (catch-up run)")
     args = ap.parse_args(argv)
@@ -81,8 +84,10 @@ def main(argv: list[str] | None = None) -> None:
         from shopflow.streaming import ads as sa
         from shopflow.streaming.sources import ad_log_stream
 
-        kafka = ({"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic}
-                 if args.kafka_servers else None)
+        kafka = None
+        if args.kafka_servers:
+            kafka = {"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic}
+            kafka.update(dict(opt.split("=", 1) for opt in args.kafka_option))
         job = sa.AdStreamJob(sa.AdTables(spark, f"{args.tables}/tables"), args.threshold)
         job.start(ad_log_stream(spark, args.source, kafka), f"{args.tables}/checkpoint", trigger).awaitTermination()
     elif args.job == "stream-word-count":
