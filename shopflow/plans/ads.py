@@ -113,27 +113,24 @@ def minute_trend(log: DataFrame) -> DataFrame:
     )
 
 
-def sliding_window_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
-    """T4: clicks per ad in every ``window_minutes`` window sliding by ``slide_minutes``.
-
-    Clicks are first counted per (slide bucket, ad).  A window starting at
-    bucket ``s`` covers buckets ``s .. s+K-1`` (``K = window / slide``), so
-    the windows that hold clicks start in the union of ``[b-K+1, b]`` over
-    the active buckets ``b`` of an ad.  Those intervals are merged per ad
-    (a ``lag`` over the ad's buckets), enumerated once, and each window's
-    count is a ``rangeBetween(0, K-1)`` sum over the bucket counts.  No row
-    is copied K times: the intermediate is as large as the output, and the
-    per-ad windows hold at most one row per bucket of the time span, however
-    many clicks an ad has.  Windows are aligned to the epoch, as Spark's
-    ``window()`` aligns them.
-    """
-    if window_minutes % slide_minutes:
-        raise ValueError("window length must be a multiple of the slide")
-    k = window_minutes // slide_minutes
+def bucket_counts(log: DataFrame, slide_minutes: int = 1) -> DataFrame:
+    """Clicks per (ad, slide bucket ``b``); ``b`` counts slides since the epoch."""
     slide_s = slide_minutes * 60
     bucket = F.floor(F.unix_micros("ts") / F.lit(slide_s * 1_000_000)).cast("bigint")
-    per_bucket = log.groupBy("adid", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return log.groupBy("adid", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+
 
+def window_counts_from_buckets(per_bucket: DataFrame, k: int) -> DataFrame:
+    """(adid, b, click_count) for every window of ``k`` buckets starting at ``b``
+    that holds at least one click, from per-bucket counts (adid, b, n).
+
+    The windows that hold clicks start in the union of ``[b-k+1, b]`` over the
+    active buckets ``b`` of an ad; those intervals are merged per ad (a
+    ``lag`` over the ad's buckets), enumerated once, and each window's count
+    is a ``rangeBetween(0, k-1)`` sum over the bucket counts.  No row is
+    copied k times, and an ad's window holds at most one row per bucket of
+    the time span, however many clicks the ad has.
+    """
     by_ad = Window.partitionBy("adid").orderBy("b")
     gap = F.lag("b").over(by_ad)
     runs = per_bucket.select(
@@ -143,11 +140,26 @@ def sliding_window_counts(log: DataFrame, window_minutes: int = 60, slide_minute
     spans = runs.groupBy("adid", "run").agg((F.min("b") - F.lit(k - 1)).alias("lo"), F.max("b").alias("hi"))
     starts = spans.select("adid", F.explode(F.sequence("lo", "hi")).alias("b"),
                           F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_start"))
-    both = per_bucket.select("adid", "b", "n", F.lit(False).alias("is_start")).unionByName(starts)
+    both = per_bucket.select("adid", "b", F.col("n").cast("bigint").alias("n"),
+                             F.lit(False).alias("is_start")).unionByName(starts)
     frame = Window.partitionBy("adid").orderBy("b").rangeBetween(0, k - 1)
     counted = both.select("adid", "b", "is_start", F.sum("n").over(frame).alias("click_count"))
-    out = counted.where(F.col("is_start"))
+    return counted.where(F.col("is_start")).select("adid", "b", F.col("click_count").cast("bigint").alias("click_count"))
+
+
+def sliding_window_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
+    """T4: clicks per ad in every ``window_minutes`` window sliding by ``slide_minutes``.
+
+    Clicks are counted per (slide bucket, ad) first; the windows come from
+    those counts (``window_counts_from_buckets``), so nothing is copied once
+    per window.  Windows are aligned to the epoch, as Spark's ``window()``
+    aligns them.
+    """
+    if window_minutes % slide_minutes:
+        raise ValueError("window length must be a multiple of the slide")
+    k = window_minutes // slide_minutes
+    slide_s = slide_minutes * 60
+    out = window_counts_from_buckets(bucket_counts(log, slide_minutes), k)
     start = F.timestamp_seconds(F.col("b") * F.lit(slide_s))
     end = F.timestamp_seconds((F.col("b") + F.lit(k)) * F.lit(slide_s))
-    return out.select(start.alias("window_start"), end.alias("window_end"), "adid",
-                      F.col("click_count").cast("bigint").alias("click_count"))
+    return out.select(start.alias("window_start"), end.alias("window_end"), "adid", "click_count")
