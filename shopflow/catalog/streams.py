@@ -68,9 +68,20 @@ def q_stream_ad_trend(spark, sf_dir):
 
 @register("stream_sliding_hour", ORACLES["sliding_hour_clicks"])
 def q_stream_sliding_hour(spark, sf_dir):
-    """T4: clicks per ad in 60-minute windows sliding by 1 minute, upserted."""
-    return _run_ad_query(spark, sf_dir, sa.WINDOW_COUNT_SCHEMA, lambda log: sa.sliding_hour_stream(log),
-                         lambda t: sa.upsert_sink(t, ["window_start", "adid"]))
+    """T4: per-minute click counts kept in streaming state; each batch recomputes
+    only the 60-minute windows (sliding by 1 minute) that hold an updated minute."""
+    src = _ad_replay(spark, sf_dir)
+    minutes = VersionedTable(spark, fresh_dir(spark, "tables"), sa.MINUTE_COUNT_SCHEMA, ["day"])
+    windows = VersionedTable(spark, fresh_dir(spark, "tables"), sa.WINDOW_TABLE_SCHEMA, ["day"])
+
+    def start():
+        log = sa.parsed_stream(ad_log_stream(spark, src, max_files_per_trigger=1))
+        return sa.start_update_query(sa.minute_counts_stream(log, "60 minutes"),
+                                     sa.sliding_from_minutes_sink(minutes, windows, 60),
+                                     fresh_dir(spark, "checkpoints"), AVAILABLE_NOW)
+
+    _state_partitions(spark, start).awaitTermination()
+    return windows.read().select("window_start", "window_end", "adid", "click_count")
 
 
 @register("stream_province_top3", ORACLES["province_top3_ads"])

@@ -20,6 +20,7 @@ Two forms:
 
 from __future__ import annotations
 
+import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from shopflow.functions.dates import DATE_FORMAT, DATEKEY_FORMAT, TIME_FORMAT
 from shopflow.operators.joins import exclude_keys
 from shopflow.operators.tables import insert_new, replace_groups, upsert_add, upsert_replace
 from shopflow.plans import ads
+from shopflow.plans.ads import window_counts_from_buckets
 from shopflow.sources.store import VersionedTable
 
 S, L = T.StringType(), T.LongType()
@@ -176,6 +178,70 @@ def sliding_hour_stream(log: DataFrame, late: str = "60 minutes", length: str =
                       "adid", F.col("count").alias("click_count"))
 
 
+MINUTE_COUNT_SCHEMA = _schema(("day", S), ("adid", L), ("b", L), ("n", L))
+WINDOW_TABLE_SCHEMA = _schema(("day", S), ("window_start", S), ("window_end", S), ("adid", L), ("click_count", L))
+
+
+def _day_of_minute(b):
+    return F.date_format(F.timestamp_seconds(b * F.lit(60)), DATE_FORMAT)
+
+
+def minute_counts_stream(log: DataFrame, late: str = "60 minutes") -> DataFrame:
+    """Running clicks per (ad, minute ``b`` since the epoch), the state of T4."""
+    agg = log.withWatermark("ts", late).groupBy(F.window("ts", "1 minute").alias("w"), "adid").count()
+    b = (F.unix_seconds(F.col("w.start")) / F.lit(60)).cast("bigint")
+    return agg.select("adid", b.alias("b"), F.col("count").alias("n"))
+
+
+def sliding_from_minutes_sink(minutes: VersionedTable, windows: VersionedTable, window_minutes: int = 60):
+    """foreachBatch function for T4 from per-minute state.
+
+    The batch holds the updated minute counts.  They are stored (K7, by
+    day), then only the windows that contain an updated minute are
+    recomputed, from the stored minutes of ``[lo, hi + k - 1]`` per ad, with
+    the same interval-merge / range-frame method as the batch job; the
+    results overwrite those windows (K7, by day of the window start).  No
+    click is copied once per window, in the state or in the sink.
+    """
+    k = window_minutes
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("day", _day_of_minute(F.col("b"))).persist()
+        try:
+            days = [r.asDict() for r in batch.select("day").distinct().collect()]
+            minutes.apply(lambda cur: upsert_replace(cur, batch, ["adid", "b"]), batch_id, partitions=days)
+            span = batch.groupBy("adid").agg((F.min("b") - F.lit(k - 1)).alias("lo"), F.max("b").alias("hi"))
+            bounds = span.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()[0]
+            if bounds.lo is None:  # nothing updated: record the batch only
+                windows.apply(lambda cur: cur, batch_id, partitions=[])
+                return
+            first, last = bounds.lo // 1440, (bounds.hi + k - 1) // 1440
+            needed = [{"day": d} for d in _day_texts(batch.sparkSession, first, last)]
+            stored = minutes.read(needed).join(span, "adid").where(
+                F.col("b").between(F.col("lo"), F.col("hi") + F.lit(k - 1))).select("adid", "b", "n")
+            counted = window_counts_from_buckets(stored, k).join(span, "adid").where(
+                F.col("b").between(F.col("lo"), F.col("hi")))
+            out = counted.select(
+                _day_of_minute(F.col("b")).alias("day"),
+                F.date_format(F.timestamp_seconds(F.col("b") * F.lit(60)), TIME_FORMAT).alias("window_start"),
+                F.date_format(F.timestamp_seconds((F.col("b") + F.lit(k)) * F.lit(60)), TIME_FORMAT).alias("window_end"),
+                "adid", "click_count",
+            ).persist()
+            try:
+                windows.apply(lambda cur: upsert_replace(cur, out, ["window_start", "adid"]), batch_id, touched=out)
+            finally:
+                out.unpersist()
+        finally:
+            batch.unpersist()
+    return fn
+
+
+def _day_texts(spark: SparkSession, first_day: int, last_day: int) -> list[str]:
+    """``yyyy-MM-dd`` of the epoch days ``first_day .. last_day`` (a batch's span)."""
+    epoch = dt.date(1970, 1, 1)
+    return [(epoch + dt.timedelta(days=d)).isoformat() for d in range(first_day, last_day + 1)]
+
+
 def upsert_sink(table: VersionedTable, keys: list[str]):
     """foreachBatch function: overwrite the batch's keys in ``table`` (K7);
     a partitioned table rewrites only the partitions the batch touches."""

@@ -205,3 +205,24 @@ def test_blacklist_update_batch_step(spark):
     counts, new_black = ads.blacklist_update(stored, black, batch, threshold=100)
     assert sorted(r.userid for r in new_black.collect()) == [1, 9]
     assert {r.userid: r.click_count for r in counts.collect()} == {1: 101, 2: 100}
+
+
+def test_stream_sliding_windows_from_minute_state(spark, tmp_dir):
+    src = tmp_dir + "/in"
+    first = [f"{DAY + m * 60_000} 1 1 1 1" for m in range(0, 11)]          # minutes 0..10
+    second = [f"{DAY + 5 * 60_000 + 7} 1 1 1 1", f"{DAY + 70 * 60_000} 1 1 1 1"]  # minute 5 again, minute 70
+    _write(src, "a.txt", first)
+    time.sleep(1.1)
+    _write(src, "b.txt", second)
+    minutes = VersionedTable(spark, tmp_dir + "/m", sa.MINUTE_COUNT_SCHEMA, ["day"])
+    windows = VersionedTable(spark, tmp_dir + "/w", sa.WINDOW_TABLE_SCHEMA, ["day"])
+    log = sa.parsed_stream(ad_log_stream(spark, src, max_files_per_trigger=1))
+    q = sa.start_update_query(sa.minute_counts_stream(log, "60 minutes"), sa.sliding_from_minutes_sink(minutes, windows),
+                              tmp_dir + "/ckpt", {"availableNow": True})
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    got = sorted((r.window_start, r.adid, r.click_count) for r in windows.read().collect())
+    batch = ads.sliding_window_counts(ads.parse_ad_log(lines(spark, first + second)), 60, 1)
+    want = sorted(tuple(r) for r in batch.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"),
+                                                   "adid", "click_count").collect())
+    assert got == want
