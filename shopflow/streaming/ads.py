@@ -13,7 +13,9 @@ Two forms:
 
 * Stateful streaming aggregations (``*_stream``): event-time windows with a
   watermark keep state bounded; results go out in ``update`` mode through an
-  overwriting upsert (K7).  They apply a blacklist snapshot (stream-static
+  overwriting upsert (K7).  The sliding hour keeps per-minute counts in state
+  and recomputes only the windows an updated minute touches
+  (``sliding_from_minutes_sink``).  They apply a blacklist snapshot (stream-static
   anti join) when one is given; a blacklist that changes while the query
   runs needs ``AdStreamJob``.
 """
