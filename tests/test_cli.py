@@ -63,3 +63,14 @@ def test_cli_stream_jobs_catch_up(spark, tmp_dir):
     cli.main(["stream-word-count", "--source", texts, "--tables", f"{tmp_dir}/wc", "--available-now"])
     wc = VersionedTable(spark, f"{tmp_dir}/wc/word_count", sw.WORD_COUNT_SCHEMA).read()
     assert {r.word: r["count"] for r in wc.collect()} == {"a": 2, "b": 1, "c": 1}
+
+
+def test_cli_top1(spark, tmp_dir):
+    # The seven literal rows of the reference's row-number demo.
+    rows = ["1,hadoop,12", "5,spark,16", "8,storm,18", "8,flume,20", "8,hive,10", "8,sparkstream,26",
+            "10,tensorflow,26"]
+    with open(os.path.join(tmp_dir, "tech.txt"), "w") as f:
+        f.write("\n".join(rows) + "\n")
+    cli.main(["top1", "--input", os.path.join(tmp_dir, "tech.txt"), "--out", f"{tmp_dir}/top1"])
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/top1").collect())
+    assert got == [("1", "hadoop", 12), ("10", "tensorflow", 26), ("5", "spark", 16), ("8", "sparkstream", 26)]
