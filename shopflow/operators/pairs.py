@@ -10,6 +10,10 @@ stored in the rows, pairs inside a range come from ``lead()`` over
 from the last row of one range and the first row of the next range of the
 same group.  The stitch step sees one row per (range, group), so a hot group
 contributes at most one row per range to it.
+
+Cost: choosing the range bounds makes Spark sample the (narrow) input once
+before the range shuffle; a plain per-group window would skip that pass but
+put a hot group into a single task.
 """
 
 from __future__ import annotations
