@@ -6,7 +6,6 @@ import os
 import re
 import sys
 import types
-from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -61,61 +60,14 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class PieceEncoder:
-    """Token ids of whole texts by a byte-level BPE tokenizer, with each distinct piece encoded once.
+SPACE_RUN = re.compile(r"\s ")
+CUT = re.compile(r"(?<!\s) ")
 
-    The GPT-2 pre-tokenizer starts a new pre-token wherever a space follows a
-    character that is no white space, whatever comes later; so a text may be cut
-    there and its pieces encoded apart.  ``str``'s white space includes all of
-    the tokenizer's, so a cut is never made where the tokenizer would not make it.
-    Special tokens hold no space and therefore lie inside one piece.
-    The memo of pieces holds at most ``max_entries`` and only saves time.
-    """
 
-    SPACE_RUN = re.compile(r"\s ")
-    CUT = re.compile(r"(?<!\s) ")
-
-    def __init__(self, path: str, max_entries: int = 600_000):
-        self.tokenizer = load_tokenizer(path)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.max_entries = max_entries
-        self.first: dict[str, bytes] = {}  # pieces as they stand
-        self.after: dict[str, bytes] = {}  # pieces that a space precedes
-
-    def _learn(self, memo: dict, pieces: list[str], prefix: str) -> None:
-        for a in range(0, len(pieces), 20_000):
-            part = pieces[a : a + 20_000]
-            for piece, enc in zip(part, self.tokenizer.encode_batch_fast(
-                    [prefix + x for x in part], add_special_tokens=False)):
-                memo[piece] = array(self.code, enc.ids).tobytes()
-
-    def cut(self, text: str) -> list[str]:
-        return self.CUT.split(text) if self.SPACE_RUN.search(text) else text.split(" ")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Per text its ids as little-endian unsigned integers of ``self.code``'s width."""
-        out: list[bytes] = []
-        for a, b in slices(texts):
-            parts = [self.cut(x) for x in texts[a:b]]
-            if len(self.after) > self.max_entries:
-                self.after.clear()
-            if len(self.first) > self.max_entries // 8:
-                self.first.clear()
-            heads = {p[0] for p in parts}
-            self._learn(self.first, list(heads.difference(self.first)), "")
-            tails = set().union(*parts) if parts else set()
-            self._learn(self.after, list(tails.difference(self.after)), " ")
-            get = self.after.__getitem__
-            for p in parts:
-                head = self.first[p[0]]
-                out.append(head + b"".join(map(get, p[1:])) if len(p) > 1 else head)
-        return out
-
-    def count(self, texts: list[str]) -> list[int]:
-        width = array(self.code).itemsize
-        return [len(x) // width for x in self.encode(texts)]
-
-
-def piece_encoder(path: str) -> PieceEncoder:
-    """The worker's encoder for the tokenizer file at ``path``."""
-    return worker_memo(("pieces", path), lambda: PieceEncoder(path))
+def space_cuts(text: str) -> list[str]:
+    """``text`` cut at the spaces that no white space precedes (the spaces are left out).
+
+    The GPT-2 pattern always starts a new match there.  ``str``'s white space includes all
+    of the pattern's, so no cut is made where the pattern would not make one.
+    """
+    return CUT.split(text) if SPACE_RUN.search(text) else text.split(" ")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.config import fresh_dir
-from shopflow.llm.common import piece_encoder, text_list
+from shopflow.llm.pieces import piece_encoder
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked checksum
 #: A record's share of a task's memory is its own; a write buffer holds this much more.
@@ -69,31 +69,29 @@ def _file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
 def _write(folder: str, path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
-        end = np.array([end_id], encoder.code).tobytes()
+        end = np.array([end_id], encoder.dtype).tobytes()
         fs, base = _file_system(folder)
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
         n, tokens, offset, data, index = 0, 0, 0, None, None
         try:
             for b in batches:
-                texts = text_list(b.column("__text"))
-                ids = b.column("__id").to_pylist()
-                for lo in range(0, len(texts), 256):
-                    framed = []
-                    for doc, seq in zip(ids[lo : lo + 256], encoder.encode(texts[lo : lo + 256])):
-                        # the document's id goes before its tokens: a flag, then 8 bytes
-                        key = struct.pack("<?q", doc is not None, doc or 0)
-                        framed.append(frame(key + seq + end))
-                        tokens += (len(seq) + len(end)) // len(end)
-                    sizes = np.array([len(x) for x in framed], np.int64)
-                    starts = offset + np.cumsum(sizes) - sizes
+                docs = b.column("__id").to_pylist()
+                for lo, hi, ids, before in encoder.encode(b.column("__text")):
                     if data is None:
                         data = fs.open_output_stream(f"{base}/{name}.rec", buffer_size=BUFFER_BYTES)
                         index = fs.open_output_stream(f"{base}/{name}.idx", buffer_size=BUFFER_BYTES)
+                    edges = before.tolist()
+                    # the document's id goes before its tokens: a flag, then 8 bytes
+                    framed = [frame(struct.pack("<?q", doc is not None, doc or 0) + ids[x:y].tobytes() + end)
+                              for doc, x, y in zip(docs[lo:hi], edges, edges[1:])]
+                    sizes = np.array([len(x) for x in framed], np.int64)
+                    starts = offset + np.cumsum(sizes) - sizes
                     data.write(b"".join(framed))
                     index.write(np.stack([starts, sizes], 1).astype("<i8").tobytes())
                     offset += int(sizes.sum())
-                    n += len(framed)
+                    tokens += len(ids) + hi - lo
+                    n += hi - lo
         finally:
             for f in (data, index):
                 if f is not None:

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import load_tokenizer, piece_encoder, text_list, worker_memo, written
+from shopflow.llm.common import load_tokenizer, worker_memo, written
+from shopflow.llm.pieces import piece_encoder
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 9
@@ -36,7 +37,7 @@ def _count_whole(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
         for b in batches:
-            counts = encoder.count(text_list(b.column(b.num_columns - 1)))
+            counts = encoder.counts(b.column(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(counts, pa.int64())],
                                              names=[*b.schema.names[:-1], "n_tokens"])
     return run

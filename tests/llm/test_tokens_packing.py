@@ -6,13 +6,15 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from shopflow.llm import length_buckets as LB
 from shopflow.llm import records, token_counts
-from shopflow.llm.common import PieceEncoder, load_tokenizer
+from shopflow.llm.common import load_tokenizer
+from shopflow.llm.pieces import PieceEncoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 HARD = [
@@ -36,9 +38,14 @@ def noise(seed, n):
 
 def test_pieces_equal_the_library():
     texts = HARD + [noise(i, 40) for i in range(300)]
-    enc = PieceEncoder(PATH)
-    got = [np.frombuffer(x, "<u2").tolist() for x in enc.encode([t or "" for t in texts])]
-    assert got == library(texts)
+    want = library(texts)
+    for entries in (10**6, 0):  # also with a memo that is always dropped
+        enc = PieceEncoder(PATH, entries)
+        column = pa.array(texts, pa.string())
+        got = [ids[a:b].tolist() for lo, hi, ids, at in enc.encode(column) for a, b in zip(at, at[1:])]
+        assert got == want
+        assert enc.counts(column).tolist() == [len(x) for x in want]
+        assert enc.counts(column.slice(5, 7)).tolist() == [len(x) for x in want[5:12]]
 
 
 def test_counts_with_tiny_chunks(spark):
