@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import length_buckets, records, token_counts
-from shopflow.llm.common import documents
+from shopflow.llm import (byte_bpe, language_id, length_buckets, near_duplicates, pitman_yor, preferences, quality_rules, records,
+                          syncmers, token_counts)
+from shopflow.llm.common import documents, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Production parameters of packing: padded tokens of a batch, and number of buckets.
 BATCH_TOKENS = 16_384
 BUCKETS = 16
@@ -25,10 +28,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def id_remainder(n: int, doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, mod n (null for a null id)."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
+
+
 def packed_documents(docs: DataFrame) -> DataFrame:
     """Documents packed by their token counts with an end token each."""
     counted = token_counts.count_tokens(docs.select("doc_id", "text"), BYTE_BPE)
-    lengths = token_counts.written(counted.select("doc_id", (F.col("n_tokens") + 1).alias("n_tokens")), "lengths")
+    lengths = written(counted.select("doc_id", (F.col("n_tokens") + 1).alias("n_tokens")), "lengths")
     return length_buckets.pack(lengths, "n_tokens", ["doc_id", "n_tokens"], BATCH_TOKENS, BUCKETS)
 
 
@@ -38,15 +46,84 @@ def op1_length_buckets(spark, sf_dir):
     return packed_documents(documents(spark, sf_dir))
 
 
+def preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in input of op2: for each conversation, its turns as chosen; as rejected its turns up to a
+    place, and from there on those of the conversation with the next id."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    place = F.pmod(F.xxhash64("conv_id"), F.lit(6))
+    chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
+    same = turns.where(F.col("turn") < place).select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
+    other = turns.withColumn("pair_id", F.col("conv_id") - 1).where(F.col("turn") >= F.pmod(F.xxhash64("pair_id"), F.lit(6)))
+    ids = turns.select(F.col("conv_id").alias("pair_id")).distinct()
+    swapped = other.join(ids, "pair_id").select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")
+    return chosen.unionByName(same).unionByName(swapped)
+
+
+@query
+def op2_preferences(spark, sf_dir):
+    """Prompt, masked completions and loss spans of every pair."""
+    got = preferences.format_pairs(preference_turns(spark, sf_dir))
+    return got.select(*[preferences.spans_text(F.col(c)).alias(c) if c.endswith("_spans") else c for c in got.columns])
+
+
 @query
 def op3_binary_records(spark, sf_dir):
     """All documents tokenized, written as framed records with an index, and read back."""
     return records.read_digests(records.write_records(documents(spark, sf_dir), BYTE_BPE))
 
 
+@query
+def op4_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of all whole documents, and what they decode to."""
+    return byte_bpe.digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, ["doc_id"])
+
+
+@query
+def op5_pitman_yor(spark, sf_dir):
+    """log10 probabilities of all whole documents under a hierarchical Pitman-Yor model of the training part."""
+    return pitman_yor.score_texts(documents(spark, sf_dir), id_remainder(7) == 2)
+
+
+@query
+def op6_syncmers(spark, sf_dir):
+    """Closed-syncmer fingerprints of all whole documents and of their edited texts."""
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
+def language_model(docs: DataFrame) -> language_id.LanguageModel:
+    """Learned from the documents outside the held-out fifth."""
+    return language_id.train(docs.where(id_remainder(5) != 0), PIECES)
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    """The predicted language of every whole document."""
+    docs = documents(spark, sf_dir)
+    held = docs.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "text")
+    return language_id.predict(held, language_model(docs), ["doc_id", "held_out"])
+
+
 @query
 def op8_token_counts(spark, sf_dir):
     """Token counts of all whole documents; huge ones by overlapping chunks, spliced again."""
     counted = token_counts.count_tokens(documents(spark, sf_dir).select(
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "text"), BYTE_BPE)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op9_near_duplicates(spark, sf_dir):
+    """The near-duplicate class of every document."""
+    return near_duplicates.duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows", "is_kept")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_rules.QualityModel:
+    return quality_rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    """Base counts and the quality verdict of every whole document."""
+    docs = documents(spark, sf_dir)
+    got = quality_rules.apply_rules(docs, quality_model(spark, docs, sf_dir), ["doc_id"])
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
