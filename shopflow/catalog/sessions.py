@@ -46,7 +46,7 @@ _BUCKET_CTES = _SESS_CTES + [
 
 
 def _sessions(spark, sf_dir):
-    return sess.session_agg(views.user_visit_action(spark, sf_dir), P.start_date, P.end_date)
+    return sess.session_agg(views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), P.start_date, P.end_date)
 
 
 def _joined(spark, sf_dir):
@@ -69,14 +69,14 @@ def q_session_user_join(spark, sf_dir):
 def q_session_filter(spark, sf_dir):
     """sessions passing the optional-parameter filter (age 20-50, two professions)."""
     return sess.session_output(
-        sess.filtered_sessions(views.user_visit_action(spark, sf_dir), views.user_info(spark, sf_dir), P))
+        sess.filtered_sessions(views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), views.user_info(spark, sf_dir), P))
 
 
 @register("session_buckets", with_views("user_visit_action", "user_info", extra=_BUCKET_CTES) +
           "select cnt.kind, cnt.bucket, cnt.sessions, tot.total from cnt, tot")
 def q_session_buckets(spark, sf_dir):
     """A2: filtered sessions per visit-length and step-count bucket, with the total."""
-    f = sess.filtered_session_lengths(views.user_visit_action(spark, sf_dir), views.user_info(spark, sf_dir), P)
+    f = sess.filtered_session_lengths(views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), views.user_info(spark, sf_dir), P)
     return sess.bucket_rows(f).select("kind", "bucket", "sessions", "total")
 
 
@@ -85,7 +85,7 @@ def q_session_buckets(spark, sf_dir):
           "floor(cnt.sessions * 100.0 / greatest(tot.total, 1) + 0.5) / 100 as ratio from cnt, tot")
 def q_session_ratio(spark, sf_dir):
     """Q1/A3: share of filtered sessions per bucket, rounded HALF_UP to 2 places."""
-    return sess.session_ratio_job(views.user_visit_action(spark, sf_dir), views.user_info(spark, sf_dir), P)
+    return sess.session_ratio_job(views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), views.user_info(spark, sf_dir), P)
 
 
 _JOINED_CTES = _SESS_CTES[:2]
@@ -129,4 +129,4 @@ _UVA_COLS = ("action_id, date, user_id, session_id, page_id, action_time, search
 def q_scan_date_range(spark, sf_dir):
     """Actions of an inclusive date range, all columns."""
     from shopflow.operators.filters import date_range
-    return date_range(views.user_visit_action(spark, sf_dir), S1_START, S1_END)
+    return date_range(views.user_visit_action(spark, sf_dir, S1_START, S1_END), S1_START, S1_END)

@@ -7,8 +7,7 @@ bucket at once (A2) -> ratios (A3).
 ``filtered_sessions`` builds full session rows (with the distinct keyword
 and category lists) for the session queries; the ratio job uses
 ``filtered_session_lengths``, which selects the same sessions with
-``bool_or`` flags instead of lists and filters users before the session
-shuffle.  Both aggregates have a map-side partial step, so a session
+``bool_or`` flags instead of lists.  Both aggregates have a map-side partial step, so a session
 holding a large share of the rows ships one partial row per map task.  The
 bucket counters are conditional counts in a single global aggregate (one
 row per map task, then one final row), unpivoted into the 15 bucket rows, so
@@ -27,7 +26,7 @@ from shopflow.operators.aggregates import with_task_id
 from shopflow.operators.filters import (
     any_of_filter, apply_session_filter, between_filter, conjunction, date_range, equal_filter, sentinel_to_null,
 )
-from shopflow.operators.joins import broadcast_if_small, fits_broadcast
+from shopflow.operators.joins import broadcast_if_small
 from shopflow.params import TaskParams
 
 # Bucket names of the session job (visit length in seconds,
@@ -87,19 +86,13 @@ def user_filter(params: TaskParams) -> Column:
 def filtered_session_lengths(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
     """A1 -> J1 -> F5 reduced to what the bucket counts need.
 
-    Same sessions as ``filtered_sessions``, cheaper: the keyword and
-    category tests become ``bool_or`` flags (the distinct lists are never
-    built, so the aggregate stays a code-generated hash aggregate), and the
-    user-only conditions are applied to the users first.  When the passing
-    users are provably small they are broadcast into a semi join *before*
-    the session shuffle, so only their actions are shuffled; otherwise the
-    sessions are aggregated first and semi-joined afterwards.
+    Same sessions as ``filtered_sessions``, cheaper: the keyword and category
+    tests become ``bool_or`` flags (the distinct lists are never built, so the
+    aggregate stays a code-generated hash aggregate), and the sessions are
+    semi-joined with the users that pass the user-only conditions.  The user
+    of a session is tested after its aggregation, as in ``filtered_sessions``,
+    whatever the size of either table.
     """
-    passing = users.where(user_filter(params)).select("user_id")
-    acts = date_range(actions, params.start_date, params.end_date)
-    early = fits_broadcast(passing)
-    if early:
-        acts = acts.join(F.broadcast(passing), "user_id", "left_semi")
     t = parse_time("action_time")
     aggs = [
         F.min("user_id").alias("user_id"),
@@ -115,10 +108,11 @@ def filtered_session_lengths(actions: DataFrame, users: DataFrame, params: TaskP
         hit = (cat != F.lit(-1)) & cat.cast("string").isin(*params.category_ids)
         aggs.append(F.bool_or(F.coalesce(hit, F.lit(False))).alias("cat_hit"))
         conds.append(F.col("cat_hit"))
+    acts = date_range(actions, params.start_date, params.end_date)
     sessions = acts.groupBy("session_id").agg(*aggs).where(conjunction(conds))
-    if not early:
-        sessions = sessions.join(passing, "user_id", "left_semi")
-    return sessions.select("session_id", "visit_length", "step_length")
+    passing = users.where(user_filter(params)).select("user_id")
+    return sessions.join(broadcast_if_small(passing), "user_id", "left_semi").select(
+        "session_id", "visit_length", "step_length")
 
 
 def _in_bucket(c: Column, lo: int, hi: int | None) -> Column:

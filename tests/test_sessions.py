@@ -15,7 +15,6 @@ def action(i, sess, user, t, kw=None, cat=-1, date="2024-01-05", page=1):
 
 
 def users(spark):
-    # a VALUES relation has a size estimate, so the early (broadcast) semi join is taken
     return spark.sql(
         "select * from values (1L, 'u1', 'n1', 30, 'BUILDING', 'city1', 'male'), "
         "(2L, 'u2', 'n2', 55, 'MACHINERY', 'city2', 'female') "
@@ -85,28 +84,26 @@ def test_filters_unset_and_missing(spark):
     assert ids(p) == ["s1"]
 
 
-def test_flag_path_selects_same_sessions(spark, monkeypatch):
+def test_flag_path_selects_same_sessions(spark):
+    """Also sessions with several users, without a user, and users of NULL actions, at any broadcast threshold."""
     rows = []
     for s in range(40):
         for k in range(1 + s % 5):
-            rows.append(action(s * 10 + k, f"s{s}", 1 + s % 2, f"0:00:{10 + k:02d}",
+            user = None if s % 11 == 0 or (s % 7 == 0 and k == 1) else 1 + (s + (k if s % 3 == 0 else 0)) % 2
+            rows.append(action(s * 10 + k, f"s{s}", user, f"0:00:{10 + k:02d}",
                                kw=f"kw{(s + k) % 4}" if k % 2 else None, cat=(s * k) % 7 if k % 3 else -1))
     df = spark.createDataFrame(rows, COLS)
     base = dict(start_date="2024-01-01", end_date="2024-01-31")
     cases = [TaskParams(**base), TaskParams(**base, keywords=("kw1",)), TaskParams(**base, category_ids=("3", "5")),
              TaskParams(**base, keywords=("kw0", "kw2"), category_ids=("0",), sex="male"),
              TaskParams(**base, start_age=20, end_age=40, professionals=("BUILDING",))]
-
-    def both(p):
-        full = sorted(r.session_id for r in S.filtered_sessions(df, users(spark), p).collect())
-        flags = sorted(r.session_id for r in S.filtered_session_lengths(df, users(spark), p).collect())
-        return full, flags
-
-    assert S.fits_broadcast(users(spark))
-    for p in cases:
-        full, flags = both(p)
-        assert full == flags
-    monkeypatch.setattr(S, "fits_broadcast", lambda *a, **k: False)  # semi join after the aggregate
-    for p in cases:
-        full, flags = both(p)
-        assert full == flags
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        for threshold in ("-1", "10MB"):
+            spark.conf.set(key, threshold)
+            for p in cases:
+                full = S.filtered_sessions(df, users(spark), p).select("session_id", "visit_length", "step_length")
+                assert sorted(full.collect()) == sorted(S.filtered_session_lengths(df, users(spark), p).collect())
+    finally:
+        spark.conf.set(key, old)
