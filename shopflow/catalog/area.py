@@ -33,7 +33,7 @@ where rn <= 3
 def q_area_top3(spark, sf_dir):
     """Q3: three most clicked products per area with cities, name, ownership, level."""
     return area.area_top3(
-        views.user_visit_action(spark, sf_dir), views.product_info(spark, sf_dir),
+        views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), views.product_info(spark, sf_dir),
         tables.city_area(spark), P.start_date, P.end_date,
     )
 
@@ -41,33 +41,36 @@ def q_area_top3(spark, sf_dir):
 @register("scan_city_product", with_views("user_visit_action", extra=AREA_CTES[:1]) + "select * from clicks")
 def q_scan_city_product(spark, sf_dir):
     """(city_id, pid) of the clicks in the date range."""
-    return area.city_product_clicks(views.user_visit_action(spark, sf_dir), P.start_date, P.end_date)
+    return _clicks(spark, sf_dir)
 
 
-def _basic(spark, sf_dir):
-    clicks = area.city_product_clicks(views.user_visit_action(spark, sf_dir), P.start_date, P.end_date)
-    return area.area_basic_info(clicks, tables.city_area(spark))
+def _clicks(spark, sf_dir):
+    return area.city_product_clicks(views.user_visit_action(spark, sf_dir, P.start_date, P.end_date), P.start_date, P.end_date)
+
+
+def _counts(spark, sf_dir):
+    return area.area_click_count(_clicks(spark, sf_dir), tables.city_area(spark))
 
 
 @register("area_basic_info", with_views("user_visit_action", "city_area", extra=AREA_CTES[:2]) +
           "select * from basic")
 def q_area_basic_info(spark, sf_dir):
     """Clicks joined with the literal city dimension (broadcast)."""
-    return _basic(spark, sf_dir)
+    return area.area_basic_info(_clicks(spark, sf_dir), tables.city_area(spark))
 
 
 @register("area_click_count", with_views("user_visit_action", "city_area", extra=AREA_CTES[:3]) +
           "select * from cnt")
 def q_area_click_count(spark, sf_dir):
     """A4 + A5: clicks and distinct ``id;name`` city list per (area, product)."""
-    return area.area_click_count(_basic(spark, sf_dir))
+    return _counts(spark, sf_dir)
 
 
 @register("area_product_info", with_views("user_visit_action", "product_info", "city_area", extra=AREA_CTES) +
           "select area, pid, click_count, city_infos, product_name, product_status from info")
 def q_area_product_info(spark, sf_dir):
     """J3 + X2 + X3: per-(area, product) counts with product name and ownership."""
-    counts = area.area_click_count(_basic(spark, sf_dir))
+    counts = _counts(spark, sf_dir)
     return area.area_product_info(counts, views.product_info(spark, sf_dir)).select(
         "area", "pid", "click_count", "city_infos", "product_name", "product_status")
 
@@ -76,7 +79,7 @@ def q_area_product_info(spark, sf_dir):
           f"select area, pid, click_count, {AREA_LEVEL_CASE} as area_level from cnt")
 def q_area_level(spark, sf_dir):
     """Area level of every (area, product) count row."""
-    counts = area.area_click_count(_basic(spark, sf_dir))
+    counts = _counts(spark, sf_dir)
     return counts.select("area", "pid", "click_count", fm.area_level("area").alias("area_level"))
 
 
@@ -89,7 +92,7 @@ def q_area_top3_sql(spark, sf_dir):
     """Q3 in Spark SQL with the reference's function names (SQL-bodied
     functions, listagg for the distinct concat) over temp views."""
     register_sql_functions(spark)
-    views.user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
+    views.user_visit_action(spark, sf_dir, P.start_date, P.end_date).createOrReplaceTempView("user_visit_action")
     views.product_info(spark, sf_dir).createOrReplaceTempView("product_info")
     tables.city_area(spark).createOrReplaceTempView("city_area")
     return spark.sql(AREA_TOP3_SQL, args={"start_date": P.start_date, "end_date": P.end_date, "n": 3})

@@ -30,7 +30,7 @@ _PAIR_CTES = [
 
 
 def _actions(spark, sf_dir):
-    return views.user_visit_action(spark, sf_dir)
+    return views.user_visit_action(spark, sf_dir, P.start_date, P.end_date)
 
 
 @register("page_pairs", with_views("user_visit_action", extra=_PAIR_CTES[:2]) +

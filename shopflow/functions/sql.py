@@ -46,11 +46,13 @@ AREA_TOP3_SQL = """
 WITH clicks AS (
   SELECT city_id, click_product_id AS pid FROM user_visit_action
   WHERE date >= :start_date AND date <= :end_date AND click_product_id != -1
+), per_city AS (
+  SELECT city_id, pid, count(*) AS n FROM clicks GROUP BY city_id, pid
 ), basic AS (
-  SELECT c.city_id, a.city_name, a.area, c.pid, concat_long_string(c.city_id, a.city_name, ';') AS city_info
-  FROM clicks c JOIN city_area a ON c.city_id = a.city_id
+  SELECT c.n, a.area, c.pid, concat_long_string(c.city_id, a.city_name, ';') AS city_info
+  FROM per_city c JOIN city_area a ON c.city_id = a.city_id
 ), cnt AS (
-  SELECT area, pid, count(*) AS click_count,
+  SELECT area, pid, sum(n) AS click_count,
          listagg(DISTINCT city_info, ',') WITHIN GROUP (ORDER BY city_info) AS city_infos
   FROM basic GROUP BY area, pid
 ), info AS (

@@ -2,73 +2,63 @@
 
 A plain ``lead()`` over ``Window.partitionBy(group)`` puts a whole group into
 one task; a single session holding a third of all rows would then be one
-straggler.  Here the rows are range-partitioned on the full sort key
-``(group, order...)``: Spark samples the key to pick range bounds, so a hot
-group is cut into several contiguous ranges.  Each task-range number is
-stored in the rows, pairs inside a range come from ``lead()`` over
-``(range, group)``, and the pair that crosses a range boundary is stitched
-from the last row of one range and the first row of the next range of the
-same group.  The stitch step sees one row per (range, group), so a hot group
-contributes at most one row per range to it.
+straggler.  Here a row also has a slice, a number computed from the row itself
+that never falls along the group's order (a fixed-width piece of its time).  The rows are
+shuffled once, by (group, slice), so a hot group is spread over as many tasks as it has
+slices; ``lead()`` gives the pairs inside a slice.  The pair that crosses
+slices is stitched from the last row of one slice and the first row of
+the group's next one: a second, narrow shuffle of one row for each (group, slice).
 
-Cost: choosing the range bounds makes Spark sample the (narrow) input once
-before the range shuffle; a plain per-group window would skip that pass but
-put a hot group into a single task.
+The slices' width changes the cost only, never the result: narrower ones split
+a hot group further and cost more edge rows.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICE = "__slice"
+
+
+def sliced_rows(df: DataFrame, group_col: str, slice_col: Column, order_cols: Sequence[str], value_col: str) -> DataFrame:
+    """Rows with ``next`` (the value that follows in the slice), ``is_first`` and ``is_last`` of the slice.
+
+    ``order_cols`` must order rows uniquely within a group (end it with an id);
+    NULL sorts first.  ``slice_col`` must not fall along that order; a NULL slice comes first.
+    """
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    rows = df.select(group_col, slice_col.alias(SLICE), *order_cols, F.col(value_col).alias("value"))
+    clustered = rows.repartition(group_col, SLICE)  # the one shuffle of all rows
+    w = Window.partitionBy(group_col, SLICE).orderBy(*order)
+    return clustered.select(
+        group_col, SLICE, "value", F.lead("value").over(w).alias("next"),
+        F.row_number().over(w).alias("__n"), F.lead(F.lit(True)).over(w).alias("__more"),
+    ).select(group_col, SLICE, "value", "next", (F.col("__n") == 1).alias("is_first"), F.col("__more").isNull().alias("is_last"))
+
+
+def stitched_edges(rows: DataFrame, group_col: str) -> DataFrame:
+    """(group, value, next) of the pairs that cross slices, from ``sliced_rows``."""
+    edges = rows.where("is_first or is_last").groupBy(group_col, SLICE).agg(
+        F.max(F.when(F.col("is_first"), F.col("value"))).alias("__first"),
+        F.max(F.when(F.col("is_last"), F.col("value"))).alias("value"))
+    along = Window.partitionBy(group_col).orderBy(F.col(SLICE).asc_nulls_first())
+    return edges.select(group_col, "value", F.lead("__first").over(along).alias("next")).where(F.col("next").isNotNull())
+
 
 def consecutive_pairs(
     df: DataFrame,
     group_col: str,
+    slice_col: Column,
     order_cols: Sequence[str],
     value_col: str,
-    num_ranges: int | None = None,
     prev_name: str = "from_value",
     next_name: str = "to_value",
 ) -> DataFrame:
-    """One row ``(group, prev, next)`` per pair of consecutive rows of a group.
-
-    ``order_cols`` must order rows uniquely within a group (end it with an
-    id).  Rows whose order key is NULL sort first, as in a window.
-    """
-    order = list(order_cols)
-    key = [group_col, *order]
-    sort_key = [F.col(c).asc_nulls_first() for c in key]
-
-    # Without ``num_ranges`` the range count is spark.sql.shuffle.partitions
-    # and AQE may coalesce neighbouring ranges; a coalesced partition is still
-    # one contiguous key range, so range numbers stay ordered.
-    by_range = (df.select(*key, value_col).repartitionByRange(num_ranges, *sort_key) if num_ranges
-                else df.select(*key, value_col).repartitionByRange(*sort_key))
-    ranged = by_range.withColumn("__range", F.spark_partition_id())
-    # One shuffle on (range, group) that both branches below read: the range
-    # number is data from here on, so every reader sees the same ranges.
-    clustered = ranged.repartition("__range", group_col)
-
-    w = Window.partitionBy("__range", group_col).orderBy(*order)
-    inner = (
-        clustered.select(group_col, F.col(value_col).alias(prev_name), F.lead(value_col).over(w).alias(next_name))
-        .where(F.col(next_name).isNotNull())
-    )
-
-    # Edges: first and last value of each (range, group), a hash aggregate on
-    # the same clustering (no sort).  The last value of one range pairs with
-    # the first value of the group's next range.
-    ordkey = F.struct(*[F.col(c) for c in order])
-    edges = clustered.groupBy(group_col, "__range").agg(
-        F.min_by(value_col, ordkey).alias("__first"),
-        F.max_by(value_col, ordkey).alias("__last"),
-    )
-    we = Window.partitionBy(group_col).orderBy("__range")
-    stitched = (
-        edges.select(group_col, F.col("__last").alias(prev_name), F.lead("__first").over(we).alias(next_name))
-        .where(F.col(next_name).isNotNull())
-    )
-    return inner.unionByName(stitched)
+    """One row ``(group, prev, next)`` per pair of consecutive rows of a group."""
+    rows = sliced_rows(df, group_col, slice_col, order_cols, value_col)
+    inner = rows.where(F.col("next").isNotNull()).select(group_col, "value", "next")
+    pairs = inner.unionByName(stitched_edges(rows, group_col))
+    return pairs.select(group_col, F.col("value").alias(prev_name), F.col("next").alias(next_name))

@@ -4,9 +4,9 @@ Views of the start page, then for each step ``a -> b`` of the flow the number
 of times a session went directly from ``a`` to ``b`` (consecutive actions in
 time order), divided by the count of the previous step.
 
-Plan: date-range scan -> consecutive pairs per session (range-partitioned,
-skew-safe, see operators/pairs.py) -> keep target pairs (a literal IN list)
--> together with the start-page rows, one global aggregate holding one
+Plan: date-range scan -> one shuffle by (session, time slice), which gives the
+consecutive pairs and the start-page views (skew-safe, see operators/pairs.py)
+-> keep target pairs (a literal IN list) -> one global aggregate holding one
 conditional count per step -> the chained ratios are column expressions on
 that single row, unpivoted into one row per step.  Nothing is collected to
 the driver and no window runs over the step rows.
@@ -21,20 +21,29 @@ from shopflow.functions.dates import parse_time
 from shopflow.functions.strings import flow_pairs
 from shopflow.operators.aggregates import with_task_id
 from shopflow.operators.filters import date_range
-from shopflow.operators.pairs import consecutive_pairs
+from shopflow.operators.pairs import sliced_rows, stitched_edges
 from shopflow.params import TaskParams
 
-START = "__start__"
+# Width of a time slice of a session; it decides how far a hot session is split, not the result.
+SLICE_SECONDS = 300
 
 
-def page_pairs(actions: DataFrame, start: str, end: str, num_ranges: int | None = None) -> DataFrame:
-    """W4 + O1: (session_id, from_page, to_page) for consecutive actions,
-    ordered by parsed action time, then action id."""
+def _rows(actions: DataFrame, start: str, end: str, slice_seconds: int) -> DataFrame:
+    """Actions in the date range, per session and time slice, each with the page that follows."""
     acts = date_range(actions, start, end).select(
         "session_id", parse_time("action_time").alias("ts"), "action_id", "page_id"
     )
-    return consecutive_pairs(acts, "session_id", ["ts", "action_id"], "page_id", num_ranges,
-                             prev_name="from_page", next_name="to_page")
+    piece = F.floor(F.unix_timestamp("ts") / F.lit(slice_seconds))
+    return sliced_rows(acts, "session_id", piece, ["ts", "action_id"], "page_id")
+
+
+def page_pairs(actions: DataFrame, start: str, end: str, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """W4 + O1: (session_id, from_page, to_page) for consecutive actions,
+    ordered by parsed action time, then action id."""
+    rows = _rows(actions, start, end, slice_seconds)
+    pairs = rows.where(F.col("next").isNotNull()).select("session_id", "value", "next").unionByName(
+        stitched_edges(rows, "session_id"))
+    return pairs.select("session_id", F.col("value").alias("from_page"), F.col("next").alias("to_page"))
 
 
 def pair_key(from_col: str = "from_page", to_col: str = "to_page"):
@@ -63,16 +72,21 @@ def start_page_count(actions: DataFrame, params: TaskParams) -> DataFrame:
 
 
 def _step_counts(actions: DataFrame, params: TaskParams) -> tuple[DataFrame, list[tuple[int, str]]]:
-    """One row: the start-page count ``c0`` and one count ``c<i+1>`` per step."""
+    """One row: the start-page count ``c0`` and one count ``c<i+1>`` per step.
+
+    Start-page views are counted on the same rows as the pairs, so the actions
+    are read and shuffled once.
+    """
     flow = params.target_page_flow
     steps = flow_pairs(flow)
-    pairs = target_pairs(page_pairs(actions, params.start_date, params.end_date), flow)
-    starts = date_range(actions, params.start_date, params.end_date).where(
-        F.col("page_id") == F.lit(flow[0])).select(F.lit(START).alias("page_pair"))
-    keys = pairs.select("page_pair").unionByName(starts)
-    aggs = [F.count_if(F.col("page_pair") == F.lit(START)).alias("c0")]
-    aggs += [F.count_if(F.col("page_pair") == F.lit(p)).alias(f"c{i + 1}") for i, p in steps]
-    return keys.agg(*aggs), steps
+    rows = _rows(actions, params.start_date, params.end_date, SLICE_SECONDS)
+    inner = rows.select(pair_key("value", "next").alias("page_pair"), F.col("next").isNotNull().alias("is_pair"),
+                        (F.col("value") == F.lit(flow[0])).alias("is_start"))
+    edges = stitched_edges(rows, "session_id").select(
+        pair_key("value", "next").alias("page_pair"), F.lit(True).alias("is_pair"), F.lit(False).alias("is_start"))
+    aggs = [F.count_if("is_start").alias("c0")]
+    aggs += [F.count_if(F.col("is_pair") & (F.col("page_pair") == F.lit(p))).alias(f"c{i + 1}") for i, p in steps]
+    return inner.unionByName(edges).agg(*aggs), steps
 
 
 def page_conversion(actions: DataFrame, params: TaskParams, task_id: str | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -26,13 +25,7 @@ CITY_AREA_ROWS = [
     (9, "哈尔滨", "东北"),
 ]
 
-CITY_AREA_SCHEMA = T.StructType([
-    T.StructField("city_id", T.LongType(), False),
-    T.StructField("city_name", T.StringType(), False),
-    T.StructField("area", T.StringType(), False),
-])
-
-
 def city_area(spark: SparkSession) -> DataFrame:
-    """S3: the small literal city dimension (10 rows, a proven size bound)."""
-    return spark.createDataFrame(CITY_AREA_ROWS, CITY_AREA_SCHEMA)
+    """S3: the literal city dimension, as a VALUES relation whose size the optimizer knows exactly."""
+    rows = ", ".join(f"({i}L, '{city}', '{area}')" for i, city, area in CITY_AREA_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(city_id, city_name, area)")

@@ -13,6 +13,7 @@ the registered table names, so both sides read the very same definition.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopflow.sources.tables import read_table
 
@@ -89,8 +90,18 @@ from (select doc_id, unnest(string_split(text, chr(10))) as line,
 """
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(USER_VISIT_ACTION_SQL, events=read_table(spark, sf_dir, "events"))
+def user_visit_action(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The action view; with ``start`` and ``end`` (inclusive dates) only events of those days.
+
+    The bounds are put on the stored ``ts``, where the scan can use them to skip
+    row groups; the job's own filter on the derived ``date`` cannot reach it.
+    """
+    events = read_table(spark, sf_dir, "events")
+    if start is not None and end is not None:
+        kind = events.schema["ts"].dataType
+        after = F.date_add(F.lit(end).cast("date"), 1)
+        events = events.where((F.col("ts") >= F.lit(start).cast(kind)) & (F.col("ts") < after.cast(kind)))
+    return spark.sql(USER_VISIT_ACTION_SQL, events=events)
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,16 +28,17 @@ def test_consecutive_pairs_hot_group_matches_brute_force(spark):
     rows = [("hot", rnd.randint(0, 50), i, rnd.randint(0, 9)) for i in range(3000)]
     rows += [(f"g{rnd.randint(0, 40)}", rnd.randint(0, 50), 10_000 + i, rnd.randint(0, 9)) for i in range(1500)]
     df = spark.createDataFrame(rows, "g string, t long, i long, v long")
-    got = consecutive_pairs(df, "g", ["t", "i"], "v", num_ranges=16)
-    # the hot group really is cut into several ranges
-    ranged = df.repartitionByRange(16, "g", "t", "i").withColumn("r", F.spark_partition_id())
-    assert ranged.where("g = 'hot'").select("r").distinct().count() > 3
-    assert sorted((r.g, r.from_value, r.to_value) for r in got.collect()) == brute_pairs(rows)
+    for width in (1, 4, 1000):  # the slices' width never changes the result
+        got = consecutive_pairs(df, "g", F.floor(F.col("t") / width), ["t", "i"], "v")
+        assert sorted((r.g, r.from_value, r.to_value) for r in got.collect()) == brute_pairs(rows)
+    # the hot group really is spread over tasks
+    spread = df.repartition(16, "g", F.floor(F.col("t") / 4)).withColumn("r", F.spark_partition_id())
+    assert spread.where("g = 'hot'").select("r").distinct().count() > 3
 
 
 def test_single_action_session_has_no_pair(spark):
     df = spark.createDataFrame([("a", 1, 1, 5)], "g string, t long, i long, v long")
-    assert consecutive_pairs(df, "g", ["t", "i"], "v").count() == 0
+    assert consecutive_pairs(df, "g", F.col("t"), ["t", "i"], "v").count() == 0
 
 
 def test_conversion_missing_step_and_zero_denominator(spark):
@@ -84,12 +85,11 @@ def test_group_concat_distinct_substring_trap(spark):
     assert df.groupBy("k").agg(group_concat_distinct("v").alias("c")).collect()[0].c == "11;x,1;x"  # both kept; binary order
 
 
-def test_consecutive_pairs_with_aqe_coalesced_ranges(spark):
-    """No explicit range count: AQE merges neighbouring ranges; a merged
-    partition is still one contiguous key range, so pairs stay exact."""
+def test_pairs_with_null_times_and_coalesced_partitions(spark):
+    """NULL times sort first, in a slice of their own; AQE may merge shuffle partitions."""
     rnd = random.Random(11)
-    rows = [("hot", rnd.randint(0, 80), i, rnd.randint(0, 9)) for i in range(2500)]
-    rows += [(f"g{rnd.randint(0, 60)}", rnd.randint(0, 80), 20_000 + i, rnd.randint(0, 9)) for i in range(2500)]
+    rows = [("hot", rnd.choice([None, *range(80)]), i, rnd.randint(0, 9)) for i in range(2500)]
+    rows += [(f"g{rnd.randint(0, 60)}", rnd.choice([None, *range(80)]), 20_000 + i, rnd.randint(0, 9)) for i in range(2500)]
     df = spark.createDataFrame(rows, "g string, t long, i long, v long")
     conf = {"spark.sql.shuffle.partitions": "50",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
@@ -99,11 +99,9 @@ def test_consecutive_pairs_with_aqe_coalesced_ranges(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        ranged = df.repartitionByRange(F.col("g"), F.col("t"), F.col("i")).withColumn("r", F.spark_partition_id())
-        n_ranges = ranged.select("r").distinct().count()
-        assert 1 < n_ranges < 50  # coalesced, but more than one range
-        got = consecutive_pairs(df, "g", ["t", "i"], "v")
-        assert sorted((r.g, r.from_value, r.to_value) for r in got.collect()) == brute_pairs(rows)
+        got = consecutive_pairs(df, "g", F.floor(F.col("t") / 10), ["t", "i"], "v")
+        want = brute_pairs([(g, -1 if t is None else t, i, v) for g, t, i, v in rows])
+        assert sorted((r.g, r.from_value, r.to_value) for r in got.collect()) == want
     finally:
         for k, v in old.items():
             if v is None:
@@ -120,19 +118,33 @@ def test_pairs_single_session_holding_all_rows(spark):
 
     acts = user_visit_action(spark, "/root/testdata/sf0.01").select(
         F.lit("all").alias("session_id"), parse_time("action_time").alias("ts"), "action_id", "page_id")
-    got = consecutive_pairs(acts, "session_id", ["ts", "action_id"], "page_id", num_ranges=16)
+    piece = F.floor(F.unix_timestamp("ts") / funnel.SLICE_SECONDS)
+    got = consecutive_pairs(acts, "session_id", piece, ["ts", "action_id"], "page_id")
     rows = sorted((r.ts, r.action_id, r.page_id) for r in acts.collect())
     want = sorted(zip([r[2] for r in rows[:-1]], [r[2] for r in rows[1:]]))
     assert sorted((r.from_value, r.to_value) for r in got.collect()) == want
-    ranges = acts.repartitionByRange(16, "session_id", "ts", "action_id").select(F.spark_partition_id()).distinct()
-    assert ranges.count() > 8
+    assert acts.select(piece).distinct().count() > 8
 
 
-def test_pairs_branches_share_one_clustering_shuffle(spark):
-    rows = [(f"s{i % 7}", i % 13, i, i % 5) for i in range(500)]
-    df = spark.createDataFrame(rows, "g string, t long, i long, v long")
-    out = consecutive_pairs(df, "g", ["t", "i"], "v", num_ranges=4)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in plan and "rangepartitioning" in plan
-    assert sorted((r.g, r.from_value, r.to_value) for r in out.collect()) == brute_pairs(rows)
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_conversion_reads_and_shuffles_the_actions_once(spark, tmp_dir):
+    from shopflow.sources.views import user_visit_action
+
+    user_visit_action(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_dir}/uva")
+    p = TaskParams("2024-01-01", "2024-01-31", target_page_flow=(1, 2, 3))
+    plan = _final_plan(funnel.page_conversion(spark.read.parquet(f"{tmp_dir}/uva"), p))
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    full = [x for x in plan.splitlines() if "Exchange hashpartitioning(session_id" in x and "__slice" in x and "Reused" not in x]
+    assert len(scans) == 1 and len(full) == 1 and "ReusedExchange" in plan and "SPARK_PARTITION_ID" not in plan
+
+
+def test_area_counts_before_the_city_join(spark):
+    from shopflow.catalog import QUERIES
+
+    plan = _final_plan(QUERIES["area_click_count"](spark, "/root/testdata/sf0.001"))
+    below = plan[plan.index("Join"):]
+    assert "HashAggregate(keys=[city_id" in below and "ts,2024" in plan.replace(" ", "")
