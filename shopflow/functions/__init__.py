@@ -8,6 +8,6 @@ from shopflow.functions.dates import (  # noqa: F401
 from shopflow.functions.misc import area_level, json_field, product_status, round_half_up  # noqa: F401
 from shopflow.functions.strings import (  # noqa: F401
     concat_long_string, flow_pairs, is_empty, is_not_empty, java_split_space,
-    kv_get, kv_map, kv_set, pad_two, trim_comma,
+    kv_get, kv_set, pad_two, trim_comma,
 )
 from shopflow.functions.sql import register_sql_functions  # noqa: F401

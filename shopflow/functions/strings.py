@@ -11,8 +11,8 @@ def _col(c: Column | str) -> Column:
 
 
 def concat_long_string(v: Column | str, s: Column | str, sep: str) -> Column:
-    """``<number><sep><text>``, e.g. ``3;广州``."""
-    return F.concat_ws(sep, _col(v).cast("string"), _col(s))
+    """``<number><sep><text>``, e.g. ``3;广州``; NULL if either is NULL."""
+    return F.concat(_col(v).cast("string"), F.lit(sep), _col(s))
 
 
 def is_empty(c: Column | str) -> Column:
@@ -31,28 +31,33 @@ def trim_comma(c: Column | str) -> Column:
 
 
 def pad_two(c: Column | str) -> Column:
-    """Left-pad to two characters with ``0``."""
-    return F.lpad(_col(c), 2, "0")
-
-
-def kv_map(c: Column | str) -> Column:
-    """Parse ``k=v|k=v`` text into a map; pairs without a value map to NULL."""
-    m = F.str_to_map(_col(c), F.lit("[|]"), F.lit("="))
-    return F.transform_values(m, lambda k, v: F.nullif(v, F.lit("")))
+    """Left-pad to two characters with ``0``; longer text stays as it is."""
+    text = _col(c)
+    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
 
 
 def kv_get(c: Column | str, key: str) -> Column:
-    """Value of ``key`` in ``k=v|k=v`` text, NULL if absent or empty."""
-    return F.try_element_at(kv_map(c), F.lit(key))
+    """Value of the first ``key=value`` entry of ``k=v|k=v`` text; NULL if there is none.
+
+    An entry counts if it has one value and nothing but ``=`` after it.
+    """
+    pattern = f"^\\Q{key}\\E=([^=]+)=*$"
+    entry = F.get(F.filter(F.split(_col(c), "[|]"), lambda e: e.rlike(pattern)), F.lit(0))
+    return F.regexp_extract(entry, pattern, 1)
 
 
 def kv_set(c: Column | str, key: str, value: Column | str) -> Column:
-    """Set ``key`` to ``value`` in ``k=v|k=v`` text (keys sorted)."""
+    """Set ``key`` to ``value`` in ``k=v|k=v`` text.
+
+    Of entries with the same key the last one stays; the result is sorted by key.
+    """
     v = F.lit(value) if isinstance(value, str) else value
-    m = F.map_filter(F.str_to_map(_col(c), F.lit("[|]"), F.lit("=")), lambda k, _: k != F.lit(key))
-    merged = F.map_concat(m, F.create_map(F.lit(key), v))
-    entries = F.array_sort(F.map_entries(merged))
-    return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), "|")
+    entries = F.transform(F.split(_col(c), "[|]"), lambda e: F.struct(
+        F.get(F.split(e, "="), F.lit(0)).alias("k"), F.get(F.split(e, "="), F.lit(1)).alias("v")))
+    last = F.filter(entries, lambda e, i: (e["k"] != F.lit(key)) & ~F.exists(
+        F.slice(entries, i + 2, F.size(entries)), lambda later: later["k"] == e["k"]))
+    merged = F.array_sort(F.array_append(last, F.struct(F.lit(key).alias("k"), v.alias("v"))))
+    return F.array_join(F.transform(merged, lambda e: F.concat_ws("=", e["k"], e["v"])), "|")
 
 
 def java_split_space(c: Column | str) -> Column:

@@ -1,12 +1,13 @@
 """Table maintenance as DataFrame operators (K6-K9).
 
 Each takes the stored table and a batch and returns the new table; none
-reads a row per key.  Writing the result is done by ``VersionedTable``
-(sources/store.py), which never overwrites what it reads.
+reads a row per key.  A key column that is NULL equals NULL, as in K6's grouping.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -25,23 +26,25 @@ def upsert_add(stored: DataFrame, delta: DataFrame, keys: Sequence[str], values:
     return both.groupBy(*keys).agg(*aggs)
 
 
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``other``; NULL equals NULL (an anti join)."""
+    side = other.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    match = functools.reduce(operator.and_, [df[k].eqNullSafe(side[f"__{k}"]) for k in keys])
+    return df.join(side, match, "left_anti")
+
+
 def upsert_replace(stored: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K7: existing key -> delta's row, new key -> inserted."""
-    cols = stored.columns
-    kept = stored.join(delta.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(delta.select(*cols))
+    return without_keys(stored, delta, keys).unionByName(delta.select(*stored.columns))
 
 
 def replace_groups(stored: DataFrame, batch: DataFrame, group_keys: Sequence[str]) -> DataFrame:
     """K8: drop every stored row of the groups present in ``batch``, then add ``batch``."""
-    cols = stored.columns
-    groups = batch.select(*group_keys).distinct()
-    kept = stored.join(groups, list(group_keys), "left_anti")
-    return kept.unionByName(batch.select(*cols))
+    kept = without_keys(stored, batch.select(*group_keys).distinct(), group_keys)
+    return kept.unionByName(batch.select(*stored.columns))
 
 
 def insert_new(stored: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """K9: add the keys of ``new`` not stored yet (idempotent)."""
-    cols = stored.columns
-    fresh = new.select(*cols).dropDuplicates(list(keys)).join(stored.select(*keys), list(keys), "left_anti")
-    return stored.unionByName(fresh)
+    fresh = new.select(*stored.columns).dropDuplicates(list(keys))
+    return stored.unionByName(without_keys(fresh, stored, keys))

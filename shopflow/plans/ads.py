@@ -21,6 +21,9 @@ from shopflow.operators.topk import top_n
 # puts the user on the blacklist.
 BLACKLIST_THRESHOLD = 100
 
+# Validity rule: a click's time lies in the years 1 to 9999 (UTC, milliseconds).
+MIN_TIME_MS, MAX_TIME_MS = -62_135_596_800_000, 253_402_300_799_999
+
 USER_KEYS = ["date", "userid", "adid"]
 STAT_KEYS = ["date", "province", "city", "adid"]
 PROVINCE_KEYS = ["date", "province", "adid"]
@@ -30,7 +33,7 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``<epoch ms> <province> <city> <userid> <adid>`` -> typed columns.
 
     Lines with fewer than five fields or a non-numeric time, user or ad are
-    dropped.  ``date`` is ``yyyy-MM-dd`` of the click in the session zone.
+    dropped, as is a time outside the years 1 to 9999.  ``date`` is ``yyyy-MM-dd`` of the click in the session zone.
     """
     f = F.split(F.col(value_col), " ")
     field = lambda i: F.try_element_at(f, F.lit(i))  # noqa: E731  (1-based)
@@ -41,7 +44,7 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
         field(3).alias("city"),
         field(4).try_cast("bigint").alias("userid"),
         field(5).try_cast("bigint").alias("adid"),
-    ).where(F.col("ts_ms").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull()
+    ).where(F.col("ts_ms").between(MIN_TIME_MS, MAX_TIME_MS) & F.col("userid").isNotNull() & F.col("adid").isNotNull()
             & F.col("province").isNotNull() & F.col("city").isNotNull())
     ts = F.timestamp_millis("ts_ms")
     return parsed.select("ts_ms", ts.alias("ts"), F.date_format(ts, DATE_FORMAT).alias("date"),
@@ -78,10 +81,8 @@ def blacklist_update(
     new_counts = upsert_add(stored_counts, batch_counts, USER_KEYS, ["click_count"])
     # Totals of the batch's keys only: batch count + stored count (0 if none),
     # without aggregating the whole stored table a second time.
-    stored = lookup_with_default(batch_counts.select(*USER_KEYS), stored_counts, USER_KEYS, "click_count",
-                                 alias="stored_count")
-    totals = stored.join(batch_counts, USER_KEYS).select(
-        *USER_KEYS, (F.col("click_count") + F.col("stored_count")).alias("click_count"))
+    both = lookup_with_default(batch_counts, stored_counts, USER_KEYS, "click_count", alias="stored_count")
+    totals = both.select(*USER_KEYS, (F.col("click_count") + F.col("stored_count")).alias("click_count"))
     new_users = users_over_threshold(totals, threshold)
     return new_counts, insert_new(stored_blacklist, new_users, ["userid"])
 
@@ -120,29 +121,37 @@ def bucket_counts(log: DataFrame, slide_minutes: int = 1) -> DataFrame:
     return log.groupBy("adid", bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def window_counts_from_buckets(per_bucket: DataFrame, k: int) -> DataFrame:
+def window_counts_from_buckets(per_bucket: DataFrame, k: int, part: int | None = None) -> DataFrame:
     """(adid, b, click_count) for every window of ``k`` buckets starting at ``b``
     that holds at least one click, from per-bucket counts (adid, b, n).
 
-    The windows that hold clicks start in the union of ``[b-k+1, b]`` over the
-    active buckets ``b`` of an ad; those intervals are merged per ad (a
-    ``lag`` over the ad's buckets), enumerated once, and each window's count
-    is a ``rangeBetween(0, k-1)`` sum over the bucket counts.  No row is
-    copied k times, and an ad's window holds at most one row per bucket of
-    the time span, however many clicks the ad has.
+    An ad's span is cut into parts of ``part`` buckets (default: at least a day
+    of minutes, never less than ``k``).  The windows that start in a part
+    need its buckets and the ``k - 1`` that follow, so those of the next part's
+    first ``k - 1`` buckets are copied to it; then every part is on its own.
+    Window starts with clicks are the union of ``[b-k+1, b]`` over the active
+    buckets ``b``; those intervals are merged (a ``lag`` over the part's
+    buckets), cut to the part, enumerated once, and each window's count is a
+    ``rangeBetween(0, k-1)`` sum.  No row is copied k times.
     """
-    by_ad = Window.partitionBy("adid").orderBy("b")
-    gap = F.lag("b").over(by_ad)
-    runs = per_bucket.select(
-        "adid", "b",
-        F.sum(F.when(gap.isNull() | (gap < F.col("b") - F.lit(k)), 1).otherwise(0)).over(by_ad).alias("run"),
+    size = max(k, part or 1440)
+    own = F.floor(F.col("b") / F.lit(size)).cast("bigint")
+    rows = per_bucket.select("adid", "b", F.col("n").cast("bigint").alias("n"), own.alias("p"))
+    overlap = rows.where(F.col("b") - F.col("p") * F.lit(size) < F.lit(k - 1)).withColumn("p", F.col("p") - 1)
+    parts = rows.unionByName(overlap)
+    by_part = Window.partitionBy("adid", "p").orderBy("b")
+    gap = F.lag("b").over(by_part)
+    runs = parts.select(
+        "adid", "p", "b",
+        F.sum(F.when(gap.isNull() | (gap < F.col("b") - F.lit(k)), 1).otherwise(0)).over(by_part).alias("run"),
     )
-    spans = runs.groupBy("adid", "run").agg((F.min("b") - F.lit(k - 1)).alias("lo"), F.max("b").alias("hi"))
-    starts = spans.select("adid", F.explode(F.sequence("lo", "hi")).alias("b"),
+    spans = runs.groupBy("adid", "p", "run").agg(
+        F.greatest(F.min("b") - F.lit(k - 1), F.col("p") * F.lit(size)).alias("lo"),
+        F.least(F.max("b"), (F.col("p") + 1) * F.lit(size) - 1).alias("hi")).where("lo <= hi")
+    starts = spans.select("adid", "p", F.explode(F.sequence("lo", "hi")).alias("b"),
                           F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_start"))
-    both = per_bucket.select("adid", "b", F.col("n").cast("bigint").alias("n"),
-                             F.lit(False).alias("is_start")).unionByName(starts)
-    frame = Window.partitionBy("adid").orderBy("b").rangeBetween(0, k - 1)
+    both = parts.withColumn("is_start", F.lit(False)).unionByName(starts)
+    frame = Window.partitionBy("adid", "p").orderBy("b").rangeBetween(0, k - 1)
     counted = both.select("adid", "b", "is_start", F.sum("n").over(frame).alias("click_count"))
     return counted.where(F.col("is_start")).select("adid", "b", F.col("click_count").cast("bigint").alias("click_count"))
 

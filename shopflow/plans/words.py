@@ -28,7 +28,7 @@ def word_count(lines: DataFrame, line_col: str = "line", keep_empty: bool = True
 
 def text_file_lines(spark, path: str) -> DataFrame:
     """One row per line of text files (column ``line``)."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
 def delimited_rows(lines: DataFrame, ddl: str, sep: str = ",", line_col: str = "value") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shopflow.functions import dates as fd
 from shopflow.functions import strings as fs
 from shopflow.plans import words
-from shopflow.sources.store import replace_table, write_csv
+from shopflow.sources.store import read_csv, replace_table, write_csv
 
 
 def one(spark, expr):
@@ -67,19 +67,25 @@ def test_string_functions(spark):
     assert one(spark, fs.kv_get(F.lit("a=1|b=|c=3"), "c")) == "3"
     assert one(spark, fs.kv_get(F.lit("a=1"), "z")) is None
     assert one(spark, fs.kv_set(F.lit("b=2|a=1"), "b", "9")) == "a=1|b=9"
+    # longer text is not cut, repeated keys do not fail, NULL text is NULL
+    assert one(spark, fs.pad_two(F.lit("123"))) == "123" and one(spark, fs.pad_two(F.lit("12"))) == "12"
+    assert one(spark, fs.kv_get(F.lit("a=1|a=2"), "a")) == "1"
+    assert one(spark, fs.kv_get(F.lit("a=|a=2=|b.=3"), "a")) == "2" and one(spark, fs.kv_get(F.lit("bx=3"), "b.")) is None
+    assert one(spark, fs.kv_get(F.lit(None).cast("string"), "a")) is None
+    assert one(spark, fs.kv_set(F.lit("b=1|b=2|a=1|a=5"), "a", "9")) == "a=9|b=2"
+    assert one(spark, fs.concat_long_string(F.lit(3), F.lit(None).cast("string"), ";")) is None
     assert one(spark, fs.concat_long_string(F.lit(3), F.lit("广州"), ";")) == "3;广州"
     assert one(spark, F.round(F.lit(0.285), 2)) == 0.29 and one(spark, F.round(F.lit(1.005), 2)) == 1.01
 
 
-def test_csv_single_file_and_replace_table(spark, tmp_dir):
-    df = spark.sql("select * from values ('a', 1L), ('b', 2L) as t(word, count)").repartition(3)
+def test_csv_keeps_text_and_replace_table(spark, tmp_dir):
+    texts = ["\tb", "b", "", None, " x ", 'q"uo"te', "a,b", "back\\slash\\", "cr\rx", "'", "#c", "NULL", '""', "\\"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "word string, count long").repartition(3)
     out = os.path.join(tmp_dir, "wc")
-    # an RDD-backed frame has no size estimate, so it is never funnelled into one task
-    rdd_backed = spark.createDataFrame([("a", 1)], "word string, count long")
-    assert write_csv(rdd_backed, os.path.join(tmp_dir, "unknown")) == 0
-    assert write_csv(df, out) == 1
-    assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1
-    assert write_csv(df, out + "2", max_single_bytes=0) == 0
+    for single in (True, False):
+        write_csv(df, out, single_file=single)
+        assert (len(glob.glob(os.path.join(out, "part-*.csv"))) == 1) == single
+        assert sorted(read_csv(spark, out, df.schema).collect(), key=lambda r: r[1]) == sorted(df.collect(), key=lambda r: r[1])
     replace_table(df, "wc_table")
     replace_table(df.where("count = 1"), "wc_table")
     assert spark.table("wc_table").count() == 1
