@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 
 from shopflow.catalog.ads import STAT_CTE, ad_with, parsed_log
-from shopflow.catalog.registry import register
+from shopflow.catalog.registry import ORACLES, register
 from shopflow.config import fresh_dir
 from shopflow.plans import ads, words
 from shopflow.sources import views
-from shopflow.sources.store import replace_table, write_csv
+from shopflow.sources.store import read_csv, replace_table, write_csv
 
 # ------------------------------------------------------------------ sinks --
 
@@ -29,8 +29,25 @@ def q_replace_table(spark, sf_dir):
 
 @register("csv_single_file", ad_with(STAT_CTE) + "select * from stat")
 def q_csv_single_file(spark, sf_dir):
-    """K3: the ad statistics written as CSV (one file when provably small), read back."""
+    """K3: the ad statistics written as one CSV file, read back."""
     path = fresh_dir(spark, "csv")
     stat = ads.ad_stat(parsed_log(spark, sf_dir))
     write_csv(stat, path)
-    return spark.read.schema(stat.schema).option("header", True).csv(path)
+    return read_csv(spark, path, stat.schema)
+
+
+@register("csv_word_count", ORACLES["word_count"])
+def q_csv_word_count(spark, sf_dir):
+    """K3: the word counts of all documents written as CSV by all tasks, read back unchanged."""
+    path = fresh_dir(spark, "csv")
+    counts = words.word_count(views.document_lines(spark, sf_dir))
+    write_csv(counts, path, single_file=False)
+    return read_csv(spark, path, counts.schema)
+
+
+@register("text_file_word_count", ORACLES["word_count"])
+def q_text_file_word_count(spark, sf_dir):
+    """The documents' lines as text files, read as text and counted."""
+    path = fresh_dir(spark, "text")
+    views.document_lines(spark, sf_dir).select("line").write.option("lineSep", "\n").text(path)
+    return words.word_count(words.text_file_lines(spark, path))

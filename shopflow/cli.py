@@ -7,6 +7,7 @@
     python -m shopflow.cli top1           --input CSV_LINES --out O
     python -m shopflow.cli ad-stream      --source DIR | --kafka-servers H --topic T [--kafka-option K=V]
                                           --tables DIR
+    python -m shopflow.cli sliding-hour   --tables DIR --out O   (60-minute windows of the ad stream's counts)
     python -m shopflow.cli stream-word-count --source DIR | --host H --port N  --tables DIR
     (stream jobs: --available-now processes what has arrived and stops)
 
@@ -42,7 +43,11 @@ def _params(path: str) -> TaskParams:
 
 def _write(df: DataFrame, args) -> None:
     if args.jdbc_url:
-        write_jdbc(df, args.jdbc_url, args.jdbc_table, args.jdbc_user, args.jdbc_password)
+        password = None
+        if args.jdbc_password_file:
+            with open(args.jdbc_password_file) as f:
+                password = f.read().strip()
+        write_jdbc(df, args.jdbc_url, args.jdbc_table, args.jdbc_user, password)
     else:
         df.write.mode("overwrite").parquet(args.out)
 
@@ -50,11 +55,13 @@ def _write(df: DataFrame, args) -> None:
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shopflow")
     ap.add_argument("job", choices=["session-ratio", "page-convert", "area-top3", "word-count", "top1",
-                                    "ad-stream", "stream-word-count"])
+                                    "ad-stream", "sliding-hour", "stream-word-count"])
     for opt in ("actions", "users", "products", "params", "input", "out", "source", "tables", "kafka-servers",
-                "topic", "host", "jdbc-url", "jdbc-table", "jdbc-user", "jdbc-password", "master", "task-id"):
+                "topic", "host", "jdbc-url", "jdbc-table", "jdbc-user", "jdbc-password-file", "master", "task-id"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--port", type=int)
+    ap.add_argument("--hive", action="store_true", help="use the Hive catalog for table:<name> inputs")
+    ap.add_argument("--many-files", action="store_true", help="word-count: write the CSV with all tasks instead of as one file")
     ap.add_argument("--threshold", type=int, default=100)
     ap.add_argument("--kafka-option", action="append", default=[], metavar="KEY=VALUE",
                     help="extra Kafka source option, e.g. startingOffsets=earliest (repeatable)")
@@ -62,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
                     help="stream jobs: process what has arrived, then stop (catch-up run)")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master, app_name=f"shopflow-{args.job}")
+    spark = build_session(args.master, app_name=f"shopflow-{args.job}", hive=args.hive)
     ensure_utc(spark)
     trigger = {"availableNow": True} if args.available_now else None
 
@@ -76,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
         _write(area.area_top3(_read(spark, args.actions), _read(spark, args.products), city_area(spark),
                               p.start_date, p.end_date, task_id=args.task_id), args)
     elif args.job == "word-count":
-        write_csv(words.word_count(words.text_file_lines(spark, args.input)), args.out)
+        write_csv(words.word_count(words.text_file_lines(spark, args.input)), args.out, single_file=not args.many_files)
     elif args.job == "top1":
         rows = words.delimited_rows(spark.read.text(args.input), "id STRING, name STRING, age INT")
         _write(words.top1_per_key(rows), args)
@@ -90,14 +97,18 @@ def main(argv: list[str] | None = None) -> None:
             kafka.update(dict(opt.split("=", 1) for opt in args.kafka_option))
         job = sa.AdStreamJob(sa.AdTables(spark, f"{args.tables}/tables"), args.threshold)
         job.start(ad_log_stream(spark, args.source, kafka), f"{args.tables}/checkpoint", trigger).awaitTermination()
+    elif args.job == "sliding-hour":
+        from shopflow.streaming import ads as sa
+
+        _write(sa.AdTables(spark, f"{args.tables}/tables").read_sliding_hour(), args)
     elif args.job == "stream-word-count":
-        from shopflow.sources.store import VersionedTable
+        from shopflow.sources.store import ResultTable
         from shopflow.streaming import words as sw
         from shopflow.streaming.sources import socket_text_stream, text_line_stream
 
         lines = (socket_text_stream(spark, args.host, args.port) if args.host
                  else text_line_stream(spark, args.source))
-        table = VersionedTable(spark, f"{args.tables}/word_count", sw.WORD_COUNT_SCHEMA)
+        table = ResultTable(spark, f"{args.tables}/word_count", sw.WORD_COUNT_SCHEMA)
         sw.start_word_count(lines, table, f"{args.tables}/checkpoint", trigger).awaitTermination()
 
 

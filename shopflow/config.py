@@ -3,7 +3,7 @@
 Everything that must survive an executor loss (stream checkpoints, table
 versions, lineage cuts) goes below the folder the cluster names in
 ``spark.checkpoint.dir``.  A folder of our own is chosen only where that
-setting is unset, which in practice means local tests.
+setting is unset and the master is local, as in tests.
 """
 
 from __future__ import annotations
@@ -36,14 +36,18 @@ def build_session(
     app_name: str = "shopflow",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Create (or fetch) a session with the library's defaults.
 
     ``master`` is left to ``spark-submit`` / the cluster when None.
+    ``hive`` uses the Hive catalog, as the reference's batch jobs do.
     ``shuffle_partitions`` defaults to Spark's own value; on a cluster it
     should be sized so a shuffle partition holds roughly 128-256 MB.
     """
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master is not None:
         builder = builder.master(master)
     for key, value in DEFAULT_CONF.items():
@@ -54,7 +58,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    work_dir(spark)
     return spark
 
 
@@ -75,12 +78,16 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """Shared work folder below the session's checkpoint dir.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only if
-    neither is set, a fresh local folder is created and registered, as tests
-    need.  ``parts`` are appended as sub-folders.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  If
+    neither is set, a fresh local folder is created and registered on a
+    ``local`` master, as tests need; on a cluster, whose executors could
+    not read it, that is an error.  ``parts`` are appended as sub-folders.
     """
     base = _checkpoint_dir(spark)
     if base is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="shopflow-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = _checkpoint_dir(spark) or base

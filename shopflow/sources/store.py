@@ -1,236 +1,76 @@
-"""Result tables kept as parquet versions in a shared folder, and sinks (K1-K3).
-
-Parquet cannot be overwritten while it is being read, and a stream's
-``foreachBatch`` may run a batch twice after a failure.  A ``VersionedTable``
-therefore writes every new state to a fresh ``sfver=<n>`` folder and only then
-drops a commit marker ``_commits/<n>`` holding the batch id that produced it;
-readers take the highest committed version.  A batch id at or below the last
-committed one is skipped, which makes the adding upsert (K6) exactly-once.
-
-All paths go through Hadoop's FileSystem API, so the table can live on any
-file system the cluster shares (HDFS, object stores, a local folder in tests).
+"""Result tables of stream jobs as plain Parquet folders, and sinks (K1-K3).
+
+A stream's ``foreachBatch`` may run a batch twice after a failure, and Parquet
+cannot be changed in place.  So a batch writes its own rows only, to the folder
+``batch_id=<n>`` of the table, with Spark's own committer; a repeated batch
+replaces that folder and nothing else.  What the table says is a query over
+all batches: deltas are summed (K6), the latest batch of a key (K7) or of
+a group (K8) counts, keys are made distinct (K9).  A batch costs what it
+holds, however large the table has become.  ``fold`` is the separate batch
+job that rewrites a long history as one batch of a new table.
 """
 
 from __future__ import annotations
 
-import json
-from urllib.parse import unquote
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.operators.joins import estimated_bytes
-
-
-VERSION_COL = "sfver"
-
-
-class VersionedTable:
-    """A result table kept as committed parquet versions.
-
-    Unpartitioned, a commit holds the whole table.  With ``partition_by``, a
-    commit holds only the partitions present in the new data (written with
-    ``partitionBy`` into ``sfver=<n>``) and the commit marker is a manifest that
-    maps every partition to the version folder holding its current rows, so
-    a micro-batch that touches today's date rewrites today's partition only.
-    A partition whose new content is empty keeps its previous rows.
-
-    Only the newest ``keep_versions`` commits are retained: every
-    ``keep_versions`` commits, older markers and version folders that none of
-    the kept manifests reference are deleted, so storage and the marker
-    listing stay bounded for a stream that commits every few seconds.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
-                 partition_by: list[str] | None = None, keep_versions: int = 10):
-        if keep_versions < 2:
-            raise ValueError("keep_versions must be >= 2 (a retry reads the version before the batch)")
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.schema = schema
-        self.partition_by = list(partition_by or [])
-        self.keep_versions = keep_versions
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    # -- commit markers -----------------------------------------------------
-    def _read_text(self, path) -> str:
-        stream = self._fs.open(path)
-        try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _versions(self) -> list[int]:
-        d = self._Path(self.root + "/_commits")
-        if not self._fs.exists(d):
-            return []
-        return sorted(int(st.getPath().getName()) for st in self._fs.listStatus(d)
-                      if st.getPath().getName().isdigit())
+BATCH = "batch_id"
 
-    def _latest(self) -> tuple[int, dict]:
-        versions = self._versions()
-        if not versions:
-            return 0, {"batch_id": -1, "parts": {}}
-        v = versions[-1]
-        return v, self._manifest(v)
 
-    def _manifest(self, version: int) -> dict:
-        return json.loads(self._read_text(self._Path(f"{self.root}/_commits/{version:020d}")))
+class ResultTable:
+    """Rows of many batches under ``root/batch_id=<n>``, inside it by ``partition_by``."""
 
-    def version_before(self, batch_id: int) -> int:
-        """The newest version committed by a batch before ``batch_id`` (0 if none).
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, partition_by: Sequence[str] = ()):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.partition_by = list(partition_by)
 
-        A retried batch then sees the same input state as its first attempt.
-        """
-        kept = self._versions()
-        for v in reversed(kept):
-            if int(self._manifest(v)["batch_id"]) < batch_id:
-                return v
-        return 0
-
-    @property
-    def version(self) -> int:
-        return self._latest()[0]
-
-    @property
-    def last_batch_id(self) -> int:
-        return int(self._latest()[1]["batch_id"])
-
-    def _data_path(self, version: int) -> str:
-        return f"{self.root}/{VERSION_COL}={version}"
-
-    # -- read ---------------------------------------------------------------
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
-
-    def read(self, partitions: list[dict] | None = None, version: int | None = None) -> DataFrame:
-        """Current rows (or those of ``version``); with ``partitions`` (list of
-        {column: value}) only those partitions."""
-        v, man = self._latest()
-        if version is not None and version != v:
-            v = version
-            man = self._manifest(v) if v > 0 else man
-        if v == 0:
-            return self._empty()
-        if not self.partition_by:
-            return self.spark.read.schema(self.schema).parquet(self._data_path(v))
-        parts = man["parts"]
-        if partitions is not None:
-            wanted = {tuple(_part_text(p[c]) for c in self.partition_by) for p in partitions}
-            parts = {k: pv for k, pv in parts.items() if _part_values(k, self.partition_by) in wanted}
-        if not parts:
-            return self._empty()
-        # One scan: the version folder is read as one more partition column.
-        paths = [f"{self._data_path(pv)}/{k}" for k, pv in sorted(parts.items())]
-        with_version = T.StructType(self.schema.fields + [T.StructField(VERSION_COL, T.IntegerType(), True)])
-        df = self.spark.read.schema(with_version).option("basePath", self.root).parquet(*paths)
-        return df.select(*[f.name for f in self.schema.fields])
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Write (or replace) the rows of one batch; no rows are an empty batch."""
+        out = df.select(*[f.name for f in self.schema.fields])
+        if self.partition_by:  # few files for few rows, many for a large partition
+            out = out.hint("rebalance", *self.partition_by)
+        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.root}/{BATCH}={batch_id}")
 
-    # -- write --------------------------------------------------------------
-    def commit(self, df: DataFrame, batch_id: int = -1) -> bool:
-        """Write ``df`` as the next version; skip if ``batch_id`` is already in.
+    def rows(self, before: int | None = None) -> DataFrame:
+        """All rows with their ``batch_id``; with ``before`` those of earlier batches only."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType(), True)])
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.root).select(*schema.names)
+        return rows if before is None else rows.where(F.col(BATCH) < F.lit(before))
 
-        Partitioned: ``df`` holds the full new content of the partitions it
-        has rows for; other partitions keep their rows.  Returns False when
-        skipped.
-        """
-        v, man = self._latest()
-        if batch_id >= 0 and batch_id <= int(man["batch_id"]):
-            return False
-        nxt = v + 1
-        rows = df.select(*[f.name for f in self.schema.fields])
-        if self.partition_by:
-            # Rebalance on the partition columns: AQE packs small partitions
-            # into few files and splits a large one across several writers.
-            rows = rows.hint("rebalance", *self.partition_by)
-        out = rows.write.mode("overwrite")
-        if self.partition_by:
-            out.partitionBy(*self.partition_by).parquet(self._data_path(nxt))
-            parts = dict(man["parts"])
-            for rel in self._written_partitions(self._data_path(nxt)):
-                parts[rel] = nxt
-        else:
-            out.parquet(self._data_path(nxt))
-            parts = {}
-        marker = self._Path(f"{self.root}/_commits/{nxt:020d}")
-        stream = self._fs.create(marker, False)  # fails if another writer committed nxt
-        try:
-            stream.write(bytearray(json.dumps({"batch_id": batch_id, "parts": parts}).encode()))
-        finally:
-            stream.close()
-        if nxt % self.keep_versions == 0:
-            self.vacuum()
-        return True
-
-    def vacuum(self) -> int:
-        """Delete commits older than the newest ``keep_versions`` and the
-        version folders no kept manifest references; returns folders deleted."""
-        versions = self._versions()
-        if len(versions) <= self.keep_versions:
-            return 0
-        kept = versions[-self.keep_versions:]
-        referenced = set(kept)
-        if self.partition_by:
-            for v in kept:
-                referenced |= {int(pv) for pv in self._manifest(v)["parts"].values()}
-        for v in versions[:-self.keep_versions]:
-            self._fs.delete(self._Path(f"{self.root}/_commits/{v:020d}"), False)
-        deleted = 0
-        prefix = f"{VERSION_COL}="
-        for st in self._fs.listStatus(self._Path(self.root)):
-            name = st.getPath().getName()
-            if name.startswith(prefix) and name[len(prefix):].isdigit():
-                v = int(name[len(prefix):])
-                if v < kept[0] and v not in referenced:
-                    self._fs.delete(st.getPath(), True)
-                    deleted += 1
-        return deleted
-
-    def _written_partitions(self, base: str) -> list[str]:
-        rels = [""]
-        for _ in self.partition_by:
-            nxt = []
-            for rel in rels:
-                d = self._Path(f"{base}/{rel}" if rel else base)
-                for st in self._fs.listStatus(d):
-                    name = st.getPath().getName()
-                    if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
-                        nxt.append(f"{rel}/{name}" if rel else name)
-            rels = nxt
-        return rels
+    def fold(self, new_root: str, read: Callable[[DataFrame], DataFrame], upto: int) -> ResultTable:
+        """A new table whose batch ``upto`` holds ``read`` of all batches up to it, and no other batch.
 
-    def apply(self, fn, batch_id: int = -1, touched: DataFrame | None = None,
-              partitions: list[dict] | None = None) -> bool:
-        """Commit ``fn(current) -> new`` unless this batch id was applied.
-
-        For a partitioned table, ``partitions`` (list of {column: value}) or
-        ``touched`` (rows carrying the partition columns, e.g. the batch)
-        limit both the read and the rewrite to those partitions; only their
-        distinct values reach the driver.
+        Run it while the stream is stopped, and go on with the new table and the same checkpoint.
         """
-        if batch_id >= 0 and batch_id <= self.last_batch_id:
-            return False
-        if self.partition_by and (touched is not None or partitions is not None):
-            keys = partitions if partitions is not None else [
-                r.asDict() for r in touched.select(*self.partition_by).distinct().collect()]
-            if not keys:
-                return self.commit(self._empty(), batch_id)
-            return self.commit(fn(self.read(keys)), batch_id)
-        return self.commit(fn(self.read()), batch_id)
+        out = ResultTable(self.spark, new_root, self.schema, self.partition_by)
+        out.write(read(self.rows(upto + 1)), upto)
+        return out
 
 
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL value
+def summed(rows: DataFrame, keys: Sequence[str], value: str = "click_count") -> DataFrame:
+    """K6 read: the deltas of each key added up."""
+    return rows.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value))
 
 
-def _part_text(value) -> str:
-    return NULL_PARTITION if value is None else str(value)
+def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K7 read: each key's row of its latest batch."""
+    others = [c for c in rows.columns if c not in (*keys, BATCH)]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), BATCH).alias("__r"))
+    return newest.select(*keys, "__r.*")
 
 
-def _part_values(rel: str, cols: list[str]) -> tuple[str, ...]:
-    kv = dict(seg.split("=", 1) for seg in rel.split("/"))
-    return tuple(unquote(kv[c]) for c in cols)
+def latest_groups(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """K8 read: all rows that the latest batch of each group has."""
+    newest = F.max(BATCH).over(Window.partitionBy(*group))
+    return rows.withColumn("__b", newest).where(F.col("__b") == F.col(BATCH)).drop("__b", BATCH)
 
 
 def write_jdbc(
@@ -246,14 +86,15 @@ def write_jdbc(
     """K1: append (or overwrite) rows into a JDBC table.
 
     Each task writes its partition with batched inserts; ``num_partitions``
-    bounds the number of concurrent connections the database sees.
+    bounds the number of concurrent connections the database sees, without
+    bounding the tasks that compute the rows.
     """
     props = {"batchsize": str(batchsize)}
     if user is not None:
         props["user"] = user
     if password is not None:
         props["password"] = password
-    out = df.coalesce(num_partitions) if num_partitions else df
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.jdbc(url, table, mode=mode, properties=props)
 
 
@@ -269,21 +110,24 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     w.saveAsTable(name)
 
 
-SINGLE_FILE_MAX_BYTES = 1 << 30
+# Text comes back as it was: no trimming, quotes doubled, NULL and '' told apart,
+# a line ends with \n only.  A text equal to the NULL mark comes back as NULL.
+CSV_OPTIONS = {
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "\\N", "lineSep": "\n",
+    "quote": '"', "escape": '"',
+}
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True, header: bool = True,
-              max_single_bytes: int = SINGLE_FILE_MAX_BYTES) -> int:
-    """K3: write CSV; as one file when the result is known to be small.
+def write_csv(df: DataFrame, path: str, single_file: bool = True, header: bool = True) -> None:
+    """K3: write CSV.
 
-    One file means one writing task, so it is done only when the optimizer's
-    size estimate is within ``max_single_bytes``; otherwise the rows are
-    written in parts by all tasks (same rows, several files).
-    Returns 1 for a single file, 0 for a multi-part write.
+    ``single_file`` is the caller's choice and gives one file at any size; the rows
+    go to the one writer by a shuffle, so everything before it still runs on all tasks.
     """
-    size = estimated_bytes(df)
-    if single_file and size is not None and size <= max_single_bytes:
-        df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
-        return 1
-    df.write.mode("overwrite").option("header", header).csv(path)
-    return 0
+    out = df.repartition(1) if single_file else df
+    out.write.mode("overwrite").options(**CSV_OPTIONS, emptyValue='""').option("header", header).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+    """What ``write_csv`` wrote."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS, emptyValue="").option("header", header).csv(path)

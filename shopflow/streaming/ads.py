@@ -1,29 +1,25 @@
-"""Q4-Q7 as Structured Streaming queries.
-
-Two forms:
-
-* ``AdStreamJob`` - the reference's live job: every micro-batch re-reads the
-  blacklist (J4), drops blacklisted users' clicks, adds the batch's counts to
-  the stored per-(date, user, ad) counts (K6), blacklists users whose stored
-  total passes the threshold (F7, A9, K9), adds city counts (Q5), replaces the
-  top-3 of the (date, province) groups the batch touched (Q6, K8) and adds
-  the per-minute trend (Q7).  State lives in ``VersionedTable``s; a batch
-  id that a table already holds is skipped, so retries add nothing twice.
-  A user is blocked from the batch after the one that crossed the threshold.
-
-* Stateful streaming aggregations (``*_stream``): event-time windows with a
-  watermark keep state bounded; results go out in ``update`` mode through an
-  overwriting upsert (K7).  The sliding hour keeps per-minute counts in state
-  and recomputes only the windows an updated minute touches
-  (``sliding_from_minutes_sink``).  They apply a blacklist snapshot (stream-static
-  anti join) when one is given; a blacklist that changes while the query
-  runs needs ``AdStreamJob``.
+"""Q4-Q7 as streaming jobs.
+
+Each micro-batch adds its own counts; nothing waits for a watermark, so a late
+click counts whenever it arrives, as in a count that is kept for ever.  State
+lives in ``ResultTable``s: a batch writes its deltas to its own folder, a
+repeated batch replaces it, and the tables are read by summing deltas (K6), taking
+the latest batch of a group (K8) or distinct users (K9).
+
+* ``AdStreamJob`` is the live job: every micro-batch re-reads the blacklist of
+  the batches before (J4), drops blacklisted users' clicks, adds the batch's
+  counts per (date, user, ad) (K6), blacklists users whose total passes the
+  threshold (F7, A9, K9), adds city counts (Q5), replaces the top-3 of the
+  (date, province) groups it touched (Q6, K8) and adds the per-minute trend
+  (Q7), from which the sliding hour is read (T4).  A user is blocked from the
+  batch after the one that crossed the threshold.
+* ``delta_sink`` and ``top3_sink`` run one statistic alone, without a blacklist.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +27,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.util import inheritable_thread_target
 
-from shopflow.functions.dates import DATE_FORMAT, DATEKEY_FORMAT, TIME_FORMAT
-from shopflow.operators.joins import exclude_keys
-from shopflow.operators.tables import insert_new, replace_groups, upsert_add, upsert_replace
+from shopflow.functions.dates import TIME_FORMAT
 from shopflow.plans import ads
-from shopflow.plans.ads import window_counts_from_buckets
-from shopflow.sources.store import VersionedTable
+from shopflow.sources.store import BATCH, ResultTable, latest_groups, summed
 
 S, L = T.StringType(), T.LongType()
 
@@ -48,28 +41,57 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 USER_COUNT_SCHEMA = _schema(("date", S), ("userid", L), ("adid", L), ("click_count", L))
 BLACKLIST_SCHEMA = _schema(("userid", L))
 AD_STAT_SCHEMA = _schema(("date", S), ("province", S), ("city", S), ("adid", L), ("click_count", L))
-PROVINCE_COUNT_SCHEMA = _schema(("date", S), ("province", S), ("adid", L), ("click_count", L))
-PROVINCE_TOP3_SCHEMA = PROVINCE_COUNT_SCHEMA
+PROVINCE_TOP3_SCHEMA = _schema(("date", S), ("province", S), ("adid", L), ("click_count", L))
 TREND_SCHEMA = _schema(("date", S), ("hour", S), ("minute", S), ("adid", L), ("click_count", L))
-WINDOW_COUNT_SCHEMA = _schema(("window_start", S), ("window_end", S), ("adid", L), ("click_count", L))
 TREND_KEYS = ["date", "hour", "minute", "adid"]
+GROUP_KEYS = ["date", "province"]
 
 
-class AdTables:
-    """The five result tables of the live job under one shared root.
+def trend_windows(trend: DataFrame, window_minutes: int = 60) -> DataFrame:
+    """T4: windows of ``window_minutes`` sliding by a minute, from summed minute counts."""
+    minute = F.to_timestamp(F.concat("date", "hour", "minute"), "yyyyMMddHHmm")
+    per_minute = trend.select("adid", (F.unix_timestamp(minute) / 60).cast("bigint").alias("b"), F.col("click_count").alias("n"))
+    start = F.col("b") * F.lit(60)
+    return ads.window_counts_from_buckets(per_minute, window_minutes).select(
+        F.date_format(F.timestamp_seconds(start), TIME_FORMAT).alias("window_start"),
+        F.date_format(F.timestamp_seconds(start + F.lit(60 * window_minutes)), TIME_FORMAT).alias("window_end"),
+        "adid", "click_count")
+
 
-    Tables keyed by date are partitioned by it, so a micro-batch rewrites
-    only the dates it touched.
-    """
+class AdTables:
+    """The result tables of the live job under one shared root, and how they are read."""
 
     def __init__(self, spark: SparkSession, root: str):
         r = root.rstrip("/")
-        by_date = ["date"]
-        self.user_counts = VersionedTable(spark, f"{r}/ad_user_click_count", USER_COUNT_SCHEMA, by_date)
-        self.blacklist = VersionedTable(spark, f"{r}/ad_blacklist", BLACKLIST_SCHEMA)
-        self.ad_stat = VersionedTable(spark, f"{r}/ad_stat", AD_STAT_SCHEMA, by_date)
-        self.province_top3 = VersionedTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3_SCHEMA, by_date)
-        self.click_trend = VersionedTable(spark, f"{r}/ad_click_trend", TREND_SCHEMA, by_date)
+        self.user_counts = ResultTable(spark, f"{r}/ad_user_click_count", USER_COUNT_SCHEMA, ["date"])
+        self.blacklist = ResultTable(spark, f"{r}/ad_blacklist", BLACKLIST_SCHEMA)
+        self.ad_stat = ResultTable(spark, f"{r}/ad_stat", AD_STAT_SCHEMA, ["date"])
+        self.province_top3 = ResultTable(spark, f"{r}/ad_province_top3", PROVINCE_TOP3_SCHEMA, ["date"])
+        self.click_trend = ResultTable(spark, f"{r}/ad_click_trend", TREND_SCHEMA, ["date"])
+
+    def read_user_counts(self) -> DataFrame:
+        return summed(self.user_counts.rows(), ads.USER_KEYS)
+
+    def read_blacklist(self, before: int | None = None) -> DataFrame:
+        return self.blacklist.rows(before).select("userid").distinct()
+
+    def read_ad_stat(self) -> DataFrame:
+        return summed(self.ad_stat.rows(), ads.STAT_KEYS)
+
+    def read_province_top3(self) -> DataFrame:
+        return latest_groups(self.province_top3.rows(), GROUP_KEYS)
+
+    def read_click_trend(self) -> DataFrame:
+        return summed(self.click_trend.rows(), TREND_KEYS)
+
+    def read_sliding_hour(self) -> DataFrame:
+        return trend_windows(self.read_click_trend())
+
+
+def _touched_top3(stat: ResultTable, batch_id: int, touched: DataFrame) -> DataFrame:
+    """Top-3 of the groups in ``touched``, from the city counts up to this batch."""
+    rows = stat.rows(batch_id + 1).join(touched, GROUP_KEYS, "left_semi")
+    return ads.province_top3(ads.province_ad_counts(rows))
 
 
 class AdStreamJob:
@@ -83,38 +105,28 @@ class AdStreamJob:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         t = self.t
-        # The blacklist as it stood before this batch: a retry of the batch
-        # filters exactly as its first attempt did.
-        black = t.blacklist.read(version=t.blacklist.version_before(batch_id))
-        log = ads.without_blacklisted(ads.parse_ad_log(batch), black).persist()
+        # The blacklist of the batches before: a retry of the batch filters
+        # exactly as its first attempt did.
+        log = ads.without_blacklisted(ads.parse_ad_log(batch), t.read_blacklist(batch_id)).persist()
+
+        def blacklist_chain() -> None:  # T8: K6 -> S10 + F7 -> A9 -> K9
+            counts = ads.user_click_counts(log)
+            t.user_counts.write(counts, batch_id)
+            stored = t.user_counts.rows(batch_id + 1).join(counts.select(*ads.USER_KEYS), ads.USER_KEYS, "left_semi")
+            totals = summed(stored, ads.USER_KEYS)
+            # Users that are on the list already have no clicks left in this batch.
+            t.blacklist.write(ads.users_over_threshold(totals, self.threshold), batch_id)
+
+        def stat_chain() -> None:  # Q5 counts, then Q6 top-3 of the touched groups
+            t.ad_stat.write(ads.ad_stat(log), batch_id)
+            touched = log.select(*GROUP_KEYS).distinct()
+            t.province_top3.write(_touched_top3(t.ad_stat, batch_id, touched), batch_id)
+
+        def trend_chain() -> None:  # Q7 per-minute counts (trend dates are yyyyMMdd)
+            t.click_trend.write(ads.minute_trend(log), batch_id)
+
+        chains = (blacklist_chain, stat_chain, trend_chain)
         try:
-            days = [r.asDict() for r in log.select("date").distinct().collect()]
-
-            def blacklist_chain() -> None:  # T8: K6 -> S10 + F7 -> A9 -> K9
-                t.user_counts.apply(
-                    lambda cur: upsert_add(cur, ads.user_click_counts(log), ads.USER_KEYS, ["click_count"]),
-                    batch_id, partitions=days)
-                keys = log.select(*ads.USER_KEYS).distinct()
-                totals = t.user_counts.read(days).join(keys, ads.USER_KEYS, "left_semi")
-                new_users = ads.users_over_threshold(totals, self.threshold)
-                t.blacklist.apply(lambda cur: insert_new(cur, new_users, ["userid"]), batch_id)
-
-            def stat_chain() -> None:  # Q5 running counts, then Q6 top-3 of the touched groups
-                t.ad_stat.apply(
-                    lambda cur: upsert_add(cur, ads.ad_stat(log), ads.STAT_KEYS, ["click_count"]),
-                    batch_id, partitions=days)
-                touched = log.select("date", "province").distinct()
-                stat = t.ad_stat.read(days).join(touched, ["date", "province"], "left_semi")
-                top = ads.province_top3(ads.province_ad_counts(stat))
-                t.province_top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]),
-                                      batch_id, partitions=days)
-
-            def trend_chain() -> None:  # Q7 per-minute counts, added (trend dates are yyyyMMdd)
-                trend = ads.minute_trend(log)
-                t.click_trend.apply(lambda cur: upsert_add(cur, trend, TREND_KEYS, ["click_count"]),
-                                    batch_id, touched=trend)
-
-            chains = (blacklist_chain, stat_chain, trend_chain)
             if self.parallel:
                 with ThreadPoolExecutor(max_workers=len(chains)) as pool:
                     for f in [pool.submit(inheritable_thread_target(log.sparkSession)(c)) for c in chains]:
@@ -128,155 +140,27 @@ class AdStreamJob:
     def start(self, lines: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         """Start on a stream of lines (``value``); ``trigger``
         defaults to the reference's 2-second micro-batches."""
-        w = lines.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
-        w = w.trigger(**(trigger or {"processingTime": "2 seconds"}))
-        return w.start()
-
-
-# ------------------------------------------------------ stateful queries --
-
-def parsed_stream(lines: DataFrame, blacklist: DataFrame | None = None) -> DataFrame:
-    log = ads.parse_ad_log(lines)
-    return exclude_keys(log, blacklist, ["userid"]) if blacklist is not None else log
-
-
-def daily_stat_stream(log: DataFrame, late: str = "1 day") -> DataFrame:
-    """Running clicks per (date, province, city, adid).
-
-    Grouping on a one-day event-time window instead of the date text lets
-    the watermark drop the state of finished days.
-    """
-    day = F.window("ts", "1 day")
-    agg = log.withWatermark("ts", late).groupBy(day.alias("day"), "province", "city", "adid").count()
-    return agg.select(F.date_format("day.start", DATE_FORMAT).alias("date"), "province", "city", "adid",
-                      F.col("count").alias("click_count"))
-
-
-def daily_province_stream(log: DataFrame, late: str = "1 day") -> DataFrame:
-    """Running clicks per (date, province, adid) (input of T7)."""
-    day = F.window("ts", "1 day")
-    agg = log.withWatermark("ts", late).groupBy(day.alias("day"), "province", "adid").count()
-    return agg.select(F.date_format("day.start", DATE_FORMAT).alias("date"), "province", "adid",
-                      F.col("count").alias("click_count"))
-
-
-def minute_trend_stream(log: DataFrame, late: str = "60 minutes") -> DataFrame:
-    """T5: clicks per one-minute window and ad."""
-    agg = log.withWatermark("ts", late).groupBy(F.window("ts", "1 minute").alias("w"), "adid").count()
-    return agg.select(
-        F.date_format("w.start", DATEKEY_FORMAT).alias("date"),
-        F.date_format("w.start", "HH").alias("hour"),
-        F.date_format("w.start", "mm").alias("minute"),
-        "adid", F.col("count").alias("click_count"),
-    )
-
+        return start_batches(lines, self.process_batch, checkpoint, trigger)
 
-def sliding_hour_stream(log: DataFrame, late: str = "60 minutes", length: str = "60 minutes",
-                        slide: str = "1 minute") -> DataFrame:
-    """T4, direct form: Spark's sliding ``window()``; every click is expanded
-    into ``length / slide`` windows before aggregation.  ``minute_counts_stream``
-    with ``sliding_from_minutes_sink`` gives the same result without that copy."""
-    agg = log.withWatermark("ts", late).groupBy(F.window("ts", length, slide).alias("w"), "adid").count()
-    return agg.select(F.date_format("w.start", TIME_FORMAT).alias("window_start"),
-                      F.date_format("w.end", TIME_FORMAT).alias("window_end"),
-                      "adid", F.col("count").alias("click_count"))
-
-
-MINUTE_COUNT_SCHEMA = _schema(("day", S), ("adid", L), ("b", L), ("n", L))
-WINDOW_TABLE_SCHEMA = _schema(("day", S), ("window_start", S), ("window_end", S), ("adid", L), ("click_count", L))
-
-
-def _day_of_minute(b):
-    return F.date_format(F.timestamp_seconds(b * F.lit(60)), DATE_FORMAT)
-
-
-def minute_counts_stream(log: DataFrame, late: str = "60 minutes") -> DataFrame:
-    """Running clicks per (ad, minute ``b`` since the epoch), the state of T4."""
-    agg = log.withWatermark("ts", late).groupBy(F.window("ts", "1 minute").alias("w"), "adid").count()
-    b = (F.unix_seconds(F.col("w.start")) / F.lit(60)).cast("bigint")
-    return agg.select("adid", b.alias("b"), F.col("count").alias("n"))
-
-
-def sliding_from_minutes_sink(minutes: VersionedTable, windows: VersionedTable, window_minutes: int = 60):
-    """foreachBatch function for T4 from per-minute state.
-
-    The batch holds the updated minute counts.  They are stored (K7, by
-    day), then only the windows that contain an updated minute are
-    recomputed, from the stored minutes of ``[lo, hi + k - 1]`` per ad, with
-    the same interval-merge / range-frame method as the batch job; the
-    results overwrite those windows (K7, by day of the window start).  No
-    click is copied once per window, in the state or in the sink.
-    """
-    k = window_minutes
 
+def delta_sink(table: ResultTable, count: Callable[[DataFrame], DataFrame]):
+    """foreachBatch function: parse the batch's lines and write its counts."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("day", _day_of_minute(F.col("b"))).persist()
-        try:
-            days = [r.asDict() for r in batch.select("day").distinct().collect()]
-            minutes.apply(lambda cur: upsert_replace(cur, batch, ["adid", "b"]), batch_id, partitions=days)
-            span = batch.groupBy("adid").agg((F.min("b") - F.lit(k - 1)).alias("lo"), F.max("b").alias("hi"))
-            bounds = span.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()[0]
-            if bounds.lo is None:  # nothing updated: record the batch only
-                windows.apply(lambda cur: cur, batch_id, partitions=[])
-                return
-            first, last = bounds.lo // 1440, (bounds.hi + k - 1) // 1440
-            needed = [{"day": d} for d in _day_texts(batch.sparkSession, first, last)]
-            stored = minutes.read(needed).join(span, "adid").where(
-                F.col("b").between(F.col("lo"), F.col("hi") + F.lit(k - 1))).select("adid", "b", "n")
-            counted = window_counts_from_buckets(stored, k).join(span, "adid").where(
-                F.col("b").between(F.col("lo"), F.col("hi")))
-            out = counted.select(
-                _day_of_minute(F.col("b")).alias("day"),
-                F.date_format(F.timestamp_seconds(F.col("b") * F.lit(60)), TIME_FORMAT).alias("window_start"),
-                F.date_format(F.timestamp_seconds((F.col("b") + F.lit(k)) * F.lit(60)), TIME_FORMAT).alias("window_end"),
-                "adid", "click_count",
-            ).persist()
-            try:
-                windows.apply(lambda cur: upsert_replace(cur, out, ["window_start", "adid"]), batch_id, touched=out)
-            finally:
-                out.unpersist()
-        finally:
-            batch.unpersist()
+        table.write(count(ads.parse_ad_log(batch)), batch_id)
     return fn
 
 
-def _day_texts(spark: SparkSession, first_day: int, last_day: int) -> list[str]:
-    """``yyyy-MM-dd`` of the epoch days ``first_day .. last_day`` (a batch's span)."""
-    epoch = dt.date(1970, 1, 1)
-    return [(epoch + dt.timedelta(days=d)).isoformat() for d in range(first_day, last_day + 1)]
-
-
-def upsert_sink(table: VersionedTable, keys: list[str]):
-    """foreachBatch function: overwrite the batch's keys in ``table`` (K7);
-    a partitioned table rewrites only the partitions the batch touches."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            table.apply(lambda cur: upsert_replace(cur, batch, keys), batch_id, touched=batch)
-        finally:
-            batch.unpersist()
-    return fn
-
-
-def province_top3_sink(counts: VersionedTable, top3: VersionedTable, n: int = 3):
-    """foreachBatch function for T7: store the updated (date, province, ad)
-    counts, then recompute and replace the top-n of the touched groups."""
+def top3_sink(stat: ResultTable, top3: ResultTable):
+    """foreachBatch function for T7: write the batch's city counts, then replace the
+    top-3 of the groups it touched."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            days = [r.asDict() for r in batch.select("date").distinct().collect()]
-            counts.apply(lambda cur: upsert_replace(cur, batch, ads.PROVINCE_KEYS), batch_id, partitions=days)
-            touched = batch.select("date", "province").distinct()
-            current = counts.read(days).join(touched, ["date", "province"], "left_semi")
-            top = ads.province_top3(current, n)
-            top3.apply(lambda cur: replace_groups(cur, top, ["date", "province"]), batch_id, partitions=days)
-        finally:
-            batch.unpersist()
+        stat.write(ads.ad_stat(ads.parse_ad_log(batch)), batch_id)
+        touched = stat.rows().where(F.col(BATCH) == batch_id).select(*GROUP_KEYS).distinct()
+        top3.write(_touched_top3(stat, batch_id, touched), batch_id)
     return fn
 
 
-def start_update_query(df: DataFrame, sink, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Run ``df`` in ``update`` mode into a foreachBatch ``sink``."""
-    w = (df.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "2 seconds"})))
-    return w.start()
+def start_batches(lines: DataFrame, sink, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Run a ``foreachBatch`` function over a stream of lines."""
+    w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()

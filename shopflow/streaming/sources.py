@@ -8,7 +8,7 @@ parameter and the tests replay files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,7 +29,7 @@ def ad_log_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    return reader.load(path).select("value")
 
 
 def socket_text_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
@@ -43,30 +43,33 @@ def text_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path).withColumnRenamed("value", "line")
+    return reader.load(path).select(F.col("value").alias("line"))
 
 
-def write_replay_files(df: DataFrame, order_col: str, text_col: str, out_dir: str, n_files: int) -> str:
-    """Write ``text_col`` as ``n_files`` text files, each a contiguous range of
-    ``order_col``, with modification times increasing in that order.
+def write_replay_files(df: DataFrame, part: Column, order: Column, text_col: str, out_dir: str,
+                       whole_parts: bool = False) -> int:
+    """Write ``text_col`` as text files in one folder for each value of ``part``, with
+    modification times that rise with ``part``; returns the number of files.
 
     A file stream picks files by modification time, so the replay arrives in
-    ``order_col`` order, as a live log would.
+    ``part`` order, and inside a file in the rows' ``order``.  The number of files
+    follows from the data: ``part`` values, and more files for a large one unless
+    ``whole_parts`` asks for one file each.
     """
-    (df.select(order_col, text_col)
-       .repartitionByRange(n_files, order_col)
-       .sortWithinPartitions(order_col)
-       .select(text_col)
-       .write.mode("overwrite").text(out_dir))
+    rows = df.select(part.alias("part"), order.alias("__order"), F.col(text_col).alias("value"))
+    rows = rows.repartition("part") if whole_parts else rows.hint("rebalance", "part")
+    rows.sortWithinPartitions("part", "__order").select("part", "value").write.partitionBy("part").text(out_dir)
     spark = df.sparkSession
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(out_dir)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = sorted(
-        (st.getPath() for st in fs.listStatus(path) if st.getPath().getName().startswith("part-")),
-        key=lambda p: p.getName(),
-    )
-    base = jvm.java.lang.System.currentTimeMillis() - 10_000 * (len(parts) + 1)
-    for i, p in enumerate(parts):
-        fs.setTimes(p, base + 10_000 * i, -1)
-    return out_dir
+    files = []
+    for folder in fs.listStatus(path):
+        if folder.isDirectory() and folder.getPath().getName().startswith("part="):
+            files += [(folder.getPath().getName(), f.getPath().getName(), f.getPath()) for f in fs.listStatus(folder.getPath())
+                      if f.getPath().getName().startswith("part-")]
+    files.sort(key=lambda f: f[:2])
+    base = jvm.java.lang.System.currentTimeMillis() - 10_000 * (len(files) + 1)
+    for i, (_, _, file) in enumerate(files):
+        fs.setTimes(file, base + 10_000 * i, -1)
+    return len(files)

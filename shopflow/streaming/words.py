@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.plans.words import word_count
-from shopflow.sources.store import VersionedTable
-from shopflow.streaming.ads import start_update_query, upsert_sink
+from shopflow.sources.store import ResultTable, summed
+from shopflow.streaming.ads import start_batches
 
 WORD_COUNT_SCHEMA = T.StructType([
     T.StructField("word", T.StringType(), True),
@@ -16,12 +16,14 @@ WORD_COUNT_SCHEMA = T.StructType([
 ])
 
 
-def word_count_stream(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """F9 + A11 on a stream: one running count per non-empty token."""
-    return word_count(lines, line_col, keep_empty=False)
+def start_word_count(lines: DataFrame, table: ResultTable, checkpoint: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """F9 + A11 on a stream: each batch adds the counts of its own words to the table."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        table.write(word_count(batch, "line", keep_empty=False), batch_id)
+    return start_batches(lines, fn, checkpoint, trigger)
 
 
-def start_word_count(lines: DataFrame, table: VersionedTable, checkpoint: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Update mode: each batch overwrites the counts of the words it changed."""
-    return start_update_query(word_count_stream(lines), upsert_sink(table, ["word"]), checkpoint, trigger)
+def read_word_count(table: ResultTable) -> DataFrame:
+    """The running counts: all batches added up."""
+    return summed(table.rows(), ["word"], "count")

@@ -44,7 +44,7 @@ def test_cli_jobs_and_scan_pushdown(spark, tmp_dir):
 
 
 def test_cli_stream_jobs_catch_up(spark, tmp_dir):
-    from shopflow.sources.store import VersionedTable
+    from shopflow.sources.store import ResultTable
     from shopflow.streaming import ads as sa
     from shopflow.streaming import words as sw
 
@@ -58,10 +58,13 @@ def test_cli_stream_jobs_catch_up(spark, tmp_dir):
         f.write("a b a\n\nc\n")
     cli.main(["ad-stream", "--source", logs, "--tables", f"{tmp_dir}/ads", "--threshold", "2", "--available-now"])
     tabs = sa.AdTables(spark, f"{tmp_dir}/ads/tables")
-    assert [r.userid for r in tabs.blacklist.read().collect()] == [1]
-    assert tabs.ad_stat.read().collect()[0].click_count == 5
+    assert [r.userid for r in tabs.read_blacklist().collect()] == [1]
+    assert tabs.read_ad_stat().collect()[0].click_count == 5
+    cli.main(["sliding-hour", "--tables", f"{tmp_dir}/ads", "--out", f"{tmp_dir}/hour"])
+    hour = spark.read.parquet(f"{tmp_dir}/hour").collect()
+    assert len(hour) == 60 and {r.click_count for r in hour} == {5}
     cli.main(["stream-word-count", "--source", texts, "--tables", f"{tmp_dir}/wc", "--available-now"])
-    wc = VersionedTable(spark, f"{tmp_dir}/wc/word_count", sw.WORD_COUNT_SCHEMA).read()
+    wc = sw.read_word_count(ResultTable(spark, f"{tmp_dir}/wc/word_count", sw.WORD_COUNT_SCHEMA))
     assert {r.word: r["count"] for r in wc.collect()} == {"a": 2, "b": 1, "c": 1}
 
 
