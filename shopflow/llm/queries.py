@@ -47,13 +47,12 @@ def op1_length_buckets(spark, sf_dir):
 
 
 def preference_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stand-in input of op2: for each conversation, its turns as chosen; as rejected its turns up to a
-    place, and from there on those of the conversation with the next id."""
+    """Stand-in input of op2: for each conversation, its turns as chosen; as rejected its turns up to
+    number conv_id mod 6, and from there on those of the conversation with the next id."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    place = F.pmod(F.xxhash64("conv_id"), F.lit(6))
     chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
-    same = turns.where(F.col("turn") < place).select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
-    other = turns.withColumn("pair_id", F.col("conv_id") - 1).where(F.col("turn") >= F.pmod(F.xxhash64("pair_id"), F.lit(6)))
+    same = turns.where("turn < conv_id % 6").select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
+    other = turns.withColumn("pair_id", F.col("conv_id") - 1).where("turn >= pair_id % 6")
     ids = turns.select(F.col("conv_id").alias("pair_id")).distinct()
     swapped = other.join(ids, "pair_id").select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")
     return chosen.unionByName(same).unionByName(swapped)
@@ -66,6 +65,45 @@ def op2_preferences(spark, sf_dir):
     return got.select(*[preferences.spans_text(F.col(c)).alias(c) if c.endswith("_spans") else c for c in got.columns])
 
 
+def _completion(side: str) -> str:
+    mine = f"filter (where part = '{side}')"
+    span = "cast(start + 13 + length(role) as varchar) || ':' || cast(start + 23 + length(role) + length(text) as varchar)"
+    return (f"count(*) {mine} as {side}_turns, coalesce(string_agg(body, '' order by pos) {mine}, '') as {side}, "
+            f"coalesce(string_agg({span}, ',' order by pos) filter (where part = '{side}' and role = 'assistant'), '') as {side}_spans")
+
+
+# 13: the mark that opens a turn and the line break after its role; 10 more: the mark that closes it.
+ORACLES["op2_preferences"] = f"""
+with src as (
+  select conv_id as pair_id, 'chosen' as side, turn, role, text from conversations
+  union all select conv_id, 'rejected', turn, role, text from conversations where turn < conv_id % 6
+  union all select conv_id - 1, 'rejected', turn, role, text from conversations
+    where turn >= (conv_id - 1) % 6 and conv_id - 1 in (select conv_id from conversations)
+), turns as (
+  select distinct pair_id, side, turn, coalesce(role, '') as role, coalesce(text, '') as text from src
+  where pair_id is not null and turn is not null
+), placed as (
+  select *, row_number() over (partition by pair_id, side order by turn, role, text) as pos from turns
+), compared as (
+  select pair_id, pos, count(*) = 2 and count(distinct role) = 1 and count(distinct text) = 1 as same
+  from placed group by pair_id, pos
+), prompt as (
+  select pair_id, coalesce(min(case when not same then pos end) - 1, max(pos)) as n from compared group by pair_id
+), parts as (
+  select p.*, q.n, case when pos <= n then 'prompt' else side end as part,
+    '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as body
+  from placed p join prompt q on p.pair_id = q.pair_id
+), offsets as (
+  select *, coalesce(sum(length(body)) over (partition by pair_id, side, part order by pos
+    rows between unbounded preceding and 1 preceding), 0) as start from parts
+)
+select pair_id, max(n) as prompt_turns,
+  coalesce(string_agg(body, '' order by pos) filter (where part = 'prompt' and side = 'chosen'), '') as prompt,
+  {_completion("chosen")}, {_completion("rejected")}, bool_or(part <> 'prompt') as has_preference
+from offsets group by pair_id
+"""
+
+
 @query
 def op3_binary_records(spark, sf_dir):
     """All documents tokenized, written as framed records with an index, and read back."""

@@ -214,3 +214,20 @@ def test_pipeline_keeps_clean_documents(spark):
         assert stage(spark, docs.limit(0), sf).collect() == []
     out = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
+
+
+def test_queries_match_their_sql(spark):
+    import duckdb
+
+    from shopflow.llm import queries as Q
+    from tools.check_oracle import digest
+
+    con = duckdb.connect()
+    sf = "/root/testdata/sf0.001"
+    con.execute(f"create view conversations as select * from read_parquet('{sf}/conversations.parquet')")
+    for name, sql in Q.ORACLES.items():
+        df = Q.QUERIES[name](spark, sf)
+        got = con.execute(sql)
+        cols = [d[0] for d in got.description]
+        assert sorted(cols) == sorted(df.columns)
+        assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(cols, got.fetchall())[0]
