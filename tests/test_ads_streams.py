@@ -164,6 +164,22 @@ def test_stream_equals_batch_on_replay(spark, tmp_dir):
     assert sorted(map(tuple, summed(table.rows(), ads.STAT_KEYS).collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_live_job_on_its_two_second_trigger(spark, tmp_dir):
+    """The default trigger; files that arrive while the query runs are picked up by later batches."""
+    src = tmp_dir + "/in"
+    _write(src, "a.txt", clicks(3, user=1))
+    tabs = sa.AdTables(spark, tmp_dir + "/tables")
+    q = sa.AdStreamJob(tabs, threshold=2).start(ad_log_stream(spark, src), tmp_dir + "/ckpt")
+    try:
+        q.processAllAvailable()
+        assert [r.userid for r in tabs.read_blacklist().collect()] == [1]
+        _write(src, "b.txt", clicks(4, user=1, t0=DAY + 60_000) + clicks(1, user=2, t0=DAY + 60_000))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [r.click_count for r in tabs.read_ad_stat().collect()] == [4]  # user 1's later clicks are dropped
+
+
 def test_live_job_retry_after_partial_failure(spark, tmp_dir):
     tabs = sa.AdTables(spark, tmp_dir)
     job = sa.AdStreamJob(tabs, threshold=100)
