@@ -16,6 +16,8 @@ texts up (``matched_positions``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,14 +77,15 @@ def matched_positions(a: Column, b: Column) -> Column:
         lambda p: p["b"].isNotNull())
 
 
-def with_next(docs: DataFrame, order: str, tie: str, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next_<c>`` of the row that follows in ascending (order, tie); the first after the last.
+def with_next(docs: DataFrame, order: str, tie: str, columns: list[str],
+              derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``derive(docs)`` with ``next_<c>`` of the row that follows in ascending (order, tie); the first after the last.
 
-    Rows are dealt to range slices at quantiles of ``order``, sorted inside each; the first
-    row of each slice goes to the last row of the slice before.  A value that fills
-    whole slices by itself is split further by ``tie`` (a long, well spread).  So the
-    rows are shuffled once, and only one row of each slice a second time.
-    ``order`` must be a long; nulls go first.
+    Rows are dealt to range slices at quantiles of ``order`` and sorted inside each.  The
+    last row of a slice takes the first row of the next one, which is fetched by
+    its key.  A value that fills whole slices by itself is split further by ``tie`` (a
+    long, well spread).  So the rows are shuffled once, and one narrow row for each
+    slice meets in one place.  ``order`` must be a long; nulls go first.
     """
     n = SLICES_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10_000).alias("q")).first().q or []
@@ -92,38 +95,38 @@ def with_next(docs: DataFrame, order: str, tie: str, columns: list[str]) -> Data
     step = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
 
-    def at_most(values: list[int]) -> Column:
-        return F.size(F.filter(F.array(*[F.lit(v).cast("long") for v in values]), lambda v: v <= F.col(order)))
+    def longs(values: list[int]) -> Column:
+        return F.array(*[F.lit(v).cast("long") for v in values])
+
+    def at_most(values: Column) -> Column:
+        return F.size(F.filter(values, lambda v: v <= F.col(order)))
 
+    place = F.lit(0)
     if groups:
-        major = at_most([g[0] for g in groups])
-        tables = F.array(*[F.array(*[F.lit(v).cast("long") for v in g]) for g in groups])
-        minor = F.size(F.filter(F.get(tables, major - 1), lambda v: v <= F.col(order)))
+        major = at_most(longs([g[0] for g in groups]))
+        minor = at_most(F.get(F.array(*[longs(g) for g in groups]), major - 1))
         place = F.when(major == 0, F.lit(0)).otherwise((major - 1) * step + minor)
-    else:
-        place = F.lit(0)
     is_hot = F.col(order).isNull() | F.col(order).isin(*hot) if hot else F.col(order).isNull()
     sliced = docs.select("*", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(place).alias("__slice"),
                          F.when(is_hot, F.shiftright(F.col(tie), 56)).otherwise(F.lit(0)).alias("__sub"))
-    inside = Window.partitionBy("__slice", "__sub").orderBy(F.col(order).asc_nulls_first(), tie)
-    rank = F.row_number().over(inside)
-    chained = sliced.select("*", rank.alias("__rank"), *[F.lead(c).over(inside).alias(f"next_{c}") for c in columns],
-                            F.lead(F.lit(1)).over(inside).alias("__inner"))
-    # one row for each slice, wherever it is: its first row, to be handed to the slice before
-    heads = (chained.where("__rank = 1").select("__slice", "__sub", *[F.col(c).alias(f"__head_{c}") for c in columns]))
-    slices = sliced.select("__slice", "__sub").distinct()
+    # one narrow row for each slice: the key of the first row of the slice that follows it in the ring
+    key = F.struct(F.col(order).alias("o"), F.col(tie).alias("t"))
+    firsts = sliced.groupBy("__slice", "__sub").agg(F.min(key).alias("k"))
     ring = Window.orderBy("__slice", "__sub")
-    follow = slices.select(F.col("__slice").alias("s"), F.col("__sub").alias("b"),
-                           F.lead("__slice").over(ring).alias("ns"), F.lead("__sub").over(ring).alias("nb"),
-                           F.first("__slice").over(ring).alias("fs"), F.first("__sub").over(ring).alias("fb"))
-    follow = follow.select("s", "b", F.coalesce("ns", "fs").alias("ns"), F.when(F.col("ns").isNull(), F.col("fb")).otherwise(F.col("nb")).alias("nb"))
-    handed = heads.join(follow, (F.col("__slice") == F.col("ns")) & (F.col("__sub") == F.col("nb"))).select(
-        "s", "b", *[f"__head_{c}" for c in columns])
-    inner = chained.where("__inner = 1").select(*docs.columns, *[f"next_{c}" for c in columns])
-    edge = (chained.where("__inner is null")
-            .join(handed, (F.col("__slice") == F.col("s")) & (F.col("__sub") == F.col("b")))
-            .select(*docs.columns, *[F.col(f"__head_{c}").alias(f"next_{c}") for c in columns]))
-    return inner.unionByName(edge)
+    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    follow = firsts.select(F.col("__slice").alias("__s"), F.col("__sub").alias("__b"),
+                           F.coalesce(F.lead("k").over(ring), F.first("k").over(whole)).alias("__k"))
+    # As many rows as slices: SLICES_EACH for each shuffle partition, 256 more for each hot value.
+    fetched = docs.join(F.broadcast(follow), F.col(order).eqNullSafe(F.col("__k.o")) & (F.col(tie) == F.col("__k.t")))
+    heads = derive(fetched).dropDuplicates(["__s", "__b"]).select("__s", "__b", *[F.col(c).alias(f"__head_{c}") for c in columns])
+    inside = Window.partitionBy("__slice", "__sub").orderBy(F.col(order).asc_nulls_first(), tie)
+    derived = derive(sliced)
+    chained = derived.select("*", *[F.lead(c).over(inside).alias(f"__next_{c}") for c in columns],
+                             F.lead(F.lit(True)).over(inside).alias("__inner"))
+    joined = chained.join(heads, (F.col("__slice") == F.col("__s")) & (F.col("__sub") == F.col("__b")) & F.col("__inner").isNull(), "left")
+    kept = [c for c in derived.columns if c not in ("__slice", "__sub")]
+    return joined.select(*kept, *[F.when(F.col("__inner"), F.col(f"__next_{c}")).otherwise(F.col(f"__head_{c}")).alias(f"next_{c}")
+                                  for c in columns])
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,10 +137,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     hash; after the last document comes the first).  Null counts as empty.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"), anchor_hashes(F.col("text")).alias("own"))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
-    both = with_next(rows, "doc_id", "tie", ["text", "own"]).select(
+    both = with_next(rows, "doc_id", "tie", ["text", "own"], lambda df: df.withColumn("own", anchor_hashes(F.col("text")))).select(
         "doc_id", n.cast("long").alias("n_chars"), "own", F.col("next_own").alias("next"),
         F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)).alias("edited"))
     both = both.select("*", anchor_hashes(F.col("edited")).alias("other"))
