@@ -13,13 +13,15 @@ an empty coordinate get twice that, until none is empty.
 
 Join.  ``rows`` neighbouring coordinates make a band; equal bands make texts
 candidates.  Equal texts are one node from the start, so a group of exact copies
-costs one.  Inside a band's bucket every member is compared with the bucket's
-pivot only (no pairs within a group), first with the least of its pivots; each
-comparison is exact, on all shingles of both whole texts.  Where a bucket still
-has members of several classes, the next round takes another pivot (drawn by a
-hash of text and round) for those, until a round finds no link or nothing is
-left to compare.  Links, classes and signatures stay in Spark throughout; classes
-are found by contracting each node into its least neighbour.
+costs one.  A bucket's members are never compared pair by pair: in the first turn
+each text is compared with one of its buckets' greatest nodes; in later
+turns, where a bucket still has members of several classes, those outside its largest
+class are compared with ``TURNS[t]`` of the members drawn from that class and from one
+other class.  Members that share more bands with the text go first.  Each
+comparison is exact, on all shingles of both whole texts.  Turns go on until one
+links at most ``LAST`` of its comparisons (in a table with fewer comparisons:
+none).  Links, classes and signatures stay in Spark throughout; classes are found
+by contracting each node into its least neighbour.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.llm import hashing as H
@@ -39,6 +41,10 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
+#: Comparisons of a text in each turn; the last number holds for all later ones.
+TURNS = (1, 8, 16)
+#: The share of a turn's comparisons that are links at which no further turn follows.
+LAST = 1e-3
 #: Text bytes whose signatures are computed at once.
 BLOCK_BYTES = 1 << 20
 
@@ -142,19 +148,18 @@ def _similarity(x, y) -> float:
 
 
 def _compare(words: int):
-    """Rows (a, b, text of a, text of b) -> (a, b, similarity)."""
+    """Rows (label, pivot, other label, text, pivot's text) -> (label, other label, similarity)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
         for batch in batches:
             found = []
-            pivots = batch.column(1).to_pylist()
-            left, right = (H.text_buffer(batch.column(i)) for i in (2, 3))
-            for r, pivot in enumerate(pivots):
+            left, right = (H.text_buffer(batch.column(i)) for i in (3, 4))
+            for r, pivot in enumerate(batch.column(1).to_pylist()):
                 if pivot != known[0]:
                     known = (pivot, _shingles(right[0], right[1][r : r + 2], words))
                 found.append(_similarity(_shingles(left[0], left[1][r : r + 2], words), known[1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())],
-                                             names=["a", "b", "similarity"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())],
+                                             names=["label", "other", "similarity"])
     return run
 
 
@@ -166,28 +171,22 @@ def text_key(text: Column) -> Column:
 def contract(links: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, label) with the labels of linked nodes made one; ``links``: (a, b) pairs of labels, either way.
 
-    Each label goes to its least neighbour's if that is less; chains are followed by
-    doubling; links between different roots go on to the next round, which has
-    half as many labels at most.  Every step is written to the shared folder.
+    Each label goes to its least neighbour's if that is less, then to where that one
+    went; links between labels that are still different go on to the next round.
+    Every step is written to the shared folder.
     """
     while True:
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy("a").agg(F.min("b").alias("b"))
-        root = written(up.select(F.col("a").alias("x"), F.least("a", "b").alias("root")), "dedup-root")
-        while True:  # every root is a row of its own, so the join is complete
-            parent = root.select(F.col("x").alias("root"), F.col("root").alias("next"))
-            jumped = written(root.join(parent, "root").select("x", F.col("next").alias("root"),
-                                                            (F.col("next") != F.col("root")).alias("moved")), "dedup-root")
-            root = jumped.drop("moved")
-            if jumped.where("moved").isEmpty():
-                break
-        labels = written(labels.join(root.select(F.col("x").alias("label"), "root"), "label", "left")
-                         .select("node", F.coalesce("root", "label").alias("label")), "dedup-labels")
-        a, b = (root.select(F.col("x").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
+        up = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("x"), F.least("a", "b").alias("r"))
+        # every target is a row of its own, so the join is complete
+        root = written(up.join(up.select(F.col("x").alias("r"), F.col("r").alias("next")), "r").select("x", F.col("next").alias("r")), "dedup-root")
+        labels = (labels.join(root.select(F.col("x").alias("label"), "r"), "label", "left")
+                  .select("node", F.coalesce("r", "label").alias("label")))
+        a, b = (root.select(F.col("x").alias(s), F.col("r").alias(f"r{s}")) for s in "ab")
         links = written(links.join(a, "a").join(b, "b").where("ra != rb")
                         .select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "dedup-links")
         if links.isEmpty():
-            return labels
+            return written(labels, "dedup-labels")
 
 
 def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -232,36 +231,40 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                     (F.col("__kept") & F.col("doc_id").eqNullSafe(F.col("__least"))).alias("is_kept"), "node"))
 
 
+def _candidates(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(node, label, pivot, other): what is compared in this turn, with the labels of both."""
+    k = TURNS[min(turn, len(TURNS) - 1)]
+    at = members.join(labels, "node")
+    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 100 + i)).alias("h"), "node")).getField("node") for i in range(k)]
+    classes = at.groupBy("band", "label").agg(F.count("*").alias("n"), F.array(*drawn).alias("nodes"))
+    buckets = classes.groupBy("band").agg(
+        F.max(F.struct("n", "label", "nodes")).alias("large"),
+        F.min(F.struct(F.xxhash64("label", F.lit(turn)).alias("h"), "label", "nodes")).alias("some"),
+        F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    own = at.join(buckets, "band").where("label != large.label")
+    pivots = F.transform(F.col("large.nodes"), lambda p: F.struct(p.alias("pivot"), F.col("large.label").alias("other")))
+    extra = F.when((F.col("some.label") != F.col("label")) & (F.col("some.label") != F.col("large.label")), F.array(
+        F.struct(F.get("some.nodes", F.lit(0)).alias("pivot"), F.col("some.label").alias("other"))))
+    proposed = own.select("node", "label", F.inline(F.concat(pivots, F.coalesce(extra, F.array().cast(
+        "array<struct<pivot:binary,other:binary>>")))))
+    pairs = proposed.groupBy("node", "label", "pivot", "other").agg(F.count("*").alias("shared"))
+    order = Window.partitionBy("node").orderBy(F.desc("shared"), F.xxhash64("pivot", F.lit(turn)), "pivot")
+    return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place", "shared")
+
+
 def _linked(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, words: int) -> DataFrame:
-    tested, turn = None, 0
+    turn = 0
     while True:
-        at = members.join(labels, "node")
-        if turn == 0:  # each text with the least of its buckets' least texts
-            pivots = members.groupBy("band").agg(F.min("node").alias("pivot"))
-            pairs = (members.join(pivots, "band").groupBy("node").agg(F.min("pivot").alias("pivot"))
-                     .where("node != pivot"))
-        else:  # buckets with several classes: another pivot for those outside its class
-            pick = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node"), F.col("label"))
-            pivots = (at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(pick).alias("p"))
-                      .where("lo != hi").select("band", F.col("p.node").alias("pivot"), F.col("p.label").alias("other")))
-            pairs = at.join(pivots, "band").where("label != other").select("node", "pivot").distinct()
-        pairs = pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "dedup-pairs")
-        if pairs.isEmpty():
-            return labels
-        sides = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-                 .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
-        links = written(sides.mapInArrow(_compare(words), "a binary, b binary, similarity double")
-                        .where(F.col("similarity") >= threshold).select("a", "b"), "dedup-links")
-        if links.isEmpty() and turn:
+        pairs = _candidates(members, labels, turn)
+        sides = (pairs.join(texts.select("node", F.col("text").alias("ta")), "node")
+                 .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("tb")), "pivot"))
+        found = sides.select("label", "pivot", "other", "ta", "tb").mapInArrow(
+            _compare(words), "label binary, other binary, similarity double")
+        found = written(found, "dedup-found")
+        links = found.where(F.col("similarity") >= threshold).select(F.col("label").alias("a"), F.col("other").alias("b")).distinct()
+        n = links.count()
+        if n:
+            labels = contract(links, labels)
+        if turn and n <= LAST * found.count():
             return labels
-        if not links.isEmpty():
-            of = labels.select(F.col("node").alias("n"), "label")
-            between = (links.join(of.select(F.col("n").alias("a"), F.col("label").alias("la")), "a")
-                       .join(of.select(F.col("n").alias("b"), F.col("label").alias("lb")), "b")
-                       .where("la != lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
-            labels = contract(written(between, "dedup-links"), labels)
-        tested = pairs if tested is None else written(tested.unionByName(pairs), "dedup-tested")
         turn += 1
