@@ -155,6 +155,39 @@ def op9_near_duplicates(spark, sf_dir):
     return near_duplicates.duplicate_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_rows", "is_kept")
 
 
+# All pairs that share a shingle are compared here; \x0b is written by its code.
+ORACLES["op9_near_duplicates"] = f"""
+with recursive nodes as (
+  select coalesce(text, '') as text, min(doc_id) as node, count(*) as n from documents group by 1
+), words as (
+  select node, list_filter(string_split_regex(text, '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') as w from nodes
+), shingles as (
+  select node, unnest(case when len(w) = 0 then [] when len(w) < {near_duplicates.WORDS} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {near_duplicates.WORDS - 2}), lambda i: array_to_string(w[i:i + {near_duplicates.WORDS - 1}], ' ')) end) as s
+  from words
+), counted as (
+  select node, s, count(*) as k from shingles group by 1, 2
+), totals as (
+  select node, sum(k) as total from counted group by 1
+), shared as (
+  select a.node as a, b.node as b, sum(least(a.k, b.k)) as k from counted a join counted b on a.s = b.s and a.node < b.node group by 1, 2
+), links as (
+  select a, b from shared join totals x on x.node = a join totals y on y.node = b
+  where shared.k >= {near_duplicates.THRESHOLD} * (x.total + y.total - shared.k)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached(node, label) as (
+  select node, node from nodes union select e.b, r.label from reached r join edges e on e.a = r.node
+), labels as (
+  select node, min(label) as class_id from reached group by 1
+), classes as (
+  select class_id, sum(n) as class_rows from labels l join nodes n on l.node = n.node group by 1
+)
+select d.doc_id, l.class_id, cast(c.class_rows as bigint) as class_rows, d.doc_id = l.class_id as is_kept
+from documents d join nodes n on coalesce(d.text, '') = n.text join labels l on l.node = n.node join classes c on c.class_id = l.class_id
+"""
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_rules.QualityModel:
     return quality_rules.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
