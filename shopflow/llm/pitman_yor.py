@@ -52,7 +52,7 @@ BURN_IN, SAMPLES = 3, 3
 #: Customers of a dish whose seating is drawn exactly.
 EXACT = 24
 #: Text bytes of a blob's source, texts in it, and text bytes for each slice.
-CHUNK_BYTES, CHUNK_TEXTS, SLICE_BYTES = 8 << 20, 30_000, 24 << 20
+CHUNK_BYTES, CHUNK_TEXTS, SLICE_BYTES = 4 << 20, 30_000, 12 << 20
 #: One text in so many is looked at to find very frequent words (this only decides where rows go).
 LOOK = 32
 FAN_IN = 128
@@ -171,13 +171,14 @@ class Slice:
     def gather(cls, blobs: list[tuple[int, bytes]]) -> Slice:
         parts = [(c, *unpack(x)) for c, x in sorted(blobs, key=lambda b: b[0])]
         names, back = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
-        word = np.repeat(back, np.concatenate([p[2] for p in parts]).astype(np.int64))
-        context, mark, times = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (3, 4, 5))
-        chunk = np.repeat(np.arange(len(parts)), [len(p[3]) for p in parts])
-        key = word.astype(np.int64) * CONTEXTS + context
+        key = np.repeat(back, np.concatenate([p[2] for p in parts]).astype(np.int64)) * CONTEXTS
+        key += np.concatenate([p[3] for p in parts])
         order = np.argsort(key, kind="stable")
-        key, chunk, mark, times = key[order], chunk[order], mark[order], times[order]
-        pairs, occ_pair = np.unique(key, return_inverse=True)
+        key = key[order]
+        chunk = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[3]) for p in parts])[order]
+        mark, times = (np.concatenate([p[k] for p in parts])[order] for k in (4, 5))
+        new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+        pairs, occ_pair = key[new], (np.cumsum(new) - 1).astype(np.int32)
         count = np.bincount(occ_pair, times * (mark & 1), len(pairs)).astype(np.int64)
         return cls(names, pairs // CONTEXTS, pairs % CONTEXTS, count, np.array([p[0] for p in parts], np.int64),
                    occ_pair, chunk, mark, times)
@@ -193,8 +194,7 @@ class Slice:
     def load(cls, data: bytes) -> Slice:
         names, per_word, context, count, chunks, per_pair, chunk, mark, times = unpack(data)
         return cls(names, np.repeat(np.arange(len(names)), per_word.astype(np.int64)), context.astype(np.int64), count.astype(np.int64),
-                   chunks.view(np.int64), np.repeat(np.arange(len(context)), per_pair.astype(np.int64)), chunk.astype(np.int64),
-                   mark.astype(np.int64), times.astype(np.int64))
+                   chunks.view(np.int64), np.repeat(np.arange(len(context), dtype=np.int32), per_pair.astype(np.int64)), chunk, mark, times)
 
 
 def _totals(s: Slice, hot: np.ndarray, tables: np.ndarray, parent_tables: np.ndarray) -> bytes:
@@ -390,13 +390,10 @@ def _score(first: Totals, second: Totals):
                 for _ in range(SAMPLES):
                     sampler.sweep()
                     mean += sampler.predictive() / SAMPLES
-                log_p = np.log10(mean)[s.occ_pair] * s.occ_times
-                count = sampler.word_count[s.pair_word][s.occ_pair]
-                base = np.log10((count + 1) / (second.n + second.v + 1)) * s.occ_times
-                known = (count > 0) * s.occ_times
-                place = s.occ_chunk * (1 << 15) + (s.occ_mark >> 1)
-                texts, back = np.unique(place, return_inverse=True)
-                sums = [np.bincount(back, x, len(texts)) for x in (log_p, base, known)]
+                count = sampler.word_count[s.pair_word]
+                pair_values = (np.log10(mean), np.log10((count + 1) / (second.n + second.v + 1)), (count > 0).astype(float))
+                texts, back = np.unique(s.occ_chunk.astype(np.int64) * (1 << 15) + (s.occ_mark >> 1), return_inverse=True)
+                sums = [np.bincount(back, x[s.occ_pair] * s.occ_times, len(texts)) for x in pair_values]
                 cuts = np.searchsorted(texts >> 15, np.arange(len(s.chunks) + 1))
                 out = [(int(s.chunks[c]), "S", pack_sums(texts[a:z] & 0x7FFF, *(x[a:z] for x in sums)))
                        for c, (a, z) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if z > a]
@@ -407,14 +404,17 @@ def _score(first: Totals, second: Totals):
 
 
 def pack_sums(text: np.ndarray, log_p: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
-    return b"".join((np.int64(len(text)).tobytes(), text.astype("<u2").tobytes(), log_p.astype("<f8").tobytes(),
-                     base.astype("<f8").tobytes(), known.astype("<u4").tobytes()))
+    """Sums of rising texts; scores as whole numbers of 2**-20 and 2**-30, so they add up the same in any order."""
+    def fixed(x: np.ndarray, bits: int) -> np.ndarray:
+        return np.round(x * 2.0**bits).astype(np.int64)
 
+    return pack(np.diff(text, prepend=0).astype(np.uint16), fixed(log_p, 20), fixed(base, 30), known.astype(np.uint32))
 
-def unpack_sums(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(data, "<i8", 1)[0])
-    return (np.frombuffer(data, "<u2", n, 8).astype(np.int64), np.frombuffer(data, "<f8", n, 8 + 2 * n),
-            np.frombuffer(data, "<f8", n, 8 + 10 * n), np.frombuffer(data, "<u4", n, 8 + 18 * n))
+
+def unpack_sums(data: bytes) -> tuple[np.ndarray, ...]:
+    """(text, log_p, base, known), the scores still as whole numbers."""
+    step, log_p, base, known = unpack(data)
+    return np.cumsum(step.astype(np.int64)), log_p.view(np.int64), base.view(np.int64), known.astype(np.int64)
 
 
 def _join_up(table: pa.Table) -> pa.Table:
@@ -422,16 +422,15 @@ def _join_up(table: pa.Table) -> pa.Table:
     kinds, blobs = table.column("kind").to_pylist(), table.column("data").to_pylist()
     texts = next(x for k, x in zip(kinds, blobs) if k == "D")
     ids, known_id, held, n_tokens = unpack(texts)
-    sums = [np.zeros(len(ids)) for _ in range(3)]
-    # in a fixed order, so that a repeated task adds up to the same last digit
-    for x in sorted(x for k, x in zip(kinds, blobs) if k == "S"):
+    sums = [np.zeros(len(ids), np.int64) for _ in range(3)]
+    for x in (x for k, x in zip(kinds, blobs) if k == "S"):
         at, *parts = unpack_sums(x)
         for total, part in zip(sums, parts):
             total[at] += part
     return pa.table({
         "doc_id": pa.array(ids.view(np.int64), mask=known_id == 0), "held_out": pa.array(held.astype(bool)),
-        "n_tokens": pa.array(n_tokens.view(np.int64)), "n_known": pa.array(sums[2].astype(np.int64)),
-        "base_score": pa.array(sums[1]), "score": pa.array(sums[0])})
+        "n_tokens": pa.array(n_tokens.view(np.int64)), "n_known": pa.array(sums[2]),
+        "base_score": pa.array(sums[1] * 2.0**-30), "score": pa.array(sums[0] * 2.0**-20)})
 
 
 def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
