@@ -30,7 +30,7 @@ from shopflow.llm import hashing as H
 
 BITS = 18
 SCALE = 40.0
-PER_CLASS = 1200
+PER_CLASS = 1000
 STEPS = 80
 RATE = 0.25
 DECAY = 1e-5
