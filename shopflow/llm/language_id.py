@@ -40,14 +40,33 @@ TRAIN_CHARS = 48
 MEMO = 400_000
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_FILTER = np.uint64((1 << 20) - 1)
+
+
+def _grow(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of runs that are one character longer."""
+    with np.errstate(over="ignore"):
+        x = (hashes ^ (hashes >> np.uint64(29))) * _BASE
+        return x + codes.astype(np.uint64) + np.uint64(1)
+
+
 class Pieces(dict):
-    """Piece -> number, and for each two first characters the longest piece that begins so."""
+    """Piece -> number, and for each length the pieces' hashes, sorted, with a bit table before them."""
 
     def __init__(self, numbers: dict[str, int]):
         super().__init__(numbers)
-        self.reach: dict[str, int] = {}
-        for p in numbers:
-            self.reach[p[:2]] = max(len(p), self.reach.get(p[:2], 1))
+        self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in range(1, max(map(len, numbers), default=1) + 1):
+            own = [p for p in numbers if len(p) == n]
+            codes = np.array([[ord(c) for c in p] for p in own], np.uint32).reshape(len(own), n)
+            h = np.zeros(len(own), np.uint64)
+            for k in range(n):
+                h = _grow(h, codes[:, k])
+            order = np.argsort(h)
+            bits = np.zeros(int(_FILTER) + 1, bool)
+            bits[h & _FILTER] = True
+            self.by_length.append((h[order], np.array([numbers[own[i]] for i in order], np.int64), bits))
 
 
 def vocabulary_pieces(path: str) -> Pieces:
@@ -65,22 +84,37 @@ def letter_words(text: str) -> list[str]:
 
 
 def lattice(words: list[str], pieces: Pieces) -> tuple[np.ndarray, ...]:
-    """All places where a piece fits: (word number, start, end, piece), by rising end; -1 is a character without one."""
-    rows = []
-    get, reach = pieces.get, pieces.reach.get
-    for w, word in enumerate(words):
-        word = MARK + word
-        n = len(word)
-        for i in range(n):
-            alone = get(word[i], -1)
-            rows.append((i + 1, w, i, alone))
-            for j in range(i + 2, min(n, i + reach(word[i : i + 2], 1)) + 1):
-                p = get(word[i:j])
-                if p is not None:
-                    rows.append((j, w, i, p))
-    a = np.array(rows, np.int64).reshape(-1, 4)
-    a = a[np.argsort(a[:, 0], kind="stable")]
-    return a[:, 1], a[:, 2], a[:, 0], a[:, 3]
+    """All places where a piece fits: (word number, start, end, piece), by rising end; -1 is a character without one.
+
+    All words at once: the hash of each run of n characters grows from that of n - 1 and is looked up.
+    """
+    text = "".join([MARK + w for w in words])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    word = np.repeat(np.arange(len(words)), size)
+    first = (np.cumsum(size) - size)[word]
+    stop = first + size[word]
+    at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+    places, ends, found = [], [], []
+    for n, (hashes, ids, bits) in enumerate(pieces.by_length, 1):
+        inside = at + n <= stop[at]
+        at, h = at[inside], h[inside]
+        h = _grow(h, codes[at + n - 1])
+        hit = np.flatnonzero(bits[h & _FILTER])
+        k = np.minimum(np.searchsorted(hashes, h[hit]), max(0, len(hashes) - 1))
+        known = hashes[k] == h[hit] if len(hashes) else np.zeros(0, bool)
+        hit, piece = hit[known], ids[k[known]] if len(hashes) else np.zeros(0, np.int64)
+        if n == 1:  # every character is a place
+            alone = np.full(len(at), -1)
+            alone[hit] = piece
+            hit, piece = np.arange(len(at)), alone
+        places.append(at[hit])
+        ends.append(at[hit] + n)
+        found.append(piece)
+    place, end, piece = np.concatenate(places), np.concatenate(ends), np.concatenate(found)
+    w, zero = word[place], first[place]
+    order = np.argsort(end - zero, kind="stable")
+    return w[order], (place - zero)[order], (end - zero)[order], piece[order]
 
 
 def forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
@@ -202,9 +236,9 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
     for _ in range(rounds if langs else 0):
         uses = np.zeros_like(prob)
         # at most pieces x languages rows
-        for r in (counts.mapInArrow(_expect(vocabulary, langs, prob), "k long, piece long, uses double")
-                  .groupBy("k", "piece").agg(F.sum("uses").alias("uses")).toLocalIterator()):
-            uses[r.piece, r.k] = r.uses
+        got = (counts.mapInArrow(_expect(vocabulary, langs, prob), "k long, piece long, uses double")
+               .groupBy("k", "piece").agg(F.sum("uses").alias("uses")).toArrow())
+        uses[got["piece"].to_numpy(), got["k"].to_numpy()] = got["uses"].to_numpy()
         uses[-1] = 0
         share = uses / np.maximum(uses.sum(0), 1e-300)
         prob = (1 - FLOOR) * share + FLOOR / n
@@ -239,8 +273,8 @@ def _predict(model: LanguageModel, column: str):
         for b in batches:
             texts = text_list(b.column(b.num_columns - 1))
             langs, scores = [], []
-            for lo in range(0, len(texts), 200):
-                for ll in scorer.texts(texts[lo : lo + 200]):
+            for lo in range(0, len(texts), 500):
+                for ll in scorer.texts(texts[lo : lo + 500]):
                     if ll is None or not model.langs:
                         langs.append("und")
                         scores.append(0.0)
