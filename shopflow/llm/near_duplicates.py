@@ -21,7 +21,7 @@ other class.  Members that share more bands with the text go first.  Each
 comparison is exact, on all shingles of both whole texts.  Turns go on until one
 links at most ``LAST`` of its comparisons (in a table with fewer comparisons:
 none).  Links, classes and signatures stay in Spark throughout; classes are found
-by contracting each node into its least neighbour.
+by contracting each node into its greatest neighbour.
 """
 
 from __future__ import annotations
@@ -171,13 +171,13 @@ def text_key(text: Column) -> Column:
 def contract(links: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, label) with the labels of linked nodes made one; ``links``: (a, b) pairs of labels, either way.
 
-    Each label goes to its least neighbour's if that is less, then to where that one
-    went; links between labels that are still different go on to the next round.
+    Each label goes to its greatest neighbour's if that is greater, then to where that one
+    went (pivots are the greatest nodes, so a star takes one round); links between labels that are still different go on to the next round.
     Every step is written to the shared folder.
     """
     while True:
         both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("x"), F.least("a", "b").alias("r"))
+        up = both.groupBy("a").agg(F.max("b").alias("b")).select(F.col("a").alias("x"), F.greatest("a", "b").alias("r"))
         # every target is a row of its own, so the join is complete
         root = written(up.join(up.select(F.col("x").alias("r"), F.col("r").alias("next")), "r").select("x", F.col("next").alias("r")), "dedup-root")
         labels = (labels.join(root.select(F.col("x").alias("label"), "r"), "label", "left")
@@ -234,19 +234,26 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def _candidates(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """(node, label, pivot, other): what is compared in this turn, with the labels of both."""
     k = TURNS[min(turn, len(TURNS) - 1)]
-    at = members.join(labels, "node")
-    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 100 + i)).alias("h"), "node")).getField("node") for i in range(k)]
-    classes = at.groupBy("band", "label").agg(F.count("*").alias("n"), F.array(*drawn).alias("nodes"))
-    buckets = classes.groupBy("band").agg(
-        F.max(F.struct("n", "label", "nodes")).alias("large"),
-        F.min(F.struct(F.xxhash64("label", F.lit(turn)).alias("h"), "label", "nodes")).alias("some"),
-        F.count("*").alias("classes")).where("classes > 1").drop("classes")
-    own = at.join(buckets, "band").where("label != large.label")
-    pivots = F.transform(F.col("large.nodes"), lambda p: F.struct(p.alias("pivot"), F.col("large.label").alias("other")))
-    extra = F.when((F.col("some.label") != F.col("label")) & (F.col("some.label") != F.col("large.label")), F.array(
-        F.struct(F.get("some.nodes", F.lit(0)).alias("pivot"), F.col("some.label").alias("other"))))
-    proposed = own.select("node", "label", F.inline(F.concat(pivots, F.coalesce(extra, F.array().cast(
-        "array<struct<pivot:binary,other:binary>>")))))
+    if turn == 0:  # every text is a class of its own
+        greatest = members.groupBy("band").agg(F.max("node").alias("pivot"))
+        proposed = members.join(greatest, "band").where("node != pivot").select(
+            "node", F.col("node").alias("label"), "pivot", F.col("pivot").alias("other"))
+    else:
+        at = members.join(labels, "node")
+        drawn = [F.min(F.struct(F.xxhash64("node", F.lit(turn * 100 + i)).alias("h"), "node")).getField("node") for i in range(k)]
+        classes = at.groupBy("band", "label").agg(F.count("*").alias("n"), F.array(*drawn).alias("nodes"))
+        buckets = classes.groupBy("band").agg(
+            F.max(F.struct("n", "label", "nodes")).alias("large"),
+            F.min(F.struct(F.xxhash64("label", F.lit(turn)).alias("h"), "label", "nodes")).alias("some"),
+            F.count("*").alias("classes")).where("classes > 1").drop("classes")
+        own = at.join(buckets, "band").where("label != large.label")
+        pivots = F.transform(F.col("large.nodes"), lambda p: F.struct(p.alias("pivot"), F.col("large.label").alias("other")))
+        extra = F.when((F.col("some.label") != F.col("label")) & (F.col("some.label") != F.col("large.label")), F.array(
+            F.struct(F.get("some.nodes", F.lit(0)).alias("pivot"), F.col("some.label").alias("other"))))
+        proposed = own.select("node", "label", F.inline(F.concat(pivots, F.coalesce(extra, F.array().cast(
+            "array<struct<pivot:binary,other:binary>>")))))
+    # by node: the counts, the choice and the join with the texts need no other shuffle
+    proposed = proposed.repartition("node")
     pairs = proposed.groupBy("node", "label", "pivot", "other").agg(F.count("*").alias("shared"))
     order = Window.partitionBy("node").orderBy(F.desc("shared"), F.xxhash64("pivot", F.lit(turn)), "pivot")
     return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place", "shared")
@@ -261,7 +268,8 @@ def _linked(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold:
         found = sides.select("label", "pivot", "other", "ta", "tb").mapInArrow(
             _compare(words), "label binary, other binary, similarity double")
         found = written(found, "dedup-found")
-        links = found.where(F.col("similarity") >= threshold).select(F.col("label").alias("a"), F.col("other").alias("b")).distinct()
+        links = written(found.where(F.col("similarity") >= threshold)
+                        .select(F.col("label").alias("a"), F.col("other").alias("b")).distinct(), "dedup-links")
         n = links.count()
         if n:
             labels = contract(links, labels)

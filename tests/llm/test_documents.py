@@ -180,7 +180,7 @@ def test_contract_long_chains(spark):
     nodes = spark.createDataFrame([(i, i) for i in range(60)], "node long, label long")
     links = spark.createDataFrame([(i, i + 1) for i in range(39)] + [(50, 55)], "a long, b long")
     got = dict(map(tuple, ND.contract(links, nodes).collect()))
-    assert got == {i: 0 if i < 40 else (50 if i == 55 else i) for i in range(60)}
+    assert got == {i: 39 if i < 40 else (55 if i == 50 else i) for i in range(60)}
 
 
 def test_all_links_of_the_test_table(spark):
