@@ -16,10 +16,10 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from shopflow import catalog  # noqa: E402
 from shopflow.config import build_session  # noqa: E402
 
-SKIP = ("stream_", "replace_table", "csv_single_file")  # run jobs of their own
+SKIP = ("stream_", "replace_table", "csv_", "text_file_")  # run jobs of their own
 
 
 def summarise(plan: str) -> dict:
@@ -55,7 +55,7 @@ def main() -> None:
         os.path.abspath(__file__))), "PLANS.md")
     spark = build_session("local[8]", shuffle_partitions=8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         if name.startswith(SKIP):
             continue
         df = fn(spark, sf)
