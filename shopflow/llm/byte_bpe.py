@@ -33,7 +33,9 @@ from shopflow.llm.common import slices, space_cuts, text_list, worker_memo
 
 #: White space of the pattern: the Unicode property, said in full as libraries differ on U+001C-U+001F.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MEMO = 400_000
+MEMO = 1_000_000
+#: Stands for a pair that is no piece; above every rank.
+NO_RANK = 1 << 60
 BUCKETS = 1 << 15
 
 
@@ -54,18 +56,19 @@ def fold(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
         return (whole,)
     parts = [word[i : i + 1] for i in range(len(word))]
     get = ranks.get
-    near = [get(a + b) for a, b in zip(parts, parts[1:])]  # rank of each neighbouring pair
-    while True:
-        least = min((r for r in near if r is not None), default=None)
-        if least is None:
-            return tuple(ranks[p] for p in parts)
+    near = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]  # rank of each neighbouring pair
+    while near:
+        least = min(near)
+        if least == NO_RANK:
+            break
         i = near.index(least)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
         del near[i]
         if i < len(near):
-            near[i] = get(parts[i] + parts[i + 1])
+            near[i] = get(parts[i] + parts[i + 1], NO_RANK)
         if i:
-            near[i - 1] = get(parts[i - 1] + parts[i])
+            near[i - 1] = get(parts[i - 1] + parts[i], NO_RANK)
+    return tuple([ranks[p] for p in parts])
 
 
 def fold_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
@@ -94,7 +97,7 @@ def fold_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 
 
 class ByteBPE:
-    """Encoder and decoder of a rank file; the memo of pieces holds at most ``MEMO`` and only saves time.
+    """Encoder and decoder of a rank file; the memos hold at most about ``MEMO`` entries each and only save time.
 
     Texts are cut at spaces where the pattern always starts a new word
     (``space_cuts``); each distinct cut is matched and each distinct word folded once.
@@ -107,19 +110,23 @@ class ByteBPE:
         self.words = regex.compile(word_pattern(pattern))
         self.first: dict[str, tuple[int, ...]] = {}
         self.after: dict[str, tuple[int, ...]] = {}
+        self.folded: dict[str, tuple[int, ...]] = {}  # by word
 
     def _word(self, word: str) -> tuple[int, ...]:
-        data = word.encode()
-        return fold(data, self.ranks) if len(data) <= 64 else fold_long(data, self.ranks)
+        ids = self.folded.get(word)
+        if ids is None:
+            data = word.encode()
+            ids = self.folded[word] = fold(data, self.ranks) if len(data) <= 64 else fold_long(data, self.ranks)
+        return ids
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(map(self._word, self.words.findall(piece))))
 
     def encode(self, text: str) -> list[int]:
         parts = space_cuts(text)
-        if len(self.after) + len(self.first) > MEMO:
-            self.after.clear()
-            self.first.clear()
+        for memo in (self.first, self.after, self.folded):
+            if len(memo) > MEMO:
+                memo.clear()
         out = []
         for memo, prefix, group in ((self.first, "", parts[:1]), (self.after, " ", parts[1:])):
             for p in set(group).difference(memo):
