@@ -13,15 +13,22 @@ an empty coordinate get twice that, until none is empty.
 
 Join.  ``rows`` neighbouring coordinates make a band; equal bands make texts
 candidates.  Equal texts are one node from the start, so a group of exact copies
-costs one.  A bucket's members are never compared pair by pair: in the first turn
+costs one.  First, ``TURNS`` join what is alike at little cost: in the first turn
 each text is compared with one of its buckets' greatest nodes; in later
 turns, where a bucket still has members of several classes, those outside its largest
 class are compared with ``TURNS[t]`` of the members drawn from that class and from one
 other class.  Members that share more bands with the text go first.  Each
-comparison is exact, on all shingles of both whole texts.  Turns go on until one
-links at most ``LAST`` of its comparisons (in a table with fewer comparisons:
-none).  Links, classes and signatures stay in Spark throughout; classes are found
-by contracting each node into its greatest neighbour.
+comparison is exact, on all shingles of both whole texts.
+
+The turns only save work.  After them ``_remaining`` takes every pair of texts that
+share a band and are still in different classes, once, in the first band they share.
+Pairs are left out only where no comparison can link them: their classes have been
+joined, or a bound shows that they cannot reach the threshold (the smaller total over
+the larger one; the sum of the smaller counts when shingles are counted in hash bins).
+Buckets are cut into blocks of texts of one size zone, and of one class where that is
+large, and the blocks are paired, so no task holds a whole bucket; blocks of one class
+are not paired with each other.  Links, classes and signatures stay in Spark
+throughout; classes are found by contracting each node into its greatest neighbour.
 """
 
 from __future__ import annotations
@@ -41,10 +48,10 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 20
 ROWS = 5
-#: Comparisons of a text in each turn; the last number holds for all later ones.
+#: Comparisons of a text in each of the turns that come before all remaining pairs.
 TURNS = (1, 8, 16)
-#: The share of a turn's comparisons that are links at which no further turn follows.
-LAST = 1e-3
+#: About the most texts and text bytes of a block of a bucket, and the hash bins of a text's shingles.
+BLOCK_TEXTS, BLOCK_PART_BYTES, BINS = 512, 4 << 20, 256
 #: Text bytes whose signatures are computed at once.
 BLOCK_BYTES = 1 << 20
 
@@ -233,7 +240,7 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
 def _candidates(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """(node, label, pivot, other): what is compared in this turn, with the labels of both."""
-    k = TURNS[min(turn, len(TURNS) - 1)]
+    k = TURNS[turn]
     if turn == 0:  # every text is a class of its own
         greatest = members.groupBy("band").agg(F.max("node").alias("pivot"))
         proposed = members.join(greatest, "band").where("node != pivot").select(
@@ -260,19 +267,118 @@ def _candidates(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _linked(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, words: int) -> DataFrame:
-    turn = 0
-    while True:
+    for turn in range(len(TURNS)):
         pairs = _candidates(members, labels, turn)
         sides = (pairs.join(texts.select("node", F.col("text").alias("ta")), "node")
                  .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("tb")), "pivot"))
         found = sides.select("label", "pivot", "other", "ta", "tb").mapInArrow(
             _compare(words), "label binary, other binary, similarity double")
-        found = written(found, "dedup-found")
         links = written(found.where(F.col("similarity") >= threshold)
                         .select(F.col("label").alias("a"), F.col("other").alias("b")).distinct(), "dedup-links")
-        n = links.count()
-        if n:
+        if not links.isEmpty():
             labels = contract(links, labels)
-        if turn and n <= LAST * found.count():
-            return labels
-        turn += 1
+    links = written(_remaining(members, texts, labels, threshold, words).distinct(), "dedup-links")
+    return labels if links.isEmpty() else contract(links, labels)
+
+
+def _sizes(words: int):
+    """Rows (node, text) -> (node, total count of shingles, text bytes)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = H.text_buffer(b.column(1))
+            for lo, hi in H.blocks(offsets, BLOCK_BYTES):
+                _, doc, count = _shingles(data, offsets[lo : hi + 1], words)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, hi - lo), pa.array(np.bincount(doc, count, hi - lo).astype(np.int64)),
+                     pa.array(np.diff(offsets[lo : hi + 1]).astype(np.int64))], names=["node", "total", "bytes"])
+    return run
+
+
+def _remaining(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, words: int) -> DataFrame:
+    """(a, b): the labels of all linked texts that share a band and have different labels.
+
+    Each such pair is met in one pair of blocks of the first band that it shares.
+    """
+    at = members.join(labels, "node")
+    mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("band")
+    open_ = written(at.join(mixed, "band").select("band", "node", "label"), "dedup-open")
+    if open_.isEmpty():
+        return labels.select(F.col("label").alias("a"), F.col("label").alias("b")).limit(0)
+    whose = open_.groupBy("node").agg(F.sort_array(F.collect_list("band")).alias("bands"))
+    mine = texts.join(whose, "node")
+    sizes = mine.select("node", "text").mapInArrow(_sizes(words), "node binary, total long, bytes long")
+    # texts of zones that are not the same or neighbours are too unlike in size
+    zone = F.floor(F.log(F.greatest(F.col("total"), F.lit(1))) / F.lit(math.log(1 / threshold) * (1 + 1e-6))) if 0 < threshold < 1 else F.lit(0)
+    placed = written(open_.join(sizes.withColumn("zone", zone.cast("int")), "node"), "dedup-placed")
+
+    def parts(n: str, size: str) -> Column:
+        return F.greatest(F.ceil(F.col(n) / BLOCK_TEXTS), F.ceil(F.col(size) / BLOCK_PART_BYTES), F.lit(1)).cast("int")
+
+    classes = placed.groupBy("band", "zone", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("size")).withColumn(
+        "large", (F.col("n") > BLOCK_TEXTS) | (F.col("size") > BLOCK_PART_BYTES))
+    # a large class has blocks of its own; the others of a zone share blocks (only: the class of a block of one class)
+    units = (classes.withColumn("unit", F.when(F.col("large"), F.col("label")))
+             .groupBy("band", "zone", "unit").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+             .select("band", "zone", "unit", parts("n", "size").alias("parts"), F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("only")))
+    units = written(units, "dedup-units")
+    blocks = units.select("band", "zone", "only", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                          F.coalesce("unit", F.lit(b"")).alias("unit"))
+    x, y = (blocks.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("zone", "unit", "part", "only")]) for s in "ab")
+    later = F.struct("unit_b", "part_b") >= F.struct("unit_a", "part_a")
+    tasks = written(x.join(y, "band").where(
+        (((F.col("zone_a") == F.col("zone_b")) & later) | (F.col("zone_b") == F.col("zone_a") + 1))
+        & ~F.coalesce(F.col("only_a") == F.col("only_b"), F.lit(False)))
+        .withColumn("task", F.struct("zone_a", "unit_a", "part_a", "zone_b", "unit_b", "part_b")), "dedup-tasks")
+    same = F.col("task.zone_a").eqNullSafe(F.col("task.zone_b")) & (F.col("task.unit_a") == F.col("task.unit_b")) & (
+        F.col("task.part_a") == F.col("task.part_b"))
+    sides = (tasks.select("band", F.col("zone_a").alias("zone"), F.col("unit_a").alias("unit"), F.col("part_a").alias("part"), "task",
+                          F.when(same, 2).otherwise(0).alias("side"))
+             .unionByName(tasks.where(~same).select("band", F.col("zone_b").alias("zone"), F.col("unit_b").alias("unit"),
+                                                    F.col("part_b").alias("part"), "task", F.lit(1).alias("side"))))
+    split = (placed.join(classes.select("band", "zone", "label", F.when(F.col("large"), F.col("label")).otherwise(F.lit(b"")).alias("unit")),
+                         ["band", "zone", "label"])
+             .join(units.select("band", "zone", F.coalesce("unit", F.lit(b"")).alias("unit"), "parts"), ["band", "zone", "unit"])
+             .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
+    dealt = split.select("band", "zone", "unit", "part", "node", "label").join(sides, ["band", "zone", "unit", "part"])
+    return (dealt.select("band", "task", "side", "node", "label").join(mine, "node")
+            .select("band", "task", "side", "label", "bands", "text")
+            .groupBy("band", "task").applyInArrow(_block_pairs(threshold, words), "a binary, b binary"))
+
+
+def _block_pairs(threshold: float, words: int):
+    """All rows of two blocks of a bucket (side 0 and 1, or 2: one block with itself) -> links between labels."""
+    def run(table: pa.Table) -> pa.Table:
+        band = table.column("band")[0].as_py()
+        side = table.column("side").to_numpy()
+        data, offsets = H.text_buffer(table.column("text").combine_chunks())
+        items, doc, count = _shingles(data, offsets, words)
+        n = len(table)
+        edge = np.searchsorted(doc, np.arange(n + 1))
+        sets = [(items[a:z], doc[a:z], count[a:z]) for a, z in zip(edge, edge[1:])]
+        total = np.bincount(doc, count, n)
+        bins = np.bincount(doc * BINS + (H.mix(items) % np.uint64(BINS)).astype(np.int64), count, n * BINS).reshape(n, BINS)
+        names, label = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)
+        # bands below this one: a pair that shares one of them is met there
+        below = [frozenset(x for x in row if x < band) for row in table.column("bands").to_pylist()]
+        root = list(range(len(names)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        right = np.flatnonzero(side != 0)
+        links = []
+        for i in np.flatnonzero(side != 1).tolist():
+            js = right[right > i] if side[i] == 2 else right
+            js = js[label[js] != label[i]]
+            both = total[i] + total[js]
+            js = js[np.minimum(np.minimum(total[i], total[js]), np.minimum(bins[js], bins[i]).sum(1)) * (1 + threshold) >= threshold * both * (1 - 1e-6)]
+            for j in js.tolist():
+                a, b = find(label[i]), find(label[j])
+                if a != b and below[i].isdisjoint(below[j]) and _similarity(sets[i], sets[j]) >= threshold:
+                    root[a] = b
+                    links.append((names[label[i]], names[label[j]]))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([x for _, x in links], pa.binary())})
+    return run

@@ -176,6 +176,41 @@ def test_near_duplicate_classes(spark):
     assert ND.duplicate_classes(df.limit(0)).collect() == []
 
 
+def test_links_between_templated_texts_and_large_classes(spark):
+    r = random.Random(9)
+    def replaced(words, *at):
+        return [f"x{r.randint(0, 10**9)}" if i in at else w for i, w in enumerate(words)]
+
+    texts = []
+    for t in "pq":
+        template = [f"{t}{i}" for i in range(120)]
+        # three words far apart are replaced: no such text is at 0.8 to another
+        texts += [replaced(template, r.randint(5, 30), r.randint(45, 70), r.randint(85, 110)) for _ in range(350)]
+        texts += [replaced(template, at) for at in (36, 57, 78)]  # linked with each other; their bands are the crowd's too
+    base = [f"b{i}" for i in range(120)]
+    texts += [replaced(base, r.randint(5, 110)) for _ in range(200)]  # one class of near copies
+    index = {}
+    rows = [[index.setdefault(tuple(t[i : i + 5]), len(index)) for i in range(116)] for t in texts]
+    has = np.zeros((len(texts), len(index)), np.float32)
+    for i, at in enumerate(rows):
+        has[i, at] = 1
+    both = has @ has.T
+    linked = both >= 0.8 * (232 - both)
+    want = np.arange(len(texts))
+    while (new := np.where(linked, want, len(texts)).min(1)).tolist() != want.tolist():
+        want = new
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x.doc_id: x.class_id for x in ND.duplicate_classes(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want.tolist()
+    assert len(set(got.values())) == 703
+
+
+def test_blocks_of_a_bucket_cover_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ND, "BLOCK_TEXTS", 3)
+    monkeypatch.setattr(ND, "TURNS", (1,))
+    test_near_duplicate_classes(spark)
+
+
 def test_contract_long_chains(spark):
     nodes = spark.createDataFrame([(i, i) for i in range(60)], "node long, label long")
     links = spark.createDataFrame([(i, i + 1) for i in range(39)] + [(50, 55)], "a long, b long")
