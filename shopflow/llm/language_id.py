@@ -11,7 +11,7 @@ predicted, and ``score`` is its posterior under equal priors.
 The piece probabilities are learned by expectation maximisation, starting from
 equal ones: the expected uses of each piece over all segmentations (forward and
 backward) of the training words.  Training reads the whole texts of at most
-``per_language`` rows of each language, those with the least hash of text.
+``per_language`` distinct texts of each language, those with the least hash.
 """
 
 from __future__ import annotations
@@ -223,11 +223,17 @@ class LanguageModel:
 
 def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang",
           per_language: int = PER_LANGUAGE, rounds: int = ROUNDS) -> LanguageModel:
-    """Learn piece probabilities from rows with a language; rows without language or text teach nothing."""
+    """Learn piece probabilities from rows with a language; rows without language or text teach nothing.
+
+    The sample is of distinct texts: repeated rows of a language count once.
+    """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
-        "lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+        "lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("h")
+    chosen = (rows.select("lang", "h").distinct().withColumn("rank", F.row_number().over(order))
+              .where(F.col("rank") <= per_language).select("lang", "h"))
+    # at most per_language narrow rows of each language
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     counts = written(sample.select("lang", "text").mapInArrow(_train_words, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())

@@ -121,6 +121,15 @@ def test_language_of_odd_texts(spark):
     assert language_id.predict(docs.limit(0).drop("lang_pred"), model, ["doc_id"]).collect() == []
 
 
+def test_copies_do_not_fill_the_language_sample(spark):
+    rows = [(lang, f"{lang * 3} {lang}{i} {'uvwxyz'[i % 6] * (1 + i % 4)} tail{i}") for lang in "ab" for i in range(30)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    least = df.where("lang = 'a'").orderBy(F.xxhash64("text")).limit(1)
+    copies = df.unionByName(least.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("n"))
+    one, many = (language_id.train(x, P.path("piece_bpe_32k.model"), per_language=10, rounds=1) for x in (df, copies))
+    assert one.langs == many.langs == ["a", "b"] and np.allclose(one.prob, many.prob, rtol=1e-9, atol=0)
+
+
 def test_held_out_languages(spark):
     from shopflow.llm.queries import op7_language_id
 
