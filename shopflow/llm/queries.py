@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import (byte_bpe, language_id, length_buckets, near_duplicates, pitman_yor, preferences, quality_rules, records,
-                          syncmers, token_counts)
+from shopflow.llm import (byte_bpe, conversation_repair, language_id, length_buckets, line_dedup, near_duplicates, periodic_runs, pitman_yor,
+                          preferences, quality_rules, records, syncmers, token_counts)
 from shopflow.llm.common import documents, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +199,129 @@ def op10_quality_rules(spark, sf_dir):
     docs = documents(spark, sf_dir)
     got = quality_rules.apply_rules(docs, quality_model(spark, docs, sf_dir), ["doc_id"])
     return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability")
+
+
+def planted_period(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """Which of op11's texts end in a periodic stretch: (its first word, its period)."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    return g % n, 1 + (n - g % n) // (3 + g % 8)
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """All runs of words of every whole document, every tenth with a planted periodic end."""
+    found = periodic_runs.periodic_runs(documents(spark, sf_dir), planted_period)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    one = found.withColumn("best", best)
+    return one.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"), F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def damaged_conversations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """op12's input: every twentieth row dropped, emptied, without stops, repeated or said by the user; and how often each row stands."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    rows = turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(text("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text")).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"))
+    return rows, F.col("copies")
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversation_repair.repair_conversations(*damaged_conversations(spark, sf_dir))
+
+
+# crc32 byte by byte and bit by bit; then one step for each row of a conversation over the grammar's
+# four states: 0 nothing said, 1 system, 2 user, 3 assistant.  Up to two inserts may stand before a row or at the end.
+_CRC32 = ("xor(4294967295, list_reduce(list_prepend(4294967295::ubigint, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::ubigint)), "
+          "lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)::ubigint[]), lambda x, i: xor(x >> 1, 3988292384::ubigint * (x & 1)))))")
+_WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+ORACLES["op12_conversation_repair"] = f"""
+with recursive source as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_CRC32.format("(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '))")} % 20 as kind
+  from conversations
+), damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from source, range(0, case when kind = 0 then 0 when kind = 3 then 2 else 1 end) as copies(k)
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos, rtrim(text, {_WHITE}) as solid from damaged
+), judged as (
+  select *, case when solid = '' then 'blank'
+    when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+    when solid[-1:] not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    lag(role[1]) over (partition by conv_id order by pos) || role[1] as pair
+  from placed
+), inserts(state, edits, price, said, after) as (values
+  (0, '', 0, [], 0), (1, '', 0, [], 1), (2, '', 0, [], 2), (3, '', 0, [], 3),
+  (0, 'I', 2, ['user:'], 2), (1, 'I', 2, ['user:'], 2), (2, 'I', 2, ['assistant:'], 3), (3, 'I', 2, ['user:'], 2),
+  (0, 'II', 4, ['user:', 'assistant:'], 3), (1, 'II', 4, ['user:', 'assistant:'], 3)
+), next_turn(state, token, after) as (values
+  (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+), moves as (
+  select i.state, i.edits || 'D' as edits, i.price + 3 as price, i.said, null::varchar as token, null::varchar as says, i.after, true as gone from inserts i
+  union all select i.state, i.edits || 'K', i.price, i.said, n.token, null::varchar, n.after, false from inserts i join next_turn n on n.state = i.after
+  union all select i.state, i.edits || 'R', i.price + 2, i.said, null::varchar, case n.token when 'u' then 'user' else 'assistant' end, n.after, false
+    from inserts i join next_turn n on n.state = i.after where n.token <> 's'
+), walk(conv_id, pos, state, cost, audit, said) as (
+  select distinct conv_id, 0::bigint, 0, 0, '', []::varchar[] from conversations
+  union all
+  select conv_id, pos, state, best.cost, best.audit, best.said from (
+    select w.conv_id, j.pos, m.after as state, min({{
+      'cost': w.cost + m.price + case when not m.gone and j.fault = 'truncated' then 1 else 0 end, 'audit': w.audit || m.edits,
+      'said': w.said || m.said || case when m.gone then [] else [coalesce(m.says, j.role) || ':' || j.text] end}}) as best
+    from walk w join judged j on w.conv_id is not distinct from j.conv_id and j.pos = w.pos + 1 join moves m on m.state = w.state
+    where m.gone or (j.fault not in ('blank', 'duplicate') and (m.token is null or m.token = j.role[1]))
+    group by 1, 2, 3)
+), ends as (
+  select w.conv_id, min({{'cost': w.cost + i.price, 'audit': w.audit || i.edits, 'said': w.said || i.said}}) as best
+  from walk w join inserts i on i.state = w.state and i.after in (0, 3)
+  where w.pos = (select count(*) from judged j where j.conv_id is not distinct from w.conv_id) group by 1
+), faults as (
+  select conv_id, case when count(turn) = 0 then 0 else max(turn) - min(turn) + 1 - count(distinct turn) end as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated, count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+  from judged group by 1
+)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.cost::bigint as cost, best.audit as audit,
+  sha256(array_to_string(best.said, chr(10))) as repaired_sha256
+from ends e left join faults f on e.conv_id is not distinct from f.conv_id
+"""
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    """Every document without the long lines that at least five documents share, but for the greatest of them."""
+    got = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return got.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_line_dedup"] = f"""
+with rows as (
+  select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), lines as (
+  select row, doc_id, i, lines[i] as line, translate(trim(lines[i], {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from rows, unnest(range(1, len(lines) + 1)) as places(i)
+), shared as (
+  select key, max(doc_id) as top from lines where length(key) >= {line_dedup.MIN_CHARS}
+  group by key having count(distinct doc_id) >= {line_dedup.MIN_DOCS}
+), marked as (
+  select l.*, s.key is not null and l.doc_id <> s.top as gone from lines l left join shared s on l.key = s.key
+)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from marked group by row
+"""
