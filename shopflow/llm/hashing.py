@@ -1,7 +1,8 @@
 """Words and word shingles of whole Arrow text columns as 64-bit hashes, without a Python step per word.
 
-A word is a run of bytes other than 0x09-0x0D and 0x20.  Its hash is a polynomial
-of its bytes modulo 2**64, mixed; it does not depend on what stands around it.
+A word is a run of bytes other than 0x09-0x0D and 0x20.  Its hash is made of polynomials
+of its bytes modulo two primes, mixed; it does not depend on what stands around it.
+(Modulo 2**64 every base has short texts that collide, such as Thue-Morse words.)
 """
 
 from __future__ import annotations
@@ -13,25 +14,32 @@ import pyarrow as pa
 
 #: Bytes that are hashed at once; bounds the memory of a step. Longer words are hashed in pieces.
 BLOCK = 1 << 19
-_P = 0x9E3779B97F4A7C15 | 1
-_P_INV = pow(_P, -1, 1 << 64)
+#: (prime, base) of each half of a hash: the greatest primes below 2**32 that fit, bases drawn at random.
+FIELDS = ((4294967291, 0x1E94DDEF), (4294967279, 0xD3C58861))
+_GOLDEN = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base, np.uint64)])
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo ``prime``, doubled up."""
+    out = np.ones(n, np.uint64)
+    have, step = 1, base
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = out[:more] * np.uint64(step) % np.uint64(prime)
+        have, step = have + more, step * step % prime
+    return out
 
 
-_POW: list[np.ndarray] = []
+_POW: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def _tables() -> list[np.ndarray]:
+def _tables() -> list[tuple[np.ndarray, np.ndarray]]:
     if not _POW:
-        _POW.extend((_powers(_P, BLOCK), _powers(_P_INV, BLOCK)))
+        _POW.extend((_powers(b, p, BLOCK), _powers(pow(b, -1, p), p, BLOCK)) for p, b in FIELDS)
     return _POW
 
 
@@ -50,28 +58,34 @@ def uniform(x: np.ndarray) -> np.ndarray:
 
 
 def polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of data[starts[i]:ends[i]]; ranges ascend and do not overlap."""
-    pow_, inv = _tables()
+    """Hashes of data[starts[i]:ends[i]]: its polynomials modulo two primes, side by side; ranges ascend and do not overlap.
+
+    A term is below 2**9 * 2**32 and a block has 2**19, so its sums need no reduction.
+    """
+    halves = [_polynomials(data, starts, ends, prime, base, *tables) for (prime, base), tables in zip(FIELDS, _tables())]
+    return (halves[0] << np.uint64(32)) | halves[1]
+
+
+def _polynomials(data, starts, ends, prime: int, base: int, powers: np.ndarray, inverse: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), np.uint64)
-    i = 0
-    with np.errstate(over="ignore"):
-        while i < len(starts):
-            lo = int(starts[i])
-            j = int(np.searchsorted(ends, lo + BLOCK, "right"))
-            if j > i:
-                part = data[lo : int(ends[j - 1])].astype(np.uint64) + np.uint64(1)
-                sums = np.r_[np.uint64(0), np.cumsum(part * pow_[: len(part)])]
-                a, b = starts[i:j] - lo, ends[i:j] - lo
-                out[i:j] = (sums[b] - sums[a]) * inv[a]
-                i = j
-            else:  # one word longer than a block
-                total, shift = 0, 1
-                for at in range(lo, int(ends[i]), BLOCK):
-                    part = data[at : min(at + BLOCK, int(ends[i]))].astype(np.uint64) + np.uint64(1)
-                    total += int(np.sum(part * pow_[: len(part)], dtype=np.uint64)) * shift
-                    shift = shift * pow(_P, BLOCK, 1 << 64) % (1 << 64)
-                out[i] = np.uint64(total % (1 << 64))
-                i += 1
+    p, i = np.uint64(prime), 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = int(np.searchsorted(ends, lo + BLOCK, "right"))
+        if j > i:
+            part = data[lo : int(ends[j - 1])].astype(np.uint64) + np.uint64(1)
+            sums = np.r_[np.uint64(0), np.cumsum(part * powers[: len(part)])]
+            a, b = starts[i:j] - lo, ends[i:j] - lo
+            out[i:j] = (sums[b] - sums[a]) % p * inverse[a] % p
+            i = j
+        else:  # one word longer than a block
+            total, shift = 0, 1
+            for at in range(lo, int(ends[i]), BLOCK):
+                part = data[at : min(at + BLOCK, int(ends[i]))].astype(np.uint64) + np.uint64(1)
+                total += int(np.sum(part * powers[: len(part)], dtype=np.uint64)) * shift
+                shift = shift * pow(base, BLOCK, prime) % prime
+            out[i] = np.uint64(total % prime)
+            i += 1
     return out
 
 
@@ -132,7 +146,7 @@ def shingles(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
             hs, ds = h[short], doc[short]
             heads = np.flatnonzero(np.r_[True, ds[1:] != ds[:-1]])
             place = np.arange(len(ds)) - np.repeat(heads, np.diff(np.r_[heads, len(ds)]))
-            parts = mix(hs + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(_P))
+            parts = mix(hs + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(_GOLDEN))
             out = np.r_[out, mix(np.add.reduceat(parts, heads))]
             at = np.r_[at, ds[heads]]
     return out, at

@@ -3,8 +3,9 @@
 The GPT-2 pre-tokenizer starts a new pre-token at every space that follows a character
 other than white space, whatever comes before or after.  So a text may be cut
 there, and its pieces encoded apart from each other by the library.  Special
-tokens hold no space and lie inside one piece.  Pieces are told apart by a 64-bit
-hash; a memo of at most ``max_entries`` pieces keeps their ids and only saves time.
+tokens hold no space and lie inside one piece.  A memo of at most ``max_entries`` pieces
+keeps their ids and only saves time: pieces are looked up by a 64-bit hash, then their bytes are
+compared, and one that differs from the piece kept under its hash is encoded by itself.
 """
 
 from __future__ import annotations
@@ -57,6 +58,40 @@ class PieceEncoder:
         self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, their entries
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # place in ``ids`` and length, by entry
         self.ids = np.zeros(0, self.dtype)
+        self.text = np.zeros(0, np.uint8)  # the entries' bytes
+        self.at, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)  # place in ``text`` and length, by entry
+
+    def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """New entries for these pieces of ``data``."""
+        ids, sizes, texts = [self.ids], [self.size], [self.text]
+        for lo in range(0, len(starts), 4096):
+            raw = [data[a:b].tobytes() for a, b in zip(starts[lo : lo + 4096].tolist(), ends[lo : lo + 4096].tolist())]
+            part, size = self._library([x.decode() for x in raw])
+            ids.append(part)
+            sizes.append(size)
+            texts.append(np.frombuffer(b"".join(raw), np.uint8))
+        before = len(self.size)
+        self.ids, self.size, self.text = np.concatenate(ids), np.concatenate(sizes), np.concatenate(texts)
+        self.first = np.cumsum(self.size) - self.size
+        self.length = np.r_[self.length, ends - starts]
+        self.at = np.cumsum(self.length) - self.length
+        return np.arange(before, len(self.size))
+
+    def _differ(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        """Which of the pieces, which follow each other in ``data``, are not the text of their entry."""
+        sizes = ends - starts
+        fits = np.flatnonzero(self.length[entries] == sizes)
+        n = sizes[fits]
+        before, step = np.cumsum(n) - n, np.arange(int(n.sum()))
+        if len(fits) == len(starts):
+            mine = data[int(starts[0]) : int(ends[-1])]
+        else:
+            mine = data[np.repeat(starts[fits] - before, n) + step]
+        apart = np.flatnonzero(self.text[np.repeat(self.at[entries[fits]] - before, n) + step] != mine)
+        wrong = np.ones(len(starts), bool)
+        wrong[fits] = False
+        wrong[fits[np.searchsorted(before, apart, "right") - 1]] = True
+        return np.flatnonzero(wrong)
 
     def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces, ids of each); pieces parted by a special token are encoded in one call, many calls at once."""
@@ -74,23 +109,20 @@ class PieceEncoder:
         with np.errstate(over="ignore"):
             hashes = H.mix(H.polynomials(data, starts, ends) + H.mix((ends - starts).astype(np.uint64)))
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > self.max_entries:
+        if len(self.size) > self.max_entries:
             self._reset()
         at = np.searchsorted(self.keys, keys)
         new = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys) if len(self.keys) else np.arange(len(keys))
         if len(new):
-            ids, sizes = [self.ids], [self.size]
-            for lo in range(0, len(new), 4096):
-                at_new = where[new[lo : lo + 4096]].tolist()
-                part, size = self._library([data[starts[i] : ends[i]].tobytes().decode() for i in at_new])
-                ids.append(part)
-                sizes.append(size)
-            self.ids, self.size = np.concatenate(ids), np.concatenate(sizes)
-            self.first = np.cumsum(self.size) - self.size
-            self.entry = np.insert(self.entry, at[new], np.arange(len(self.size) - len(new), len(self.size)))
+            made = self._add(data, starts[where[new]], ends[where[new]])
+            self.entry = np.insert(self.entry, at[new], made)
             self.keys = np.insert(self.keys, at[new], keys[new])
             at = np.searchsorted(self.keys, keys)
-        return self.entry[at][back.reshape(-1)]
+        entries = self.entry[at][back.reshape(-1)]
+        other = self._differ(data, starts, ends, entries)
+        if len(other):
+            entries[other] = self._add(data, starts[other], ends[other])
+        return entries
 
     def _blocks(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first text, end text, entries of all pieces, pieces before each text and in all) for blocks of texts."""

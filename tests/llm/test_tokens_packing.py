@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopflow.llm import length_buckets as LB
+from shopflow.llm import queries as Q
 from shopflow.llm import records, token_counts
 from shopflow.llm.common import load_tokenizer
 from shopflow.llm.pieces import PieceEncoder
@@ -145,3 +146,57 @@ def test_packing_rules(spark):
 def test_packing_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, n_tokens long")
     assert LB.pack(docs, "n_tokens", ["doc_id"], 128).collect() == []
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+#: Pairs of unlike words that a polynomial hash modulo 2**64 takes for equal, whatever its base.
+UNLIKE = [(thue_morse(n, two), thue_morse(n, two[::-1])) for n in (1024, 2048, 4096) for two in ("ab", "er", "01")]
+
+
+def test_unlike_words_have_unlike_hashes():
+    from shopflow.llm import hashing as H
+
+    data, offsets = H.text_buffer(pa.array([w for pair in UNLIKE for w in pair]))
+    h, text = H.words(data, offsets)
+    assert len(h) == 2 * len(UNLIKE) == len(set(h.tolist())) and text.tolist() == list(range(len(h)))
+    long = "x" * (H.BLOCK + 5) + "y"  # longer than a block, against the plain definition
+    data, offsets = H.text_buffer(pa.array(["ab " + long]))
+    got = H.polynomials(data, np.array([0, 3]), np.array([2, 3 + len(long)]))
+    for word, value in zip(("ab", long), got.tolist()):
+        halves = [sum((b + 1) * pow(base, i, p) for i, b in enumerate(word.encode())) % p if len(word) < 9 else horner(word, base, p) for p, base in H.FIELDS]
+        assert value == halves[0] << 32 | halves[1]
+
+
+def horner(word, base, p):
+    total = 0
+    for b in reversed(word.encode()):
+        total = (total * base + b + 1) % p
+    return total
+
+
+def test_unlike_words_keep_their_own_ids_and_counts(spark, tmp_dir):
+    rows = [(2 * i + k, w) for i, pair in enumerate(UNLIKE) for k, w in enumerate(pair)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_dir}/documents.parquet")
+    want = library([w for _, w in rows])
+    counts = {x.doc_id: x.n_tokens for x in Q.op8_token_counts(spark, tmp_dir).collect()}
+    assert counts == {i: len(x) for i, x in enumerate(want)}
+    crc = {x.doc_id: x.ids_crc32 for x in Q.op3_binary_records(spark, tmp_dir).collect()}
+    assert crc == {i: zlib.crc32(np.array(x + [0], "<u4").tobytes()) for i, x in enumerate(want)}
+    classes = {x.doc_id: x.class_id for x in Q.op9_near_duplicates(spark, tmp_dir).collect()}
+    assert len(set(classes.values())) == len(rows)
+
+
+@pytest.mark.parametrize("collide", [lambda h: np.zeros_like(h), lambda h: h % np.uint64(5)])
+def test_pieces_are_compared_when_hashes_agree(monkeypatch, collide):
+    from shopflow.llm import hashing as H
+
+    mix = H.mix
+    monkeypatch.setattr(H, "mix", lambda x: collide(mix(x)))
+    texts = HARD + [noise(i, 40) for i in range(100)]
+    for entries in (10**6, 50):
+        enc = PieceEncoder(PATH, entries)
+        assert enc.counts(pa.array(texts, pa.string())).tolist() == [len(x) for x in library(texts)]
+        assert enc.counts(pa.array(texts[::-1], pa.string())).tolist() == [len(x) for x in library(texts[::-1])]
