@@ -172,15 +172,19 @@ def q_stream_live_trend(spark, sf_dir):
     return _live(spark, sf_dir).read_click_trend()
 
 
+def document_line_stream(spark, sf_dir):
+    """The documents' lines as a stream."""
+    out = fresh_dir(spark, "replay")
+    part = F.lpad(F.floor(F.col("doc_id") / DOCUMENTS_PER_PART).cast("string"), 12, "0")
+    n = write_replay_files(views.document_lines(spark, sf_dir), part, F.col("doc_id"), "line", out)
+    return text_line_stream(spark, out, max_files_per_trigger=max(1, math.ceil(n / BATCHES)))
+
+
 @register("stream_word_count", with_views("doc_lines") +
           f"select word, count(*) as count from (select unnest({JAVA_TOKENS}) as word from doc_lines) "
           "where word <> '' group by word")
 def q_stream_word_count(spark, sf_dir):
     """Running word counts of a line stream, empty tokens dropped."""
-    out = fresh_dir(spark, "replay")
-    part = F.lpad(F.floor(F.col("doc_id") / DOCUMENTS_PER_PART).cast("string"), 12, "0")
-    n = write_replay_files(views.document_lines(spark, sf_dir), part, F.col("doc_id"), "line", out)
     table = ResultTable(spark, fresh_dir(spark, "tables"), sw.WORD_COUNT_SCHEMA)
-    lines = text_line_stream(spark, out, max_files_per_trigger=max(1, math.ceil(n / BATCHES)))
-    sw.start_word_count(lines, table, fresh_dir(spark, "checkpoints"), AVAILABLE_NOW).awaitTermination()
+    sw.start_word_count(document_line_stream(spark, sf_dir), table, fresh_dir(spark, "checkpoints"), AVAILABLE_NOW).awaitTermination()
     return sw.read_word_count(table)
