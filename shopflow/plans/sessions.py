@@ -16,7 +16,7 @@ every bucket appears, zero or not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shopflow.functions.dates import TIME_FORMAT, parse_time
@@ -125,12 +125,8 @@ def bucket_rows(sessions: DataFrame) -> DataFrame:
     One global aggregate with a conditional count per bucket, then an
     unpivot; a visit of 0 s is in no visit bucket but in the total.
     """
-    visit, steps = F.col("visit_length"), F.col("step_length")
-    specs = [("visit_length", n, lo, hi, visit) for n, lo, hi in VISIT_BUCKETS]
-    specs += [("step_length", n, lo, hi, steps) for n, lo, hi in STEP_BUCKETS]
-    aggs = [F.count(F.lit(1)).alias(SESSION_COUNT)]
-    aggs += [F.count_if(_in_bucket(c, lo, hi)).alias(f"b{i}") for i, (_, _, lo, hi, c) in enumerate(specs)]
-    one = sessions.agg(*aggs)
+    specs = _bucket_specs()
+    one = sessions.agg(*_counters(specs))
     cells = [
         F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("bucket"), F.lit(i).alias("pos"),
                  F.col(f"b{i}").alias("sessions"))
@@ -139,6 +135,32 @@ def bucket_rows(sessions: DataFrame) -> DataFrame:
     return one.select(F.col(SESSION_COUNT).alias("total"), F.inline(F.array(*cells)))
 
 
+def _bucket_specs() -> list[tuple]:
+    """(kind, bucket name, low, high, length column) of all 15 buckets."""
+    specs = [("visit_length", n, lo, hi, F.col("visit_length")) for n, lo, hi in VISIT_BUCKETS]
+    return specs + [("step_length", n, lo, hi, F.col("step_length")) for n, lo, hi in STEP_BUCKETS]
+
+
+def _counters(specs: list[tuple]) -> list[Column]:
+    """The session count and a conditional count for each bucket."""
+    return [F.count(F.lit(1)).alias(SESSION_COUNT)] + [
+        F.count_if(_in_bucket(c, lo, hi)).alias(f"b{i}") for i, (_, _, lo, hi, c) in enumerate(specs)]
+
+
+def write_counted_sessions(sessions: DataFrame, path: str) -> list[tuple[str, str, int, int]]:
+    """U4/A2: write the sessions and count them on the way; returns (kind, bucket, sessions, total).
+
+    The counts are observed metrics of the very job that writes, not an accumulator that user
+    code adds to: a task's part is taken once, when its attempt that counts has succeeded, so a
+    retried or a speculative task adds nothing.  They must be observed in the writing stage itself, as
+    here, with no shuffle after it.
+    """
+    specs, seen = _bucket_specs(), Observation("session counts")
+    sessions.observe(seen, *_counters(specs)).write.mode("overwrite").parquet(path)
+    got = seen.get
+    return [(kind, name, got[f"b{i}"], got[SESSION_COUNT]) for i, (kind, name, _, _, _) in enumerate(specs)]
+
+
 def session_ratios(sessions: DataFrame) -> DataFrame:
     """A3: share of each bucket, HALF_UP to 2 places; a total of 0 counts as 1."""
     b = bucket_rows(sessions)

@@ -209,13 +209,14 @@ def write_jdbc(
     out.write.jdbc(url, table, mode=mode, properties=props)
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """K2: replace a catalog table with ``df`` (drop + create as one overwrite).
 
     With ``path`` the table's files go to that (shared) location instead of
-    the warehouse folder.
+    the warehouse folder.  ``partition_by`` (dates) makes a folder for each value,
+    few files for few rows and many for a large one.
     """
-    w = df.write.mode("overwrite")
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").partitionBy(*partition_by)
     if path is not None:
         w = w.option("path", path)
     w.saveAsTable(name)
