@@ -34,11 +34,14 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
     Lines with fewer than five fields or a non-numeric time, user or ad are
     dropped, as is a time outside the years 1 to 9999.  ``date`` is ``yyyy-MM-dd`` of the click in the session zone.
+
+    The split line comes out of a generator of one row, which neither the filter nor the
+    projection above it can be folded into: each line is split once.
     """
-    f = F.split(F.col(value_col), " ")
-    field = lambda i: F.try_element_at(f, F.lit(i))  # noqa: E731  (1-based)
+    split = lines.select(F.explode(F.array(F.split(F.col(value_col), " "))).alias("f"))
+    field = lambda i: F.try_element_at(F.col("f"), F.lit(i))  # noqa: E731  (1-based)
     ms = field(1).try_cast("bigint")
-    parsed = lines.select(
+    parsed = split.select(
         ms.alias("ts_ms"),
         field(2).alias("province"),
         field(3).alias("city"),
@@ -125,35 +128,30 @@ def window_counts_from_buckets(per_bucket: DataFrame, k: int, part: int | None =
     """(adid, b, click_count) for every window of ``k`` buckets starting at ``b``
     that holds at least one click, from per-bucket counts (adid, b, n).
 
-    An ad's span is cut into parts of ``part`` buckets (default: at least a day
-    of minutes, never less than ``k``).  The windows that start in a part
-    need its buckets and the ``k - 1`` that follow, so those of the next part's
-    first ``k - 1`` buckets are copied to it; then every part is on its own.
-    Window starts with clicks are the union of ``[b-k+1, b]`` over the active
-    buckets ``b``; those intervals are merged (a ``lag`` over the part's
-    buckets), cut to the part, enumerated once, and each window's count is a
-    ``rangeBetween(0, k-1)`` sum.  No row is copied k times.
+    A bucket ``b`` adds its count to the starts ``b-k+1`` to ``b``: one step up and one step
+    down.  Along the starts, the running sum of the steps is the count of every start up to the
+    next step; stretches with a count are enumerated.  An ad's span is cut into parts of
+    ``part`` starts (default: at least a day of minutes, never less than ``k``); a bucket's
+    stretch lies in one part or is cut at the border of two, so every part is on its own.
+    The counts are read once and dealt and sorted once by part; no row is copied k times.
     """
     size = max(k, part or 1440)
-    own = F.floor(F.col("b") / F.lit(size)).cast("bigint")
-    rows = per_bucket.select("adid", "b", F.col("n").cast("bigint").alias("n"), own.alias("p"))
-    overlap = rows.where(F.col("b") - F.col("p") * F.lit(size) < F.lit(k - 1)).withColumn("p", F.col("p") - 1)
-    parts = rows.unionByName(overlap)
-    by_part = Window.partitionBy("adid", "p").orderBy("b")
-    gap = F.lag("b").over(by_part)
-    runs = parts.select(
-        "adid", "p", "b",
-        F.sum(F.when(gap.isNull() | (gap < F.col("b") - F.lit(k)), 1).otherwise(0)).over(by_part).alias("run"),
-    )
-    spans = runs.groupBy("adid", "p", "run").agg(
-        F.greatest(F.min("b") - F.lit(k - 1), F.col("p") * F.lit(size)).alias("lo"),
-        F.least(F.max("b"), (F.col("p") + 1) * F.lit(size) - 1).alias("hi")).where("lo <= hi")
-    starts = spans.select("adid", "p", F.explode(F.sequence("lo", "hi")).alias("b"),
-                          F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("is_start"))
-    both = parts.withColumn("is_start", F.lit(False)).unionByName(starts)
-    frame = Window.partitionBy("adid", "p").orderBy("b").rangeBetween(0, k - 1)
-    counted = both.select("adid", "b", "is_start", F.sum("n").over(frame).alias("click_count"))
-    return counted.where(F.col("is_start")).select("adid", "b", F.col("click_count").cast("bigint").alias("click_count"))
+    n, first, last = F.col("n").cast("bigint"), F.col("b") - F.lit(k - 1), F.col("b")
+    of = lambda start: F.floor(start / F.lit(size)).cast("bigint")
+
+    def steps(lo, hi):
+        p = of(lo)
+        return F.struct(p.alias("p"), lo.alias("at"), n.alias("step")), F.struct(p.alias("p"), (hi + 1).alias("at"), (-n).alias("step"))
+
+    border = of(last) * F.lit(size)
+    whole = F.array(*steps(first, last))
+    cut = F.array(*steps(first, border - 1), *steps(border, last))
+    moves = per_bucket.select("adid", F.inline(F.when(of(first) == of(last), whole).otherwise(cut)))
+    by_part = Window.partitionBy("adid", "p").orderBy("at")
+    runs = moves.select(
+        "adid", F.col("at").alias("lo"), (F.lead("at").over(by_part) - 1).alias("hi"),
+        F.sum("step").over(by_part.rowsBetween(Window.unboundedPreceding, 0)).alias("click_count")).where("lo <= hi and click_count > 0")
+    return runs.select("adid", F.explode(F.sequence("lo", "hi")).alias("b"), F.col("click_count").cast("bigint").alias("click_count"))
 
 
 def sliding_window_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
