@@ -9,7 +9,8 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from shopflow.config import fresh_dir
 
@@ -36,6 +37,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as it takes to differ from all ``taken`` (case aside)."""
+    taken, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """Column names as they may be selected, whatever signs are in them."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
+def least_hashes(rows: DataFrame, group: str, hash_: str, n: int) -> DataFrame:
+    """The ``n`` rows of least ``hash_`` (evenly spread over 64 bits) of each ``group``, of which there must be few.
+
+    Each group's count says how low its least hashes lie, so only about 2 ``n`` rows of it are
+    ranked, whatever the table's size.
+    """
+    counts = rows.groupBy(F.col(group).alias("__g")).agg(F.count("*").alias("__n"))
+    low = (2.0 * n + 50) / F.col("__n")
+    near = rows.join(F.broadcast(counts), F.col(group) == F.col("__g")).where(F.col(hash_) / F.lit(2.0**64) + 0.5 < low)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(hash_))
+    return near.withColumn("__r", rank).where(F.col("__r") <= n).select(*rows.columns)
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``limit`` characters in all."""
     start, size = 0, 0

@@ -12,6 +12,10 @@ The piece probabilities are learned by expectation maximisation, starting from
 equal ones: the expected uses of each piece over all segmentations (forward and
 backward) of the training words.  Training reads the whole texts of at most
 ``per_language`` distinct texts of each language, those with the least hash.
+
+A posterior says which language is likelier, not whether the text is any of them.  For that
+there is ``fit``, the text's log likelihood for each of its letters in the predicted language,
+and the model's ``least_fit`` for each language, learned from the same training texts.
 """
 
 from __future__ import annotations
@@ -22,14 +26,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopflow.llm.common import text_list, worker_memo, written
+from shopflow.llm.common import least_hashes, quoted, text_list, worker_memo, written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MARK = "▁"
 PER_LANGUAGE = 600
+#: More languages than this are refused: the model, one number for each piece and language, goes to all tasks.
+MAX_LANGUAGES = 1_000
+#: Of a language's training texts this share may fit worse than ``least_fit``, which lies ``SLACK`` (for each letter) lower still.
+ODD, SLACK = 0.01, 1.0
 ROUNDS = 2
 #: Share of probability spread equally over all pieces, so none is impossible; a character that no
 #: piece covers has one such share in every language.
@@ -219,6 +228,7 @@ class LanguageModel:
 
     def __init__(self, vocabulary: str, langs: list[str], prob: np.ndarray):
         self.vocabulary, self.langs, self.prob = vocabulary, langs, prob
+        self.least_fit = dict.fromkeys(langs, -np.inf)
 
 
 def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang",
@@ -229,11 +239,13 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
     """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
         "lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
-    order = Window.partitionBy("lang").orderBy("h")
-    chosen = (rows.select("lang", "h").distinct().withColumn("rank", F.row_number().over(order))
-              .where(F.col("rank") <= per_language).select("lang", "h"))
+    texts = written(rows.select("lang", "h").distinct(), "langid-texts")
+    found = [r.lang for r in texts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    chosen = least_hashes(texts, "lang", "h", per_language)
     # at most per_language narrow rows of each language
-    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    sample = written(rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")), "langid-sample")
     counts = written(sample.select("lang", "text").mapInArrow(_train_words, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
@@ -249,7 +261,12 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
         share = uses / np.maximum(uses.sum(0), 1e-300)
         prob = (1 - FLOOR) * share + FLOOR / n
         prob[-1] = FLOOR / n
-    return LanguageModel(vocabulary, langs, prob)
+    model = LanguageModel(vocabulary, langs, prob)
+    if langs:
+        own = predict(sample, model, ["lang"], added=["lang_pred", "score", "fit"]).where("lang = lang_pred")
+        low = own.groupBy("lang").agg(F.percentile_approx("fit", ODD, 10_000).alias("fit"))  # one row for each language
+        model.least_fit |= {r.lang: r.fit - SLACK for r in low.collect()}
+    return model
 
 
 class WordScores:
@@ -260,8 +277,8 @@ class WordScores:
         self.model, self.index = model, {}
         self.scores = np.zeros((0, model.prob.shape[1]))
 
-    def texts(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Per text its log probability in each language; None where it has no letter."""
+    def texts(self, texts: list[str]) -> list[tuple[np.ndarray, int] | None]:
+        """Per text its log probability in each language and its letters; None where it has no letter."""
         found = [letter_words(t) for t in texts]
         if len(self.index) > MEMO:
             self.index, self.scores = {}, self.scores[:0]
@@ -270,7 +287,7 @@ class WordScores:
             self.index.update(zip(new, range(len(self.scores), len(self.scores) + len(new))))
             self.scores = np.concatenate([self.scores, forward(new, self.pieces, self.model.prob)])
         get = self.index.__getitem__
-        return [self.scores[np.fromiter(map(get, w), np.int64, len(w))].sum(0) if w else None for w in found]
+        return [(self.scores[np.fromiter(map(get, w), np.int64, len(w))].sum(0), sum(map(len, w))) if w else None for w in found]
 
 
 def _predict(model: LanguageModel, column: str):
@@ -278,32 +295,38 @@ def _predict(model: LanguageModel, column: str):
         scorer = WordScores(model)
         for b in batches:
             texts = text_list(b.column(b.num_columns - 1))
-            langs, scores = [], []
+            langs, scores, fits = [], [], []
             for lo in range(0, len(texts), 500):
-                for ll in scorer.texts(texts[lo : lo + 500]):
-                    if ll is None or not model.langs:
+                for got in scorer.texts(texts[lo : lo + 500]):
+                    if got is None or not model.langs:
                         langs.append("und")
                         scores.append(0.0)
+                        fits.append(None)
                     else:
+                        ll, letters = got
                         k = int(np.argmax(ll))  # of equal ones the first name
                         langs.append(model.langs[k])
                         scores.append(float(1.0 / np.exp(ll - ll[k]).sum()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             names=[*b.schema.names[:-1], "lang_pred", "score"])
+                        fits.append(float(ll[k]) / letters)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())],
+                                             names=[*b.schema.names[:-1], "lang_pred", "score", "fit"])
     return run
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``.
+def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text", added: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``; with three names in ``added``, also ``fit``.
 
-    ``lang_pred`` is ``und`` and ``score`` 0 where the text is null or has no letter, or
+    ``lang_pred`` is ``und``, ``score`` 0 and ``fit`` null where the text is null or has no letter, or
     nothing was learned; of equally likely languages the first name wins.  Only the
-    text is read for the prediction.
+    text is read for the prediction.  The added columns are named by ``added``; a column
+    of ``keep`` that bears one of their names is left out.
     """
-    from pyspark.sql import types as T
-
+    added = added or ["lang_pred", "score"]
+    keep = [c for c in keep if c.lower() not in {a.lower() for a in added}]
     names = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField(n, docs.schema[c].dataType, True) for n, c in zip(names, keep)]
-                          + [T.StructField("lang_pred", T.StringType(), True), T.StructField("score", T.DoubleType(), True)])
-    return (docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], F.col(text).alias("__text"))
-            .mapInArrow(_predict(model, text), schema).toDF(*keep, "lang_pred", "score"))
+                          + [T.StructField("lang_pred", T.StringType(), True), T.StructField("score", T.DoubleType(), True),
+                             T.StructField("fit", T.DoubleType(), True)])
+    got = (docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("__text"))
+           .mapInArrow(_predict(model, text), schema))
+    return got.select(*names, *["lang_pred", "score", "fit"][: len(added)]).toDF(*keep, *added)

@@ -7,7 +7,7 @@ the bias plus the mean weight of its character n-grams plus that of its word
 n-grams, so its length does not matter.
 
 Training takes the whole texts of at most ``per_class`` labelled rows of each
-class, those with the least hash of text (one bounded task), with gradient steps on the
+class, those with the least hash of id and text (one bounded task), with gradient steps on the
 logistic loss; one row in four is kept from the steps and calibrates the raw
 values to probabilities by a fitted slope and offset.  As both classes may be
 sampled at different rates, the offset is moved by the logarithm of the rates.
@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow.llm import hashing as H
+from shopflow.llm.common import least_hashes, quoted, written
 
 BITS = 18
 SCALE = 40.0
@@ -195,16 +196,21 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> QualityModel:
-    """Learn from ``docs`` whose ``labels.quality`` is 0 or 1; ids with both values, null ids and null texts teach nothing."""
+    """Learn from ``docs`` whose ``labels.quality`` is 0 or 1; ids with both values, null ids and null texts teach nothing.
+
+    Rows equal in id and text count once, in the sample and in the classes' sizes; labels
+    without a row in ``docs`` count nowhere.
+    """
     known = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
              .agg(F.min("quality").alias("good"), F.max("quality").alias("__hi")).where("good = __hi").select("doc_id", "good"))
-    totals = known.agg(F.sum("good").alias("g"), F.count("*").alias("n")).first()
-    by_hash = Window.partitionBy("good").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= per_class).select("doc_id", "good")
+    texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("h"), "text")
+    found = written(texts.select("doc_id", "h").distinct().join(known, "doc_id")
+                    .select("doc_id", "h", F.col("good").cast("int").alias("good"), F.xxhash64("h", "doc_id").alias("place")), "quality-rows")
+    totals = found.agg(F.sum("good").alias("g"), F.count("*").alias("n")).first()
+    chosen = least_hashes(found, "good", "place", per_class).select("doc_id", "h", "good")
     # At most 2 * per_class narrow rows.
-    rows = (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
-            .select(F.xxhash64("text").alias("h"), "text", F.col("good").cast("int").alias("good"),
-                    F.lit(int(totals.g or 0)).alias("all_good"), F.lit(int(totals.n - (totals.g or 0))).alias("all_bad")))
+    rows = (texts.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h", "good").agg(F.min("text").alias("text"))
+            .select("h", "text", "good", F.lit(int(totals.g or 0)).alias("all_good"), F.lit(int(totals.n - (totals.g or 0))).alias("all_bad")))
     state = rows.repartition(1).mapInArrow(_fit_task, "model binary").first()
     model = QualityModel.__new__(QualityModel)
     if state is None:
@@ -241,14 +247,17 @@ def _score(model: QualityModel, keep_at: float):
     return run
 
 
-def apply_rules(docs: DataFrame, model: QualityModel, keep: list[str], text: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
+def apply_rules(docs: DataFrame, model: QualityModel, keep: list[str], text: str = "text", keep_at: float = KEEP_AT,
+                added: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` with the counts, ``base_failed``, ``probability`` and ``kept``.
 
-    Null texts count as empty; they have no words and fail the base rules.  Columns
-    of ``keep`` must not bear the added names.
+    Null texts count as empty; they have no words and fail the base rules.  The added columns are
+    named by ``added``, as in ``ADDED`` unless given; a column of ``keep`` that bears one of their names is left out.
     """
+    added = added or [k for k, _ in ADDED]
+    keep = [c for c in keep if c.lower() not in {a.lower() for a in added}]
     names = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField(n, docs.schema[c].dataType, True) for n, c in zip(names, keep)]
                           + [T.StructField(k, t, True) for k, t in ADDED])
-    return (docs.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], F.col(text).alias("__text"))
-            .mapInArrow(_score(model, keep_at), schema).toDF(*keep, *(k for k, _ in ADDED)))
+    return (docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("__text"))
+            .mapInArrow(_score(model, keep_at), schema).toDF(*keep, *added))

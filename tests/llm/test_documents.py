@@ -251,6 +251,23 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
 
 
+def test_pipeline_stages_take_any_extra_columns(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    clash = ["score", "LANG_PRED", "fit", "kept", "n_words", "probability", "id", "node", "n", "_fit", "a.b"]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    plain = docs
+    for k, c in enumerate(clash):
+        docs = docs.withColumn(c, F.lit(k))
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, sf), stage(spark, plain, sf)
+        assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in want.collect())
+        if name != "packing":
+            assert got.columns == docs.columns
+            assert {tuple(r[len(plain.columns):]) for r in got.collect()} == {tuple(range(len(clash)))}
+
+
 def test_queries_match_their_sql(spark):
     import duckdb
 

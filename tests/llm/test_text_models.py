@@ -188,6 +188,63 @@ def test_quality_rules_learn_and_handle_odd_rows(spark):
     assert quality_rules.apply_rules(docs.limit(0).drop("n_symbols"), model, ["doc_id"]).collect() == []
 
 
+def test_training_rows_are_those_at_hand(spark, monkeypatch):
+    """Labels of other documents take no places and no share; a repeated id is one row."""
+    fit = quality_rules.fit
+
+    def noted(path):
+        def task(batches):
+            rows = [r for b in batches for r in b.to_pylist()]
+            with open(path, "w") as f:
+                f.write(repr((len(rows), {(r["all_good"], r["all_bad"]) for r in rows}, sorted({r["text"] for r in rows})[:1])))
+            import pickle
+
+            import pyarrow as pa
+            yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit([], np.zeros(0), 0, 0).__dict__)]})
+        return task
+
+    import tempfile
+    path = tempfile.mkstemp()[1]
+    monkeypatch.setattr(quality_rules, "_fit_task", noted(path))
+    rows = [(i, f"text {i}") for i in range(100)] + [(7, "text 7")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.range(-50_000, 50_000).select(F.col("id").alias("doc_id"), F.pmod("id", F.lit(2)).cast("int").alias("quality"))
+    for per_class, n in ((1000, 100), (20, 40)):
+        quality_rules.train(docs, labels, per_class)
+        got, totals, _ = eval(open(path).read())  # noqa: S307
+        assert got == n and totals == {(50, 50)}
+
+
+def test_added_columns_do_not_clash(spark):
+    docs = spark.createDataFrame([(1, "the house", "a", 0.5, True, 3)], "doc_id long, text string, lang_pred string, Score double, kept boolean, n_words int")
+    model = language_id.train(docs.withColumn("lang", F.lit("en")), P.path("piece_bpe_32k.model"))
+    got = language_id.predict(docs, model, docs.columns)
+    assert got.columns == ["doc_id", "text", "kept", "n_words", "lang_pred", "score"] and got.first().lang_pred == "en"
+    rules = quality_rules.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    got = quality_rules.apply_rules(docs, rules, docs.columns)
+    assert got.columns == ["doc_id", "text", "lang_pred", "Score", *(k for k, _ in quality_rules.ADDED)] and got.first().n_words == 2
+
+
+def test_fit_tells_junk_from_the_learned_languages(spark):
+    r = random.Random(5)
+    words = {lang: ["".join(r.choice(letters) for _ in range(r.randint(2, 7))) for _ in range(60)] for lang, letters in (("xx", "abcdeo"), ("yy", "stunir"))}
+    text = lambda lang: " ".join(r.choice(words[lang]) for _ in range(40))
+    rows = [(i, text(lang), lang) for i in range(60) for lang in ("xx", "yy")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), P.path("piece_bpe_32k.model"))
+    junk = ["".join(r.choice("qxzvkwjhgpm") for _ in range(200)), "щжъэ " * 30]
+    new = spark.createDataFrame([(0, text("xx")), (1, text("yy")), (2, junk[0]), (3, junk[1]), (4, None)], "doc_id long, text string")
+    got = {x.doc_id: x for x in language_id.predict(new, model, ["doc_id"], added=["lang_pred", "score", "fit"]).collect()}
+    kept = {i for i, x in got.items() if x.fit is not None and x.fit >= model.least_fit[x.lang_pred]}
+    assert kept == {0, 1} and got[4].fit is None
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    docs = spark.createDataFrame([(f"text {i}", f"l{i}") for i in range(4)], "text string, lang string")
+    with pytest.raises(ValueError):
+        language_id.train(docs, P.path("piece_bpe_32k.model"))
+
+
 # ---- op5 ----
 
 def test_base_score_and_counts(spark):
