@@ -23,8 +23,15 @@ comparison is exact, on all shingles of both whole texts.
 The turns only save work.  After them ``_remaining`` takes every pair of texts that
 share a band and are still in different classes, once, in the first band they share.
 Pairs are left out only where no comparison can link them: their classes have been
-joined, or a bound shows that they cannot reach the threshold (the smaller total over
-the larger one; the sum of the smaller counts when shingles are counted in hash bins).
+joined, or a bound shows that they cannot reach the threshold (a prefix of rare shingles,
+below; the smaller total over the larger one; the sum of the smaller counts when shingles are
+counted in hash bins).
+
+Prefix.  In any order of all shingles, two texts of similarity t share one of their first
+(1 - t) |text| + 1.  The order puts those that many texts have last (by a table of counts
+of fixed size, which decides the cost and not the result).  Before any text is fetched, a text stays
+in a bucket only if a text of another class in it has one of its first shingles.  Pages of one
+template that are no duplicates share no rare shingles, so a bucket full of them empties.
 Buckets are cut into blocks of texts of one size zone, and of one class where that is
 large, and the blocks are paired, so no task holds a whole bucket; blocks of one class
 are not paired with each other.  Links, classes and signatures stay in Spark
@@ -52,6 +59,8 @@ ROWS = 5
 TURNS = (1, 8, 16)
 #: About the most texts and text bytes of a block of a bucket, and the hash bins of a text's shingles.
 BLOCK_TEXTS, BLOCK_PART_BYTES, BINS = 512, 4 << 20, 256
+#: Hash buckets in which texts are counted by shingle, to tell common ones from rare ones.
+COMMON = 1 << 18
 #: Text bytes whose signatures are computed at once.
 BLOCK_BYTES = 1 << 20
 
@@ -294,6 +303,71 @@ def _sizes(words: int):
     return run
 
 
+def _common(words: int):
+    """Rows (node, text) -> (bucket, texts): in how many texts of a block a shingle's bucket occurs, where in several."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = H.text_buffer(b.column(1))
+            for lo, hi in H.blocks(offsets, BLOCK_BYTES):
+                items, doc, _ = _shingles(data, offsets[lo : hi + 1], words)
+                bucket = (H.mix(items) % np.uint64(COMMON)).astype(np.int64)
+                n = np.bincount(np.unique(doc * COMMON + bucket) % COMMON, minlength=COMMON)
+                several = np.flatnonzero(n > 1)
+                yield pa.RecordBatch.from_arrays([pa.array(several), pa.array(n[several])], names=["bucket", "texts"])
+    return run
+
+
+def prefix_tokens(items: np.ndarray, doc: np.ndarray, count: np.ndarray, common: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(token, text number) of each text's prefix, rare shingles first.
+
+    Each copy of a shingle is a token, so that a weighted similarity is that of token sets.
+    """
+    order = np.lexsort((items, common[(H.mix(items) % np.uint64(COMMON)).astype(np.int64)], doc))
+    items, doc, count = items[order], doc[order], count[order]
+    if not len(items):
+        return np.zeros(0, np.uint64), doc
+    total = np.bincount(doc, count).astype(np.int64)
+    first = total - np.ceil(threshold * total * (1 - 1e-9)).astype(np.int64) + 1
+    heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    before = np.cumsum(count) - count
+    before -= np.repeat(before[heads], np.diff(np.r_[heads, len(doc)]))
+    taken = np.clip(first[doc] - before, 0, count)
+    copy = np.arange(int(taken.sum())) - np.repeat(np.cumsum(taken) - taken, taken)
+    with np.errstate(over="ignore"):
+        return H.mix(np.repeat(H.mix(items), taken) + copy.astype(np.uint64)), np.repeat(doc, taken)
+
+
+def _prefixes(words: int, threshold: float, common: np.ndarray):
+    """Rows (node, text) -> (node, token)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = H.text_buffer(b.column(1))
+            for lo, hi in H.blocks(offsets, BLOCK_BYTES):
+                token, doc = prefix_tokens(*_shingles(data, offsets[lo : hi + 1], words), common, threshold)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc + lo)), pa.array(token.view(np.int64))], names=["node", "token"])
+    return run
+
+
+def _with_partners(open_: DataFrame, texts: DataFrame, threshold: float, words: int) -> DataFrame:
+    """The rows of ``open_`` (band, node, label) whose node shares a prefix token with a node of another label in the same band."""
+    at = written(texts.join(open_.select("node").distinct(), "node").select("node", "text"), "dedup-open-texts")
+    common = np.zeros(COMMON, np.int64)
+    # a table of fixed size, whatever the corpus
+    got = at.mapInArrow(_common(words), "bucket long, texts long").groupBy("bucket").agg(F.sum("texts").alias("texts")).toArrow()
+    common[got["bucket"].to_numpy()] = got["texts"].to_numpy()
+    labels = open_.select("node", "label").distinct()
+    tokens = written(at.mapInArrow(_prefixes(words, threshold, common), "node binary, token long").join(labels, "node"), "dedup-prefixes")
+
+    def several(rows: DataFrame, *keys: str) -> DataFrame:
+        """Rows whose key has several labels."""
+        keys_ = rows.groupBy(*keys).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select(*keys)
+        return rows.join(keys_, list(keys))
+
+    shared = written(several(tokens, "token"), "dedup-shared")
+    both = several(shared.join(open_.select("node", "band"), "node"), "band", "token")
+    return both.select("band", "node", "label").distinct()
+
+
 def _remaining(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float, words: int) -> DataFrame:
     """(a, b): the labels of all linked texts that share a band and have different labels.
 
@@ -302,6 +376,8 @@ def _remaining(members: DataFrame, texts: DataFrame, labels: DataFrame, threshol
     at = members.join(labels, "node")
     mixed = at.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("band")
     open_ = written(at.join(mixed, "band").select("band", "node", "label"), "dedup-open")
+    if not open_.isEmpty():
+        open_ = written(_with_partners(open_, texts, threshold, words), "dedup-partners")
     if open_.isEmpty():
         return labels.select(F.col("label").alias("a"), F.col("label").alias("b")).limit(0)
     whose = open_.groupBy("node").agg(F.sort_array(F.collect_list("band")).alias("bands"))

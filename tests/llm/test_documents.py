@@ -1,5 +1,6 @@
 """Preferences, fingerprints, near-duplicates and the pipeline against brute force."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -230,6 +231,56 @@ def test_all_links_of_the_test_table(spark):
                 assert cls[a] == cls[b]
 
 
+def test_similar_texts_share_a_prefix_token():
+    """Whatever the order of the shingles, which the table of common ones decides."""
+    from shopflow.llm import hashing as H
+
+    r = random.Random(41)
+    for trial in range(200):
+        base, docs = [r.randint(0, 30) for _ in range(r.randint(1, 40))], []
+        for _ in range(r.randint(2, 6)):
+            d = [] if r.random() < 0.1 else base[:]
+            for _ in range(r.randint(0, 5)):
+                if d:
+                    d[r.randrange(len(d))] = r.randint(0, 30)
+            docs.append(d)
+        flat = np.array([x for d in docs for x in d], np.uint64)
+        at = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        common = np.random.default_rng(trial).integers(0, 4, ND.COMMON)
+        token, of = ND.prefix_tokens(*H.weighted(H.mix(flat), at), common, 0.8)
+        for i, x in enumerate(docs):
+            mine = token[of == i].tolist()
+            assert len(set(mine)) == len(mine) == (len(x) - math.ceil(0.8 * len(x) - 1e-6) + 1 if x else 0)
+            for j, y in enumerate(docs[:i]):
+                both, either = (sum(c.values()) for c in (Counter(x) & Counter(y), Counter(x) | Counter(y)))
+                assert not either or both < 0.8 * either or set(mine) & set(token[of == j].tolist())
+
+
+def test_pages_of_one_template_are_not_compared(spark, monkeypatch):
+    """Texts that share seven tenths meet in buckets; what is compared of them grows with the planted pairs."""
+    r = random.Random(42)
+    vocab = [f"v{i}" for i in range(4000)]
+    template = [r.choice(vocab) for _ in range(150)]
+    rows, compared, written = [], {}, ND.written
+    for i in range(600):
+        own = [r.choice(vocab) for _ in range(60)]
+        rows.append((i, " ".join(template[:75] + own + template[75:])))
+        if i % 60 == 0:
+            own[5] = "edited"
+            rows.append((1000 + i, " ".join(template[:75] + own + template[75:])))
+
+    def noted(df, kind):
+        out = written(df, kind)
+        compared[kind] = out.count()
+        return out
+
+    monkeypatch.setattr(ND, "written", noted)
+    monkeypatch.setattr(ND, "TURNS", ())  # so that all links are left to the last step
+    got = {x.doc_id: x.class_id for x in ND.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 1000 if i >= 1000 else i for i, _ in rows}
+    assert compared["dedup-open"] > 1000 and compared["dedup-partners"] < compared["dedup-open"] / 3
+
+
 # ---- pipeline ----
 
 def test_pipeline_keeps_clean_documents(spark):
