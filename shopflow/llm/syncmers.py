@@ -1,7 +1,9 @@
 """Document fingerprints from closed syncmers, by DataFrame functions only.
 
-A text is read as units: runs of letters or digits, each cut after ``UNIT`` characters, and
-single other characters that are no white space.  A k-mer is a run of ``K`` units,
+A text is read as units: whole runs of letters or of digits of at most ``UNIT`` characters, and
+single other characters that are no white space; in a longer run (a script without
+spaces, say) every character is a unit, so that what stands before a passage does not
+shift its units.  A k-mer is a run of ``K`` units,
 an inner substring (s-mer) a run of ``S`` of them.  A k-mer is a closed syncmer
 if its s-mer of least hash is its first or its last; whether it is chosen depends
 on its own units only, so equal passages have equal anchors wherever they stand, and
@@ -11,7 +13,10 @@ each window of K - S + 1 k-mers has one at least.  The text is taken as if
 The fingerprint is the list of the chosen k-mers' 32-bit hashes in text order, as
 hexadecimal digits.  Two fingerprints' likeness is the Jaccard similarity of
 their anchors; two empty ones are alike.  Positions of equal anchors line two
-texts up (``matched_positions``).
+texts up: ``matched_positions`` gives them as pairs, ``in_place`` the share of anchors that
+both texts have at one distance from their beginning.
+
+A task holds a row's text, its units and its anchors several times over, some 50 times the text.
 """
 
 from __future__ import annotations
@@ -22,8 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, S = 8, 2
-UNIT = 12
-PATTERN = rf"[\p{{L}}\p{{M}}]{{1,{UNIT}}}|\p{{N}}{{1,{UNIT}}}|[^\s\p{{L}}\p{{M}}\p{{N}}]"
+UNIT = 24
+PATTERN = rf"(?<![\p{{L}}\p{{M}}])[\p{{L}}\p{{M}}]{{1,{UNIT}}}(?![\p{{L}}\p{{M}}])|(?<!\p{{N}})\p{{N}}{{1,{UNIT}}}(?!\p{{N}})|\S"
 #: Range slices for each shuffle partition.
 SLICES_EACH = 4
 
@@ -66,6 +71,16 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+def placed(found: Column) -> Column:
+    """Position and hash of each anchor (``anchors``) in one number."""
+    return F.transform(found, lambda a: F.shiftleft(a["position"].cast("long"), 32).bitwiseOR(a["hash"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+
+
+def in_place(a: Column, b: Column) -> Column:
+    """Of all anchors of two texts, given by ``placed``, the share that both have at the same position (0 to 1)."""
+    return likeness(a, b)
+
+
 def matched_positions(a: Column, b: Column) -> Column:
     """Pairs of positions of anchors (``anchors``) that are in both texts once each: where passages line up."""
     def once(x: Column) -> Column:
@@ -134,17 +149,20 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     The edited text has its last floor(n_chars / 4) characters replaced by the first as many
     (or all) of the next document in ascending doc_id (null ids first, ties by the text's
-    hash; after the last document comes the first).  Null counts as empty.
+    hash; after the last document comes the first).  Null counts as empty.  ``near_*``
+    is ``likeness``; ``in_place_edited`` also asks for equal positions.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
-    both = with_next(rows, "doc_id", "tie", ["text", "own"], lambda df: df.withColumn("own", anchor_hashes(F.col("text")))).select(
+    both = with_next(rows, "doc_id", "tie", ["text", "own"], lambda df: df.withColumn("own", placed(anchors(F.col("text"))))).select(
         "doc_id", n.cast("long").alias("n_chars"), "own", F.col("next_own").alias("next"),
         F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)).alias("edited"))
-    both = both.select("*", anchor_hashes(F.col("edited")).alias("other"))
+    both = both.select("*", placed(anchors(F.col("edited"))).alias("other"))
+    hashes = {c: F.transform(c, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF))) for c in ("own", "other", "next")}
+    both = both.select("*", *[h.alias(f"{c}_hashes") for c, h in hashes.items()])
     return both.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own")).alias("fingerprint"),
-        fingerprint(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"))
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own_hashes")).alias("fingerprint"),
+        fingerprint(F.col("other_hashes")).alias("edited_fingerprint"), likeness(F.col("own_hashes"), F.col("other_hashes")).alias("near_edited"),
+        likeness(F.col("own_hashes"), F.col("next_hashes")).alias("near_next"), in_place(F.col("own"), F.col("other")).alias("in_place_edited"))

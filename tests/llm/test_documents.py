@@ -101,6 +101,24 @@ def test_fingerprints_and_edits(spark):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_anchors_do_not_depend_on_what_stands_before(spark):
+    """A letter before a long run without spaces, Chinese or Latin; a passage moved in a text."""
+    r = random.Random(6)
+    for letters in ("的一是不了人我在有他这为之大来以个中上们", "abcdefghijklmnopqrst"):
+        run = "".join(r.choice(letters) for _ in range(3000))
+        spaced = " ".join(run[i : i + 9] for i in range(0, 3000, 9))
+        rows = [("run", run, letters[0] + run), ("words", spaced, letters[0] + " " + spaced), ("tail", run, run + letters[0]),
+                ("moved", spaced, " ".join(spaced.split()[200:] + spaced.split()[:200])), ("same", run, run)]
+        df = spark.createDataFrame(rows, "kind string, a string, b string")
+        a, b = syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b"))
+        hashes = lambda x: F.transform(x, lambda e: e["hash"])
+        got = {x.kind: x for x in df.select("kind", syncmers.likeness(hashes(a), hashes(b)).alias("like"),
+                                            syncmers.in_place(syncmers.placed(a), syncmers.placed(b)).alias("place")).collect()}
+        assert min(got[k].like for k in ("run", "tail")) > 0.95 and got["same"].like == got["same"].place == 1.0
+        assert min(got[k].like for k in ("words", "moved")) > 0.85  # some 95 anchors in all
+        assert got["tail"].place > 0.9 and got["moved"].place < 0.1
+
+
 def test_next_with_shared_and_null_ids(spark):
     rows = [(5, f"t{i}", i * 977 << 50) for i in range(300)] + [(None, f"n{i}", i * 31 << 52) for i in range(300)] + [(i, "x", i) for i in range(20)]
     rows = [(a, b, (c + 2**63) % 2**64 - 2**63) for a, b, c in rows]
