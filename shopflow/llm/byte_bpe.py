@@ -5,37 +5,38 @@ the pattern) starts as its bytes; as long as two neighbours together are a piece
 the pair of least rank (the first of equal ones) becomes one.  Words are merged
 apart from each other, so each distinct word is folded once.
 
-Two forms of the same fold:
-
-* ``fold_words``: Spark higher-order functions over a column of distinct words with
-  the rank map as a literal (a constant array of small maps, as an ``element_at`` on
-  one large map compares its keys one by one).
-* ``encode``: the whole-table form.  Arrow batches; the distinct words of a slice of
-  texts are folded in Python against the same rank map, with a bounded memo.
-  The README says, with figures, why whole tables take this one.
+The fold is ``fold_column``: Spark higher-order functions over a word's bytes, with the rank
+map as a literal (a constant array of small maps, as an ``element_at`` on one large map
+compares its keys one by one).  Whole tables need no shuffle: an Arrow step packs about
+``ROW_BYTES`` of texts into one row with their distinct words, the fold is a projection over
+that list, and another Arrow step puts each text's ids together.  Words of more than
+``LONG`` bytes are folded there, by the same rule with a heap, since the projection's
+steps grow with the square of a word.  Decoding concatenates the ids' pieces.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.llm.common import slices, space_cuts, text_list, worker_memo
+from shopflow.llm.common import quoted, space_cuts, text_list, worker_memo
 
 #: White space of the pattern: the Unicode property, said in full as libraries differ on U+001C-U+001F.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MEMO = 1_000_000
-#: Stands for a pair that is no piece; above every rank.
-NO_RANK = 1 << 60
+#: Texts of about so many bytes share a row and so the folds of their words; one huge text is a row by itself.
+ROW_BYTES = 48 << 20
+#: Bytes of the longest word that the projection folds.
+LONG = 96
 BUCKETS = 1 << 15
 
 
@@ -49,30 +50,8 @@ def word_pattern(pattern: str) -> str:
     return pattern.replace(r"[^\s", rf"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
 
 
-def fold(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """Ids of one word."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return (whole,)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    get = ranks.get
-    near = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]  # rank of each neighbouring pair
-    while near:
-        least = min(near)
-        if least == NO_RANK:
-            break
-        i = near.index(least)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del near[i]
-        if i < len(near):
-            near[i] = get(parts[i] + parts[i + 1], NO_RANK)
-        if i:
-            near[i - 1] = get(parts[i - 1] + parts[i], NO_RANK)
-    return tuple([ranks[p] for p in parts])
-
-
 def fold_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """As ``fold``, for long words: a heap of pairs instead of a scan for each merge."""
+    """Ids of one long word: the pairs in a heap, the least rank and of equal ones the first on top."""
     import heapq
 
     n = len(word)
@@ -96,107 +75,145 @@ def fold_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ranks[p] for p in piece if p is not None)
 
 
-class ByteBPE:
-    """Encoder and decoder of a rank file; the memos hold at most about ``MEMO`` entries each and only save time.
+class Words:
+    """The pattern's matches, and the rank file's pieces by id.
 
-    Texts are cut at spaces where the pattern always starts a new word
-    (``space_cuts``); each distinct cut is matched and each distinct word folded once.
+    Texts are cut at spaces where the pattern always starts a new word (``space_cuts``),
+    so each distinct cut is matched once.
     """
 
     def __init__(self, path: str, pattern: str):
         self.ranks = load_ranks(path)
         self.pieces = dict(zip(self.ranks.values(), self.ranks.keys()))
-        self.text = {i: b"%d" % i for i in self.pieces}
-        self.words = regex.compile(word_pattern(pattern))
-        self.first: dict[str, tuple[int, ...]] = {}
-        self.after: dict[str, tuple[int, ...]] = {}
-        self.folded: dict[str, tuple[int, ...]] = {}  # by word
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self.folded.get(word)
-        if ids is None:
-            data = word.encode()
-            ids = self.folded[word] = fold(data, self.ranks) if len(data) <= 64 else fold_long(data, self.ranks)
-        return ids
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self._word, self.words.findall(piece))))
-
-    def encode(self, text: str) -> list[int]:
-        parts = space_cuts(text)
-        for memo in (self.first, self.after, self.folded):
-            if len(memo) > MEMO:
-                memo.clear()
-        out = []
-        for memo, prefix, group in ((self.first, "", parts[:1]), (self.after, " ", parts[1:])):
-            for p in set(group).difference(memo):
-                memo[p] = self._piece(prefix + p)
-            out.append(chain.from_iterable(map(memo.__getitem__, group)))
-        return list(chain(*out))
-
-    def decode(self, ids: list[int]) -> bytes:
+        self.find = regex.compile(word_pattern(pattern)).findall
+
+    def cuts(self, text: str) -> list[str]:
+        """``text`` in stretches that are matched apart from each other; joined they are the text."""
+        first, *rest = space_cuts(text)
+        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+
+    def decode(self, ids) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
-def _digests(path: str, pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_memo(("byte-bpe", path, pattern), lambda: ByteBPE(path, pattern))
-        for b in batches:
-            cols = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            for text in text_list(b.column(b.num_columns - 1)):
-                ids = bpe.encode(text)
-                cols["n_tokens"].append(len(ids))
-                cols["ids_sha256"].append(hashlib.sha256(b" ".join(map(bpe.text.__getitem__, ids))).hexdigest())
-                cols["decoded_sha256"].append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(cols["n_tokens"], pa.int64()),
-                                              pa.array(cols["ids_sha256"]), pa.array(cols["decoded_sha256"])],
-                                             names=[*b.schema.names[:-1], *cols])
-    return run
+def _words(path: str, pattern: str) -> Words:
+    return worker_memo(("byte-bpe", path, pattern), lambda: Words(path, pattern))
 
 
-def _ids(path: str, pattern: str):
+def _pack(path: str, pattern: str):
+    """Rows (kept..., text) -> rows of many: a list for each column, and the distinct words in hexadecimal."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_memo(("byte-bpe", path, pattern), lambda: ByteBPE(path, pattern))
-        for b in batches:
-            texts = text_list(b.column(b.num_columns - 1))
-            for lo, hi in slices(texts):
-                ids = [bpe.encode(t) for t in texts[lo:hi]]
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in b.columns[:-1]), pa.array(ids, pa.list_(pa.int32()))],
-                                                 names=[*b.schema.names[:-1], "ids"])
+        bpe, held, size = _words(path, pattern), [], 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            words: set[str] = set()
+            cuts: set[str] = set()
+            for text in table.column(table.num_columns - 1).to_pylist():
+                cuts.update(bpe.cuts(text or ""))
+            for cut in cuts:
+                words.update(bpe.find(cut))
+            short = [x.hex().upper() for x in map(str.encode, words) if len(x) <= LONG]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), c.combine_chunks()) for c in table.columns]
+            return pa.RecordBatch.from_arrays([*lists, pa.array([short], pa.list_(pa.string()))], names=[*table.column_names, "words"])
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            lo = 0
+            for i, n in enumerate(sizes):
+                if size and size + n > ROW_BYTES:
+                    if i > lo:
+                        held.append(batch.slice(lo, i - lo))
+                    yield packed()
+                    held, size, lo = [], 0, i
+                size += n + 1
+            if lo < len(sizes):
+                held.append(batch.slice(lo))
+        if held:
+            yield packed()
     return run
 
 
-def _decode(path: str, pattern: str):
+def _put_together(path: str, pattern: str, n_kept: int, digest: bool):
+    """Rows of many, with the words' ids -> one row for each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker_memo(("byte-bpe", path, pattern), lambda: ByteBPE(path, pattern))
-        for b in batches:
-            out = [None if ids is None else bpe.decode(ids) for ids in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.binary())], names=[*b.schema.names[:-1], "bytes"])
+        bpe = _words(path, pattern)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                kept = [batch.column(k)[r].values for k in range(n_kept)]
+                texts = text_list(batch.column(n_kept)[r].values)
+                found = batch.column(n_kept + 2)[r].values
+                flat, edge = found.flatten().to_pylist(), found.offsets.to_pylist()
+                base = edge[0]
+                words = {w: tuple(flat[a - base : z - base]) for w, a, z in zip(batch.column(n_kept + 1)[r].values.to_pylist(), edge, edge[1:])}
+
+                def ids_of(cut: str) -> tuple[int, ...]:
+                    out: list[int] = []
+                    for word in bpe.find(cut):
+                        data = word.encode()
+                        out += words[data.hex().upper()] if len(data) <= LONG else fold_long(data, bpe.ranks)
+                    return tuple(out)
+
+                memo: dict[str, tuple] = {}
+                for lo in range(0, len(texts), 2000):
+                    cols: list[list] = [[], [], []]
+                    for text in texts[lo : lo + 2000]:
+                        cuts = bpe.cuts(text)
+                        for cut in set(cuts).difference(memo):
+                            ids = ids_of(cut)
+                            memo[cut] = (len(ids), b" ".join(b"%d" % i for i in ids), bpe.decode(ids)) if digest else ids
+                        got = [memo[c] for c in cuts]
+                        if digest:
+                            cols[0].append(sum(x[0] for x in got))
+                            cols[1].append(hashlib.sha256(b" ".join([x[1] for x in got])).hexdigest())
+                            cols[2].append(hashlib.sha256(b"".join([x[2] for x in got])).hexdigest())
+                        else:
+                            cols[0].append(list(chain.from_iterable(got)))
+                    kinds = (pa.int64(), pa.string(), pa.string()) if digest else (pa.list_(pa.int32()),)
+                    yield pa.RecordBatch.from_arrays([*(k.slice(lo, 2000) for k in kept), *(pa.array(c, t) for c, t in zip(cols, kinds))],
+                                                     names=[*batch.schema.names[:n_kept], *(f"out{i}" for i in range(len(kinds)))])
     return run
 
 
-def _mapped(df: DataFrame, keep: list[str], column: Column, run, added: list[tuple[str, T.DataType]]) -> DataFrame:
+def _encoded(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str, digest: bool, added: list[tuple[str, T.DataType]]) -> DataFrame:
+    keep = [c for c in keep if c.lower() not in {a.lower() for a, _ in added}]
     names = [f"c{i}" for i in range(len(keep))]
-    schema = T.StructType([T.StructField(n, df.schema[c].dataType, True) for n, c in zip(names, keep)]
-                          + [T.StructField(n, t, True) for n, t in added])
-    return (df.select(*[F.col(c).alias(n) for n, c in zip(names, keep)], column.alias("__in"))
-            .mapInArrow(run, schema).toDF(*keep, *(n for n, _ in added)))
+    kept = [T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, keep)]
+    many = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in kept]
+                        + [T.StructField("text", T.ArrayType(T.StringType())), T.StructField("words", T.ArrayType(T.StringType()))])
+    rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("text"))
+    fold = fold_column(load_ranks(path))
+    folded = rows.mapInArrow(_pack(path, pattern), many).select("*", F.transform("words", fold).alias("ids"))
+    schema = T.StructType([*kept, *(T.StructField(f"out{i}", t) for i, (_, t) in enumerate(added))])
+    return folded.mapInArrow(_put_together(path, pattern, len(keep), digest), schema).toDF(*keep, *(n for n, _ in added))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` and ``ids`` (array<int>) of every whole text; null counts as empty, an empty text has no ids."""
-    return _mapped(docs, keep, F.col(text), _ids(path, pattern), [("ids", T.ArrayType(T.IntegerType()))])
+    """``keep`` and ``ids`` (array<int>) of every whole text; null counts as empty, an empty text has no ids.
+
+    A column of ``keep`` that bears an added name is left out.
+    """
+    return _encoded(docs, path, pattern, keep, text, False, [("ids", T.ArrayType(T.IntegerType()))])
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, keep: list[str], ids: str = "ids") -> DataFrame:
     """``keep`` and ``bytes``: the pieces of ``ids`` one after the other; null ids give null."""
-    return _mapped(encoded, keep, F.col(ids), _decode(path, pattern), [("bytes", T.BinaryType())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _words(path, pattern)
+        for b in batches:
+            out = [None if x is None else bpe.decode(x) for x in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.binary())], names=[*b.schema.names[:-1], "bytes"])
+
+    names = [f"c{i}" for i in range(len(keep))]
+    schema = T.StructType([T.StructField(n, encoded.schema[c].dataType) for n, c in zip(names, keep)] + [T.StructField("bytes", T.BinaryType())])
+    rows = encoded.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(ids).alias("__in"))
+    return rows.mapInArrow(run, schema).toDF(*keep, "bytes")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` with the number and SHA-256 of the ids of every whole text, and the SHA-256 of the decoded ids."""
-    return _mapped(docs, keep, F.col(text), _digests(path, pattern),
-                   [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())])
+    return _encoded(docs, path, pattern, keep, text, True,
+                    [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())])
 
 
 def rank_table(ranks: dict[bytes, int]) -> Column:
@@ -210,11 +227,11 @@ def rank_table(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
 
 
-def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
-    """Distinct words with their ``ids``, by higher-order functions only.
+def fold_column(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
+    """The fold as a function of a column: a word's bytes in hexadecimal -> its ids, by higher-order functions only.
 
-    The state is the word's pieces, in hexadecimal; each of at most length - 1 steps
-    joins the neighbours of least rank, or leaves the state as it is.
+    The state is the word's pieces; each of at most length - 1 steps joins the
+    neighbours of least rank, or leaves the state as it is.  A word that is a piece is one id.
     """
     table = rank_table(ranks)
 
@@ -225,14 +242,26 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") ->
     def step(parts: Column, _: Column) -> Column:
         near = F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
                            lambda i: rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
-        least = F.array_min(near)
-        at = F.array_position(near, least).cast("int")
-        joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
-                          F.slice(parts, at + 2, F.size(parts)))
-        return F.when((F.size(parts) < 2) | least.isNull(), parts).otherwise(joined)
 
+        def join(least: Column) -> Column:
+            at = F.array_position(near, least).cast("int")
+            joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
+                              F.slice(parts, at + 2, F.size(parts)))
+            return F.when(least.isNull(), parts).otherwise(joined)
+
+        # the least rank is bound once by transforming a list that holds it alone
+        return F.when(F.size(parts) < 2, parts).otherwise(F.get(F.transform(F.array(F.array_min(near)), join), F.lit(0)))
+
+    def fold_hex(data: Column) -> Column:
+        n = (F.length(data) / 2).cast("int")
+        parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(data, i * 2 - 1, F.lit(2)))
+        folded = F.transform(F.aggregate(F.sequence(F.lit(2), n), parts, step), rank)
+        return F.get(F.transform(F.array(rank(data)), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)), F.lit(0))
+
+    return fold_hex
+
+
+def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
+    """Distinct words with their ``ids``; empty words are left out."""
     data = F.hex(F.encode(F.col(word), "UTF-8"))
-    n = F.octet_length(F.col(word))
-    parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(data, i * 2 - 1, F.lit(2)))
-    folded = F.when(n < 2, parts).otherwise(F.aggregate(F.sequence(F.lit(2), n), parts, step))
-    return words.where(F.length(F.col(word)) > 0).withColumn("ids", F.transform(folded, rank))
+    return words.where(F.length(F.col(word)) > 0).withColumn("ids", fold_column(ranks)(data))
