@@ -18,7 +18,8 @@ proportional to S(c, t) A^t, with S the generalised Stirling numbers of the
 discount and A the weight of a new table, (a + d2 T_b) P1(w).  Customers beyond
 the first ``EXACT`` of a dish are seated in growing blocks, each of which
 opens a binomial number of tables.  Then the parent's tables are drawn likewise.
-Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
+Every draw follows from the word, the context and the sweep, so scores do not depend on how
+the words are dealt to slices.  Predictive probabilities are averaged over ``SAMPLES`` sweeps after ``BURN_IN``.
 
 Spark.  (1) Texts become blobs of distinct (word, context, text, times), dealt to
 slices by the word's hash, a very frequent word by word and context; so all
@@ -34,6 +35,7 @@ occurrences; the scores are summed by text.  Nothing else leaves the executors.
 from __future__ import annotations
 
 import math
+import statistics
 import zlib
 from collections.abc import Iterator
 
@@ -53,9 +55,12 @@ BURN_IN, SAMPLES = 3, 3
 EXACT = 24
 #: Text bytes of a blob's source, texts in it, and text bytes for each slice.
 CHUNK_BYTES, CHUNK_TEXTS, SLICE_BYTES = 4 << 20, 30_000, 12 << 20
-#: One text in so many is looked at to find very frequent words (this only decides where rows go).
+#: One text in so many is looked at to find very frequent words (this only decides where rows go: a word
+#: dealt over several slices is seated as any other).
 LOOK = 32
 FAN_IN = 128
+SEED = 20_240_101
+_NORMAL = statistics.NormalDist()
 _END = np.uint64(0x5851F42D4C957F2D)  # the end token's hash
 _ROUTE = np.uint64(0x2545F4914F6CDD1D)
 
@@ -240,16 +245,18 @@ def _add(table: pa.Table) -> pa.Table:
 class Totals:
     """The restaurants' totals over all slices; their size is fixed by the number of buckets and hot words."""
 
-    def __init__(self, arrays: list[np.ndarray], hot: np.ndarray):
+    def __init__(self, arrays: list[np.ndarray], hot: np.ndarray, before: Totals | None = None):
+        """``before``: the totals with which the burn-in was run, None before it."""
         self.customers, self.tables, s, self.hot_count, self.hot_tables = (a.astype(np.int64) for a in arrays)
         self.hot = hot
         self.n = int(s[0])
         self.v = int(s[1] + (self.hot_count > 0).sum())
         self.context_discount = _discount(s[2], s[3])
         self.parent_customers = int(s[5])
-        self.parent_discount = _discount(s[7], s[8])
-        # of a hot word the parent's tables are not summed up: one each
-        self.parent_tables = int(s[6] + (self.hot_count > 0).sum())
+        self.parent_discount = _discount(*(s[7 + k] + (self.hot_tables == k + 1).sum() for k in (0, 1)))
+        # of a word in several slices the parent's tables are drawn once more here, as they were drawn there
+        parent = (self.hot_tables > 0) if before is None else parent_draws(hot, before.hot_tables, before, BURN_IN - 1)
+        self.parent_tables = int(s[6] + parent.sum())
 
 
 def _discount(ones: int, twos: int) -> float:
@@ -257,7 +264,7 @@ def _discount(ones: int, twos: int) -> float:
     return float(min(0.9, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5)))
 
 
-def summed(slices: DataFrame, hot: np.ndarray) -> Totals:
+def summed(slices: DataFrame, hot: np.ndarray, before: Totals | None = None) -> Totals:
     """Totals over all slices, added up by a tree of ``FAN_IN``."""
     rows = slices.where("totals is not null").select(F.col("group"), "totals")
     n = rows.count()
@@ -267,7 +274,7 @@ def summed(slices: DataFrame, hot: np.ndarray) -> Totals:
     got = rows.first()
     zero = np.zeros(CONTEXTS, np.int64)
     return Totals([zero, zero, np.zeros(9, np.int64), *[np.zeros(len(hot), np.int64)] * 2] if got is None
-                  else [a.view(np.int64) for a in unpack(got.totals)], hot)
+                  else [a.view(np.int64) for a in unpack(got.totals)], hot, before)
 
 
 # ---- 4: seating ----
@@ -282,7 +289,49 @@ def stirling(discount: float, n: int = EXACT) -> np.ndarray:
         return np.log(np.maximum(s, 0))
 
 
-def draw_tables(count: np.ndarray, weight: np.ndarray, discount: float, log_s: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+class KeyedDraws:
+    """Random numbers that follow from a dish's own key, the sweep and the count of numbers it has drawn, so that a
+    dish is seated alike wherever it is dealt and whatever stands beside it."""
+
+    def __init__(self, keys: np.ndarray, sweep: int):
+        with np.errstate(over="ignore"):
+            self.state = H.mix(keys + H.mix(np.full(1, SEED + sweep, np.uint64))[0])
+
+    def uniform(self, at: np.ndarray) -> np.ndarray:
+        """One more number in (0, 1) for each of the dishes ``at``."""
+        with np.errstate(over="ignore"):
+            self.state[at] = H.mix(self.state[at] + _ROUTE)
+        return H.uniform(self.state[at])
+
+
+def binomial(n: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Binomial numbers by inversion of ``u``; where many are expected, by the normal one's."""
+    flip = p > 0.5
+    got = _few(n, np.where(flip, 1 - p, p), np.where(flip, 1 - u, u))
+    return np.where(flip, n - got, got)
+
+
+def _few(n: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """``binomial`` for p up to a half."""
+    out, mean = np.zeros(len(n), np.int64), n * p
+    many = np.flatnonzero(mean > 200)
+    for i in many.tolist():
+        z = _NORMAL.inv_cdf(float(u[i]))
+        out[i] = min(int(n[i]), max(0, round(mean[i] + z * math.sqrt(mean[i] * (1 - p[i])))))
+    at = np.flatnonzero((mean > 0) & (mean <= 200))
+    term = np.exp(n[at] * np.log1p(-p[at]))
+    below, odds, k = term.copy(), p[at] / (1 - p[at]), 0
+    live = np.flatnonzero(u[at] > below)
+    while len(live):
+        k += 1
+        term[live] *= odds[live] * (n[at[live]] - k + 1) / k
+        below[live] += term[live]
+        out[at[live]] = np.minimum(k, n[at[live]])
+        live = live[(u[at[live]] > below[live]) & (k < n[at[live]]) & ((term[live] > 1e-18) | (k < mean[at[live]]))]
+    return out
+
+
+def draw_tables(count: np.ndarray, weight: np.ndarray, discount: float, log_s: np.ndarray, draws: KeyedDraws) -> np.ndarray:
     """Tables of each dish given its customers and the weight of a new table; 0 for none, 1 for one customer."""
     out = (count > 0).astype(np.int64)
     log_w = np.log(np.maximum(weight, 1e-300))
@@ -293,50 +342,55 @@ def draw_tables(count: np.ndarray, weight: np.ndarray, discount: float, log_s: n
             t = np.arange(1, c + 1)
             z = log_s[c, 1 : c + 1] + log_w[at, None] * t
             p = np.exp(z - z.max(1, keepdims=True)).cumsum(1)
-            out[at] = 1 + (p < rng.random(len(at))[:, None] * p[:, -1:]).sum(1)
+            out[at] = 1 + (p < draws.uniform(at)[:, None] * p[:, -1:]).sum(1)
     at = np.flatnonzero(count > EXACT)
     seated = EXACT
     while len(at):  # blocks of a quarter of those seated
         block = np.minimum(count[at] - seated, max(1, seated // 4))
         open_ = weight[at] / (weight[at] + seated + block / 2 - discount * out[at])
-        out[at] += rng.binomial(block, np.clip(open_, 0, 1))
+        out[at] += binomial(block, np.clip(open_, 0, 1), draws.uniform(at))
         seated += max(1, seated // 4)
         at = at[count[at] > seated]
     return out
 
 
+def parent_draws(names: np.ndarray, customers: np.ndarray, totals: Totals, sweep: int) -> np.ndarray:
+    """The parent's tables of each word: the same in every slice that holds the word."""
+    new = (CONCENTRATION + totals.parent_discount * totals.parent_tables) / (totals.v + 1)
+    return draw_tables(customers, np.full(len(names), new), totals.parent_discount, stirling(totals.parent_discount), KeyedDraws(names, -1 - sweep))
+
+
 class Sampler:
-    """A slice's seating; sweeps hold the totals that it is given."""
+    """A slice's seating.  What other slices may have a part in (a restaurant's totals, a word's customers at the
+    parent) is held from one summation to the next, for frequent and rare words alike."""
 
-    def __init__(self, s: Slice, totals: Totals, seed: int):
-        self.s, self.rng = s, np.random.default_rng(seed)
+    def __init__(self, s: Slice, totals: Totals):
+        self.s, self.sweeps = s, 0
         self.word_count = np.bincount(s.pair_word, s.pair_count, len(s.names)).astype(np.int64)
         self.tables = (s.pair_count > 0).astype(np.int64)
+        with np.errstate(over="ignore"):
+            self.keys = H.mix(s.names[s.pair_word] + H.mix(s.pair_context.astype(np.uint64) + np.uint64(1)))
         self.hold(totals)
-        self.parent = (self.word_customers() > 0).astype(np.int64)
+        self.parent = (self.customers > 0).astype(np.int64)
 
     def hold(self, totals: Totals) -> None:
         self.t = totals
-        self.hot = np.searchsorted(totals.hot, self.s.names)
+        hot = np.searchsorted(totals.hot, self.s.names)
         if len(totals.hot):
-            self.hot[self.hot == len(totals.hot)] = 0
-            self.hot = np.where(totals.hot[self.hot] == self.s.names, self.hot, -1)
+            hot[hot == len(totals.hot)] = 0
+            hot = np.where(totals.hot[hot] == self.s.names, hot, -1)
         else:
-            self.hot = np.full(len(self.s.names), -1)
-        self.is_hot = self.hot >= 0
-        self.word_count[self.is_hot] = totals.hot_count[self.hot[self.is_hot]]
-        self.log_context, self.log_parent = stirling(totals.context_discount), stirling(totals.parent_discount)
-
-    def word_customers(self) -> np.ndarray:
-        """K_w; a hot word's customers are those of the totals, as its pairs are in many slices."""
-        k = np.bincount(self.s.pair_word, self.tables, len(self.s.names)).astype(np.int64)
-        k[self.is_hot] = self.t.hot_tables[self.hot[self.is_hot]]
-        return k
+            hot = np.full(len(self.s.names), -1)
+        shared = hot >= 0  # words that are dealt over several slices
+        self.word_count[shared] = totals.hot_count[hot[shared]]
+        self.customers = np.bincount(self.s.pair_word, self.tables, len(self.s.names)).astype(np.int64)  # K_w
+        self.customers[shared] = totals.hot_tables[hot[shared]]
+        self.log_context = stirling(totals.context_discount)
 
     def unigram(self) -> np.ndarray:
         t = self.t
         new = (CONCENTRATION + t.parent_discount * t.parent_tables) / (t.v + 1)
-        seated = np.maximum(0.0, self.word_customers() - t.parent_discount * np.where(self.is_hot, 1, self.parent) * (self.word_count > 0))
+        seated = np.maximum(0.0, self.customers - t.parent_discount * self.parent * (self.word_count > 0))
         return (seated + new) / (CONCENTRATION + t.parent_customers)
 
     def context_weight(self) -> np.ndarray:
@@ -344,12 +398,11 @@ class Sampler:
         return CONCENTRATION + self.t.context_discount * self.t.tables[self.s.pair_context]
 
     def sweep(self) -> None:
-        t = self.t
         weight = self.context_weight() * self.unigram()[self.s.pair_word]
-        self.tables = draw_tables(self.s.pair_count, weight, t.context_discount, self.log_context, self.rng)
-        new = (CONCENTRATION + t.parent_discount * t.parent_tables) / (t.v + 1)
-        k = self.word_customers()
-        self.parent = draw_tables(k, np.full(len(k), new), t.parent_discount, self.log_parent, self.rng)
+        draws = KeyedDraws(self.keys, self.sweeps)
+        self.tables = draw_tables(self.s.pair_count, weight, self.t.context_discount, self.log_context, draws)
+        self.parent = parent_draws(self.s.names, self.customers, self.t, self.sweeps)
+        self.sweeps += 1
 
     def predictive(self) -> np.ndarray:
         """P(word | context) of each pair."""
@@ -358,15 +411,11 @@ class Sampler:
         return (own + self.context_weight() * self.unigram()[self.s.pair_word]) / (CONCENTRATION + t.customers[self.s.pair_context])
 
 
-def _seed(group: int) -> int:
-    return 20_240_101 + group
-
-
 def _seat(totals: Totals):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for group, data in zip(b.column(0).to_pylist(), b.column(1)):
-                sampler = Sampler(Slice.load(data.as_py()), totals, _seed(group))
+                sampler = Sampler(Slice.load(data.as_py()), totals)
                 for _ in range(BURN_IN):
                     sampler.sweep()
                 out = _totals(sampler.s, totals.hot, sampler.tables, sampler.parent)
@@ -382,7 +431,7 @@ def _score(first: Totals, second: Totals):
         for b in batches:
             for group, data in zip(b.column(0).to_pylist(), b.column(1)):
                 s = Slice.load(data.as_py())
-                sampler = Sampler(s, first, _seed(group))
+                sampler = Sampler(s, first)
                 for _ in range(BURN_IN):
                     sampler.sweep()
                 sampler.hold(second)
@@ -391,7 +440,9 @@ def _score(first: Totals, second: Totals):
                     sampler.sweep()
                     mean += sampler.predictive() / SAMPLES
                 count = sampler.word_count[s.pair_word]
-                pair_values = (np.log10(mean), np.log10((count + 1) / (second.n + second.v + 1)), (count > 0).astype(float))
+                # fixed steps, so that a text's sum is exact and the same whatever slices its words lie in
+                pair_values = (np.round(np.log10(mean) * 2.0**20) / 2.0**20,
+                               np.round(np.log10((count + 1) / (second.n + second.v + 1)) * 2.0**30) / 2.0**30, (count > 0).astype(float))
                 texts, back = np.unique(s.occ_chunk.astype(np.int64) * (1 << 15) + (s.occ_mark >> 1), return_inverse=True)
                 sums = [np.bincount(back, x[s.occ_pair] * s.occ_times, len(texts)) for x in pair_values]
                 cuts = np.searchsorted(texts >> 15, np.arange(len(s.chunks) + 1))
@@ -457,7 +508,7 @@ def score_texts(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "
     slices = written(blobs.groupBy("group").applyInArrow(_gather(hot), "group long, chunk long, data binary, totals binary"), "lm-slices")
     first = summed(slices, hot)
     seated = slices.where("group >= 0").select("group", "data").mapInArrow(_seat(first), "group long, totals binary")
-    second = summed(written(seated, "lm-totals"), hot)
+    second = summed(written(seated, "lm-totals"), hot, first)
     # the counts are those of the first totals; only tables have changed
     sums = slices.where("group >= 0").select("group", "data").mapInArrow(_score(first, second), "chunk long, kind string, data binary")
     texts = slices.where("group < 0").select("chunk", F.lit("D").alias("kind"), "data")

@@ -320,7 +320,7 @@ def test_probabilities_of_a_context_add_up():
     hot = np.zeros(0, np.uint64)
     total = lambda sampler: pitman_yor.Totals([x.view(np.int64) for x in pitman_yor.unpack(
         pitman_yor._totals(s, hot, sampler[0], sampler[1]))], hot)
-    sampler = pitman_yor.Sampler(s, total(((count > 0) * 1, np.ones(len(names), np.int64))), 1)
+    sampler = pitman_yor.Sampler(s, total(((count > 0) * 1, np.ones(len(names), np.int64))))
     for _ in range(5):
         sampler.sweep()
         sampler.hold(total((sampler.tables, sampler.parent)))
@@ -345,10 +345,11 @@ def test_table_draws_follow_the_exact_conditional():
             grow([*sizes[:i], s + 1, *sizes[i + 1 :]], left - 1, w * (s - d))
 
     grow([1], c - 1, a)
-    got = pitman_yor.draw_tables(np.full(200_000, c), np.full(200_000, a), d, pitman_yor.stirling(d), np.random.default_rng(0))
+    draws = lambda n: pitman_yor.KeyedDraws(np.arange(n, dtype=np.uint64), 3)
+    got = pitman_yor.draw_tables(np.full(200_000, c), np.full(200_000, a), d, pitman_yor.stirling(d), draws(200_000))
     for t in range(1, c + 1):
         assert (got == t).mean() == pytest.approx(weights[t] / sum(weights.values()), abs=0.005)
-    many = pitman_yor.draw_tables(np.array([0, 1, 5000]), np.array([0.5, 0.5, 0.5]), d, pitman_yor.stirling(d), np.random.default_rng(0))
+    many = pitman_yor.draw_tables(np.array([0, 1, 5000]), np.array([0.5, 0.5, 0.5]), d, pitman_yor.stirling(d), draws(3))
     assert many[0] == 0 and many[1] == 1 and 1 <= many[2] < 200
 
 
@@ -361,3 +362,85 @@ def test_frequent_words_are_dealt_over_slices(spark):
     assert (got.n_known == got.n_tokens).all() and (got.score > got.base_score).all()
     # "the" is certain after each w: half the tokens are free, the rest cost log10 41
     assert got.score.mean() == pytest.approx(-40 * math.log10(41), rel=0.1)
+
+
+def test_binomial_numbers():
+    u = pitman_yor.KeyedDraws(np.arange(100_000, dtype=np.uint64), 1).uniform(np.arange(100_000))
+    for n, p in ((1, 0.3), (6, 0.02), (40, 0.5), (5000, 0.01), (100_000, 0.2), (9, 0.0), (9, 1.0), (300, 0.999)):
+        got = pitman_yor.binomial(np.full(len(u), n), np.full(len(u), p), u)
+        assert got.min() >= 0 and got.max() <= n
+        assert got.mean() == pytest.approx(n * p, abs=0.02 + 0.01 * math.sqrt(n * p)) and got.var() == pytest.approx(n * p * (1 - p), rel=0.05, abs=0.01)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, found = spark.read.parquet(f"{sf}/documents.parquet"), []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (4, 16, 3):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+            got = pitman_yor.score_texts(docs.repartition(n), held).orderBy("doc_id").collect()
+            found.append([(x.doc_id, x.score, x.base_score, x.n_known, x.train_tokens) for x in got])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == docs.count()
+    tokens = sum(x.n_tokens for x in got if x.held_out)
+    assert sum(x.score for x in got if x.held_out) / tokens > -3.345
+
+
+def test_scores_equal_a_plain_model(spark):
+    """The model's formulas over dictionaries of restaurants, with the tables that the draws by key give."""
+    r = random.Random(9)
+    texts = [" ".join(r.choice("abcdefgh") + r.choice(["", "x"]) for _ in range(r.randint(0, 25))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.score for x in pitman_yor.score_texts(docs, F.col("doc_id") % 5 == 0).collect()}
+    pairs = [list(zip(["$", *t.split()], [*t.split(), "$"])) for t in texts]
+    train = Counter(p for i, ps in enumerate(pairs) for p in ps if i % 5)
+    every = sorted(train.keys() | {p for ps in pairs for p in ps})
+    hash_of = {}
+    for t in texts:
+        data, offsets = hashing.text_buffer(pa.array([t]))
+        word, context, _ = pitman_yor.tokens(data, offsets)
+        hash_of.update(zip([*t.split(), "$"], word.tolist()))
+    contexts = {w: int(pitman_yor.context_of(np.array([h], np.uint64))[0]) for w, h in hash_of.items()}
+    assert len(set(contexts.values())) == len(contexts)
+    keys = hashing.mix(np.array([hash_of[w] for _, w in every], np.uint64) + hashing.mix(np.array([contexts[b] + 1 for b, _ in every], np.uint64)))
+    words = sorted(hash_of, key=hash_of.get)
+    names = np.array([hash_of[w] for w in words], np.uint64)
+    count = np.array([train[p] for p in every])
+    v = len({w for (_, w), n in train.items() if n})
+    c_of = Counter()
+    for (b, _), n in train.items():
+        c_of[b] += n
+
+    def totals(tables, parent):
+        t_of, k_of = Counter(), Counter()
+        for (b, w), t in zip(every, tables.tolist()):
+            t_of[b] += t
+            k_of[w] += t
+        discount = lambda ones, twos: min(0.9, max(0.1, ones / (ones + 2 * twos) if ones + twos else 0.5))
+        return (t_of, k_of, sum(k_of.values()), sum(parent.values()), discount(sum(count == 1), sum(count == 2)),
+                discount(*(sum(k == i for k in k_of.values()) for i in (1, 2))))
+
+    tables = (count > 0) * 1
+    parent = {w: int(any(train[b, w] for b in words)) for w in words}
+    hold, mean = totals(tables, parent), np.zeros(len(every))
+    for sweep in range(pitman_yor.BURN_IN + pitman_yor.SAMPLES):
+        if sweep == pitman_yor.BURN_IN:
+            hold = totals(tables, parent)
+        t_of, k_of, k, t1, d2, d1 = hold
+        new = (1 + d1 * t1) / (v + 1)
+        unigram = lambda: {w: (max(0.0, k_of[w] - d1 * parent[w] * (k_of[w] > 0)) + new) / (1 + k) for w in words}
+        p1 = unigram()
+        weight = np.array([(1 + d2 * t_of[b]) * p1[w] for b, w in every])
+        tables = pitman_yor.draw_tables(count, weight, d2, pitman_yor.stirling(d2), pitman_yor.KeyedDraws(keys, sweep))
+        drawn = pitman_yor.draw_tables(np.array([k_of[w] for w in words]), np.full(len(words), new), d1, pitman_yor.stirling(d1),
+                                       pitman_yor.KeyedDraws(names, -1 - sweep))
+        parent = dict(zip(words, drawn.tolist()))
+        if sweep >= pitman_yor.BURN_IN:
+            p1 = unigram()
+            mean += np.array([(train[b, w] - d2 * t + (1 + d2 * t_of[b]) * p1[w]) / (1 + c_of[b]) for (b, w), t in zip(every, tables.tolist())]) / pitman_yor.SAMPLES
+    log_p = dict(zip(every, np.log10(mean)))
+    for i, ps in enumerate(pairs):
+        assert got[i] == pytest.approx(sum(log_p[p] for p in ps), abs=1e-4)
