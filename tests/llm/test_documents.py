@@ -76,7 +76,7 @@ def test_closed_syncmers(spark):
     assert len(found) > 10 and {x.a - x.b for x in found} == {3}
 
 
-def test_fingerprints_and_edits(spark):
+def test_fingerprints_and_edits(spark, tmp_dir):
     import hashlib
 
     r = random.Random(4)
@@ -97,6 +97,10 @@ def test_fingerprints_and_edits(spark):
         assert x.near_edited == pytest.approx(like(a, b)) and x.near_next == pytest.approx(like(a, c))
         assert t != edited or x.fingerprint == x.edited_fingerprint
     assert syncmers.fingerprints(df.limit(0)).collect() == []
+    from shopflow.llm import queries as Q
+
+    df.write.parquet(f"{tmp_dir}/documents.parquet")
+    assert sorted(Q.op6_syncmers(spark, tmp_dir).collect()) == sorted(got.values())
     one = syncmers.fingerprints(df.where(F.col("doc_id") == ids[5])).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
 
@@ -320,6 +324,62 @@ def test_pipeline_keeps_clean_documents(spark):
     assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
 
 
+def test_pipeline_on_planted_documents(spark, tmp_dir):
+    """What goes and what stays is known of every document."""
+    import corpus_pipeline
+    import public_tokenizers
+    from shopflow.llm.common import load_tokenizer
+
+    r = random.Random(51)
+    made = {lang: ["".join(r.choice(letters) for _ in range(r.randint(2, 8))) for _ in range(400)] for lang, letters in (("xx", "abcdeou"), ("yy", "stunirl"))}
+    prose = lambda lang: " ".join(r.choice(made[lang]) for _ in range(r.randint(80, 140)))
+    texts, lang, labels, stays = {}, {}, [], set()
+    for i in range(120):
+        lang[i] = "xx" if i % 2 else "yy"
+        texts[i] = prose(lang[i])
+        stays.add(i)
+        if i % 3 == 0:
+            labels.append((i, 1, 0))
+    for i in range(120, 180):  # junk of the same letters
+        lang[i] = "xx" if i % 2 else "yy"
+        texts[i] = " ".join(r.choice(["BUY", "NOW", "CHEAP", "$$$"]) + r.choice("AEIOU!") + "!!" + str(r.randint(0, 999)) for _ in range(90)) + " " + prose(lang[i])[:40]
+        if i % 3 == 0:
+            labels.append((i, 0, 0))
+    for i in range(180, 190):  # too short
+        lang[i], texts[i] = "xx", " ".join(prose("xx").split()[:30])
+    for i in range(190, 200):  # no letter, nothing at all, or letters of no learned language
+        lang[i], texts[i] = None, [None, "", "12 34 " * 60, "щжъэф цчшюя " * 40][i % 4]
+    for i in range(200, 220):  # exact copies, and copies with a word changed
+        words = texts[i - 200].split()
+        words[40] = words[40] if i % 2 else made[lang[i - 200]][0] + "q"
+        lang[i], texts[i] = lang[i - 200], " ".join(words)
+    rows = [(i, texts[i], lang[i], "s", len(texts[i] or "")) for i in texts]
+    r.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    got = corpus_pipeline.run(spark, tmp_dir).collect()
+    assert sorted(x.doc_id for x in got) == sorted(stays)
+    library = load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {x.doc_id: x.n_tokens for x in got} == {i: len(library.encode(texts[i], add_special_tokens=False).ids) + 1 for i in stays}
+
+
+def test_op1_batches_of_the_small_table(spark):
+    from shopflow.llm import queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    rows = Q.op1_length_buckets(spark, sf).collect()
+    counts = {x.doc_id: x.n_tokens + 1 for x in Q.op8_token_counts(spark, sf).collect()}
+    assert {x.doc_id: x.n_tokens for x in rows} == counts
+    batches = defaultdict(list)
+    for x in rows:
+        batches[x.bucket, x.batch].append(x)
+    assert len({x.bucket for x in rows}) <= Q.BUCKETS
+    for (_, _), members in batches.items():
+        width = members[0].boundary
+        assert all(x.boundary == width and x.n_tokens + x.padding == width for x in members) and (len(members) == 1 or len(members) * width <= Q.BATCH_TOKENS)
+        assert len({x.slot for x in members}) == len(members)
+
+
 def test_pipeline_stages_take_any_extra_columns(spark):
     import corpus_pipeline
 

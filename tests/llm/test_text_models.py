@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from shopflow.llm import byte_bpe, hashing, language_id, pitman_yor, quality_rules
+from shopflow.llm import byte_bpe, hashing, language_id, pitman_yor, quality_rules, queries
 from tests.llm.test_tokens_packing import HARD, noise
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -66,13 +66,13 @@ def test_bpe_equals_tiktoken(spark):
 
 
 @pytest.mark.parametrize("row_bytes, long", [(1, 96), (300, 4), (48 << 20, 1)])
-def test_bpe_digests_whatever_shares_a_row(spark, monkeypatch, row_bytes, long):
+def test_op4_digests_whatever_shares_a_row(spark, tmp_dir, monkeypatch, row_bytes, long):
     monkeypatch.setattr(byte_bpe, "ROW_BYTES", row_bytes)
     monkeypatch.setattr(byte_bpe, "LONG", long)
     texts = HARD + [noise(i, 50) for i in range(40)] + ["a" * 3000, "word " * 2000]
     lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.load_ranks(RANKS), special_tokens={})
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {x.doc_id: tuple(x)[1:] for x in byte_bpe.digests(docs, RANKS, P.PATTERN, ["doc_id"]).collect()}
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {x.doc_id: tuple(x)[1:] for x in queries.op4_byte_bpe(spark, tmp_dir).collect()}
     sha = lambda b: hashlib.sha256(b).hexdigest()
     for i, t in enumerate(texts):
         ids = lib.encode_ordinary(t or "")
@@ -282,6 +282,23 @@ def test_too_many_languages_are_refused(spark, monkeypatch):
         language_id.train(docs, P.path("piece_bpe_32k.model"))
 
 
+def test_op10_on_the_small_table(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {x.doc_id: x.text for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {x.doc_id: x.quality for x in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = queries.op10_quality_rules(spark, sf).collect()
+    assert len(got) == len(texts)
+    right = []
+    for x in got:
+        counts = brute_counts(texts[x.doc_id])
+        assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == counts
+        assert x.base_failed == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert x.kept == (not x.base_failed and x.probability >= quality_rules.KEEP_AT)
+        if not x.base_failed and labels.get(x.doc_id) is not None:
+            right.append(x.kept == bool(labels[x.doc_id]))
+    assert len(right) > 20 and np.mean(right) > 0.9
+
+
 # ---- op5 ----
 
 def test_base_score_and_counts(spark):
@@ -389,14 +406,15 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert sum(x.score for x in got if x.held_out) / tokens > -3.345
 
 
-def test_scores_equal_a_plain_model(spark):
+def test_op5_equals_a_plain_model(spark, tmp_dir):
     """The model's formulas over dictionaries of restaurants, with the tables that the draws by key give."""
     r = random.Random(9)
     texts = [" ".join(r.choice("abcdefgh") + r.choice(["", "x"]) for _ in range(r.randint(0, 25))) for _ in range(60)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {x.doc_id: x.score for x in pitman_yor.score_texts(docs, F.col("doc_id") % 5 == 0).collect()}
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {x.doc_id: x.score for x in queries.op5_pitman_yor(spark, tmp_dir).collect()}
+    held = {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 == 2}
     pairs = [list(zip(["$", *t.split()], [*t.split(), "$"])) for t in texts]
-    train = Counter(p for i, ps in enumerate(pairs) for p in ps if i % 5)
+    train = Counter(p for i, ps in enumerate(pairs) for p in ps if i not in held)
     every = sorted(train.keys() | {p for ps in pairs for p in ps})
     hash_of = {}
     for t in texts:
