@@ -7,91 +7,61 @@ arrive late.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from shopflow.catalog.ads import TS_TEXT
 from shopflow.catalog.registry import ORACLES, register
 from shopflow.catalog.streams import AVAILABLE_NOW, _ad_lines, document_line_stream
 from shopflow.config import fresh_dir
-from shopflow.plans import ads
-from shopflow.sources.store import ResultTable, latest_groups
-from shopflow.streaming import ads as sa
-from shopflow.streaming import state
-from shopflow.streaming import words as sw
-
-
-def _run(frame, sink):
-    state.start_update(frame, sink, fresh_dir(frame.sparkSession, "checkpoints"), AVAILABLE_NOW).awaitTermination()
-
-
-def _running(spark, frame, schema, keys, partition_by=()):
-    table = ResultTable(spark, fresh_dir(spark, "tables"), schema, partition_by, state.latest_by(keys))
-    _run(frame, state.counts_sink(table))
-    return table.read()
-
-
-def _ad_stat(spark, sf_dir, ordered):
-    return _running(spark, state.running_ad_stat(_ad_lines(spark, sf_dir, ordered)), sa.AD_STAT_SCHEMA, ads.STAT_KEYS, ["date"])
-
-
-def _top3(spark, sf_dir, ordered):
-    top3 = ResultTable(spark, fresh_dir(spark, "tables"), sa.PROVINCE_TOP3_SCHEMA, ["date"], lambda rows: latest_groups(rows, sa.GROUP_KEYS))
-    _run(state.running_province_counts(_ad_lines(spark, sf_dir, ordered)), state.top3_state_sink(top3))
-    return top3.read()
+from shopflow.streaming.state import StateJob
 
 
-def _sliding(spark, sf_dir, ordered):
-    tables = state.SlidingTables(spark, fresh_dir(spark, "tables"))
-    _run(state.sliding_changes(_ad_lines(spark, sf_dir, ordered)), state.sliding_sink(tables))
-    start = F.col("b") * F.lit(60)
-    return tables.read_windows().select(
-        F.date_format(F.timestamp_seconds(start), TS_TEXT).alias("window_start"),
-        F.date_format(F.timestamp_seconds(start + 3600), TS_TEXT).alias("window_end"), "adid", "click_count")
+def _after(spark, kind, lines):
+    job = StateJob(spark, kind, fresh_dir(spark, "state-job"))
+    job.start(lines, AVAILABLE_NOW).awaitTermination()
+    return job.read()
 
 
 @register("stream_state_ad_stat", ORACLES["stream_ad_stat"])
 def q_stream_state_ad_stat(spark, sf_dir):
     """Running clicks per date, province, city, ad, kept in the state store."""
-    return _ad_stat(spark, sf_dir, True)
+    return _after(spark, "stat", _ad_lines(spark, sf_dir))
 
 
 @register("stream_state_ad_stat_unordered", ORACLES["stream_ad_stat"])
 def q_stream_state_ad_stat_unordered(spark, sf_dir):
     """T3 in the state store with clicks that arrive in any order."""
-    return _ad_stat(spark, sf_dir, False)
+    return _after(spark, "stat", _ad_lines(spark, sf_dir, ordered=False))
 
 
 @register("stream_state_ad_trend", ORACLES["ad_minute_trend"])
 def q_stream_state_ad_trend(spark, sf_dir):
     """T5: running clicks per minute and ad, kept in the state store."""
-    return _running(spark, state.running_trend(_ad_lines(spark, sf_dir, False)), sa.TREND_SCHEMA, sa.TREND_KEYS, ["date"])
+    return _after(spark, "trend", _ad_lines(spark, sf_dir, ordered=False))
 
 
 @register("stream_state_word_count", ORACLES["stream_word_count"])
 def q_stream_state_word_count(spark, sf_dir):
     """Running word counts, kept in the state store."""
-    return _running(spark, state.running_words(document_line_stream(spark, sf_dir)), sw.WORD_COUNT_SCHEMA, ["word"])
+    return _after(spark, "words", document_line_stream(spark, sf_dir))
 
 
 @register("stream_state_top3", ORACLES["province_top3_ads"])
 def q_stream_state_top3(spark, sf_dir):
     """The top-3 per date and province from changed counts and the ranking before."""
-    return _top3(spark, sf_dir, True)
+    return _after(spark, "top3", _ad_lines(spark, sf_dir))
 
 
 @register("stream_state_top3_unordered", ORACLES["province_top3_ads"])
 def q_stream_state_top3_unordered(spark, sf_dir):
     """T7 from changed counts with clicks that arrive in any order."""
-    return _top3(spark, sf_dir, False)
+    return _after(spark, "top3", _ad_lines(spark, sf_dir, ordered=False))
 
 
 @register("stream_state_sliding", ORACLES["sliding_hour_clicks"])
 def q_stream_state_sliding(spark, sf_dir):
     """T4: 60-minute windows sliding by a minute, from a ring of minutes per ad in the state store."""
-    return _sliding(spark, sf_dir, True)
+    return _after(spark, "sliding", _ad_lines(spark, sf_dir))
 
 
 @register("stream_state_sliding_unordered", ORACLES["sliding_hour_clicks"])
 def q_stream_state_sliding_unordered(spark, sf_dir):
     """T4 in the state store with clicks that arrive in any order."""
-    return _sliding(spark, sf_dir, False)
+    return _after(spark, "sliding", _ad_lines(spark, sf_dir, ordered=False))

@@ -9,6 +9,9 @@
                                           --tables DIR
     python -m shopflow.cli sliding-hour   --tables DIR --out O   (60-minute windows of the ad stream's counts)
     python -m shopflow.cli stream-word-count --source DIR | --host H --port N  --tables DIR
+    python -m shopflow.cli ad-state       --kind stat|trend|top3|sliding|words --source DIR | --kafka-servers H --topic T
+                                          --tables DIR   (counts in the state store; words: lines of text)
+    python -m shopflow.cli read-state     --kind K --tables DIR --out O   (what an ad-state job says, also while it runs)
     (stream jobs: --available-now processes what has arrived and stops)
 
 Inputs are parquet paths or catalog table names (``table:<name>``); the
@@ -52,14 +55,21 @@ def _write(df: DataFrame, args) -> None:
         df.write.mode("overwrite").parquet(args.out)
 
 
+def _kafka(args) -> dict[str, str] | None:
+    if not args.kafka_servers:
+        return None
+    return {"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic} | dict(opt.split("=", 1) for opt in args.kafka_option)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shopflow")
     ap.add_argument("job", choices=["session-ratio", "page-convert", "area-top3", "word-count", "top1",
-                                    "ad-stream", "sliding-hour", "stream-word-count"])
+                                    "ad-stream", "sliding-hour", "stream-word-count", "ad-state", "read-state"])
     for opt in ("actions", "users", "products", "params", "input", "out", "source", "tables", "kafka-servers",
                 "topic", "host", "jdbc-url", "jdbc-table", "jdbc-user", "jdbc-password-file", "master", "task-id"):
         ap.add_argument(f"--{opt}")
     ap.add_argument("--port", type=int)
+    ap.add_argument("--kind", choices=["stat", "trend", "top3", "sliding", "words"], default="stat")
     ap.add_argument("--hive", action="store_true", help="use the Hive catalog for table:<name> inputs")
     ap.add_argument("--many-files", action="store_true", help="word-count: write the CSV with all tasks instead of as one file")
     ap.add_argument("--threshold", type=int, default=100)
@@ -91,12 +101,18 @@ def main(argv: list[str] | None = None) -> None:
         from shopflow.streaming import ads as sa
         from shopflow.streaming.sources import ad_log_stream
 
-        kafka = None
-        if args.kafka_servers:
-            kafka = {"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic}
-            kafka.update(dict(opt.split("=", 1) for opt in args.kafka_option))
         job = sa.AdStreamJob(sa.AdTables(spark, f"{args.tables}/tables"), args.threshold)
-        job.start(ad_log_stream(spark, args.source, kafka), f"{args.tables}/checkpoint", trigger).awaitTermination()
+        job.start(ad_log_stream(spark, args.source, _kafka(args)), f"{args.tables}/checkpoint", trigger).awaitTermination()
+    elif args.job in ("ad-state", "read-state"):
+        from shopflow.streaming.sources import ad_log_stream
+        from shopflow.streaming.state import StateJob
+
+        job = StateJob(spark, args.kind, f"{args.tables}/{args.kind}")
+        if args.job == "read-state":
+            _write(job.read(), args)
+        else:
+            lines = ad_log_stream(spark, args.source, _kafka(args))
+            job.start(lines.withColumnRenamed("value", "line") if args.kind == "words" else lines, trigger).awaitTermination()
     elif args.job == "sliding-hour":
         from shopflow.streaming import ads as sa
 

@@ -22,8 +22,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from shopflow.functions.dates import TIME_FORMAT
 from shopflow.plans import ads, words
-from shopflow.sources.store import ResultTable, latest, summed
+from shopflow.sources.store import ResultTable, latest, latest_groups, summed
+from shopflow.streaming import ads as sa
+from shopflow.streaming import words as sw
 from shopflow.streaming.compaction import Compaction
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the repository on their path
@@ -290,3 +293,44 @@ def sliding_sink(tables: SlidingTables) -> Callable[[DataFrame, int], None]:
         for c in compactions:
             c.after(batch_id)
     return sink
+
+
+# ---- one statistic as a job ----
+
+KINDS = ("stat", "trend", "words", "top3", "sliding")
+
+
+class StateJob:
+    """One of ``KINDS`` with its result tables below ``root``: ``start`` it on a stream of lines, ``read`` what it says."""
+
+    def __init__(self, spark: SparkSession, kind: str, root: str):
+        root = root.rstrip("/")
+
+        def counts(schema: T.StructType, keys: Sequence[str], partition_by: Sequence[str] = ()) -> tuple:
+            table = ResultTable(spark, f"{root}/tables", schema, partition_by, latest_by(keys))
+            return counts_sink(table), table.read
+
+        if kind == "stat":
+            self.changes, (self.sink, self.read) = running_ad_stat, counts(sa.AD_STAT_SCHEMA, ads.STAT_KEYS, ["date"])
+        elif kind == "trend":
+            self.changes, (self.sink, self.read) = running_trend, counts(sa.TREND_SCHEMA, sa.TREND_KEYS, ["date"])
+        elif kind == "words":
+            self.changes, (self.sink, self.read) = running_words, counts(sw.WORD_COUNT_SCHEMA, ["word"])
+        elif kind == "top3":
+            table = ResultTable(spark, f"{root}/tables", sa.PROVINCE_TOP3_SCHEMA, ["date"], lambda rows: latest_groups(rows, sa.GROUP_KEYS))
+            self.changes, self.sink, self.read = running_province_counts, top3_state_sink(table), table.read
+        elif kind == "sliding":
+            tables = SlidingTables(spark, f"{root}/tables")
+            self.changes, self.sink, self.read = sliding_changes, sliding_sink(tables), lambda: window_texts(tables.read_windows(), tables.width)
+        else:
+            raise ValueError(f"not one of {KINDS}: {kind}")
+        self.checkpoint = f"{root}/checkpoint"
+
+    def start(self, lines: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return start_update(self.changes(lines), self.sink, self.checkpoint, trigger)
+
+
+def window_texts(windows: DataFrame, width: int) -> DataFrame:
+    """Windows by their first minute ``b`` with begin and end as text."""
+    text = lambda minute: F.date_format(F.timestamp_seconds(minute * F.lit(60)), TIME_FORMAT)
+    return windows.select(text(F.col("b")).alias("window_start"), text(F.col("b") + width).alias("window_end"), "adid", "click_count")

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 from shopflow import cli
 from shopflow.params import DEFAULT_PARAMS
@@ -77,3 +78,29 @@ def test_cli_top1(spark, tmp_dir):
     cli.main(["top1", "--input", os.path.join(tmp_dir, "tech.txt"), "--out", f"{tmp_dir}/top1"])
     got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/top1").collect())
     assert got == [("1", "hadoop", 12), ("10", "tensorflow", 26), ("5", "spark", 16), ("8", "sparkstream", 26)]
+
+
+def test_cli_state_jobs_catch_up_and_go_on(spark, tmp_dir):
+    logs, day = os.path.join(tmp_dir, "logs"), 1704412800000
+    os.makedirs(logs)
+
+    def add(name, clicks):
+        with open(os.path.join(logs, name), "w") as f:
+            f.write("\n".join(f"{day + 60_000 * m} 1 1 {u} {a}" for m, u, a in clicks) + "\n")
+
+    def said(kind):
+        cli.main(["ad-state", "--kind", kind, "--source", logs, "--tables", f"{tmp_dir}/t", "--available-now"])
+        cli.main(["read-state", "--kind", kind, "--tables", f"{tmp_dir}/t", "--out", f"{tmp_dir}/out-{kind}"])
+        return spark.read.parquet(f"{tmp_dir}/out-{kind}").collect()
+
+    add("a.txt", [(0, 1, 5), (0, 2, 5), (1, 1, 6)])
+    assert sorted((r.adid, r.click_count) for r in said("stat")) == [(5, 2), (6, 1)]
+    assert [r.adid for r in sorted(said("top3"), key=lambda r: -r.click_count)] == [5, 6]
+    assert sorted((r.window_start, r.click_count) for r in said("sliding") if r.adid == 6)[-1] == ("2024-01-05 00:01:00", 1)
+    time.sleep(1.1)
+    add("b.txt", [(0, 1, 6), (0, 1, 6), (0, 3, 6)])
+    assert sorted((r.adid, r.click_count) for r in said("stat")) == [(5, 2), (6, 4)]
+    assert [r.adid for r in sorted(said("top3"), key=lambda r: -r.click_count)] == [6, 5]
+    assert {r.click_count for r in said("sliding") if r.adid == 6} == {1, 3, 4}
+    assert {(r.minute, r.adid): r.click_count for r in said("trend")} == {("00", 5): 2, ("01", 6): 1, ("00", 6): 3}
+    assert {r.word: r["count"] for r in said("words")}["6"] == 4
