@@ -231,7 +231,8 @@ def fold_column(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
     """The fold as a function of a column: a word's bytes in hexadecimal -> its ids, by higher-order functions only.
 
     The state is the word's pieces; each of at most length - 1 steps joins the
-    neighbours of least rank, or leaves the state as it is.  A word that is a piece is one id.
+    neighbours of least rank.  When no two are a piece, an empty mark is put behind them and the
+    other steps pass.  A word that is a piece is one id.
     """
     table = rank_table(ranks)
 
@@ -243,24 +244,28 @@ def fold_column(ranks: dict[bytes, int]) -> Callable[[Column], Column]:
         near = F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
                            lambda i: rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
 
-        def join(least: Column) -> Column:
-            at = F.array_position(near, least).cast("int")
+        def join(at: Column) -> Column:  # null: no two neighbours are a piece
             joined = F.concat(F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))),
                               F.slice(parts, at + 2, F.size(parts)))
-            return F.when(least.isNull(), parts).otherwise(joined)
+            return F.when(at.isNull(), F.concat(parts, F.array(F.lit("")))).otherwise(joined)
 
-        # the least rank is bound once by transforming a list that holds it alone
-        return F.when(F.size(parts) < 2, parts).otherwise(F.get(F.transform(F.array(F.array_min(near)), join), F.lit(0)))
+        place = bound(near, lambda ranks: F.array_position(ranks, F.array_min(ranks)).cast("int"))
+        return F.when((F.size(parts) < 2) | (F.element_at(parts, -1) == ""), parts).otherwise(bound(place, join))
 
     def fold_hex(data: Column) -> Column:
         n = (F.length(data) / 2).cast("int")
         parts = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(data, i * 2 - 1, F.lit(2)))
-        folded = F.transform(F.aggregate(F.sequence(F.lit(2), n), parts, step), rank)
-        return F.get(F.transform(F.array(rank(data)), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)), F.lit(0))
+        folded = F.transform(F.filter(F.aggregate(F.sequence(F.lit(2), n), parts, step), lambda p: p != ""), rank)
+        return bound(rank(data), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
 
     return fold_hex
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: it is the one item of a list that is transformed."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fold_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
     """Distinct words with their ``ids``; empty words are left out."""
     data = F.hex(F.encode(F.col(word), "UTF-8"))
