@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from shopflow import catalog  # noqa: E402
 from shopflow.config import build_session  # noqa: E402
 
-SKIP = ("stream_", "replace_table", "csv_", "text_file_")  # run jobs of their own
+SKIP = ("stream_", "replace_table", "csv_", "text_file_")  # streams, and results that are read back from what was written
 
 
 def summarise(plan: str) -> dict:
