@@ -34,7 +34,7 @@ from shopflow.llm.common import quoted, space_cuts, text_list, worker_memo
 #: White space of the pattern: the Unicode property, said in full as libraries differ on U+001C-U+001F.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Texts of about so many bytes share a row and so the folds of their words; one huge text is a row by itself.
-ROW_BYTES = 48 << 20
+ROW_BYTES = 8 << 20
 #: Bytes of the longest word that the projection folds.
 LONG = 96
 BUCKETS = 1 << 15
