@@ -8,7 +8,7 @@ apart from each other, so each distinct word is folded once.
 The fold is ``fold_column``: Spark higher-order functions over a word's bytes, with the rank
 map as a literal (a constant array of small maps, as an ``element_at`` on one large map
 compares its keys one by one).  Whole tables need no shuffle: an Arrow step packs about
-``ROW_BYTES`` of texts into one row with their distinct words, the fold is a projection over
+``ROW_BYTES`` of texts into one row with the distinct words that the task has not met, the fold is a projection over
 that list, and another Arrow step puts each text's ids together.  Words of more than
 ``LONG`` bytes are folded there, by the same rule with a heap, since the projection's
 steps grow with the square of a word.  Decoding concatenates the ids' pieces.
@@ -35,6 +35,8 @@ from shopflow.llm.common import quoted, space_cuts, text_list, worker_memo
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Texts of about so many bytes share a row and so the folds of their words; one huge text is a row by itself.
 ROW_BYTES = 8 << 20
+#: Words that a task remembers as folded; beyond, it begins anew.
+KNOWN = 1_000_000
 #: Bytes of the longest word that the projection folds.
 LONG = 96
 BUCKETS = 1 << 15
@@ -103,7 +105,7 @@ def _words(path: str, pattern: str) -> Words:
 def _pack(path: str, pattern: str):
     """Rows (kept..., text) -> rows of many: a list for each column, and the distinct words in hexadecimal."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, held, size = _words(path, pattern), [], 0
+        bpe, held, size, sent = _words(path, pattern), [], 0, set()
 
         def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
@@ -113,9 +115,14 @@ def _pack(path: str, pattern: str):
                 cuts.update(bpe.cuts(text or ""))
             for cut in cuts:
                 words.update(bpe.find(cut))
-            short = [x.hex().upper() for x in map(str.encode, words) if len(x) <= LONG]
+            short = {x.hex().upper() for x in map(str.encode, words) if len(x) <= LONG}
+            anew = len(sent) + len(short) > KNOWN
+            if anew:
+                sent.clear()
+            new = list(short.difference(sent))
+            sent.update(new)
             lists = [pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), c.combine_chunks()) for c in table.columns]
-            return pa.RecordBatch.from_arrays([*lists, pa.array([short], pa.list_(pa.string()))], names=[*table.column_names, "words"])
+            return pa.RecordBatch.from_arrays([*lists, pa.array([anew]), pa.array([new], pa.list_(pa.string()))], names=[*table.column_names, "anew", "words"])
 
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
@@ -137,15 +144,17 @@ def _pack(path: str, pattern: str):
 def _put_together(path: str, pattern: str, n_kept: int, digest: bool):
     """Rows of many, with the words' ids -> one row for each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _words(path, pattern)
+        bpe, words = _words(path, pattern), {}  # the rows come in the order in which they were packed
         for batch in batches:
             for r in range(batch.num_rows):
                 kept = [batch.column(k)[r].values for k in range(n_kept)]
                 texts = text_list(batch.column(n_kept)[r].values)
-                found = batch.column(n_kept + 2)[r].values
+                if batch.column(n_kept + 1)[r].as_py():
+                    words.clear()
+                found = batch.column(n_kept + 3)[r].values
                 flat, edge = found.flatten().to_pylist(), found.offsets.to_pylist()
                 base = edge[0]
-                words = {w: tuple(flat[a - base : z - base]) for w, a, z in zip(batch.column(n_kept + 1)[r].values.to_pylist(), edge, edge[1:])}
+                words.update((w, tuple(flat[a - base : z - base])) for w, a, z in zip(batch.column(n_kept + 2)[r].values.to_pylist(), edge, edge[1:]))
 
                 def ids_of(cut: str) -> tuple[int, ...]:
                     out: list[int] = []
@@ -180,7 +189,8 @@ def _encoded(docs: DataFrame, path: str, pattern: str, keep: list[str], text: st
     names = [f"c{i}" for i in range(len(keep))]
     kept = [T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, keep)]
     many = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in kept]
-                        + [T.StructField("text", T.ArrayType(T.StringType())), T.StructField("words", T.ArrayType(T.StringType()))])
+                        + [T.StructField("text", T.ArrayType(T.StringType())), T.StructField("anew", T.BooleanType()),
+                           T.StructField("words", T.ArrayType(T.StringType()))])
     rows = docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("text"))
     fold = fold_column(load_ranks(path))
     folded = rows.mapInArrow(_pack(path, pattern), many).select("*", F.transform("words", fold).alias("ids"))

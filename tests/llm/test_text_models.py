@@ -65,10 +65,11 @@ def test_bpe_equals_tiktoken(spark):
     assert byte_bpe.encode(docs, RANKS, P.PATTERN, docs.columns).columns == ["doc_id", "text", "ids"]
 
 
-@pytest.mark.parametrize("row_bytes, long", [(1, 96), (300, 4), (8 << 20, 1)])
-def test_op4_digests_whatever_shares_a_row(spark, tmp_dir, monkeypatch, row_bytes, long):
+@pytest.mark.parametrize("row_bytes, long, known", [(1, 96, 10**6), (300, 4, 30), (8 << 20, 1, 10**6), (100, 96, 0)])
+def test_op4_digests_whatever_shares_a_row(spark, tmp_dir, monkeypatch, row_bytes, long, known):
     monkeypatch.setattr(byte_bpe, "ROW_BYTES", row_bytes)
     monkeypatch.setattr(byte_bpe, "LONG", long)
+    monkeypatch.setattr(byte_bpe, "KNOWN", known)
     texts = HARD + [noise(i, 50) for i in range(40)] + ["a" * 3000, "word " * 2000]
     lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.load_ranks(RANKS), special_tokens={})
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_dir}/documents.parquet")
