@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage is one of the ``shopflow.llm`` operators.
 
-Language models and quality models are trained on the stage's own input (quality
-on the labelled documents in it); each stage works on all that the one before
+Language models and quality models are trained on the stage's whole own input (languages
+on all outside op7's held-out fifth, quality on all labelled documents in it); each stage works on all that the one before
 kept, and all but the last return the columns of ``documents``.
 """
 
@@ -19,10 +19,13 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a learned language; goes: what has no letter, or fits its likeliest language far worse than
     the texts it was learned from (``least_fit``)."""
     lang, score, fit = added = free_names(docs.columns, "lang_pred", "score", "fit")
-    model = Q.language_model(docs)
-    got = language_id.predict(docs, model, docs.columns, added=added)
-    least = F.coalesce(*[F.when(F.col(lang) == k, F.lit(v)) for k, v in model.least_fit.items()], F.lit(float("inf")))
-    return got.where(F.col(fit) >= least).select(*quoted(docs.columns))
+    scored = written(language_id.predict(docs, Q.language_model(docs), docs.columns, added=added), "pipeline-scored")
+    # the texts that the model was learned from, each once
+    taught = Q.teaches_language(scored).where("text is not null").select(
+        F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"), F.col(lang).alias("pred"), F.col(fit).alias("fit")).distinct()
+    fits = language_id.least_fits(taught, lang_pred="pred")
+    least = F.coalesce(*[F.when(F.col(lang) == k, F.lit(v)) for k, v in fits.items()], F.lit(float("inf")))
+    return scored.where(F.col(fit) >= least).select(*quoted(docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

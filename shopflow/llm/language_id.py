@@ -10,8 +10,8 @@ predicted, and ``score`` is its posterior under equal priors.
 
 The piece probabilities are learned by expectation maximisation, starting from
 equal ones: the expected uses of each piece over all segmentations (forward and
-backward) of the training words.  Training reads the whole texts of at most
-``per_language`` distinct texts of each language, those with the least hash.
+backward) of the training words.  Training counts the words of all distinct texts of each
+language; only a caller that gives ``per_language`` learns from so many of them, those with the least hash.
 
 A posterior says which language is likelier, not whether the text is any of them.  For that
 there is ``fit``, the text's log likelihood for each of its letters in the predicted language,
@@ -20,6 +20,7 @@ and the model's ``least_fit`` for each language, learned from the same training
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +35,6 @@ from shopflow.llm.common import least_hashes, quoted, text_list, worker_memo, wr
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MARK = "▁"
-PER_LANGUAGE = 600
 #: More languages than this are refused: the model, one number for each piece and language, goes to all tasks.
 MAX_LANGUAGES = 1_000
 #: Of a language's training texts this share may fit worse than ``least_fit``, which lies ``SLACK`` (for each letter) lower still.
@@ -46,7 +46,11 @@ FLOOR = 1e-2
 LONGEST = 16
 #: Of training words, only this many characters in a row are segmented at once; longer ones are cut.
 TRAIN_CHARS = 48
-MEMO = 400_000
+#: Distinct words a task counts before it hands the counts on, and words whose segmentations one task sums.
+COUNTED_WORDS, TASK_WORDS = 100_000, 150_000
+#: If no more texts than this come twice, only their rows are moved to be made distinct.
+REPEATED = 100_000
+MEMO = 150_000
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -133,7 +137,7 @@ def forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     lo = 0
     while lo < len(order):  # words of like length together, a bounded number of cells
         hi = lo + 1
-        while hi < len(order) and (hi - lo) * (len(words[order[hi]]) + 2) < 200_000:
+        while hi < len(order) and (hi - lo) * (len(words[order[hi]]) + 2) < 100_000:
             hi += 1
         part = order[lo:hi]
         out[part] = _forward([words[i] for i in part], pieces, prob)
@@ -192,18 +196,27 @@ def expected_uses(words: list[str], weights: np.ndarray, pieces: Pieces, prob: n
 
 
 def _train_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        by: dict[str, Counter] = {}
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            got = letter_words(text)
-            by.setdefault(lang, Counter()).update(
-                w[i : i + TRAIN_CHARS] for w in got for i in range(0, len(w), TRAIN_CHARS))
+    """(lang, word, n) of (lang, text) rows; a word comes once for each ``COUNTED_WORDS`` distinct ones."""
+    by: dict[str, Counter] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
         for lang, c in by.items():
             items = list(c.items())
             for i in range(0, len(items), 50_000):
                 part = items[i : i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([k for k, _ in part]),
                                                   pa.array([v for _, v in part], pa.int64())], names=["lang", "word", "n"])
+        by.clear()
+
+    for b in batches:
+        for lo in range(0, b.num_rows, 500):
+            part = b.slice(lo, 500)
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                by.setdefault(lang, Counter()).update(
+                    w[i : i + TRAIN_CHARS] for w in letter_words(text) for i in range(0, len(w), TRAIN_CHARS))
+            if sum(map(len, by.values())) > COUNTED_WORDS:
+                yield from counted()
+    yield from counted()
 
 
 def _expect(vocabulary: str, langs: list[str], prob: np.ndarray):
@@ -231,30 +244,47 @@ class LanguageModel:
         self.least_fit = dict.fromkeys(langs, -np.inf)
 
 
+def _least_hash_texts(rows: DataFrame, per_language: int) -> DataFrame:
+    """The ``per_language`` distinct texts of least hash of each language."""
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    chosen = least_hashes(written(rows.select("lang", "h").distinct(), "langid-texts"), "lang", "h", per_language)
+    # at most per_language narrow rows of each language
+    return rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+
+
+def _distinct_texts(rows: DataFrame) -> DataFrame:
+    """The distinct (lang, text) rows; where few texts come twice, the others stay where they are."""
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    repeated = written(hashed.groupBy("lang", "h").agg(F.count("*").alias("n")).where("n > 1").select("lang", "h"), "langid-repeated")
+    if repeated.count() > REPEATED:
+        return rows.distinct()
+    once, more = (hashed.join(F.broadcast(repeated), ["lang", "h"], how).select("lang", "text") for how in ("left_anti", "left_semi"))
+    return once.unionByName(more.distinct())
+
+
 def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str = "lang",
-          per_language: int = PER_LANGUAGE, rounds: int = ROUNDS) -> LanguageModel:
-    """Learn piece probabilities from rows with a language; rows without language or text teach nothing.
+          per_language: int | None = None, rounds: int = ROUNDS, fits: bool = True) -> LanguageModel:
+    """Learn piece probabilities from all rows with a language; rows without language or text teach nothing.
 
-    The sample is of distinct texts: repeated rows of a language count once.
+    Repeated rows of a language count once.  With ``per_language`` only so many distinct texts of each
+    language are learned from.  Without ``fits`` the model has no ``least_fit`` (see ``least_fits``), and the texts are read once.
     """
-    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
-        "lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
-    texts = written(rows.select("lang", "h").distinct(), "langid-texts")
-    found = [r.lang for r in texts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(found) > MAX_LANGUAGES:
+    rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    chosen = least_hashes(texts, "lang", "h", per_language)
-    # at most per_language narrow rows of each language
-    sample = written(rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")), "langid-sample")
-    counts = written(sample.select("lang", "text").mapInArrow(_train_words, "lang string, word string, n long")
+    teaching = _distinct_texts(rows) if per_language is None else _least_hash_texts(rows, per_language)
+    if fits:
+        teaching = written(teaching, "langid-teaching")
+    counts = written(teaching.mapInArrow(_train_words, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     n = len(vocabulary_pieces(vocabulary))
     prob = np.full((n + 1, max(1, len(langs))), 1.0 / n)
+    spread = counts.repartition(max(1, math.ceil(counts.count() / TASK_WORDS)), "word")
     for _ in range(rounds if langs else 0):
         uses = np.zeros_like(prob)
         # at most pieces x languages rows
-        got = (counts.mapInArrow(_expect(vocabulary, langs, prob), "k long, piece long, uses double")
+        got = (spread.mapInArrow(_expect(vocabulary, langs, prob), "k long, piece long, uses double")
                .groupBy("k", "piece").agg(F.sum("uses").alias("uses")).toArrow())
         uses[got["piece"].to_numpy(), got["k"].to_numpy()] = got["uses"].to_numpy()
         uses[-1] = 0
@@ -262,13 +292,17 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
         prob = (1 - FLOOR) * share + FLOOR / n
         prob[-1] = FLOOR / n
     model = LanguageModel(vocabulary, langs, prob)
-    if langs:
-        own = predict(sample, model, ["lang"], added=["lang_pred", "score", "fit"]).where("lang = lang_pred")
-        low = own.groupBy("lang").agg(F.percentile_approx("fit", ODD, 10_000).alias("fit"))  # one row for each language
-        model.least_fit |= {r.lang: r.fit - SLACK for r in low.collect()}
+    if langs and fits:
+        model.least_fit |= least_fits(predict(teaching, model, ["lang"], added=["lang_pred", "score", "fit"]))
     return model
 
 
+def least_fits(scored: DataFrame, lang: str = "lang", lang_pred: str = "lang_pred", fit: str = "fit") -> dict[str, float]:
+    """Per language what all but ``ODD`` of the texts that are rightly predicted reach, less ``SLACK``."""
+    low = scored.where(F.col(lang) == F.col(lang_pred)).groupBy(F.col(lang).alias("lang")).agg(F.percentile_approx(fit, ODD, 10_000).alias("fit"))
+    return {r.lang: r.fit - SLACK for r in low.collect()}  # one row for each language
+
+
 class WordScores:
     """The worker's memo of word scores; at most ``MEMO`` words, it only saves time."""
 
@@ -294,10 +328,9 @@ def _predict(model: LanguageModel, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = WordScores(model)
         for b in batches:
-            texts = text_list(b.column(b.num_columns - 1))
             langs, scores, fits = [], [], []
-            for lo in range(0, len(texts), 500):
-                for got in scorer.texts(texts[lo : lo + 500]):
+            for lo in range(0, b.num_rows, 500):
+                for got in scorer.texts(text_list(b.column(b.num_columns - 1).slice(lo, 500))):
                     if got is None or not model.langs:
                         langs.append("und")
                         scores.append(0.0)

@@ -6,10 +6,14 @@ words, each family in its half of ``1 << BITS`` buckets.  A text's raw value is
 the bias plus the mean weight of its character n-grams plus that of its word
 n-grams, so its length does not matter.
 
-Training takes the whole texts of at most ``per_class`` labelled rows of each
-class, those with the least hash of id and text (one bounded task), with gradient steps on the
-logistic loss; one row in four is kept from the steps and calibrates the raw
-values to probabilities by a fitted slope and offset.  As both classes may be
+Training takes the whole texts of all labelled rows.  A hash of id and text deals them to
+blocks of some ``BLOCK_ROWS`` rows; each block takes gradient steps on the logistic loss
+from the same start, and the weights are the mean of the blocks' weights (parameter averaging).
+A class with few rows lends its rows to several blocks, so that each knows both classes.  One row in four
+is kept from the steps, and all of these calibrate the mean model's raw values to probabilities by a fitted
+slope and offset, from counts of the raw values in steps of 1 / ``RAW_STEPS``.  What is summed over tasks are whole
+numbers, so the model does not depend on the partitions.  Only a caller that gives ``per_class`` learns from so many rows of each
+class, those with the least hash (one bounded task); as both classes may then be
 sampled at different rates, the offset is moved by the logarithm of the rates.
 The trained weights and thresholds are fixed before any document is scored; then
 Arrow batches of documents are scored apart from each other.
@@ -17,6 +21,7 @@ Arrow batches of documents are scored apart from each other.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -31,7 +36,14 @@ from shopflow.llm.common import least_hashes, quoted, written
 
 BITS = 18
 SCALE = 40.0
-PER_CLASS = 1000
+#: Labelled rows and characters of a block, on average, and rows of the rarer class that it should have.
+BLOCK_ROWS, BLOCK_CHARS, BLOCK_RARE = 1000, 3_000_000, 100
+#: Texts whose n-grams are gone through at once in a step.
+STEP_TEXTS = 64
+#: Weights are added up as whole multiples of 1 / ``FIXED``, in ``PIECES`` parts.
+FIXED, PIECES = float(1 << 40), 1024
+#: Raw values are counted in steps of 1 / ``RAW_STEPS`` up to ``RAW_MOST`` either way.
+RAW_STEPS, RAW_MOST = 256, 64
 STEPS = 80
 RATE = 0.25
 DECAY = 1e-5
@@ -136,55 +148,82 @@ def _features(text: str, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return u.astype(np.int32), np.bincount(inv, val).astype(np.float32)
 
 
-def _calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (0 or more) and offset that fit probabilities to ``y`` (smoothed targets, Newton steps)."""
-    n1, n0 = y.sum(), len(y) - y.sum()
+def _calibrate(raw: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope (0 or more) and offset that fit probabilities to ``y`` (smoothed targets, Newton steps); ``n``: rows that each value stands for."""
+    n = np.ones(len(y)) if n is None else n
+    n1, n0 = (n * y).sum(), (n * (1 - y)).sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     a, b = 1.0, 0.0
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
-        s = p * (1 - p) + 1e-9
-        g = np.array([((p - target) * raw).sum() + 1e-3 * a, (p - target).sum()])
+        s = n * (p * (1 - p) + 1e-9)
+        g = np.array([(n * (p - target) * raw).sum() + 1e-3 * a, (n * (p - target)).sum()])
         h = np.array([[(s * raw * raw).sum() + 1e-3, (s * raw).sum()], [(s * raw).sum(), s.sum() + 1e-6]])
         step = np.linalg.solve(h, g)
         a, b = a - step[0] / max(1.0, np.abs(step).max()), b - step[1] / max(1.0, np.abs(step).max())
     return max(0.0, float(a)), float(b)
 
 
-def fit(texts: list[str], y: np.ndarray, all_good: int, all_bad: int) -> QualityModel:
-    """Train on rows in a fixed order; every fourth calibrates.  One class alone: no text is doubted."""
-    y = np.asarray(y, np.float64)
-    if not len(y) or y.min() == y.max():
-        return QualityModel(np.zeros(1 << BITS, np.float32), 0.0, 0.0, 50.0 if not len(y) or y.max() else -50.0)
-    rows = []
-    for t in texts:
-        raw = np.frombuffer(t.encode(), np.uint8)
-        rows.append(_features(t, H.words(raw, np.array([0, len(raw)], np.int64))[0]))
-    held = np.arange(len(y)) % 4 == 3
-    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
-        held = np.zeros(len(y), bool)
-    size = np.array([len(i) for i, _ in rows])
-    idx, val = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])
-    row = np.repeat(np.arange(len(y)), size)
+Features = list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _features_of(texts: list[str]) -> Features:
+    """(first text, texts, text inside, bucket, value) of ``STEP_TEXTS`` texts each."""
+    out = []
+    for lo in range(0, len(texts), STEP_TEXTS):
+        rows = []
+        for t in texts[lo : lo + STEP_TEXTS]:
+            raw = np.frombuffer(t.encode(), np.uint8)
+            rows.append(_features(t, H.words(raw, np.array([0, len(raw)], np.int64))[0]))
+        row = np.repeat(np.arange(len(rows), dtype=np.int16), [len(i) for i, _ in rows])
+        out.append((lo, len(rows), row, np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])))
+    return out
+
+
+def _raws(features: Features, w: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.bincount(row, val * w[idx], n) for _, n, row, idx, val in features])
+
+
+def _steps(features: Features, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias after the gradient steps on the rows that are not ``held``."""
     w, bias = np.zeros(1 << BITS), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     weight = np.where(held, 0.0, 1.0)
     for c in (0.0, 1.0):  # both classes count alike in the steps
         weight[(y == c) & ~held] /= max(1, ((y == c) & ~held).sum())
     for t in range(1, STEPS + 1):
-        raw = np.bincount(row, val * w[idx], len(y)) + bias
-        g = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y) * weight
-        grad, gb = np.bincount(idx, val * g[row], len(w)) + DECAY * w, g.sum()
+        g = (1 / (1 + np.exp(-np.clip(_raws(features, w) + bias, -30, 30))) - y) * weight
+        grad, gb = DECAY * w, g.sum()
+        for lo, n, row, idx, val in features:
+            grad += np.bincount(idx, val * g[lo : lo + n][row], len(w))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
         bias -= RATE * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-6)
-    raw = np.bincount(row, val * w[idx], len(y)) + bias
+    return w, float(bias)
+
+
+def _one_class(good: bool) -> QualityModel:
+    """No row, or one class alone: no text is doubted."""
+    return QualityModel(np.zeros(1 << BITS, np.float32), 0.0, 0.0, 50.0 if good else -50.0)
+
+
+def fit(texts: list[str], y: np.ndarray, all_good: int, all_bad: int) -> QualityModel:
+    """Train on rows in a fixed order; every fourth calibrates.  One class alone: no text is doubted."""
+    y = np.asarray(y, np.float64)
+    if not len(y) or y.min() == y.max():
+        return _one_class(not len(y) or bool(y.max()))
+    features = _features_of(texts)
+    held = np.arange(len(y)) % 4 == 3
+    if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
+        held = np.zeros(len(y), bool)
+    w, bias = _steps(features, y, held)
+    raw = _raws(features, w) + bias
     use = held if held.any() else ~held
     slope, offset = _calibrate(raw[use], y[use])
     n1, n0 = y[use].sum(), len(y[use]) - y[use].sum()
     offset += np.log((all_good + 1) / (all_bad + 1)) - np.log((n1 + 1) / (n0 + 1))
-    return QualityModel(w.astype(np.float32), float(bias), slope, float(offset))
+    return QualityModel(w.astype(np.float32), bias, slope, float(offset))
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,18 +234,106 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model.__dict__)]})
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> QualityModel:
-    """Learn from ``docs`` whose ``labels.quality`` is 0 or 1; ids with both values, null ids and null texts teach nothing.
+def _held():
+    """One id in four is kept from the steps."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(4)) == 0
+
+
+def _pieces(total: np.ndarray) -> list[bytes]:
+    return [p.tobytes() for p in np.array_split(total, PIECES)]
+
+
+def _fit_block(table: pa.Table) -> pa.Table:
+    """(block, place, text, good) of one block -> its weights with the bias last; nothing where one class is alone."""
+    rows = table.sort_by([("place", "ascending")])
+    y = rows["good"].to_numpy().astype(np.float64)
+    parts = []
+    if y.min() < y.max():
+        w, bias = _steps(_features_of(rows["text"].to_pylist()), y, np.zeros(len(y), bool))
+        parts = _pieces(np.rint(np.r_[w, bias] * FIXED).astype(np.int64))
+    return pa.table({"piece": pa.array(range(len(parts)), pa.int32()), "weights": pa.array(parts, pa.binary())})
+
+
+def _sum_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(piece, weights) rows of a task added up, with the number of rows (whole numbers, so the order is all one)."""
+    total: dict[int, np.ndarray] = {}
+    n: dict[int, int] = {}
+    for b in batches:
+        for piece, x in zip(b.column(0).to_pylist(), b.column(1)):
+            part = np.frombuffer(x.as_py(), np.int64)
+            total[piece] = total[piece] + part if piece in total else part
+            n[piece] = n.get(piece, 0) + 1
+    yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary()),
+                                      pa.array([n[k] for k in total], pa.int64())], names=["piece", "weights", "n"])
+
+
+def _sum_piece(table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, np.int64) for x in table["weights"].to_pylist())
+    return pa.table({"piece": table["piece"].to_pylist()[:1], "weights": [total.tobytes()], "n": [sum(table["n"].to_pylist())]},
+                    schema=pa.schema([("piece", pa.int32()), ("weights", pa.binary()), ("n", pa.int64())]))
+
+
+def _raw_values(model: QualityModel):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raws = []
+            for x in b.column(b.num_columns - 1):
+                text = x.as_py()
+                data = np.frombuffer(text.encode(), np.uint8)
+                raws.append(model.raw(text, H.words(data, np.array([0, len(data)], np.int64))[0]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(raws, pa.float64())], names=[*b.schema.names[:-1], "raw"])
+    return run
+
+
+def _train_all(texts: DataFrame, found: DataFrame, n: int, n_good: int) -> QualityModel:
+    """From all labelled rows: ``found`` has (doc_id, h, good, place, held, chars) of each, ``texts`` (doc_id, h, text)."""
+    if n_good in (0, n):
+        return _one_class(not n or n_good > 0)
+    sides = {(r.good, r.held): r.n for r in found.groupBy("good", "held").agg(F.count("*").alias("n")).collect()}
+    apart = len(sides) == 4  # else too few rows to keep some from the steps
+    taught = {good: sides.get((good, False), 0) + (0 if apart else sides.get((good, True), 0)) for good in (0, 1)}
+    blocks = max(1, math.ceil(n / BLOCK_ROWS), math.ceil(found.agg(F.sum("chars")).first()[0] / BLOCK_CHARS))
+    rare = max(2, min(BLOCK_RARE, n // blocks // 10))
+    copies = {good: min(blocks, math.ceil(rare * blocks / taught[good])) for good in (0, 1)}
+    lent = F.sequence(F.lit(0), F.when(F.col("good") == 1, copies[1]).otherwise(copies[0]) - 1)
+    labelled = (texts.join(found.where("not held") if apart else found, ["doc_id", "h"])
+                .groupBy("doc_id", "h", "good", "place").agg(F.min("text").alias("text")))
+    dealt = labelled.select(F.explode(lent).alias("k"), "place", "text", "good").select(
+        F.pmod(F.pmod("place", F.lit(blocks)) + F.col("k"), F.lit(blocks)).alias("block"), "place", "text", "good")
+    summed = (dealt.groupBy("block").applyInArrow(_fit_block, "piece int, weights binary")
+              .mapInArrow(_sum_weights, "piece int, weights binary, n long")
+              .groupBy("piece").applyInArrow(_sum_piece, "piece int, weights binary, n long"))
+    parts = sorted(summed.collect(), key=lambda r: r.piece)  # PIECES rows, together one model
+    if not parts:
+        return _one_class(2 * n_good >= n)
+    mean = np.concatenate([np.frombuffer(r.weights, np.int64) for r in parts]) / (FIXED * parts[0].n)
+    model = QualityModel(mean[:-1].astype(np.float32), float(mean[-1]), 1.0, 0.0)
+    raws = (texts.where(_held()) if apart else texts).mapInArrow(_raw_values(model), T.StructType([*texts.schema.fields[:-1], T.StructField("raw", T.DoubleType())]))
+    raws = raws.groupBy("doc_id", "h").agg(F.min("raw").alias("raw"))
+    step = F.round(F.greatest(F.least("raw", F.lit(RAW_MOST)), F.lit(-RAW_MOST)) * RAW_STEPS).cast("int").alias("step")
+    # at most one row for each step and class
+    seen = found.join(raws, ["doc_id", "h"]).groupBy(step, "good").agg(F.count("*").alias("n")).orderBy("step", "good").toArrow()
+    raw, y, rows = (seen[c].to_numpy().astype(np.float64) for c in ("step", "good", "n"))
+    model.slope, offset = _calibrate(raw / RAW_STEPS, y, rows)
+    n1, n0 = (rows * y).sum(), (rows * (1 - y)).sum()
+    model.offset = float(offset + np.log((n_good + 1) / (n - n_good + 1)) - np.log((n1 + 1) / (n0 + 1)))
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int | None = None) -> QualityModel:
+    """Learn from all ``docs`` whose ``labels.quality`` is 0 or 1; ids with both values, null ids and null texts teach nothing.
 
-    Rows equal in id and text count once, in the sample and in the classes' sizes; labels
-    without a row in ``docs`` count nowhere.
+    Rows equal in id and text count once, in the steps and in the classes' sizes; labels
+    without a row in ``docs`` count nowhere.  With ``per_class`` only so many rows of each class are learned from.
     """
     known = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
              .agg(F.min("quality").alias("good"), F.max("quality").alias("__hi")).where("good = __hi").select("doc_id", "good"))
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("h"), "text")
-    found = written(texts.select("doc_id", "h").distinct().join(known, "doc_id")
-                    .select("doc_id", "h", F.col("good").cast("int").alias("good"), F.xxhash64("h", "doc_id").alias("place")), "quality-rows")
+    found = written(texts.select("doc_id", "h", F.length("text").alias("chars")).distinct().join(known, "doc_id")
+                    .select("doc_id", "h", F.col("good").cast("int").alias("good"), F.xxhash64("h", "doc_id").alias("place"), _held().alias("held"), "chars"), "quality-rows")
     totals = found.agg(F.sum("good").alias("g"), F.count("*").alias("n")).first()
+    if per_class is None:
+        return _train_all(texts, found, totals.n, int(totals.g or 0))
     chosen = least_hashes(found, "good", "place", per_class).select("doc_id", "h", "good")
     # At most 2 * per_class narrow rows.
     rows = (texts.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h", "good").agg(F.min("text").alias("text"))

@@ -158,6 +158,31 @@ def test_copies_do_not_fill_the_language_sample(spark):
     assert one.langs == many.langs == ["a", "b"] and np.allclose(one.prob, many.prob, rtol=1e-9, atol=0)
 
 
+def test_languages_are_learned_from_all_texts(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(lang, " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(6))) for lang, letters in (("a", "abcde"), ("b", "stuni"))
+            for _ in range(700)]
+    df = spark.createDataFrame(rows + rows[:200], "lang string, text string")  # copies count once
+    vocabulary = P.path("piece_bpe_32k.model")
+    model, whole, part = (language_id.train(df, vocabulary, rounds=1, **x) for x in ({}, {"per_language": 5000}, {"per_language": 600}))
+    assert np.allclose(model.prob, whole.prob, rtol=1e-9, atol=0) and not np.allclose(model.prob, part.prob, rtol=1e-9, atol=0)
+    assert model.least_fit == pytest.approx(whole.least_fit) and set(model.least_fit) == {"a", "b"}
+    monkeypatch.setattr(language_id, "REPEATED", 10)
+    assert np.allclose(language_id.train(df, vocabulary, rounds=1, fits=False).prob, model.prob, rtol=1e-9, atol=0)
+
+
+def test_word_counts_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(language_id, "COUNTED_WORDS", 3)
+    batch = pa.RecordBatch.from_pydict({"lang": ["a", "b", "a", "a"], "text": ["x y z x", "x", "x q", "x"]})
+    got = Counter()
+    for b in language_id._train_words(iter([batch, batch])):
+        for x in b.to_pylist():
+            got[x["lang"], x["word"]] += x["n"]
+    assert got == {("a", "x"): 8, ("a", "y"): 2, ("a", "z"): 2, ("a", "q"): 2, ("b", "x"): 2}
+
+
 def test_held_out_languages(spark):
     from shopflow.llm.queries import op7_language_id
 
@@ -243,6 +268,51 @@ def test_training_rows_are_those_at_hand(spark, monkeypatch):
         assert got == n and totals == {(50, 50)}
 
 
+def labelled_texts(spark, n_good, n_bad):
+    r = random.Random(n_bad)
+    kinds = [["the", "sea", "of", "trees", "and", "hills", "is", "wide"], ["BUY", "NOW", "CHEAP", "$$$"]]
+    rows = [(i, f"t{i} " + " ".join(r.choice(kinds[i >= n_good]) + r.choice("aeiou") for _ in range(12))) for i in range(n_good + n_bad)]
+    labels = spark.range(n_good + n_bad).select(F.col("id").alias("doc_id"), (F.col("id") < n_good).cast("int").alias("quality"))
+    return rows, spark.createDataFrame(rows + rows[:50], "doc_id long, text string"), labels
+
+
+def test_quality_is_learned_from_all_labelled_rows(spark, monkeypatch, tmp_dir):
+    """Every row takes part in the steps or in the calibration; few rows of a class are lent to every block."""
+    import pyarrow as pa
+
+    calibrate, calibrated = quality_rules._calibrate, []
+
+    def noted(table):
+        with open(f"{tmp_dir}/{table['block'][0].as_py()}", "w") as f:
+            f.write(repr(list(zip(table["text"].to_pylist(), table["good"].to_pylist()))))
+        return pa.table({"piece": pa.array([0], pa.int32()), "weights": pa.array([b"\0" * 8 * ((1 << 18) + 1)])})
+
+    monkeypatch.setattr(quality_rules, "_fit_block", noted)
+    monkeypatch.setattr(quality_rules, "_calibrate", lambda raw, y, n: calibrated.append((int(n.sum()), int((n * y).sum()))) or calibrate(raw, y, n))
+    rows, docs, labels = labelled_texts(spark, 2600, 9)
+    quality_rules.train(docs, labels)
+    import os
+    blocks = [eval(open(f"{tmp_dir}/{f}").read()) for f in os.listdir(tmp_dir)]  # noqa: S307
+    taught = Counter(x for b in blocks for x in b)
+    assert len(blocks) == 3 and {t for t, _ in taught} <= {t for _, t in rows}
+    bad = {x for x in taught if not x[1]}
+    assert bad and all(taught[x] == 3 for x in bad) and all(taught[x] == 1 for x in taught if x[1])
+    assert len(taught) + calibrated[0][0] == len(rows)
+    assert calibrated[0][1] + len(taught) - len(bad) == 2600
+
+
+def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
+    rows, docs, labels = labelled_texts(spark, 200, 100)
+    one = quality_rules.train(docs.coalesce(1), labels)
+    many = quality_rules.train(docs.repartition(7), labels)
+    assert (one.weights == many.weights).all() and (one.bias, one.slope, one.offset) == (many.bias, many.slope, many.offset)
+    new = ["a sea of treese and hillso", "BUYa NOWe $$$i CHEAPo"]
+    raws = [one.raw(t, hashing.words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)], np.int64))[0]) for t in new]
+    good, bad = one.probability(np.array(raws))
+    assert good > 0.8 and bad < 0.2
+
+
 def test_added_columns_do_not_clash(spark):
     docs = spark.createDataFrame([(1, "the house", "a", 0.5, True, 3)], "doc_id long, text string, lang_pred string, Score double, kept boolean, n_words int")
     model = language_id.train(docs.withColumn("lang", F.lit("en")), P.path("piece_bpe_32k.model"))
