@@ -164,24 +164,25 @@ def _calibrate(raw: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> t
     return max(0.0, float(a)), float(b)
 
 
-Features = list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]
+Features = list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _features_of(texts: list[str]) -> Features:
-    """(first text, texts, text inside, bucket, value) of ``STEP_TEXTS`` texts each."""
+    """(first text, each one's number of buckets, its first one, bucket, value) of ``STEP_TEXTS`` texts each."""
     out = []
     for lo in range(0, len(texts), STEP_TEXTS):
         rows = []
         for t in texts[lo : lo + STEP_TEXTS]:
             raw = np.frombuffer(t.encode(), np.uint8)
-            rows.append(_features(t, H.words(raw, np.array([0, len(raw)], np.int64))[0]))
-        row = np.repeat(np.arange(len(rows), dtype=np.int16), [len(i) for i, _ in rows])
-        out.append((lo, len(rows), row, np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])))
+            i, v = _features(t, H.words(raw, np.array([0, len(raw)], np.int64))[0])
+            rows.append((i, v) if len(i) else (np.zeros(1, np.int32), np.zeros(1, np.float32)))  # none is empty, for reduceat
+        size = np.array([len(i) for i, _ in rows])
+        out.append((lo, size, np.cumsum(size) - size, np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])))
     return out
 
 
 def _raws(features: Features, w: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.bincount(row, val * w[idx], n) for _, n, row, idx, val in features])
+    return np.concatenate([np.add.reduceat(val * w[idx], first) for _, _, first, idx, val in features])
 
 
 def _steps(features: Features, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, float]:
@@ -194,8 +195,8 @@ def _steps(features: Features, y: np.ndarray, held: np.ndarray) -> tuple[np.ndar
     for t in range(1, STEPS + 1):
         g = (1 / (1 + np.exp(-np.clip(_raws(features, w) + bias, -30, 30))) - y) * weight
         grad, gb = DECAY * w, g.sum()
-        for lo, n, row, idx, val in features:
-            grad += np.bincount(idx, val * g[lo : lo + n][row], len(w))
+        for lo, size, _, idx, val in features:
+            grad += np.bincount(idx, val * np.repeat(g[lo : lo + len(size)], size), len(w))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
