@@ -4,8 +4,8 @@ The counts of all keys seen so far live in the state store (RocksDB, its changes
 checkpoint), without a watermark, so nothing expires and a late click counts whenever it
 arrives.  A micro-batch puts out the keys it changed, with their new totals, and the
 result table takes them as they are (K7): no batch reads what earlier batches wrote.
-The number of tasks that share the state is ``spark.sql.shuffle.partitions`` at the first
-start; Spark keeps it in the checkpoint.
+The number of tasks that share the state is fixed at the first start (``state_tasks``); Spark
+keeps it in the checkpoint.
 """
 
 from __future__ import annotations
@@ -37,6 +37,19 @@ STATE_CONF = {
 }
 
 
+#: Tasks of a micro-batch that share the state, for each core.
+TASKS_PER_CORE = 2
+
+
+def state_tasks(spark: SparkSession) -> int:
+    """``spark.sql.shuffle.partitions``, but at most ``TASKS_PER_CORE`` for each core.
+
+    Every task opens, syncs and commits a RocksDB instance of its own in every micro-batch, which
+    takes far longer than a task's rows; an instance holds its keys on disk, so few large ones do.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def start_update(frame: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Run ``sink`` over each micro-batch's changed keys, with state in RocksDB.
 
@@ -44,7 +57,8 @@ def start_update(frame: DataFrame, sink: Callable[[DataFrame, int], None], check
     (``availableNow``) has none.
     """
     trigger, conf = trigger or {"processingTime": "2 seconds"}, frame.sparkSession.conf
-    wanted = STATE_CONF | {"spark.sql.streaming.noDataMicroBatches.enabled": str("processingTime" in trigger).lower()}
+    wanted = STATE_CONF | {"spark.sql.streaming.noDataMicroBatches.enabled": str("processingTime" in trigger).lower(),
+                           "spark.sql.shuffle.partitions": str(state_tasks(frame.sparkSession))}
     before = {key: conf.get(key, None) for key in wanted}
     for key, value in wanted.items():  # the query takes a copy when it starts
         conf.set(key, value)

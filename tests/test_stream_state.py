@@ -20,6 +20,25 @@ from tests.test_ads_streams import DAY, _write, clicks, lines
 NOW = {"availableNow": True}
 
 
+def test_state_is_shared_by_no_more_tasks_than_the_cores_can_use(spark, tmp_dir):
+    """Each task has a store of its own to open and commit in every micro-batch, whatever the rows."""
+    _write(tmp_dir + "/in", "a.txt", [f"{DAY} 1 1 {u} {u % 3}" for u in range(30)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        job = state.StateJob(spark, "stat", tmp_dir + "/job")
+        query = job.start(ad_log_stream(spark, tmp_dir + "/in"), NOW)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+        query.awaitTermination()
+        stores = query.lastProgress["stateOperators"][0]["numStateStoreInstances"]
+        assert stores == state.TASKS_PER_CORE * spark.sparkContext.defaultParallelism < 40
+        assert {(x.adid, x.click_count) for x in job.read().collect()} == {(0, 10), (1, 10), (2, 10)}
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert state.state_tasks(spark) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # ---- compaction ----
 
 def counted(spark, root, merge=None):
