@@ -286,6 +286,19 @@ def _raw_values(model: QualityModel):
     return run
 
 
+def _dealt(texts: DataFrame, found: DataFrame, apart: bool, blocks: int, copies: dict[int, int]) -> DataFrame:
+    """(block, place, text, good) of the rows that take steps, a row of a class in as many blocks as ``copies`` says.
+
+    Of texts that are kept from the steps none is shuffled: their ids tell.
+    """
+    stepping, rows = (texts.where(~_held()), found.where("not held")) if apart else (texts, found)
+    labelled = (stepping.join(rows, ["doc_id", "h"])
+                .groupBy("doc_id", "h", "good", "place").agg(F.min("text").alias("text")))
+    lent = F.sequence(F.lit(0), F.when(F.col("good") == 1, copies[1]).otherwise(copies[0]) - 1)
+    return labelled.select(F.explode(lent).alias("k"), "place", "text", "good").select(
+        F.pmod(F.pmod("place", F.lit(blocks)) + F.col("k"), F.lit(blocks)).alias("block"), "place", "text", "good")
+
+
 def _train_all(texts: DataFrame, found: DataFrame, n: int, n_good: int) -> QualityModel:
     """From all labelled rows: ``found`` has (doc_id, h, good, place, held, chars) of each, ``texts`` (doc_id, h, text)."""
     if n_good in (0, n):
@@ -296,12 +309,7 @@ def _train_all(texts: DataFrame, found: DataFrame, n: int, n_good: int) -> Quali
     blocks = max(1, math.ceil(n / BLOCK_ROWS), math.ceil(found.agg(F.sum("chars")).first()[0] / BLOCK_CHARS))
     rare = max(2, min(BLOCK_RARE, n // blocks // 10))
     copies = {good: min(blocks, math.ceil(rare * blocks / taught[good])) for good in (0, 1)}
-    lent = F.sequence(F.lit(0), F.when(F.col("good") == 1, copies[1]).otherwise(copies[0]) - 1)
-    labelled = (texts.join(found.where("not held") if apart else found, ["doc_id", "h"])
-                .groupBy("doc_id", "h", "good", "place").agg(F.min("text").alias("text")))
-    dealt = labelled.select(F.explode(lent).alias("k"), "place", "text", "good").select(
-        F.pmod(F.pmod("place", F.lit(blocks)) + F.col("k"), F.lit(blocks)).alias("block"), "place", "text", "good")
-    summed = (dealt.groupBy("block").applyInArrow(_fit_block, "piece int, weights binary")
+    summed = (_dealt(texts, found, apart, blocks, copies).groupBy("block").applyInArrow(_fit_block, "piece int, weights binary")
               .mapInArrow(_sum_weights, "piece int, weights binary, n long")
               .groupBy("piece").applyInArrow(_sum_piece, "piece int, weights binary, n long"))
     parts = sorted(summed.collect(), key=lambda r: r.piece)  # PIECES rows, together one model

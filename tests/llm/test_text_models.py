@@ -301,6 +301,18 @@ def test_quality_is_learned_from_all_labelled_rows(spark, monkeypatch, tmp_dir):
     assert calibrated[0][1] + len(taught) - len(bad) == 2600
 
 
+def test_quality_texts_kept_from_the_steps_are_not_shuffled(spark):
+    rows, docs, labels = labelled_texts(spark, 200, 100)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    found = texts.select("doc_id", "h").distinct().join(labels.withColumnRenamed("quality", "good"), "doc_id").select(
+        "doc_id", "h", "good", F.xxhash64("h", "doc_id").alias("place"), quality_rules._held().alias("held"))
+    dealt = quality_rules._dealt(texts, found.localCheckpoint(), True, 3, {0: 1, 1: 1})
+    filters = [x for x in dealt._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "xxhash64(doc_id" in x]
+    assert filters  # on the texts' side of the join; the rows found have the answer as a column
+    held = {r.doc_id for r in docs.where(quality_rules._held()).collect()}
+    assert sorted(r.text for r in dealt.collect()) == sorted(t for i, t in rows if i not in held) and 0 < len(held) < len(rows)
+
+
 def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
     rows, docs, labels = labelled_texts(spark, 200, 100)
