@@ -19,11 +19,16 @@ SLICE_CHARS = 4_000_000
 
 
 def worker_memo(key, make: Callable):
-    """``make()`` once per Python worker process (tokenizers and memo tables are slow to build)."""
+    """``make()`` once per Python worker process (tokenizers and memo tables are slow to build).
+
+    Workers outlive a step, so only the latest key's value is kept: the next step's tables take its place.
+    """
     store = sys.modules.setdefault("_shopflow_llm_memo", types.ModuleType("_shopflow_llm_memo"))
-    if key not in store.__dict__:
-        store.__dict__[key] = make()
-    return store.__dict__[key]
+    if getattr(store, "key", None) != key:
+        store.key = store.value = None  # freed before the new one is made
+        store.value = make()
+        store.key = key
+    return store.value
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:
@@ -53,6 +58,14 @@ def quoted(columns: list[str]) -> list[str]:
     return ["`" + c.replace("`", "``") + "`" for c in columns]
 
 
+def kept_and_text(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, int]:
+    """The columns ``keep`` as ``c0``, ``c1``, ... with ``text`` after them, and the place of ``text``; a text that is kept is not sent twice."""
+    columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(quoted(keep))]
+    if text in keep and text.isidentifier():
+        return docs.select(*columns), keep.index(text)
+    return docs.select(*columns, F.col(text).alias("__text")), len(keep)
+
+
 def least_hashes(rows: DataFrame, group: str, hash_: str, n: int) -> DataFrame:
     """The ``n`` rows of least ``hash_`` (evenly spread over 64 bits) of each ``group``, of which there must be few.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.llm.common import least_hashes, quoted, text_list, worker_memo, written
+from shopflow.llm.common import kept_and_text, least_hashes, text_list, worker_memo, written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MARK = "▁"
@@ -324,13 +324,14 @@ class WordScores:
         return [(self.scores[np.fromiter(map(get, w), np.int64, len(w))].sum(0), sum(map(len, w))) if w else None for w in found]
 
 
-def _predict(model: LanguageModel, column: str):
+def _predict(model: LanguageModel, kept: int, at: int):
+    """Of batches with ``kept`` columns to keep and the text in column ``at``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = WordScores(model)
         for b in batches:
             langs, scores, fits = [], [], []
             for lo in range(0, b.num_rows, 500):
-                for got in scorer.texts(text_list(b.column(b.num_columns - 1).slice(lo, 500))):
+                for got in scorer.texts(text_list(b.column(at).slice(lo, 500))):
                     if got is None or not model.langs:
                         langs.append("und")
                         scores.append(0.0)
@@ -341,8 +342,8 @@ def _predict(model: LanguageModel, column: str):
                         langs.append(model.langs[k])
                         scores.append(float(1.0 / np.exp(ll - ll[k]).sum()))
                         fits.append(float(ll[k]) / letters)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())],
-                                             names=[*b.schema.names[:-1], "lang_pred", "score", "fit"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:kept], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.float64())],
+                                             names=[*b.schema.names[:kept], "lang_pred", "score", "fit"])
     return run
 
 
@@ -360,6 +361,6 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
     schema = T.StructType([T.StructField(n, docs.schema[c].dataType, True) for n, c in zip(names, keep)]
                           + [T.StructField("lang_pred", T.StringType(), True), T.StructField("score", T.DoubleType(), True),
                              T.StructField("fit", T.DoubleType(), True)])
-    got = (docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("__text"))
-           .mapInArrow(_predict(model, text), schema))
+    sent, at = kept_and_text(docs, keep, text)
+    got = sent.mapInArrow(_predict(model, len(keep), at), schema)
     return got.select(*names, *["lang_pred", "score", "fit"][: len(added)]).toDF(*keep, *added)

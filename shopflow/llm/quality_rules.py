@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow.llm import hashing as H
-from shopflow.llm.common import least_hashes, quoted, written
+from shopflow.llm.common import kept_and_text, least_hashes, written
 
 BITS = 18
 SCALE = 40.0
@@ -268,6 +268,28 @@ def _sum_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       pa.array([n[k] for k in total], pa.int64())], names=["piece", "weights", "n"])
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, of batches in the blocks' order."""
+    rows: list[pa.RecordBatch] = []
+    for b in batches:
+        block = b.column(0).to_numpy()
+        edges = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(block) else []
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            if rows and rows[-1].column(0)[0].as_py() != block[lo]:
+                yield pa.Table.from_batches(rows)
+                rows = []
+            rows.append(b.slice(lo, hi - lo))
+    if rows:
+        yield pa.Table.from_batches(rows)
+
+
+def _fit_blocks(fit_block):
+    """A task fits its blocks one after the other and adds up their weights; one Python worker for both."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sum_weights(part for block in _blocks(batches) for part in fit_block(block).to_batches())
+    return run
+
+
 def _sum_piece(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x, np.int64) for x in table["weights"].to_pylist())
     return pa.table({"piece": table["piece"].to_pylist()[:1], "weights": [total.tobytes()], "n": [sum(table["n"].to_pylist())]},
@@ -309,8 +331,8 @@ def _train_all(texts: DataFrame, found: DataFrame, n: int, n_good: int) -> Quali
     blocks = max(1, math.ceil(n / BLOCK_ROWS), math.ceil(found.agg(F.sum("chars")).first()[0] / BLOCK_CHARS))
     rare = max(2, min(BLOCK_RARE, n // blocks // 10))
     copies = {good: min(blocks, math.ceil(rare * blocks / taught[good])) for good in (0, 1)}
-    summed = (_dealt(texts, found, apart, blocks, copies).groupBy("block").applyInArrow(_fit_block, "piece int, weights binary")
-              .mapInArrow(_sum_weights, "piece int, weights binary, n long")
+    summed = (_dealt(texts, found, apart, blocks, copies).repartition("block").sortWithinPartitions("block")
+              .mapInArrow(_fit_blocks(_fit_block), "piece int, weights binary, n long")
               .groupBy("piece").applyInArrow(_sum_piece, "piece int, weights binary, n long"))
     parts = sorted(summed.collect(), key=lambda r: r.piece)  # PIECES rows, together one model
     if not parts:
@@ -361,10 +383,11 @@ ADDED = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols",
 _ARROW = {T.LongType: pa.int64(), T.BooleanType: pa.bool_(), T.DoubleType: pa.float64()}
 
 
-def _score(model: QualityModel, keep_at: float):
+def _score(model: QualityModel, keep_at: float, kept: int, at: int):
+    """Of batches with ``kept`` columns to keep and the text in column ``at``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(b.num_columns - 1)
+            column = b.column(at)
             data, offsets = H.text_buffer(column)
             cols: dict[str, list] = {k: [] for k, _ in ADDED}
             for lo, hi in H.blocks(offsets, 1 << 20):
@@ -378,8 +401,8 @@ def _score(model: QualityModel, keep_at: float):
                     for (k, _), x in zip(ADDED, (*counts, failed, p, not failed and p >= keep_at)):
                         cols[k].append(x)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *(pa.array(cols[k], _ARROW[type(t)]) for k, t in ADDED)],
-                names=[*b.schema.names[:-1], *(k for k, _ in ADDED)])
+                [*b.columns[:kept], *(pa.array(cols[k], _ARROW[type(t)]) for k, t in ADDED)],
+                names=[*b.schema.names[:kept], *(k for k, _ in ADDED)])
     return run
 
 
@@ -395,5 +418,5 @@ def apply_rules(docs: DataFrame, model: QualityModel, keep: list[str], text: str
     names = [f"c{i}" for i in range(len(keep))]
     schema = T.StructType([T.StructField(n, docs.schema[c].dataType, True) for n, c in zip(names, keep)]
                           + [T.StructField(k, t, True) for k, t in ADDED])
-    return (docs.select(*[F.col(c).alias(n) for n, c in zip(names, quoted(keep))], F.col(text).alias("__text"))
-            .mapInArrow(_score(model, keep_at), schema).toDF(*keep, *added))
+    sent, at = kept_and_text(docs, keep, text)
+    return sent.mapInArrow(_score(model, keep_at, len(keep), at), schema).toDF(*keep, *added)

@@ -313,6 +313,39 @@ def test_quality_texts_kept_from_the_steps_are_not_shuffled(spark):
     assert sorted(r.text for r in dealt.collect()) == sorted(t for i, t in rows if i not in held) and 0 < len(held) < len(rows)
 
 
+def test_quality_blocks_are_put_together_from_batches():
+    """A task's blocks may end anywhere in its batches; each is fitted once and the weights are added up."""
+    import pyarrow as pa
+
+    def batch(*blocks):
+        return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "text": [f"t{b}" for b in blocks]})
+
+    batches = [batch(1, 1, 2), batch(), batch(2), batch(2, 3)]
+    assert [t["block"].to_pylist() for t in quality_rules._blocks(iter(batches))] == [[1, 1], [2, 2, 2], [3]]
+
+    def fit_block(table):
+        return pa.table({"piece": pa.array([0], pa.int32()), "weights": pa.array([np.array([table.num_rows, 1]).tobytes()], pa.binary())})
+
+    (summed,) = quality_rules._fit_blocks(fit_block)(iter(batches))
+    assert summed["n"].to_pylist() == [3] and np.frombuffer(summed["weights"][0].as_py(), np.int64).tolist() == [6, 3]
+    (none,) = quality_rules._fit_blocks(fit_block)(iter([]))
+    assert none.num_rows == 0
+
+
+def test_a_kept_text_is_sent_once_and_a_worker_keeps_one_memo(spark):
+    from shopflow.llm import common
+
+    docs = spark.createDataFrame([(1, "a b", "x")], "doc_id long, text string, `a.b` string")
+    sent, at = common.kept_and_text(docs, ["doc_id", "text", "a.b"], "text")
+    assert sent.columns == ["c0", "c1", "c2"] and at == 1
+    sent, at = common.kept_and_text(docs, ["doc_id"], "text")
+    assert sent.columns == ["c0", "__text"] and at == 1 and sent.first()["__text"] == "a b"
+    made = []
+    for key in ("one", "one", "two", "one"):
+        common.worker_memo(key, lambda: made.append(key) or [key])
+    assert made == ["one", "two", "one"]
+
+
 def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
     rows, docs, labels = labelled_texts(spark, 200, 100)
