@@ -16,6 +16,9 @@ from shopflow.config import fresh_dir
 
 #: Texts are handed to a tokenizer in slices of at most this many characters.
 SLICE_CHARS = 4_000_000
+#: Bytes of an Arrow batch that goes to Python; Spark's own limit is 64 MB, which a task holds several times over (JVM and Python).
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def worker_memo(key, make: Callable):
@@ -31,6 +34,14 @@ def worker_memo(key, make: Callable):
     return store.value
 
 
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of about ``BATCH_BYTES``, or of the limit that the session has been given (a longer row is a batch)."""
+    conf = df.sparkSession.conf
+    if BATCH_LIMIT not in conf.getAll:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def written(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (cuts the lineage)."""
     path = fresh_dir(df.sparkSession, kind)

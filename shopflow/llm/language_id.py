@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.llm.common import kept_and_text, least_hashes, text_list, worker_memo, written
+from shopflow.llm.common import kept_and_text, least_hashes, map_batches, text_list, worker_memo, written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 MARK = "▁"
@@ -275,7 +275,7 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
     teaching = _distinct_texts(rows) if per_language is None else _least_hash_texts(rows, per_language)
     if fits:
         teaching = written(teaching, "langid-teaching")
-    counts = written(teaching.mapInArrow(_train_words, "lang string, word string, n long")
+    counts = written(map_batches(teaching, _train_words, "lang string, word string, n long")
                      .groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
     n = len(vocabulary_pieces(vocabulary))
@@ -284,7 +284,7 @@ def train(labelled: DataFrame, vocabulary: str, text: str = "text", lang: str =
     for _ in range(rounds if langs else 0):
         uses = np.zeros_like(prob)
         # at most pieces x languages rows
-        got = (spread.mapInArrow(_expect(vocabulary, langs, prob), "k long, piece long, uses double")
+        got = (map_batches(spread, _expect(vocabulary, langs, prob), "k long, piece long, uses double")
                .groupBy("k", "piece").agg(F.sum("uses").alias("uses")).toArrow())
         uses[got["piece"].to_numpy(), got["k"].to_numpy()] = got["uses"].to_numpy()
         uses[-1] = 0
@@ -362,5 +362,5 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
                           + [T.StructField("lang_pred", T.StringType(), True), T.StructField("score", T.DoubleType(), True),
                              T.StructField("fit", T.DoubleType(), True)])
     sent, at = kept_and_text(docs, keep, text)
-    got = sent.mapInArrow(_predict(model, len(keep), at), schema)
+    got = map_batches(sent, _predict(model, len(keep), at), schema)
     return got.select(*names, *["lang_pred", "score", "fit"][: len(added)]).toDF(*keep, *added)

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.llm import hashing as H
-from shopflow.llm.common import written
+from shopflow.llm.common import map_batches, written
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -219,7 +219,7 @@ def duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(F.col(text)).alias("node"),
                           F.col(text).alias("text"))
-    sketch = written(rows_in.mapInArrow(_sketch(words, bands, rows), "doc_id long, node binary, bands array<long>"), "dedup-sketch")
+    sketch = written(map_batches(rows_in, _sketch(words, bands, rows), "doc_id long, node binary, bands array<long>"), "dedup-sketch")
     nodes = written(sketch.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"),
                                                F.first("bands").alias("bands")), "dedup-nodes")
     placed = nodes.select("node", F.explode("bands").alias("band"))
@@ -280,8 +280,8 @@ def _linked(members: DataFrame, texts: DataFrame, labels: DataFrame, threshold:
         pairs = _candidates(members, labels, turn)
         sides = (pairs.join(texts.select("node", F.col("text").alias("ta")), "node")
                  .join(texts.select(F.col("node").alias("pivot"), F.col("text").alias("tb")), "pivot"))
-        found = sides.select("label", "pivot", "other", "ta", "tb").mapInArrow(
-            _compare(words), "label binary, other binary, similarity double")
+        found = map_batches(sides.select("label", "pivot", "other", "ta", "tb"),
+                            _compare(words), "label binary, other binary, similarity double")
         links = written(found.where(F.col("similarity") >= threshold)
                         .select(F.col("label").alias("a"), F.col("other").alias("b")).distinct(), "dedup-links")
         if not links.isEmpty():
@@ -353,10 +353,10 @@ def _with_partners(open_: DataFrame, texts: DataFrame, threshold: float, words:
     at = written(texts.join(open_.select("node").distinct(), "node").select("node", "text"), "dedup-open-texts")
     common = np.zeros(COMMON, np.int64)
     # a table of fixed size, whatever the corpus
-    got = at.mapInArrow(_common(words), "bucket long, texts long").groupBy("bucket").agg(F.sum("texts").alias("texts")).toArrow()
+    got = map_batches(at, _common(words), "bucket long, texts long").groupBy("bucket").agg(F.sum("texts").alias("texts")).toArrow()
     common[got["bucket"].to_numpy()] = got["texts"].to_numpy()
     labels = open_.select("node", "label").distinct()
-    tokens = written(at.mapInArrow(_prefixes(words, threshold, common), "node binary, token long").join(labels, "node"), "dedup-prefixes")
+    tokens = written(map_batches(at, _prefixes(words, threshold, common), "node binary, token long").join(labels, "node"), "dedup-prefixes")
 
     def several(rows: DataFrame, *keys: str) -> DataFrame:
         """Rows whose key has several labels."""
@@ -382,7 +382,7 @@ def _remaining(members: DataFrame, texts: DataFrame, labels: DataFrame, threshol
         return labels.select(F.col("label").alias("a"), F.col("label").alias("b")).limit(0)
     whose = open_.groupBy("node").agg(F.sort_array(F.collect_list("band")).alias("bands"))
     mine = texts.join(whose, "node")
-    sizes = mine.select("node", "text").mapInArrow(_sizes(words), "node binary, total long, bytes long")
+    sizes = map_batches(mine.select("node", "text"), _sizes(words), "node binary, total long, bytes long")
     # texts of zones that are not the same or neighbours are too unlike in size
     zone = F.floor(F.log(F.greatest(F.col("total"), F.lit(1))) / F.lit(math.log(1 / threshold) * (1 + 1e-6))) if 0 < threshold < 1 else F.lit(0)
     placed = written(open_.join(sizes.withColumn("zone", zone.cast("int")), "node"), "dedup-placed")

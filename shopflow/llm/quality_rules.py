@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow.llm import hashing as H
-from shopflow.llm.common import kept_and_text, least_hashes, written
+from shopflow.llm.common import kept_and_text, least_hashes, map_batches, written
 
 BITS = 18
 SCALE = 40.0
@@ -331,15 +331,15 @@ def _train_all(texts: DataFrame, found: DataFrame, n: int, n_good: int) -> Quali
     blocks = max(1, math.ceil(n / BLOCK_ROWS), math.ceil(found.agg(F.sum("chars")).first()[0] / BLOCK_CHARS))
     rare = max(2, min(BLOCK_RARE, n // blocks // 10))
     copies = {good: min(blocks, math.ceil(rare * blocks / taught[good])) for good in (0, 1)}
-    summed = (_dealt(texts, found, apart, blocks, copies).repartition("block").sortWithinPartitions("block")
-              .mapInArrow(_fit_blocks(_fit_block), "piece int, weights binary, n long")
+    dealt = _dealt(texts, found, apart, blocks, copies).repartition("block").sortWithinPartitions("block")
+    summed = (map_batches(dealt, _fit_blocks(_fit_block), "piece int, weights binary, n long")
               .groupBy("piece").applyInArrow(_sum_piece, "piece int, weights binary, n long"))
     parts = sorted(summed.collect(), key=lambda r: r.piece)  # PIECES rows, together one model
     if not parts:
         return _one_class(2 * n_good >= n)
     mean = np.concatenate([np.frombuffer(r.weights, np.int64) for r in parts]) / (FIXED * parts[0].n)
     model = QualityModel(mean[:-1].astype(np.float32), float(mean[-1]), 1.0, 0.0)
-    raws = (texts.where(_held()) if apart else texts).mapInArrow(_raw_values(model), T.StructType([*texts.schema.fields[:-1], T.StructField("raw", T.DoubleType())]))
+    raws = map_batches(texts.where(_held()) if apart else texts, _raw_values(model), T.StructType([*texts.schema.fields[:-1], T.StructField("raw", T.DoubleType())]))
     raws = raws.groupBy("doc_id", "h").agg(F.min("raw").alias("raw"))
     step = F.round(F.greatest(F.least("raw", F.lit(RAW_MOST)), F.lit(-RAW_MOST)) * RAW_STEPS).cast("int").alias("step")
     # at most one row for each step and class
@@ -369,7 +369,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int | None = None) -> Q
     # At most 2 * per_class narrow rows.
     rows = (texts.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h", "good").agg(F.min("text").alias("text"))
             .select("h", "text", "good", F.lit(int(totals.g or 0)).alias("all_good"), F.lit(int(totals.n - (totals.g or 0))).alias("all_bad")))
-    state = rows.repartition(1).mapInArrow(_fit_task, "model binary").first()
+    state = map_batches(rows.repartition(1), _fit_task, "model binary").first()
     model = QualityModel.__new__(QualityModel)
     if state is None:
         return fit([], np.zeros(0), 0, 0)
@@ -419,4 +419,4 @@ def apply_rules(docs: DataFrame, model: QualityModel, keep: list[str], text: str
     schema = T.StructType([T.StructField(n, docs.schema[c].dataType, True) for n, c in zip(names, keep)]
                           + [T.StructField(k, t, True) for k, t in ADDED])
     sent, at = kept_and_text(docs, keep, text)
-    return sent.mapInArrow(_score(model, keep_at, len(keep), at), schema).toDF(*keep, *added)
+    return map_batches(sent, _score(model, keep_at, len(keep), at), schema).toDF(*keep, *added)

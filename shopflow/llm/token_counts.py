@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import load_tokenizer, worker_memo, written
+from shopflow.llm.common import load_tokenizer, map_batches, worker_memo, written
 from shopflow.llm.pieces import piece_encoder
 
 CHUNK_CHARS = 1 << 16
@@ -93,10 +93,10 @@ def _encode_chunks(path: str, overlap: int):
 
 def _spliced(huge: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     """(row, n_tokens) of the huge texts; n_tokens is null where some pair has no stable boundary."""
-    chunks = huge.select("row", "text").mapInArrow(
-        _cut_chunks(chunk, overlap), "row string, chunk long, is_last boolean, start long, text string")
-    ends = chunks.repartition("row", "chunk").mapInArrow(
-        _encode_chunks(path, overlap), "row string, pair long, side string, tail long, places array<long>, counts array<long>")
+    chunks = map_batches(
+        huge.select("row", "text"), _cut_chunks(chunk, overlap), "row string, chunk long, is_last boolean, start long, text string")
+    ends = map_batches(
+        chunks.repartition("row", "chunk"), _encode_chunks(path, overlap), "row string, pair long, side string, tail long, places array<long>, counts array<long>")
     pairs = ends.groupBy("row", "pair").agg(
         *[F.max(F.when(F.col("side") == side, F.col(c))).alias(c + side)
           for side in "LR" for c in ("places", "counts", "tail")], F.count("*").alias("n"))
@@ -138,8 +138,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
         size, lap = 2 * size, 2 * lap
     ordinary = docs.select(*kept, F.when(~is_huge, F.col(text)).alias("__text"))
     names = [f"__c{i}" for i in range(len(kept))]  # clashing names must not matter
-    small = (ordinary.where(~is_huge).toDF(*names, "__text")
-             .mapInArrow(_count_whole(path), _schema(docs, kept, names)).toDF(*kept, out))
+    small = map_batches(ordinary.where(~is_huge).toDF(*names, "__text"), _count_whole(path), _schema(docs, kept, names)).toDF(*kept, out)
     large = (docs.where(is_huge).withColumn("__row", F.sha2(text, 256))
              .join(done.select(F.col("row").alias("__row"), F.col("n_tokens").alias("__n")), "__row")
              .select(*kept, F.col("__n").alias(out)))

@@ -346,6 +346,34 @@ def test_a_kept_text_is_sent_once_and_a_worker_keeps_one_memo(spark):
     assert made == ["one", "two", "one"]
 
 
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
+    """10,000 texts of some 2 kB were one batch of 21 MB; a limit that the session has been given is kept."""
+    import pyarrow as pa
+
+    from shopflow.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows]), "size": pa.array([b.nbytes])})
+
+    docs = spark.range(0, 10_000, 1, 1).selectExpr("id", "concat(id, repeat(' ab', 700)) text")
+    given = spark.conf.getAll.get(common.BATCH_LIMIT)
+    try:
+        spark.conf.unset(common.BATCH_LIMIT)
+        # the operators set the limit themselves
+        language_id.predict(docs, language_id.LanguageModel("", [], np.zeros((1, 1))), ["id"])
+        assert spark.conf.get(common.BATCH_LIMIT) == str(common.BATCH_BYTES)
+        got = common.map_batches(docs, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 10_000 and max(r.size for r in got) < 1.1 * common.BATCH_BYTES
+        spark.conf.set(common.BATCH_LIMIT, "1m")
+        got = common.map_batches(docs, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 10_000 and max(r.size for r in got) < 1.1 * (1 << 20)
+    finally:
+        spark.conf.unset(common.BATCH_LIMIT)
+        if given is not None:
+            spark.conf.set(common.BATCH_LIMIT, given)
+
+
 def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
     rows, docs, labels = labelled_texts(spark, 200, 100)
