@@ -34,12 +34,24 @@ def worker_memo(key, make: Callable):
     return store.value
 
 
+def _released(run: Callable) -> Callable:
+    """``run`` with Arrow's freed memory given back after each batch; its pool would keep it, also in workers that wait for a task."""
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        for out in run(given):
+            yield out
+            out = None
+            pool.release_unused()
+        pool.release_unused()
+    return batches
+
+
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` in batches of about ``BATCH_BYTES``, or of the limit that the session has been given (a longer row is a batch)."""
     conf = df.sparkSession.conf
     if BATCH_LIMIT not in conf.getAll:
         conf.set(BATCH_LIMIT, str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_released(run), schema)
 
 
 def written(df: DataFrame, kind: str) -> DataFrame:

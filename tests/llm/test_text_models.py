@@ -374,6 +374,18 @@ def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
             spark.conf.set(common.BATCH_LIMIT, given)
 
 
+def test_freed_arrow_memory_is_given_back_after_each_batch(monkeypatch):
+    from types import SimpleNamespace
+
+    from shopflow.llm import common
+
+    released = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: released.append(1)))
+    run = common._released(lambda given: (2 * x for x in given))
+    assert list(run(iter([1, 2]))) == [2, 4] and len(released) == 3
+    assert list(run(iter([]))) == [] and len(released) == 4
+
+
 def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
     rows, docs, labels = labelled_texts(spark, 200, 100)
