@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import pickle
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopflow.llm import hashing as H
-from shopflow.llm.common import kept_and_text, least_hashes, map_batches, written
+from shopflow.llm.common import kept_and_text, least_hashes, map_batches, text_list, written
 
 BITS = 18
 SCALE = 40.0
 #: Labelled rows and characters of a block, on average, and rows of the rarer class that it should have.
 BLOCK_ROWS, BLOCK_CHARS, BLOCK_RARE = 1000, 3_000_000, 100
-#: Texts whose n-grams are gone through at once in a step.
-STEP_TEXTS = 64
+#: Numbers that are gone through at once in a step.
+STEP_CELLS = 1 << 16
+#: Bytes of texts whose words are hashed at once.
+STEP_BYTES = 1 << 18
 #: Weights are added up as whole multiples of 1 / ``FIXED``, in ``PIECES`` parts.
 FIXED, PIECES = float(1 << 40), 1024
 #: Raw values are counted in steps of 1 / ``RAW_STEPS`` up to ``RAW_MOST`` either way.
@@ -55,9 +58,7 @@ MAX_REPEATED_PERCENT = 50
 STEP_CHARS = 1 << 18
 
 SYMBOLS = b"#*$%&|<>"  # fixed by the rule
-
-_WHITE = np.zeros(0x21, bool)
-_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+WHITE = bytes([0x20, *range(0x09, 0x0E)])
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -65,11 +66,18 @@ def repeated_words(words: list[bytes]) -> int:
     n = len(words) - 2
     if n < 2:
         return 0
-    number: dict[bytes, int] = {}
-    w = np.fromiter((number.setdefault(x, len(number)) for x in words), np.int64, n + 2)
-    pair = np.unique(w[:-1] * len(number) + w[1:], return_inverse=True)[1]
-    _, which, count = np.unique(pair[:-1] * len(number) + w[2:], return_inverse=True, return_counts=True)
-    twice = count[which] > 1
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__  # a new word gets the next number
+    w = np.fromiter(map(number.__getitem__, words), np.int64, n + 2)
+    pair = w[:-1] * len(number) + w[1:]
+    if len(number) >= 1 << 21:  # else a window fits 63 bits
+        pair = np.unique(pair, return_inverse=True)[1]
+    window = pair[:-1] * len(number) + w[2:]
+    ordered = np.sort(window)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    twice = twice[np.minimum(np.searchsorted(twice, window), len(twice) - 1)] == window
     covered = np.zeros(n + 2, bool)
     for j in range(3):
         covered[j : j + n] |= twice
@@ -86,37 +94,42 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words); words are parted by 0x09-0x0D and 0x20."""
     data = text.encode()
     words = data.split()
-    white = sum(data.count(bytes([c])) for c in (0x20, *range(0x09, 0x0E)))
-    return (len(words), len(text) - white, sum(data.count(bytes([c])) for c in SYMBOLS),
-            duplicate_lines(data), repeated_words(words))
+    white, symbols = (len(data) - len(data.translate(None, signs)) for signs in (WHITE, SYMBOLS))
+    return len(words), len(text) - white, symbols, duplicate_lines(data), repeated_words(words)
 
 
 def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < MIN_WORDS or 100 * n_repeat_words > MAX_REPEATED_PERCENT * n_words
 
 
+def _run_buckets(c: np.ndarray) -> Iterator[np.ndarray]:
+    """Buckets of the runs of 3 and those of the runs of 4 of the code points ``c``, by their first one."""
+    half = np.uint32((1 << (BITS - 1)) - 1)
+    if len(c) < 3:
+        return
+    three = c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)
+    for x in (three, three[:-1] + c[3:] * np.uint32(0x27D4EB2F)):
+        x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+        yield (x >> np.uint32(13)) & half
+
+
 def character_buckets(text: str) -> Iterator[np.ndarray]:
     """Buckets of all runs of 3 and of 4 characters, in steps of bounded size."""
-    half = np.uint32((1 << (BITS - 1)) - 1)
     for lo in range(0, max(1, len(text)), STEP_CHARS):
-        c = np.frombuffer(text[lo : lo + STEP_CHARS + 3].encode("utf-32-le", "surrogatepass"), np.uint32)
-        if len(c) < 3:
-            continue
-        with np.errstate(over="ignore"):
-            three = c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)
-            four = three[:-1] + c[3:] * np.uint32(0x27D4EB2F)
-            last = lo + STEP_CHARS >= len(text)  # the runs that reach into the next step are counted there
-            for x in (three if last else three[:STEP_CHARS], four if last else four[:STEP_CHARS]):
-                x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-                yield (x >> np.uint32(13)) & half
+        last = lo + STEP_CHARS >= len(text)  # the runs that reach into the next step are counted there
+        for x in _run_buckets(np.frombuffer(text[lo : lo + STEP_CHARS + 3].encode("utf-32-le", "surrogatepass"), np.uint32)):
+            yield x if last else x[:STEP_CHARS]
+
+
+def _word_buckets(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    half = 1 << (BITS - 1)
+    pairs = H.mix(hashes[:-1] * np.uint64(3) + H.mix(hashes[1:]))
+    return tuple((x & np.uint64(half - 1)).astype(np.int64) + half for x in (hashes, pairs))
 
 
 def word_buckets(hashes: np.ndarray) -> np.ndarray:
     """Buckets of single words and of pairs of words."""
-    with np.errstate(over="ignore"):
-        pairs = H.mix(hashes[:-1] * np.uint64(3) + H.mix(hashes[1:]))
-    half = 1 << (BITS - 1)
-    return (np.r_[hashes, pairs] & np.uint64(half - 1)).astype(np.int64) + half
+    return np.concatenate(_word_buckets(hashes))
 
 
 class QualityModel:
@@ -132,6 +145,30 @@ class QualityModel:
         words = word_buckets(hashes)
         return self.bias + SCALE * (total / max(1, n) + float(self.weights[words].sum(dtype=np.float64)) / max(1, len(words)))
 
+    def raws(self, texts: list[str], hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """``raw`` of each text; ``doc`` is the text number of each of ``hashes``.  Texts of all lengths, those over ``STEP_CHARS`` by themselves."""
+        edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+        long = [i for i, t in enumerate(texts) if len(t) > STEP_CHARS]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        size[long] = 0
+        codes = np.frombuffer("".join(["" if len(t) > STEP_CHARS else t for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = np.cumsum(size) - size
+        total, n = np.zeros(len(texts)), np.maximum(size - 2, 0) + np.maximum(size - 3, 0)
+        for k, buckets in zip((3, 4), _run_buckets(codes)):
+            has = np.flatnonzero(size >= k)
+            if len(has):  # from a text's first run up to the one that would reach into the next text
+                spans = np.stack([first[has], first[has] + size[has] - k + 1], 1).reshape(-1)
+                total[has] += np.add.reduceat(np.append(self.weights.take(buckets), np.float32(0)), spans, dtype=np.float64)[::2]
+        words = np.diff(edge)
+        single, pair = _word_buckets(hashes)
+        together = np.flatnonzero(doc[1:] == doc[:-1])
+        by_words = (np.bincount(doc, self.weights.take(single), len(texts))
+                    + np.bincount(doc[together], self.weights.take(pair[together]), len(texts)))
+        out = self.bias + SCALE * (total / np.maximum(1, n) + by_words / np.maximum(1, words + np.maximum(words - 1, 0)))
+        for i in long:
+            out[i] = self.raw(texts[i], hashes[edge[i] : edge[i + 1]])
+        return out
+
     def probability(self, raw):
         """Calibrated probability of good quality."""
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * raw + self.offset, -500, 500)))
@@ -140,12 +177,12 @@ class QualityModel:
 def _features(text: str, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, values) of one text, equal buckets joined."""
     parts = list(character_buckets(text))
-    chars = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    words = word_buckets(hashes)
-    idx = np.r_[chars.astype(np.int64), words]
-    val = np.r_[np.full(len(chars), SCALE / max(1, len(chars))), np.full(len(words), SCALE / max(1, len(words)))]
-    u, inv = np.unique(idx, return_inverse=True)
-    return u.astype(np.int32), np.bincount(inv, val).astype(np.float32)
+    words = word_buckets(hashes).astype(np.uint32)
+    n_chars = sum(map(len, parts))
+    idx = np.sort(np.concatenate([*parts, words]))  # the characters' half of the buckets comes first
+    first = np.flatnonzero(np.concatenate([[True], idx[1:] != idx[:-1]])) if len(idx) else np.zeros(0, np.int64)
+    n = np.diff(first, append=len(idx))
+    return idx[first].astype(np.int32), (n * np.where(first < n_chars, SCALE / max(1, n_chars), SCALE / max(1, len(words)))).astype(np.float32)
 
 
 def _calibrate(raw: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> tuple[float, float]:
@@ -164,44 +201,80 @@ def _calibrate(raw: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> t
     return max(0.0, float(a)), float(b)
 
 
-Features = list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+def _hashed(column: pa.Array) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Texts of an Arrow column (null: empty), block by block, with their words' hashes and the text number of each."""
+    data, offsets = H.text_buffer(column)
+    for lo, hi in H.blocks(offsets, STEP_BYTES):
+        yield text_list(column.slice(lo, hi - lo)), *H.words(data, offsets[lo : hi + 1])
 
 
-def _features_of(texts: list[str]) -> Features:
-    """(first text, each one's number of buckets, its first one, bucket, value) of ``STEP_TEXTS`` texts each."""
-    out = []
-    for lo in range(0, len(texts), STEP_TEXTS):
+class Features:
+    """Buckets and values of texts, by text and by bucket, for steps over all of them; only buckets that occur have a number here."""
+
+    def __init__(self, texts: list[str]):
         rows = []
-        for t in texts[lo : lo + STEP_TEXTS]:
-            raw = np.frombuffer(t.encode(), np.uint8)
-            i, v = _features(t, H.words(raw, np.array([0, len(raw)], np.int64))[0])
-            rows.append((i, v) if len(i) else (np.zeros(1, np.int32), np.zeros(1, np.float32)))  # none is empty, for reduceat
+        for part, hashes, doc in _hashed(pa.array(texts, pa.large_string())):
+            edge = np.searchsorted(doc, np.arange(len(part) + 1))
+            rows += [_features(t, hashes[a:b]) for t, a, b in zip(part, edge[:-1], edge[1:])]
+        rows = [(i, v) if len(i) else (np.zeros(1, np.int32), np.zeros(1, np.float32)) for i, v in rows]  # none is empty, for reduceat
         size = np.array([len(i) for i, _ in rows])
-        out.append((lo, size, np.cumsum(size) - size, np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])))
-    return out
-
-
-def _raws(features: Features, w: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.add.reduceat(val * w[idx], first) for _, _, first, idx, val in features])
+        idx, self.val = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows])
+        del rows
+        self.first = np.cumsum(size) - size
+        there = np.zeros(1 << BITS, bool)
+        there[idx] = True
+        self.buckets = np.flatnonzero(there)
+        number = np.cumsum(there, dtype=np.int32) - np.int32(1)
+        self.column = number[idx]
+        del idx
+        order = self.column.astype(np.int64)  # rising texts in each bucket; in place, as it is the largest array
+        order <<= 32
+        order |= np.arange(len(order), dtype=np.int32)
+        order.sort()
+        order &= 0xFFFFFFFF
+        self.text = np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
+        self.by_bucket = self.val[order]
+        n = np.bincount(self.column)
+        self.bucket_first = np.cumsum(n) - n
+
+    def _sums(self, x: np.ndarray, at: np.ndarray, val: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """For each i the sum of x[at] * val from first[i] up to the next, some ``STEP_CELLS`` at once."""
+        out, lo = np.empty(len(first)), 0
+        while lo < len(first):
+            hi = max(lo + 1, int(np.searchsorted(first, first[lo] + STEP_CELLS)))
+            a, b = int(first[lo]), int(first[hi]) if hi < len(first) else len(at)
+            part = x.take(at[a:b])
+            part *= val[a:b]
+            out[lo:hi] = np.add.reduceat(part, first[lo:hi] - a)
+            lo = hi
+        return out
+
+    def raws(self, w: np.ndarray) -> np.ndarray:
+        """Each text's sum of value times its bucket's ``w``."""
+        return self._sums(w, self.column, self.val, self.first)
+
+    def gradient(self, g: np.ndarray) -> np.ndarray:
+        """Each bucket's sum of value times its text's ``g``."""
+        return self._sums(g, self.text, self.by_bucket, self.bucket_first)
 
 
 def _steps(features: Features, y: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias after the gradient steps on the rows that are not ``held``."""
-    w, bias = np.zeros(1 << BITS), 0.0
+    """Weights and bias after the gradient steps on the rows that are not ``held``; a bucket that does not occur keeps weight 0."""
+    w, bias = np.zeros(len(features.buckets)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     weight = np.where(held, 0.0, 1.0)
     for c in (0.0, 1.0):  # both classes count alike in the steps
         weight[(y == c) & ~held] /= max(1, ((y == c) & ~held).sum())
     for t in range(1, STEPS + 1):
-        g = (1 / (1 + np.exp(-np.clip(_raws(features, w) + bias, -30, 30))) - y) * weight
-        grad, gb = DECAY * w, g.sum()
-        for lo, size, _, idx, val in features:
-            grad += np.bincount(idx, val * np.repeat(g[lo : lo + len(size)], size), len(w))
+        g = (1 / (1 + np.exp(-np.clip(features.raws(w) + bias, -30, 30))) - y) * weight
+        grad, gb = DECAY * w + features.gradient(g), g.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
         bias -= RATE * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-6)
-    return w, float(bias)
+    whole = np.zeros(1 << BITS)
+    whole[features.buckets] = w
+    return whole, float(bias)
 
 
 def _one_class(good: bool) -> QualityModel:
@@ -214,12 +287,12 @@ def fit(texts: list[str], y: np.ndarray, all_good: int, all_bad: int) -> Quality
     y = np.asarray(y, np.float64)
     if not len(y) or y.min() == y.max():
         return _one_class(not len(y) or bool(y.max()))
-    features = _features_of(texts)
+    features = Features(texts)
     held = np.arange(len(y)) % 4 == 3
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
     w, bias = _steps(features, y, held)
-    raw = _raws(features, w) + bias
+    raw = features.raws(w[features.buckets]) + bias
     use = held if held.any() else ~held
     slope, offset = _calibrate(raw[use], y[use])
     n1, n0 = y[use].sum(), len(y[use]) - y[use].sum()
@@ -250,7 +323,7 @@ def _fit_block(table: pa.Table) -> pa.Table:
     y = rows["good"].to_numpy().astype(np.float64)
     parts = []
     if y.min() < y.max():
-        w, bias = _steps(_features_of(rows["text"].to_pylist()), y, np.zeros(len(y), bool))
+        w, bias = _steps(Features(rows["text"].to_pylist()), y, np.zeros(len(y), bool))
         parts = _pieces(np.rint(np.r_[w, bias] * FIXED).astype(np.int64))
     return pa.table({"piece": pa.array(range(len(parts)), pa.int32()), "weights": pa.array(parts, pa.binary())})
 
@@ -299,11 +372,8 @@ def _sum_piece(table: pa.Table) -> pa.Table:
 def _raw_values(model: QualityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raws = []
-            for x in b.column(b.num_columns - 1):
-                text = x.as_py()
-                data = np.frombuffer(text.encode(), np.uint8)
-                raws.append(model.raw(text, H.words(data, np.array([0, len(data)], np.int64))[0]))
+            column = b.column(b.num_columns - 1)
+            raws = np.concatenate([np.zeros(0), *(model.raws(*part) for part in _hashed(column))])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(raws, pa.float64())], names=[*b.schema.names[:-1], "raw"])
     return run
 
@@ -387,21 +457,15 @@ def _score(model: QualityModel, keep_at: float, kept: int, at: int):
     """Of batches with ``kept`` columns to keep and the text in column ``at``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(at)
-            data, offsets = H.text_buffer(column)
-            cols: dict[str, list] = {k: [] for k, _ in ADDED}
-            for lo, hi in H.blocks(offsets, 1 << 20):
-                hashes, doc = H.words(data, offsets[lo : hi + 1])
-                edge = np.searchsorted(doc, np.arange(hi - lo + 1))
-                for i in range(lo, hi):
-                    text = column[i].as_py() or ""
+            rows = []
+            for texts, hashes, doc in _hashed(b.column(at)):
+                for text, p in zip(texts, model.probability(model.raws(texts, hashes, doc)).tolist()):
                     counts = base_counts(text)
                     failed = base_failed(counts[0], counts[4])
-                    p = float(model.probability(model.raw(text, hashes[edge[i - lo] : edge[i - lo + 1]])))
-                    for (k, _), x in zip(ADDED, (*counts, failed, p, not failed and p >= keep_at)):
-                        cols[k].append(x)
+                    rows.append((*counts, failed, p, not failed and p >= keep_at))
+            cols = zip(*rows) if rows else [()] * len(ADDED)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:kept], *(pa.array(cols[k], _ARROW[type(t)]) for k, t in ADDED)],
+                [*b.columns[:kept], *(pa.array(x, _ARROW[type(t)]) for (_, t), x in zip(ADDED, cols))],
                 names=[*b.schema.names[:kept], *(k for k, _ in ADDED)])
     return run
 

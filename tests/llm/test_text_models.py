@@ -223,6 +223,57 @@ def test_character_buckets_in_steps(monkeypatch):
     assert sorted(np.concatenate(list(quality_rules.character_buckets(text))).tolist()) == want
 
 
+def test_repeated_words_equal_the_plain_definition():
+    r = random.Random(3)
+    for n in [*range(12), *[r.randint(3, 80) for _ in range(300)]]:
+        words = [r.choice([b"a", b"b", b"c", b"dd"][: r.randint(1, 4)]) for _ in range(n)]
+        windows = Counter(tuple(words[i : i + 3]) for i in range(n - 2))
+        want = {i + j for i in range(n - 2) if windows[tuple(words[i : i + 3])] > 1 for j in range(3)}
+        assert quality_rules.repeated_words(words) == len(want)
+
+
+@pytest.mark.parametrize("step", [4, 1 << 18])
+def test_raw_values_of_blocks_equal_those_of_single_texts(monkeypatch, step):
+    monkeypatch.setattr(quality_rules, "STEP_CHARS", step)
+    monkeypatch.setattr(quality_rules, "STEP_BYTES", 64)
+    model = quality_rules.QualityModel(np.random.default_rng(0).random(1 << quality_rules.BITS).astype(np.float32), 0.5, 1.0, 0.0)
+    texts = ["", "a", "ab", "abc", "abcd", " ", "a b", "", "\U0001f600x", "ab cd\nab cd", "é" * 50, None, "x y " * 40, "", "q"]
+    single = [model.raw(t or "", hashing.words(*hashing.text_buffer(pa.array([t])))[0]) for t in texts]
+    monkeypatch.setattr(quality_rules.QualityModel, "raw", quality_rules.QualityModel.raw if step == 4 else None)  # one text at a time before
+    (got,) = quality_rules._raw_values(model)(iter([pa.record_batch({"text": pa.array(texts[:11] + texts[12:])})]))
+    assert np.allclose(got.column(0).to_numpy(), single[:11] + single[12:], rtol=1e-12)
+    (scored,) = quality_rules._score(model, 0.5, 0, 0)(iter([pa.record_batch({"text": pa.array(texts)})]))
+    assert np.allclose(scored.column("probability").to_numpy(), model.probability(np.array(single)), rtol=1e-12)
+    (none,) = quality_rules._score(model, 0.5, 0, 0)(iter([pa.record_batch({"text": pa.array([], pa.string())})]))
+    assert none.num_rows == 0
+
+
+def test_gradient_steps_equal_the_plain_ones(monkeypatch):
+    monkeypatch.setattr(quality_rules, "STEP_CELLS", 7)
+    monkeypatch.setattr(quality_rules, "STEPS", 5)
+    texts = ["good words here", "bad bad text", "", "a", "more good words", "bad words text bad"]
+    y, held = np.array([1.0, 0, 1, 0, 1, 0]), np.array([False, False, False, False, True, False])
+    features = quality_rules.Features(texts)
+    x = np.zeros((len(texts), 1 << quality_rules.BITS))
+    for i, t in enumerate(texts):
+        n_chars, words = max(0, len(t) - 2) + max(0, len(t) - 3), hashing.words(*hashing.text_buffer(pa.array([t])))[0]
+        for part in quality_rules.character_buckets(t):
+            np.add.at(x[i], part, quality_rules.SCALE / n_chars)
+        buckets = quality_rules.word_buckets(words)
+        np.add.at(x[i], buckets, quality_rules.SCALE / max(1, len(buckets)))
+    weight = np.where(held, 0, np.where(y == 1, 1 / 2, 1 / 3))
+    w, b, m, v, mb, vb = np.zeros(x.shape[1]), 0.0, 0.0, 0.0, 0.0, 0.0
+    for t in range(1, 6):
+        g = (1 / (1 + np.exp(-(x @ w + b))) - y) * weight
+        grad, gb = quality_rules.DECAY * w + x.T @ g, g.sum()
+        m, v, mb, vb = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb**2
+        w = w - quality_rules.RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
+        b -= quality_rules.RATE * (mb / (1 - 0.9**t)) / (np.sqrt(vb / (1 - 0.999**t)) + 1e-6)
+    got, bias = quality_rules._steps(features, y, held)
+    assert np.allclose(got, w, atol=1e-4) and np.isclose(bias, b, atol=1e-4)
+    assert len(features.buckets) < 200  # only these have a weight to step; all 1 << BITS had before
+
+
 def test_quality_rules_learn_and_handle_odd_rows(spark):
     r = random.Random(0)
     good = lambda: " ".join(r.choice(["the", "sea", "of", "trees", "and", "hills", "is", "wide"]) + r.choice("aeiou") for _ in range(80))
