@@ -20,7 +20,9 @@ and the model's ``least_fit`` for each language, learned from the same training
 
 from __future__ import annotations
 
+import functools
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -51,10 +53,12 @@ COUNTED_WORDS, TASK_WORDS = 100_000, 150_000
 #: If no more texts than this come twice, only their rows are moved to be made distinct.
 REPEATED = 100_000
 MEMO = 150_000
+#: Words whose segmentations are summed at once, times the length of the longest.
+CELLS = 100_000
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_FILTER = np.uint64((1 << 20) - 1)
+_FILTER = np.uint64((1 << 18) - 1)
 
 
 def _grow(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -64,22 +68,29 @@ def _grow(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
         return x + codes.astype(np.uint64) + np.uint64(1)
 
 
+def _hashes(runs: list[str], n: int) -> np.ndarray:
+    """Hashes of runs of ``n`` characters each."""
+    codes = np.array([[ord(c) for c in r] for r in runs], np.uint32).reshape(len(runs), n)
+    h = np.zeros(len(runs), np.uint64)
+    for k in range(n):
+        h = _grow(h, codes[:, k])
+    return h
+
+
 class Pieces(dict):
-    """Piece -> number, and for each length the pieces' hashes, sorted, with a bit table before them."""
+    """Piece -> number, and for each length the pieces' hashes, sorted, with a bit table before them and one of the beginnings of longer pieces."""
 
     def __init__(self, numbers: dict[str, int]):
         super().__init__(numbers)
-        self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for n in range(1, max(map(len, numbers), default=1) + 1):
             own = [p for p in numbers if len(p) == n]
-            codes = np.array([[ord(c) for c in p] for p in own], np.uint32).reshape(len(own), n)
-            h = np.zeros(len(own), np.uint64)
-            for k in range(n):
-                h = _grow(h, codes[:, k])
+            h = _hashes(own, n)
             order = np.argsort(h)
-            bits = np.zeros(int(_FILTER) + 1, bool)
+            bits, more = np.zeros((2, int(_FILTER) + 1), bool)
             bits[h & _FILTER] = True
-            self.by_length.append((h[order], np.array([numbers[own[i]] for i in order], np.int64), bits))
+            more[_hashes(list({p[:n] for p in numbers if len(p) > n}), n) & _FILTER] = True
+            self.by_length.append((h[order], np.array([numbers[own[i]] for i in order], np.int64), bits, more))
 
 
 def vocabulary_pieces(path: str) -> Pieces:
@@ -92,8 +103,24 @@ def vocabulary_pieces(path: str) -> Pieces:
     return Pieces({p: i for i, p in enumerate(p for p in pieces if len(p) <= LONGEST)})
 
 
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+@functools.cache
+def _plain_word() -> re.Pattern:
+    """``WORD`` for texts without code points above U+FFFF, with the same letters and marks as a plain class."""
+    all_ = "".join(map(chr, range(0x10000)))
+
+    def of(kind: str) -> str:
+        runs = regex.finditer(rf"[{kind}]+", all_)
+        return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in runs)
+
+    return re.compile(rf"[{of(r'\p{L}')}][{of(r'\p{L}\p{M}')}]*")
+
+
 def letter_words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return (WORD if _ASTRAL.search(text) else _plain_word()).findall(text)
 
 
 def lattice(words: list[str], pieces: Pieces) -> tuple[np.ndarray, ...]:
@@ -109,11 +136,14 @@ def lattice(words: list[str], pieces: Pieces) -> tuple[np.ndarray, ...]:
     stop = first + size[word]
     at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
     places, ends, found = [], [], []
-    for n, (hashes, ids, bits) in enumerate(pieces.by_length, 1):
-        inside = at + n <= stop[at]
-        at, h = at[inside], h[inside]
+    for n, (hashes, ids, bits, more) in enumerate(pieces.by_length, 1):
+        if n > 1:  # go on where the run may begin a longer piece and the word has not ended
+            on = np.flatnonzero(begins[low])
+            on = on[at[on] + n <= stop[at[on]]]
+            at, h = at[on], h[on]
         h = _grow(h, codes[at + n - 1])
-        hit = np.flatnonzero(bits[h & _FILTER])
+        low = h & _FILTER
+        hit = np.flatnonzero(bits[low])
         k = np.minimum(np.searchsorted(hashes, h[hit]), max(0, len(hashes) - 1))
         known = hashes[k] == h[hit] if len(hashes) else np.zeros(0, bool)
         hit, piece = hit[known], ids[k[known]] if len(hashes) else np.zeros(0, np.int64)
@@ -121,24 +151,27 @@ def lattice(words: list[str], pieces: Pieces) -> tuple[np.ndarray, ...]:
             alone = np.full(len(at), -1)
             alone[hit] = piece
             hit, piece = np.arange(len(at)), alone
+        begins = more
         places.append(at[hit])
         ends.append(at[hit] + n)
         found.append(piece)
     place, end, piece = np.concatenate(places), np.concatenate(ends), np.concatenate(found)
     w, zero = word[place], first[place]
-    order = np.argsort(end - zero, kind="stable")
-    return w[order], (place - zero)[order], (end - zero)[order], piece[order]
+    start, end = place - zero, end - zero
+    order = np.argsort(end.astype(np.uint16) if size.max(initial=0) < 1 << 16 else end, kind="stable")
+    return w[order], start[order], end[order], piece[order]
 
 
 def forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     """log probability of each word in each language; ``prob``: (pieces + 1, languages), the last row for ``-1``."""
     out = np.empty((len(words), prob.shape[1]))
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(size, kind="stable")
+    size = size[order] + 2
     lo = 0
     while lo < len(order):  # words of like length together, a bounded number of cells
-        hi = lo + 1
-        while hi < len(order) and (hi - lo) * (len(words[order[hi]]) + 2) < 100_000:
-            hi += 1
+        n = np.arange(1, min(len(order) - lo, CELLS))
+        hi = lo + 1 + int(np.searchsorted(n * size[lo + 1 : lo + 1 + len(n)], CELLS))
         part = order[lo:hi]
         out[part] = _forward([words[i] for i in part], pieces, prob)
         lo = hi
@@ -148,7 +181,7 @@ def forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
 def _forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     langs, lengths = prob.shape[1], np.array([len(w) + 1 for w in words])
     w, start, end, piece = lattice(words, pieces)
-    steps = np.searchsorted(end, np.arange(1, lengths.max() + 2))
+    steps = np.searchsorted(end, np.arange(1, lengths.max() + 2)).tolist()
     alpha = np.zeros((LONGEST + 1, len(words), langs))  # the last columns, in turn
     alpha[0] = 1.0
     scale = np.zeros((len(words), langs))
@@ -156,7 +189,12 @@ def _forward(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     for e in range(1, lengths.max() + 1):
         now = slice(steps[e - 1], steps[e])
         column = np.zeros((len(words), langs))
-        np.add.at(column, w[now], alpha[start[now] % (LONGEST + 1), w[now]] * prob[piece[now]])
+        # by rising length of the piece, so by falling start; of one length a word has one piece that ends here
+        sizes = e - start[now]
+        edges = steps[e - 1] + np.searchsorted(sizes, np.arange(1, LONGEST + 2))
+        for n, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist()), 1):
+            if lo < hi:
+                column[w[lo:hi]] += alpha[(e - n) % (LONGEST + 1)].take(w[lo:hi], 0) * prob.take(piece[lo:hi], 0)
         alpha[e % (LONGEST + 1)] = column
         if e % 8 == 0:  # against underflow: what counts is relative to the largest kept column
             top = alpha.max(0)
@@ -212,8 +250,10 @@ def _train_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, b.num_rows, 500):
             part = b.slice(lo, 500)
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                by.setdefault(lang, Counter()).update(
-                    w[i : i + TRAIN_CHARS] for w in letter_words(text) for i in range(0, len(w), TRAIN_CHARS))
+                words = letter_words(text)
+                if max(map(len, words), default=0) > TRAIN_CHARS:
+                    words = [w[i : i + TRAIN_CHARS] for w in words for i in range(0, len(w), TRAIN_CHARS)]
+                by.setdefault(lang, Counter()).update(words)
             if sum(map(len, by.values())) > COUNTED_WORDS:
                 yield from counted()
     yield from counted()

@@ -136,6 +136,32 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(language_id.forward(["ab" * 3000], pieces, prob)).all()
 
 
+def test_runs_that_begin_no_piece_are_not_grown(monkeypatch):
+    grown, grow = [], language_id._grow
+    monkeypatch.setattr(language_id, "_grow", lambda h, codes: grown.append(len(h)) or grow(h, codes))
+    pieces = language_id.Pieces({"a": 0, "b": 1, "ab": 2, "xyzuvwxyzuvwxyz": 3, "▁": 4})
+    grown.clear()
+    w, start, end, piece = language_id.lattice(["ab" * 500], pieces)
+    assert sum(grown) < 3 * 1001  # each character, and those that may begin a longer piece: not all lengths of all
+    found = {("▁" + "ab" * 500)[a:b] for a, b in zip(start, end)}
+    assert found == {"▁", "a", "b", "ab"} and len(end) == 1001 + 500 and (np.diff(end) >= 0).all()
+
+
+def test_words_by_the_plain_class_equal_the_letter_class():
+    every = "".join(chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000)
+    texts = ["".join(every[i] + x for i in range(k, len(every), 7)) for k in range(7) for x in ("", "a", " ")]
+    for t in [*texts, *(t or "" for t in HARD), "İstanbul ΣΑΣ.", "ﬁn ②x 𝐀b", "a" * 100_000]:
+        for part in (t, t.replace("𐀀", " ")[:60_000]):
+            assert language_id.letter_words(part) == language_id.WORD.findall(part.lower())
+
+
+def test_words_of_all_lengths_are_counted_in_parts():
+    long = "é" * (2 * language_id.TRAIN_CHARS + 1)
+    (b,) = language_id._train_words(iter([pa.record_batch({"lang": ["x", "x"], "text": [f"a {long} b a", "a"]})]))
+    want = {"a": 3, "b": 1, "é" * language_id.TRAIN_CHARS: 2, "é": 1}
+    assert dict(zip(b.column(1).to_pylist(), b.column(2).to_pylist())) == want
+
+
 def test_language_of_odd_texts(spark):
     docs = spark.createDataFrame(
         [(1, "the house and the tree", "en", "x"), (2, "das Haus und der Baum", "de", "x"), (3, None, "en", "x"), (4, "12 !?", None, "x"),
