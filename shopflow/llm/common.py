@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import re
 import sys
@@ -34,8 +36,26 @@ def worker_memo(key, make: Callable):
     return store.value
 
 
+@functools.cache
+def _c_library() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL(None)
+    except (OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system, where the C library can be told to."""
+    trim = getattr(_c_library(), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _released(run: Callable) -> Callable:
-    """``run`` with Arrow's freed memory given back after each batch; its pool would keep it, also in workers that wait for a task."""
+    """``run`` with freed memory given back, Arrow's after each batch, the C library's after the last one.
+
+    Both would keep it, also in workers that wait for a task.
+    """
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = pa.default_memory_pool()
         for out in run(given):
@@ -43,6 +63,7 @@ def _released(run: Callable) -> Callable:
             out = None
             pool.release_unused()
         pool.release_unused()
+        give_back()
     return batches
 
 

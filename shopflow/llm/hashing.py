@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes that are hashed at once; bounds the memory of a step. Longer words are hashed in pieces.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 #: (prime, base) of each half of a hash: the greatest primes below 2**32 that fit, bases drawn at random.
 FIELDS = ((4294967291, 0x1E94DDEF), (4294967279, 0xD3C58861))
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -60,7 +60,7 @@ def uniform(x: np.ndarray) -> np.ndarray:
 def polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of data[starts[i]:ends[i]]: its polynomials modulo two primes, side by side; ranges ascend and do not overlap.
 
-    A term is below 2**9 * 2**32 and a block has 2**19, so its sums need no reduction.
+    A term is below 2**9 * 2**32 and a block has 2**17, so its sums need no reduction.
     """
     halves = [_polynomials(data, starts, ends, prime, base, *tables) for (prime, base), tables in zip(FIELDS, _tables())]
     return (halves[0] << np.uint64(32)) | halves[1]

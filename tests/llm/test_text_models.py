@@ -463,6 +463,20 @@ def test_freed_arrow_memory_is_given_back_after_each_batch(monkeypatch):
     assert list(run(iter([]))) == [] and len(released) == 4
 
 
+def test_freed_memory_is_given_back_after_a_task(monkeypatch):
+    from shopflow.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    out = common._released(lambda batches: (2 * x for x in batches))(iter([1, 2]))
+    assert (next(out), next(out), given) == (2, 4, [])
+    assert list(out) == [] and given == [1]
+    monkeypatch.undo()
+    common.give_back()
+    monkeypatch.setattr(common, "_c_library", lambda: None)  # another C library
+    common.give_back()
+
+
 def test_quality_model_does_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(quality_rules, "BLOCK_ROWS", 60)
     rows, docs, labels = labelled_texts(spark, 200, 100)

@@ -49,6 +49,21 @@ def test_pieces_equal_the_library():
         assert enc.counts(column.slice(5, 7)).tolist() == [len(x) for x in want[5:12]]
 
 
+def test_memo_of_pieces_is_bounded_in_bytes_and_compact():
+    r = random.Random(5)
+    texts = ["日本語"[i % 3] * r.randint(100, 4000) + str(i) for i in range(300)]  # long pieces: few entries, many bytes
+    want = [len(x) for x in library(texts)]
+    enc, most = PieceEncoder(PATH, max_bytes=200_000), 0
+    for lo in range(0, len(texts), 10):
+        assert enc.counts(pa.array(texts[lo : lo + 10])).tolist() == want[lo : lo + 10]
+        most = max(most, len(enc.text))
+    assert most < 200_000 + 10 * 3 * 4100  # the limit and one batch
+    enc = PieceEncoder(PATH)
+    enc.counts(pa.array([" ".join(f"w{i}" for i in range(20_000))]))
+    held = sum(x.nbytes for x in vars(enc).values() if isinstance(x, np.ndarray)) - enc.text.nbytes - enc.ids.nbytes
+    assert held <= 21 * 20_000  # 48 bytes an entry before
+
+
 def test_counts_with_tiny_chunks(spark):
     texts = HARD + [noise(i, 300) for i in range(40)] + ["x" * 900, " " * 900, "ab\n" * 400]
     docs = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)] * 2, "doc_id long, text string, row int")
